@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.sources import schemas
+from larder.sources import schemas, snapshots
 
 
 def jdbc_options(
@@ -105,11 +105,11 @@ def land(
     """
     rows = df.transform(callback) if callback is not None else df
     rows = schemas.normalize_values(rows) if normalise else rows
-    writer = rows.write.mode("overwrite").option("compression", "gzip")
+    writer = rows.write.mode("overwrite").options(compression="gzip", **snapshots.JSON_TIMES)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.json(path)
-    return df.sparkSession.read.schema(rows.schema).json(path)
+    return df.sparkSession.read.options(**snapshots.JSON_TIMES).schema(rows.schema).json(path)
 
 
 def batch_callback(

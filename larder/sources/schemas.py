@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import date, datetime, time
 from decimal import Decimal
@@ -68,15 +69,22 @@ def infer_batch(rows: Iterable[Mapping[str, Any]], predefined: Mapping[str, Any]
     return T.StructType([T.StructField(k, value_type(v)) for k, v in samples.items()])
 
 
+def _spark_type(variant_type: str) -> T.DataType:
+    """Type text of a Variant aggregate to a Spark type: numbers with a fraction
+    are doubles, always-null or conflicting values are text."""
+    text = variant_type.replace("OBJECT<", "STRUCT<")
+    text = re.sub(r"DECIMAL\(\d+, ?\d+\)", "DOUBLE", text)
+    return T._parse_datatype_string(re.sub(r"\b(VOID|VARIANT)\b", "STRING", text))
+
+
 def infer_json_schema(df: DataFrame, column: str, predefined: Mapping[str, T.DataType] | None = None) -> T.StructType:
     """Schema of a column of JSON objects, merged over all rows by Spark.
 
     Only the merged schema comes back to the driver.  ``predefined`` replaces
     the type of the named top-level fields.
     """
-    objects = F.when(nested.looks_like_json_object(column), F.col(column))
-    merged = df.agg(F.schema_of_json_agg(objects).alias("schema")).first()["schema"]
-    inferred = T._parse_datatype_string(merged)
+    objects = F.when(nested.looks_like_json_object(column), F.try_parse_json(F.col(column)))
+    inferred = _spark_type(df.agg(F.schema_of_variant_agg(objects).alias("schema")).first()["schema"])
     if not isinstance(inferred, T.StructType):
         return T.StructType()
     override = dict(predefined or {})

@@ -21,6 +21,13 @@ from larder.sources import files
 SNAPSHOT_FORMAT = "%Y%m%d_%H%M%S_%f"
 
 
+# JSON times keep their microseconds; the writer's default stops at milliseconds.
+JSON_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
+
+
 def snapshot_now() -> str:
     return datetime.now(timezone.utc).strftime(SNAPSHOT_FORMAT)
 
@@ -71,7 +78,7 @@ def read_json(
     more to infer one; give the registered schema where there is one."""
     path = resolve_snapshot(spark, root, pinned)
     if schema is not None:
-        return spark.read.schema(schema).json(path)
+        return spark.read.options(**JSON_TIMES).schema(schema).json(path)
     return spark.read.option("samplingRatio", sampling_ratio).json(path)
 
 
@@ -114,7 +121,7 @@ def write_json(
     with its schema.
     """
     path = f"{root}/{snapshot or snapshot_now()}"
-    _writer(df, mode, partition_by, rows_per_file).option("compression", "gzip").json(path)
+    _writer(df, mode, partition_by, rows_per_file).options(compression="gzip", **JSON_TIMES).json(path)
     return path
 
 
