@@ -16,7 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("source_queries", "schema_queries")
+_MODULES = ("aggregate_queries", "sampling_queries")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

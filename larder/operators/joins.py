@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.operators import aggregates, filters
@@ -22,10 +22,6 @@ from larder.operators import aggregates, filters
 _SALT = "__salt"
 
 
-def null_safe_condition(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def full_outer_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
     """Full outer join of two sides that are unique per key.
 
@@ -33,10 +29,11 @@ def full_outer_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], nu
     """
     if not null_safe:
         return left.join(right, list(keys), "full_outer")
-    joined = left.join(right, null_safe_condition(left, right, keys), "full_outer")
-    values = [F.coalesce(left[k], right[k]).alias(k) for k in keys]
-    rest = [left[c] for c in left.columns if c not in keys] + [right[c] for c in right.columns if c not in keys]
-    return joined.select(*values, *rest)
+    other = {k: f"__right_{k}" for k in keys}
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(o)) for k, o in other.items()])
+    joined = left.join(right.withColumnsRenamed(other), same, "full_outer")
+    values = {k: F.coalesce(k, o) for k, o in other.items()}
+    return joined.withColumns(values).drop(*other.values())
 
 
 def keep_with_positive(df: DataFrame, group: str, label: str = "label") -> DataFrame:
@@ -153,7 +150,7 @@ def lookup(df: DataFrame, table: DataFrame, keys: Mapping[str, str], fields: Map
     renamed = {f"__k{i}": t for i, t in enumerate(keys.values())}
     picked = table.select(*[F.col(t).alias(k) for k, t in renamed.items()], *[F.col(f).alias(n) for f, n in fields.items()])
     unique = aggregates.one_row_per_key(picked, list(renamed), list(fields.values()))
-    condition = reduce(lambda a, b: a & b, [df[c] == unique[k] for c, k in zip(keys, renamed)])
+    condition = reduce(lambda a, b: a & b, [F.col(c) == F.col(k) for c, k in zip(keys, renamed)])
     return df.join(unique, condition, "left").drop(*renamed)
 
 
