@@ -16,7 +16,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("aggregate_queries", "sampling_queries")
+_MODULES = (
+    "source_queries",
+    "schema_queries",
+    "filter_queries",
+    "join_queries",
+    "aggregate_queries",
+    "sampling_queries",
+    "function_queries",
+    "incremental_queries",
+    "vector_queries",
+    "model_queries",
+    "job_queries",
+)
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

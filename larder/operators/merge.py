@@ -43,6 +43,13 @@ def latest_change(delta: DataFrame, ids: Sequence[str], order: Sequence[str]) ->
     return aggregates.latest_per_key(delta, ids, order)
 
 
+def not_older(base: DataFrame, delta: DataFrame, ids: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Delta rows that are not older than the document they would change."""
+    known = base.select(*ids, F.struct(*order).alias("__known"))
+    current = F.col("__known").isNull() | (F.struct(*order) >= F.col("__known"))
+    return delta.join(known, list(ids), "left").filter(current).drop("__known")
+
+
 def _side_by_side(base: DataFrame, delta: DataFrame, ids: Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
     base_fields = [c for c in base.columns if c not in ids]
     delta_fields = [c for c in delta.columns if c not in ids]

@@ -150,7 +150,7 @@ def tree_nodes(model: PipelineModel) -> pd.DataFrame:
         F.col("treeID").alias("tree"),
         F.col("nodeData.id").alias("node"),
         F.col("nodeData.split.featureIndex").alias("feature"),
-        F.element_at("nodeData.split.leftCategoriesOrThreshold", 1).alias("threshold"),
+        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
         F.col("nodeData.leftChild").alias("left"),
         F.col("nodeData.rightChild").alias("right"),
         F.col("nodeData.prediction").alias("value"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -18,12 +19,12 @@ import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions import vectors
-from larder.operators import aggregates, joins, ranking
+from larder.operators import aggregates, joins, ranking, sampling
 
 # A factory that runs once per Python worker, loads a model there and returns
 # the function from a batch of texts to a matrix of vectors.
@@ -108,7 +109,7 @@ def _block_top_k(k: int):
 
     def search(queries: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or items.empty:
-            return pd.DataFrame({"__q": [], "__i": [], "score": []})
+            return pd.DataFrame({"__q": [], "__i": [], "score": []}).astype({"__q": object, "__i": object, "score": float})
         items = items.sort_values("__i", kind="stable")
         names = items["__i"].to_numpy()
         matrix = np.stack(items["__v"].to_numpy()).astype(np.float64).T
@@ -178,60 +179,91 @@ def knn_inner_product(
     return _search(placed_q, placed_i, ["__qb", "__ib"], k, out)
 
 
-def unit_vectors(df: DataFrame, vector: str = "vector") -> DataFrame:
-    """Scale a vector column to length 1; the zero vector stays."""
+def unit_vectors(df: DataFrame, vector: str, out: str) -> DataFrame:
+    """Add the vector scaled to length 1, as an ML vector; zero stays zero."""
     dense = df.withColumn("__raw", array_to_vector(F.col(vector).cast("array<double>")))
-    scaled = Normalizer(inputCol="__raw", outputCol="__unit").transform(dense)
-    return scaled.withColumn(vector, vector_to_array("__unit")).drop("__raw", "__unit")
+    return Normalizer(inputCol="__raw", outputCol=out).transform(dense).drop("__raw")
 
 
-def cell_centres(items: DataFrame, cells: int, vector: str = "vector", seed: int = 32, rounds: int = 5) -> DataFrame:
-    """(cell, centre): centres of a k-means over the items' directions.
+@dataclass(frozen=True)
+class VectorIndex:
+    """Items grouped into cells by direction, stored as a table.
 
-    Only the ``cells`` centres pass through the driver.
+    ``items`` holds (id, vector) in one directory per cell, ``centres`` one row
+    per cell.  A search reads the directories of the probed cells.
     """
-    unit = unit_vectors(items.select(vector).filter(F.col(vector).isNotNull()), vector)
-    rows = unit.select(array_to_vector(vector).alias("features"))
-    model = KMeans(k=cells, seed=seed, maxIter=rounds).fit(rows)
-    centres = [(n, [float(x) for x in c]) for n, c in enumerate(model.clusterCenters())]
-    return items.sparkSession.createDataFrame(centres, "cell int, centre array<double>")
 
-
-def knn_approximate(
-    queries: DataFrame,
-    items: DataFrame,
-    k: int,
-    query_key: str,
-    item_key: str,
-    vector: str = "vector",
-    cells: int = 16,
-    probes: int = 4,
-    out: Sequence[str] = ("query", "item"),
-    block_rows: int = 65_536,
-    seed: int = 32,
-) -> DataFrame:
-    """k best items per query among the ``probes`` cells nearest to it.
-
-    Items go to the cell with the nearest centre.  A cell is cut into blocks by
-    its size.  With ``probes == cells`` the result is exact; for exact results
-    at once use ``knn_inner_product``.
-    """
-    centres = cell_centres(items, cells, vector, seed)
-
-    def nearest(df: DataFrame, key: str, n: int, name: str) -> DataFrame:
-        unit = unit_vectors(df.select(F.col(key).cast("string").alias(name), vector).filter(F.col(vector).isNotNull()), vector)
-        found = knn_inner_product(unit, centres.withColumnRenamed("centre", vector), n, name, "cell", vector, (name, "cell"))
-        return found.select(name, F.col("cell").cast("int").alias("__cell"))
-
-    i = _keyed(items, item_key, vector, "__i").join(nearest(items, item_key, 1, "__i"), "__i")
-    q = _keyed(queries, query_key, vector, "__q").join(nearest(queries, query_key, probes, "__q"), "__q")
-    sizes = i.groupBy("__cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("__blocks"))
-    sizes = F.broadcast(sizes)  # at most ``cells`` rows
-    placed_i = i.join(sizes, "__cell").withColumn(
-        "__block", F.pmod(F.xxhash64("__i"), F.col("__blocks").cast("bigint")).cast("int")
-    )
-    placed_q = q.join(sizes, "__cell").withColumn("__block", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
-    return _search(placed_q, placed_i, ["__cell", "__block"], k, out)
+    spark: SparkSession
+    path: str
+
+    def build(
+        self,
+        items: DataFrame,
+        key: str,
+        vector: str = "vector",
+        cells: int = 16,
+        seed: int = 32,
+        rounds: int = 5,
+        train_fraction: float = 1.0,
+    ) -> VectorIndex:
+        """Learn the cells with k-means and write every item to its own.
+
+        The cells may be learned from a sample by key; all items are indexed.
+        Placing an item looks only at the centres, so nothing is shuffled.
+        """
+        unit = unit_vectors(_keyed(items, key, vector, "id"), "__v", "features")
+        seen = unit if train_fraction >= 1.0 else sampling.sample_by_key(unit, ["id"], train_fraction, seed)
+        model = KMeans(k=cells, seed=seed, maxIter=rounds).fit(seen.select("features"))
+        placed = model.setPredictionCol("cell").transform(unit)
+        placed.select("id", F.col("__v").alias("vector"), "cell").write.partitionBy("cell").parquet(f"{self.path}/items")
+        # One row per cell passes through the driver.
+        centres = [(n, [float(x) for x in c]) for n, c in enumerate(model.clusterCenters())]
+        frame = self.spark.createDataFrame(centres, "cell int, centre array<double>")
+        frame.coalesce(1).write.parquet(f"{self.path}/centres")
+        return self
+
+    def probe(self, queries: DataFrame, key: str, vector: str, probes: int) -> DataFrame:
+        """(query, cell): the ``probes`` cells nearest to each query.
+
+        Nearest means the smallest distance to the centre, written as an inner
+        product with one more element.
+        """
+        unit = unit_vectors(_keyed(queries, key, vector, "__q"), "__v", "__unit")
+        wide = unit.select("__q", F.concat(vector_to_array("__unit"), F.array(F.lit(1.0))).alias("w"))
+        centres = self.spark.read.parquet(f"{self.path}/centres")
+        half = -vectors.dot("centre", "centre") / 2
+        targets = centres.select("cell", F.concat("centre", F.array(half)).alias("w"))
+        found = knn_inner_product(wide, targets, probes, "__q", "cell", "w", ("__q", "cell"))
+        return found.select("__q", F.col("cell").cast("int").alias("__cell"))
+
+    def search(
+        self,
+        queries: DataFrame,
+        k: int,
+        key: str,
+        vector: str = "vector",
+        probes: int = 4,
+        out: Sequence[str] = ("query", "item"),
+        block_rows: int = 65_536,
+    ) -> DataFrame:
+        """k best items per query among its nearest cells.
+
+        A cell is cut into blocks by its size, so a cell of any size is searched
+        by many tasks.  Probing all cells gives the exact result, which
+        ``knn_inner_product`` finds without an index.
+        """
+        stored = self.spark.read.parquet(f"{self.path}/items")
+        items = stored.select(F.col("id").alias("__i"), F.col("vector").alias("__v"), F.col("cell").alias("__cell"))
+        sizes = items.groupBy("__cell").agg(F.ceil(F.count("*") / block_rows).cast("bigint").alias("__blocks"))
+
+        def sized(df: DataFrame) -> DataFrame:
+            cut = sizes.select(F.col("__cell").alias("__c"), "__blocks")
+            return df.join(F.broadcast(cut), F.col("__cell") == F.col("__c")).drop("__c")  # one row per cell
+
+        placed_i = sized(items).withColumn("__block", F.pmod(F.xxhash64("__i"), "__blocks"))
+        routed = _keyed(queries, key, vector, "__q").join(self.probe(queries, key, vector, probes), "__q")
+        placed_q = sized(routed).withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__blocks") - 1)))
+        return _search(placed_q.drop("__blocks"), placed_i.drop("__blocks"), ["__cell", "__block"], k, out)
 
 
 def recall(found: DataFrame, truth: DataFrame, query: str = "query", item: str = "item") -> DataFrame:

@@ -23,15 +23,18 @@ _BATCH = "change_batch"
 
 @dataclass(frozen=True)
 class ServingTable:
-    """``ids`` empty means documents without an id: changes are appended.
+    """A batch of changes holds one row per id.  ``ids`` empty means documents without an id: changes are appended.
 
     ``rule`` is ``replace`` (whole documents) or ``partial`` (given fields).
+    ``order`` names the columns of a change that tell which one is newer; without
+    it the later batch wins.
     """
 
     spark: SparkSession
     root: str
     ids: Sequence[str] = ()
     rule: str = "replace"
+    order: Sequence[str] = ()
 
     def versions(self) -> list[str]:
         return snapshots.complete_snapshots(self.spark, f"{self.root}/versions")
@@ -93,7 +96,9 @@ class ServingTable:
             return base
         if not self.ids:
             return merge.append(base, changed.drop(_BATCH))
-        last = merge.latest_change(changed, self.ids, [_BATCH]).drop(_BATCH)
+        last = merge.latest_change(changed, self.ids, [*self.order, _BATCH]).drop(_BATCH)
+        if self.order and set(self.order) <= set(base.columns):
+            last = merge.not_older(base, last, self.ids, self.order)
         fold = merge.upsert_replace if self.rule == "replace" else merge.upsert_partial
         return fold(base, last, self.ids)
 

@@ -49,18 +49,19 @@ def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint
 def upsert_stream(
     stream: DataFrame,
     table: ServingTable,
-    order: Sequence[str],
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> StreamingQuery:
-    """Upsert change rows into a serving table, the last one per id winning.
+    """Upsert change rows into a serving table, the newest one per id winning.
 
-    Several changes of an id in one micro-batch are reduced to the last one by
-    ``order``; over micro-batches the later batch wins.
+    The table's ``order`` decides inside a micro-batch and over micro-batches,
+    so changes may arrive late or in any order.
     """
+    if not table.order:
+        raise ValueError("an upsert stream needs a table with an order")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        last = merge.latest_change(transform(batch), table.ids, order)
+        last = merge.latest_change(transform(batch), table.ids, table.order)
         table.write(last, "incremental", batch=batch_id)
 
     return _start(stream, each, checkpoint)
