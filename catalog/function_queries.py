@@ -217,12 +217,12 @@ def vector_dot(spark, sf_dir):
 
 @query(
     "null_normalize",
-    "select event_id, case when value <= 80 then value end as value, case when value <= 80 then round(1 / value, 6) end as inverse from events",
+    "select event_id, case when value <= 80 then value end as value, case when value <= 80 then round(value / 4, 6) end as quarter from events",
 )
 def null_normalize(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", F.when(F.col("value") > 80, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"))
     clean = events.withColumn("value", numbers.null_normalize("value"))
-    return clean.withColumn("inverse", F.round(F.lit(1.0) / F.col("value"), 6))
+    return clean.withColumn("quarter", F.round(F.col("value") / 4, 6))
 
 
 @query(
