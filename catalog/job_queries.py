@@ -126,7 +126,6 @@ def mart_registry(spark, sf_dir) -> features.FeatureRegistry:
         bindings.interaction_log(spark, sf_dir),
         ["user_account_sid"],
         "logged_at",
-        "logged_at",
         _activity(),
         ["recommendation_sid", "item_sid"],
     )
@@ -139,14 +138,8 @@ def mart_registry(spark, sf_dir) -> features.FeatureRegistry:
     )
 
 
-def mart_phases(spark, sf_dir):
-    log = bindings.interaction_log(spark, sf_dir)
-    labeled = labels.labeled_interactions(log, bindings.label_spec(0.5))
-    registry = mart_registry(spark, sf_dir)
-    built = [
-        mart.mart_dataset(labeled, registry, MART_SPEC, p).withColumn("phase", F.lit(p.name)) for p in PHASES
-    ]
-    return sampling.union_all(*built)
+def _mart(spark, sf_dir, labeled):
+    return mart.mart_dataset(labeled, mart_registry(spark, sf_dir), MART_SPEC, PHASES)
 
 
 _MART_SAMPLE = bindings.sql_bucket(7, 1000, "recommendation_sid", "user_account_sid", "item_sid")
@@ -176,7 +169,8 @@ left join flags f using (user_account_sid)"""
 
 @query("mart_dataset", _MART_SQL)
 def mart_dataset(spark, sf_dir):
-    rows = mart_phases(spark, sf_dir)
+    log = bindings.interaction_log(spark, sf_dir)
+    rows = _mart(spark, sf_dir, labels.labeled_interactions(log, bindings.label_spec(0.5)))
     rounded = {c: F.round(c, 6) for c in ("prev_value", "positive_ratio")}
     return _text_time(rows.withColumns(rounded), "logged_at")
 
@@ -193,10 +187,8 @@ def mart_snapshots(spark, sf_dir):
     log = bindings.interaction_log(spark, sf_dir)
     snapshots.write_parquet(labels.labeled_interactions(log, bindings.label_spec(0.5)), f"{root}/lake")
     labeled = snapshots.read_parquet(spark, f"{root}/lake")
-    mart.write_mart(labeled, mart_registry(spark, sf_dir), MART_SPEC, PHASES, f"{root}/mart", snapshots.snapshot_now())
-    phases = [
-        snapshots.read_parquet(spark, f"{root}/mart/{p.name}").withColumn("phase", F.lit(p.name)) for p in PHASES
-    ]
+    mart.write_mart(_mart(spark, sf_dir, labeled), f"{root}/mart")
+    phases = [mart.read_mart(spark, f"{root}/mart", p.name).withColumn("phase", F.lit(p.name)) for p in PHASES]
     return sampling.union_all(*phases).groupBy("phase").agg(
         F.count("*").alias("n"),
         F.sum("label").alias("positives"),

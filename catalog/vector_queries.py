@@ -19,10 +19,14 @@ def _documents(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
 
 
+def _width(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query("embed_text", f"with {_EMBED_SQL} select doc_id, pos, round(value, 5) as value from embedded")
 def embed_text(spark, sf_dir):
     """Non-zero elements of the default text vectors."""
-    made = vectors.embed_text(_documents(spark, sf_dir), ["doc_id"], {"text": "vector"})
+    made = vectors.embed_text(_documents(spark, sf_dir), ["doc_id"], {"text": "vector"}, spread=_width(spark))
     rows = made.select("doc_id", F.posexplode("vector").alias("pos", "value")).filter("value <> 0")
     return rows.withColumn("value", F.round(F.col("value").cast("double"), 5))
 
@@ -51,7 +55,7 @@ select lang, source, pos, round(sum(value) / max(n), 6) as value from embedded j
 def history_vectors(spark, sf_dir):
     """Mean text vector per source and language, one directory per language."""
     path = session.scratch_path(spark, "history")
-    made = vectors.history_vectors(_documents(spark, sf_dir), ["lang", "source"], "text")
+    made = vectors.history_vectors(_documents(spark, sf_dir), ["lang", "source"], "text", spread_by=["doc_id"], spread=_width(spark))
     filters.write_category_slices(made, path, "lang")
     rows = spark.read.parquet(path).select("lang", "source", F.posexplode("vector").alias("pos", "value"))
     return rows.filter("value <> 0").withColumn("value", F.round("value", 6))

@@ -62,15 +62,24 @@ def hot_keys(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
 
 
 def join_salting_hot_keys(
-    df: DataFrame, unique: DataFrame, keys: Sequence[str], spread_by: Sequence[str], parts: int = 64
+    df: DataFrame,
+    unique: DataFrame,
+    keys: Sequence[str],
+    spread_by: Sequence[str],
+    parts: int = 64,
+    heat: DataFrame | None = None,
 ) -> DataFrame:
     """Left join against a side unique per key that spreads hot keys.
 
     A key with more than ``1 / parts`` of the rows is split by a hash of
     ``spread_by`` into as many pieces as it fills average partitions; only the
     right rows of such keys are repeated.  Other keys are joined as they are.
+
+    Keys are counted on ``heat``, by default on ``df``.  Where ``df`` is the end
+    of a long plan, pass a plain table whose keys are spread alike: it decides
+    only how many pieces a key gets, never the result.
     """
-    hot = F.broadcast(hot_keys(df, keys, parts))
+    hot = F.broadcast(hot_keys(df if heat is None else heat, keys, parts))
     piece = F.pmod(F.xxhash64(*spread_by), F.col("__splits").cast("bigint")).cast("int")
     left = (
         df.join(hot, list(keys), "left")

@@ -12,7 +12,6 @@ import hashlib
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -42,16 +41,23 @@ def hashed_token_encoder(dim: int = 64) -> EncoderFactory:
 
     def load() -> Callable[[np.ndarray], np.ndarray]:
         token = re.compile("[^ \t\n\r\f\v]+")
+        known: dict[str, int] = {}
 
-        @lru_cache(maxsize=1 << 16)
         def bucket(word: str) -> int:
-            return int(hashlib.md5(word.encode("utf-8")).hexdigest()[:8], 16) % dim
+            place = known.get(word)
+            if place is None:
+                if len(known) >= 1 << 18:  # the cache of a worker stays bounded
+                    known.clear()
+                place = int.from_bytes(hashlib.md5(word.encode("utf-8")).digest()[:4], "big") % dim
+                known[word] = place
+            return place
 
         def encode(texts: np.ndarray) -> np.ndarray:
             counts = np.zeros((len(texts), dim))
             for row, value in enumerate(texts):
                 places = [bucket(w) for w in token.findall(value or "")]
-                counts[row] = np.bincount(places, minlength=dim) if places else 0.0
+                if places:
+                    counts[row] = np.bincount(places, minlength=dim)
             norms = np.linalg.norm(counts, axis=1, keepdims=True)
             return (counts / np.where(norms == 0.0, 1.0, norms)).astype(np.float32)
 
@@ -66,8 +72,15 @@ def embed_text(
     fields: Mapping[str, str],
     encoder: EncoderFactory | None = None,
     batch_size: int = 256,
+    spread: int | None = None,
 ) -> DataFrame:
-    """Vectors of text fields: ``fields`` maps a text column to its vector column."""
+    """Vectors of text fields: ``fields`` maps a text column to its vector column.
+
+    Encoding outweighs moving the text, so with ``spread`` the rows are first
+    dealt out by key to that many tasks, whatever the layout of the files.
+    """
+    if spread:
+        df = df.select(*keys, *fields).repartition(spread, *keys)
     encode = predict_batch_udf(encoder or hashed_token_encoder(), return_type=VECTOR, batch_size=batch_size)
     return df.select(*keys, *[encode(F.coalesce(F.col(t), F.lit(""))).alias(v) for t, v in fields.items()])
 
@@ -79,9 +92,19 @@ def history_vectors(
     encoder: EncoderFactory | None = None,
     batch_size: int = 16,
     out: str = "vector",
+    spread_by: Sequence[str] = (),
+    spread: int | None = None,
 ) -> DataFrame:
-    """Mean vector over all texts of a key; texts are encoded where they lie."""
-    return aggregates.vector_mean(embed_text(df, keys, {text: "__text"}, encoder, batch_size), keys, "__text", out)
+    """Mean vector over all texts of a key.
+
+    Texts are dealt out by ``spread_by``, which is finer than the key, so the
+    texts of one key are encoded by many tasks; their sums meet afterwards.
+    """
+    columns = list(dict.fromkeys([*keys, *spread_by]))
+    rows = df.select(*columns, text)
+    if spread:
+        rows = rows.repartition(spread, *(spread_by or keys))
+    return aggregates.vector_mean(embed_text(rows, columns, {text: "__text"}, encoder, batch_size), keys, "__text", out)
 
 
 def merge_vectors(

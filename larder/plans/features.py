@@ -1,7 +1,8 @@
 """Feature plug-ins and the features that ship with the package.
 
 A general feature maps a dataset to the dataset with more columns.  A periodic
-one also takes the period windows.  A registry finds both by name.
+one maps rows that carry their window, and also takes the windows.  A registry
+finds both by name.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import text
 from larder.operators import aggregates, filters, joins
-from larder.plans.windows import ORDINAL, PeriodWindows, pit_join
+from larder.plans.windows import Windows, attach_window_features, window_features
 
 
 class FeatureNotFound(KeyError):
@@ -32,7 +33,7 @@ class GeneralFeature:
 class PeriodicFeature:
     name: str
     fields: Sequence[str]
-    apply: Callable[[DataFrame, PeriodWindows], DataFrame]
+    apply: Callable[[DataFrame, Windows], DataFrame]
 
 
 @dataclass
@@ -66,7 +67,7 @@ class FeatureRegistry:
             added += feature.fields
         return df, added
 
-    def apply_periodic(self, df: DataFrame, names: Sequence[str], windows: PeriodWindows) -> tuple[DataFrame, list[str]]:
+    def apply_periodic(self, df: DataFrame, names: Sequence[str], windows: Windows) -> tuple[DataFrame, list[str]]:
         """Apply periodic features in order; returns the added field names too."""
         added: list[str] = []
         for name in names:
@@ -128,16 +129,19 @@ def windowed_feature(
     name: str,
     source: DataFrame,
     keys: Sequence[str],
-    source_time: str,
-    target_time: str,
+    time: str,
     fields: dict[str, Column],
     spread_by: Sequence[str] | None = None,
 ) -> PeriodicFeature:
-    """Aggregates of ``source`` over the window before each target row's own."""
+    """Aggregates of ``source`` over the window before each row's own.
+
+    With ``spread_by`` hot keys, counted on the source, are split over tasks.
+    """
     columns = [c.alias(n) for n, c in fields.items()]
 
-    def apply(df: DataFrame, windows: PeriodWindows) -> DataFrame:
-        joined = pit_join(df, source, windows, keys, target_time, source_time, columns, spread_by)
-        return joined.drop(ORDINAL)
+    def apply(df: DataFrame, windows: Windows) -> DataFrame:
+        made = window_features(source, windows, keys, time, columns)
+        heat = windows.targets(source.select(*keys, time), time)
+        return attach_window_features(df, made, windows, keys, spread_by, heat)
 
     return PeriodicFeature(name, list(fields), apply)

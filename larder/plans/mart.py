@@ -1,4 +1,4 @@
-"""Training-set assembly: one plan per phase."""
+"""Training-set assembly: one plan for all phases."""
 
 from __future__ import annotations
 
@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larder.operators import filters, sampling
+from larder.operators import sampling
 from larder.plans.features import FeatureRegistry
-from larder.plans.windows import PeriodWindows
+from larder.plans.windows import ORDINAL, PHASE, PeriodWindows, PhaseWindows
 from larder.sources import schemas, snapshots
 
 
@@ -44,32 +45,37 @@ class Phase:
 TEST_FRACTION = 0.333
 
 
-def mart_dataset(labeled: DataFrame, registry: FeatureRegistry, spec: MartSpec, phase: Phase) -> DataFrame:
-    """Rows of the phase with periodic and general features.
+def mart_dataset(
+    labeled: DataFrame, registry: FeatureRegistry, spec: MartSpec, phases: Sequence[Phase]
+) -> DataFrame:
+    """Rows of all phases with periodic and general features and their phase.
 
-    The phase filter comes first and reaches the scan.  General features depend
-    on keys the rows already carry, so they are attached in place; no second
-    copy of the dataset is joined back.  Sampling looks only at the key and is
-    done before any feature join, which leaves the same rows with less work.
+    Phases and windows are columns, so every table is scanned and joined once,
+    however many there are.  The time filter comes first and reaches the scan.
+    General features depend on keys the rows already carry, so they are attached
+    in place; no second copy of the dataset is joined back.  Sampling looks only
+    at the key and comes before the joins, which keeps the same rows.
     """
-    rows = filters.between_half_open(labeled, spec.time, phase.start, phase.end)
-    if phase.fraction < 1.0:
-        rows = sampling.sample_by_key(rows, spec.sample_keys, phase.fraction, spec.sample_seed)
-    windows = PeriodWindows(phase.start, phase.end, spec.period_days, spec.gap_days)
+    windows = PhaseWindows({p.name: PeriodWindows(p.start, p.end, spec.period_days, spec.gap_days) for p in phases})
+    rows = windows.targets(labeled, spec.time)
+    for phase in phases:
+        if phase.fraction < 1.0:
+            sampled = sampling.in_sample(spec.sample_keys, phase.fraction, spec.sample_seed)
+            rows = rows.filter((F.col(PHASE) != phase.name) | sampled)
     rows, _ = registry.apply_periodic(rows, spec.periodic, windows)
     rows, _ = registry.apply_general(rows, spec.general)
-    return rows.drop(*spec.extras)
+    return rows.drop(*spec.extras, ORDINAL)
 
 
 def mart_features(dataset: DataFrame, spec: MartSpec) -> list[str]:
-    return schemas.feature_names(dataset.columns, [*spec.keys, spec.time], spec.label, spec.extras)
+    return schemas.feature_names(dataset.columns, [*spec.keys, spec.time, PHASE], spec.label, spec.extras)
 
 
-def write_mart(
-    labeled: DataFrame, registry: FeatureRegistry, spec: MartSpec, phases: Sequence[Phase], root: str, snapshot: str
-) -> dict[str, str]:
-    """Write one snapshot per phase; returns their paths."""
-    return {
-        p.name: snapshots.write_parquet(mart_dataset(labeled, registry, spec, p), f"{root}/{p.name}", snapshot)
-        for p in phases
-    }
+def write_mart(dataset: DataFrame, root: str, snapshot: str | None = None) -> str:
+    """Write one snapshot with a directory per phase, in a single pass."""
+    return snapshots.write_parquet(dataset, root, snapshot, partition_by=[PHASE])
+
+
+def read_mart(spark: SparkSession, root: str, phase: str, pinned: str | None = None) -> DataFrame:
+    """The rows of one phase of the latest (or pinned) mart snapshot."""
+    return snapshots.read_parquet(spark, root, pinned).filter(F.col(PHASE) == phase).drop(PHASE)
