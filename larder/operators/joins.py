@@ -55,7 +55,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
     columns alone.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("__n"))
-    total = df.agg(F.count("*").alias("__total")).scalar()
+    total = counts.agg(F.sum("__n")).scalar()
     share = F.col("__n") / total.cast("double")
     splits = F.ceil(share * parts).cast("int")
     return counts.filter(share > 1.0 / parts).select(*keys, splits.alias("__splits"))

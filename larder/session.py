@@ -23,6 +23,7 @@ def local_session(cores: int | str = 8, app: str = "larder", **conf: str) -> Spa
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.driver.memory": "8g",
         "spark.driver.extraJavaOptions": "-Xss8m",
         **conf,
