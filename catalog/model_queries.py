@@ -118,6 +118,19 @@ def leaderboard(spark, sf_dir):
 
 @query("explain_features")
 def explain_features(spark, sf_dir):
-    """Mean attribution of every feature, alone and given the one split before."""
+    """Mean Shapley value of every feature and of every pair of features."""
     rows, trained = _trained(spark, sf_dir)
     return model.explain_features(trained, rows, FEATURES)
+
+
+@query("explain_rows")
+def explain_rows(spark, sf_dir):
+    """Shapley values of every document."""
+    rows, trained = _trained(spark, sf_dir)
+    return model.explain_rows(trained, rows, FEATURES, ["doc_id"])
+
+
+@query("permutation_importance")
+def permutation_importance(spark, sf_dir):
+    rows, trained = _trained(spark, sf_dir)
+    return model.permutation_importance(trained, rows, FEATURES, "quality", "doc_id")

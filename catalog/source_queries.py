@@ -96,7 +96,9 @@ _LAND_SQL = """select l_returnflag, l_linestatus, count(*) as n, cast(sum(l_orde
 
 @query("land_batches", _LAND_SQL)
 def land_batches(spark, sf_dir):
-    landed = extract.land(table(spark, sf_dir, "lineitem"), session.scratch_path(spark, "land"), rows_per_file=25_000)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = table(spark, sf_dir, "lineitem")
+    landed = extract.land(lines, session.scratch_path(spark, "land"), rows_per_file=25_000, spread=width)
     return landed.groupBy("l_returnflag", "l_linestatus").agg(
         F.count("*").alias("n"),
         F.sum("l_orderkey").alias("keys"),

@@ -120,15 +120,15 @@ def _index(spark, sf_dir, cells):
     return vectors.VectorIndex(spark, session.scratch_path(spark, "index")).build(items, "vec_id", cells=cells)
 
 
-@query("knn_approximate")
-def knn_approximate(spark, sf_dir):
+@query("knn_approx")
+def knn_approx(spark, sf_dir):
     """The ten best vectors per label mean among the cells nearest to it."""
     centres = aggregates.vector_mean(table(spark, sf_dir, "embeddings"), ["label"], "embedding")
     return _index(spark, sf_dir, 16).search(centres, 10, "label", probes=6)
 
 
-@query("knn_approximate_all_cells", _knn_sql(_CENTRES_SQL, 10))
-def knn_approximate_all_cells(spark, sf_dir):
+@query("knn_approx_all_cells", _knn_sql(_CENTRES_SQL, 10))
+def knn_approx_all_cells(spark, sf_dir):
     """Probing every cell, cut into small blocks, gives the exact neighbours."""
     centres = aggregates.vector_mean(table(spark, sf_dir, "embeddings"), ["label"], "embedding")
     return _neighbours(_index(spark, sf_dir, 8).search(centres, 10, "label", probes=8, block_rows=50))

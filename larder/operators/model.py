@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
+from itertools import combinations
 from typing import Any
 
 import numpy as np
@@ -12,11 +15,12 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder import session
-from larder.functions import numbers
+from larder.functions import hashing, numbers
 from larder.operators import aggregates, filters, ranking, sampling
 from larder.sources import schemas
 
@@ -135,76 +139,151 @@ def leaderboard(records: DataFrame, k: int) -> DataFrame:
 
 
 # --- explanation ----------------------------------------------------------
+#
+# Shapley values of a tree ensemble are sums over leaves.  For one leaf, let a
+# feature's splits on the path leave it the interval (low, high], let o be 1 if
+# the row lies in it and 0 otherwise, and let z be the share of training rows
+# that pass those splits.  A set S of known features gives the leaf the value
+#     value * product of o over S * product of z over the other path features,
+# a game of at most ``depth`` players, small enough to enumerate.
+
+
+@dataclass(frozen=True)
+class Leaf:
+    """One leaf: its weighted value and, per path feature, interval and share."""
+
+    value: float
+    players: tuple[int, ...]
+    low: tuple[float, ...]
+    high: tuple[float, ...]
+    share: tuple[float, ...]
 
 
 def tree_nodes(model: PipelineModel) -> pd.DataFrame:
     """Nodes of the boosted trees as (tree, node, feature, threshold, left,
-    right, value); values carry the tree weights.  Its size is that of the
-    model: trees x 2^(depth + 1)."""
+    right, value, rows); values carry the tree weights.  Its size is that of
+    the model: at most trees x 2^(depth + 1) rows, whatever it was trained on."""
     booster: GBTClassificationModel = model.stages[-1]
     spark = SparkSession.active()
     path = session.scratch_path(spark, "model")
     booster.save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    flat = nodes.select(
-        F.col("treeID").alias("tree"),
-        F.col("nodeData.id").alias("node"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
-        F.col("nodeData.leftChild").alias("left"),
-        F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.prediction").alias("value"),
+    data = F.col("nodeData")
+    table = (
+        spark.read.parquet(f"{path}/data")
+        .select(
+            F.col("treeID").alias("tree"),
+            data["id"].alias("node"),
+            data["split"]["featureIndex"].alias("feature"),
+            F.get(data["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
+            data["leftChild"].alias("left"),
+            data["rightChild"].alias("right"),
+            data["prediction"].alias("value"),
+            data["rawCount"].alias("rows"),
+        )
+        .orderBy("tree", "node")
+        .toPandas()
     )
-    table = flat.orderBy("tree", "node").toPandas()
-    weights = np.asarray(booster.treeWeights)
-    table["value"] *= weights[table["tree"].to_numpy()]
+    table["value"] *= np.asarray(booster.treeWeights)[table["tree"].to_numpy()]
     return table
 
 
-def path_contributions(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Global attribution: (feature, given, mean_abs, mean).
+def leaves(nodes: pd.DataFrame) -> list[Leaf]:
+    found: list[Leaf] = []
+    for _, tree in nodes.groupby("tree"):
+        by_id = {n.node: n for n in tree.itertuples()}
+        open_paths: list[tuple[int, dict[int, tuple[float, float, float]]]] = [(0, {})]
+        while open_paths:
+            node, bounds = open_paths.pop()
+            here = by_id[node]
+            if here.left < 0:
+                players = tuple(sorted(bounds))
+                low, high, share = zip(*[bounds[f] for f in players]) if players else ((), (), ())
+                found.append(Leaf(here.value, players, low, high, share))
+                continue
+            low, high, share = bounds.get(here.feature, (-math.inf, math.inf, 1.0))
+            for child, new_low, new_high in (
+                (here.left, low, min(high, here.threshold)),
+                (here.right, max(low, here.threshold), high),
+            ):
+                passed = by_id[child].rows / here.rows
+                open_paths.append((child, bounds | {here.feature: (new_low, new_high, share * passed)}))
+    return found
+
+
+def _subset_products(o: np.ndarray, z: Sequence[float], players: Sequence[int], weights: Sequence[float]) -> np.ndarray:
+    """Sum over subsets of ``players`` of weight(size) * prod(o in) * prod(z out)."""
+    total = np.zeros(o.shape[1])
+    for size, weight in enumerate(weights):
+        for known in combinations(players, size):
+            rest = math.prod(z[p] for p in players if p not in known)
+            total += weight * rest * (o[list(known)].prod(axis=0) if known else 1.0)
+    return total
+
+
+def _explain_batch(x: np.ndarray, found: Sequence[Leaf], pairs: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Shapley values (rows x features) and interaction values of one batch."""
+    rows, count = x.shape
+    values = np.zeros((rows, count))
+    mixed = np.zeros((rows, count, count)) if pairs else None
+    for leaf in found:
+        n = len(leaf.players)
+        columns = x[:, leaf.players].T
+        o = ((columns > np.array(leaf.low)[:, None]) & (columns <= np.array(leaf.high)[:, None])).astype(float)
+        gain = leaf.value * (o - np.array(leaf.share)[:, None])
+        one = [math.factorial(k) * math.factorial(n - k - 1) / math.factorial(n) for k in range(n)]
+        two = [math.factorial(k) * math.factorial(n - k - 2) / math.factorial(n - 1) / 2 for k in range(n - 1)]
+        for i, f in enumerate(leaf.players):
+            others = [p for p in range(n) if p != i]
+            values[:, f] += gain[i] * _subset_products(o, leaf.share, others, one)
+            for j in others if mixed is not None else ():
+                rest = [p for p in others if p != j]
+                mixed[:, f, leaf.players[j]] += gain[i] * (o[j] - leaf.share[j]) * _subset_products(o, leaf.share, rest, two)
+    if mixed is not None:
+        diagonal = np.arange(count)
+        mixed[:, diagonal, diagonal] = values - mixed.sum(axis=2)
+    return values, mixed
+
+
+def explain_rows(model: PipelineModel, df: DataFrame, features: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Shapley value of every feature for every row: keys and one column each.
+
+    With the mean prediction they add up to the row's margin.  The trees travel
+    with the task; rows stay where they lie.
+    """
+    found, names = leaves(tree_nodes(model)), list(features)
 
-    Walking a tree, a split moves the prediction from the node's value to the
-    child's.  The move is credited to the split's feature, given the feature of
-    the split above it (the same feature at the root).  Sums over ``given`` are
-    the main attributions, single rows the interactions.
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            values, _ = _explain_batch(batch[[f"__{n}" for n in names]].to_numpy(dtype=float), found, False)
+            yield pd.concat([batch[list(keys)].reset_index(drop=True), pd.DataFrame(values, columns=names)], axis=1)
+
+    rows = df.select(*keys, *[F.col(n).cast("double").alias(f"__{n}") for n in names])
+    schema = T.StructType([*[df.schema[k] for k in keys], *[T.StructField(n, T.DoubleType()) for n in names]])
+    return rows.mapInPandas(explain, schema)
+
+
+def attributions(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Global attribution: (feature, other, mean_abs, mean).
+
+    ``other`` null is the Shapley value of the feature, another feature their
+    interaction, the feature itself what remains of it alone.  Batches are
+    summed where they lie, so a few rows per batch are shuffled.
     """
-    table = tree_nodes(model)
-    trees = [t.set_index("node").sort_index() for _, t in table.groupby("tree")]
-    packed = [
-        tuple(t[c].to_numpy() for c in ("feature", "threshold", "left", "right", "value")) for t in trees
-    ]
-    names, count = list(features), len(features)
+    found, names = leaves(tree_nodes(model)), list(features)
+    count = len(names)
+    first = [n for n in names for _ in range(count)] + names
+    second = [n for _ in names for n in names] + [None] * count
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = batch[names].to_numpy(dtype=float)
-            rows = np.arange(len(x))
-            credit = np.zeros((len(x), count, count))
-            for feature, threshold, left, right, value in packed:
-                node = np.zeros(len(x), dtype=int)
-                above = np.full(len(x), -1)
-                while (inner := left[node] >= 0).any():
-                    r, n = rows[inner], node[inner]
-                    f = feature[n]
-                    child = np.where(x[r, f] <= threshold[n], left[n], right[n])
-                    given = np.where(above[r] < 0, f, above[r])
-                    credit[r, f, given] += value[child] - value[n]
-                    node[r], above[r] = child, f
-            f, g = np.divmod(np.arange(count * count), count)
-            yield pd.DataFrame(
-                {
-                    "feature": [names[i] for i in f],
-                    "given": [names[i] for i in g],
-                    "abs_sum": np.abs(credit).sum(axis=0).ravel(),
-                    "total": credit.sum(axis=0).ravel(),
-                    "n": len(x),
-                }
-            )
-
-    schema = "feature string, given string, abs_sum double, total double, n bigint"
+            values, mixed = _explain_batch(batch[names].to_numpy(dtype=float), found, True)
+            every = np.concatenate([mixed.reshape(len(batch), -1), values], axis=1)
+            sums = {"abs_sum": np.abs(every).sum(axis=0), "total": every.sum(axis=0), "n": len(batch)}
+            yield pd.DataFrame({"feature": first, "other": second, **sums})
+
+    schema = "feature string, other string, abs_sum double, total double, n bigint"
     parts = df.select(*[F.col(c).cast("double").alias(c) for c in names]).mapInPandas(explain, schema)
-    return parts.groupBy("feature", "given").agg(
+    return parts.groupBy("feature", "other").agg(
         (F.sum("abs_sum") / F.sum("n")).alias("mean_abs"), (F.sum("total") / F.sum("n")).alias("mean")
     )
 
@@ -217,7 +296,38 @@ def explain_features(
     if n_sample is not None:
         total = max(1, df.count())
         df = sampling.sample_exact(df, sample_keys, min(1.0, n_sample / total))
-    return path_contributions(model, df, features)
+    return attributions(model, df, features)
+
+
+def permutation_importance(
+    model: PipelineModel, df: DataFrame, features: Sequence[str], label: str, key: str, seed: int = SEED
+) -> DataFrame:
+    """(feature, f1_drop): how much F1 loses when one feature is shuffled.
+
+    A feature is shuffled by moving each value to the next row in hash order of
+    the key, inside hash buckets, so no task sorts the table.
+    """
+    base = df.select(key, label, *features)
+    place = base.withColumn("__b", hashing.key_bucket(key, buckets=256, seed=seed))
+    order = Window.partitionBy("__b").orderBy(hashing.key_hash(key, seed=seed + 1), key)
+    # The last row of a bucket takes the first one's value.
+    moved = place.withColumns(
+        {
+            f"__m{i}": F.coalesce(F.lead(f).over(order), F.first(f).over(order))
+            for i, f in enumerate(features)
+        }
+    )
+    versions = [F.struct(F.lit("").alias("feature"), *features)] + [
+        F.struct(F.lit(f).alias("feature"), *[F.col(f"__m{i}").alias(g) if g == f else F.col(g) for g in features])
+        for i, f in enumerate(features)
+    ]
+    rows = moved.select(label, F.explode(F.array(*versions)).alias("v")).select(label, "v.*")
+    scored = score_batch(model, rows, features)
+    judged = aggregates.classification_metrics(scored, label, "prediction", ["feature"])
+    whole = F.max(F.when(F.col("feature") == "", F.col("f1")))
+    return judged.withColumn("__f1", whole.over(Window.partitionBy())).filter("feature <> ''").select(
+        "feature", (F.col("__f1") - F.col("f1")).alias("f1_drop")
+    )
 
 
 def model_summary(model: PipelineModel) -> dict[str, Any]:

@@ -82,6 +82,8 @@ def embed_text(
     if spread:
         df = df.select(*keys, *fields).repartition(spread, *keys)
     encode = predict_batch_udf(encoder or hashed_token_encoder(), return_type=VECTOR, batch_size=batch_size)
+    # A filter on the vector must not make Spark encode a second time below it.
+    encode = encode.asNondeterministic()
     return df.select(*keys, *[encode(F.coalesce(F.col(t), F.lit(""))).alias(v) for t, v in fields.items()])
 
 

@@ -98,11 +98,16 @@ def land(
     callback: Callable[[DataFrame], DataFrame] | None = None,
     rows_per_file: int | None = None,
     normalise: bool = True,
+    spread: int | None = None,
 ) -> DataFrame:
     """Land rows as gzip JSON and return them read back with their schema.
 
     ``callback`` maps the DataFrame before it is written and may add fields.
+    ``spread`` deals the rows of a source with few partitions (one connection,
+    one large file) out to that many writers.
     """
+    if spread:
+        df = df.repartition(spread)
     rows = df.transform(callback) if callback is not None else df
     rows = schemas.normalize_values(rows) if normalise else rows
     writer = rows.write.mode("overwrite").options(compression="gzip", **snapshots.JSON_TIMES)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+
 import numpy as np
 import pytest
 from conftest import rows
@@ -63,6 +66,13 @@ def test_default_encoder(spark):
     assert {r["id"]: r["v"] for r in dealt.collect()} == got
 
 
+def test_texts_are_encoded_once(spark, sf_dir):
+    """A filter on the vectors must not repeat the encoder below the shuffle."""
+    docs = table(spark, sf_dir, "documents")
+    made = vectors.embed_text(docs, ["doc_id"], {"text": "v"}, spread=4).select("doc_id", F.explode("v").alias("x")).filter("x > 0")
+    assert made._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_own_encoder_and_history(spark):
     def lengths():
         def encode(texts):
@@ -102,18 +112,62 @@ def test_training_refuses_nulls(spark):
         model.train_ranker(df, ["x"], "y", trees=1)
 
 
-def test_contributions_add_up_to_the_margin(trained):
-    """Mean contributions over all rows equal the mean margin minus the roots."""
+def expected_value(tree, row, known, node=0):
+    """Value of a tree when only some features of a row are known."""
+    here = tree[node]
+    if here.left < 0:
+        return here.value
+    left, right = (expected_value(tree, row, known, child) for child in (here.left, here.right))
+    if here.feature in known:
+        return left if row[here.feature] <= here.threshold else right
+    return (left * tree[here.left].rows + right * tree[here.right].rows) / here.rows
+
+
+def test_shapley_values_by_brute_force(trained):
     judged, fitted = trained
-    nodes = model.tree_nodes(fitted)
-    roots = nodes[nodes["node"] == 0]["value"].sum()
-    parts = model.path_contributions(fitted, judged, model_queries.FEATURES)
-    total = parts.agg(F.sum("mean")).first()[0]
-    scored = model.score_batch(fitted, judged, model_queries.FEATURES)
+    names = model_queries.FEATURES
+    trees = [{n.node: n for n in t.itertuples()} for _, t in model.tree_nodes(fitted).groupby("tree")]
+    data = judged.limit(5).select("doc_id", *names).collect()
+    got = {r["doc_id"]: r for r in model.explain_rows(fitted, judged, names, ["doc_id"]).collect()}
+    n = len(names)
+    for record in data:
+        row = [float(record[f]) for f in names]
+        worth = {
+            known: sum(expected_value(t, row, known) for t in trees)
+            for size in range(n + 1)
+            for known in map(frozenset, itertools.combinations(range(n), size))
+        }
+        for i, name in enumerate(names):
+            value = sum(
+                math.factorial(len(k)) * math.factorial(n - len(k) - 1) / math.factorial(n) * (worth[k | {i}] - worth[k])
+                for k in worth
+                if i not in k
+            )
+            assert got[record["doc_id"]][name] == pytest.approx(value, abs=1e-9)
+
+
+def test_values_and_interactions_add_up(trained):
+    judged, fitted = trained
+    names = model_queries.FEATURES
+    trees = [{n.node: n for n in t.itertuples()} for _, t in model.tree_nodes(fitted).groupby("tree")]
+    base = sum(expected_value(t, [0.0] * len(names), frozenset()) for t in trees)
+    parts = model.attributions(fitted, judged, names)
+    single = {r["feature"]: r["mean"] for r in parts.filter("other is null").collect()}
+    paired = {r["feature"]: r["m"] for r in parts.filter("other is not null").groupBy("feature").agg(F.sum("mean").alias("m")).collect()}
+    assert paired == pytest.approx(single)
+    scored = model.score_batch(fitted, judged, names)
     margin = scored.agg(F.avg(F.log(F.col("probability") / (1 - F.col("probability"))) / 2)).first()[0]
-    assert total + roots == pytest.approx(margin, abs=1e-6)
-    sampled = model.explain_features(fitted, judged, model_queries.FEATURES, ["doc_id"], n_sample=20)
-    assert sampled.count() == len(model_queries.FEATURES) ** 2
+    assert sum(single.values()) + base == pytest.approx(margin, abs=1e-6)
+    one, two = (parts.filter(f"feature = '{a}' and other = '{b}'").first()["mean"] for a, b in (names[:2], names[1::-1]))
+    assert one == pytest.approx(two)
+    sampled = model.explain_features(fitted, judged, names, ["doc_id"], n_sample=20)
+    assert sampled.count() == len(names) ** 2 + len(names)
+
+
+def test_permutation_importance(trained):
+    judged, fitted = trained
+    got = {r["feature"]: r["f1_drop"] for r in model.permutation_importance(fitted, judged, model_queries.FEATURES, "quality", "doc_id").collect()}
+    assert set(got) == set(model_queries.FEATURES) and max(got.values()) > 0
 
 
 def test_leaderboard(spark):
