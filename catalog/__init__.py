@@ -8,11 +8,15 @@ express the operator.
 from __future__ import annotations
 
 import importlib
+import sys
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # callbacks travel with their tasks
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
