@@ -80,8 +80,9 @@ def write_category_slices(
 ) -> None:
     """Write one sub-directory per category in a single pass.
 
-    Readers that filter on the category read only its directory.  A large
-    category is written by many tasks, so no category is tied to one of them.
+    Readers that filter on the category read only its directory.  Rows are
+    rebalanced by category first: a small category is one file, a large one is
+    split over many tasks by its size.
     """
     rows = df if wanted is None else df.filter(F.col(category).isin(list(wanted)))
-    rows.write.mode(mode).partitionBy(category).parquet(path)
+    rows.hint("rebalance", F.col(category)).write.mode(mode).partitionBy(category).parquet(path)

@@ -73,6 +73,36 @@ def upsert_partial(base: DataFrame, delta: DataFrame, ids: Sequence[str]) -> Dat
     return joined.select(*ids, *[value(f) for f in [*base_fields, *added]])
 
 
+def latest_fields(changes: DataFrame, ids: Sequence[str], order: Sequence[str], supplied: str) -> DataFrame:
+    """Newest supplied value per id and field, wrapped in a one-field struct.
+
+    ``supplied`` lists the fields a change gives.  A field no change gives is a
+    null struct; a field given as null is a struct holding null.
+    """
+    fields = [c for c in changes.columns if c not in {*ids, supplied}]
+
+    def newest(field: str) -> Column:
+        given = F.when(F.array_contains(supplied, field), F.struct(*order))
+        return F.max_by(F.struct(F.col(field).alias("v")), given).alias(field)
+
+    return changes.groupBy(*ids).agg(*[newest(f) for f in fields])
+
+
+def upsert_fields(base: DataFrame, latest: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """Update or insert by id with the fields of ``latest_fields``."""
+    joined, base_fields, fields = _side_by_side(base, latest, ids)
+
+    def value(field: str) -> Column:
+        if field not in fields:
+            return F.col(f"__b.{field}").alias(field)
+        old = F.col(f"__b.{field}") if field in base_fields else F.lit(None)
+        new = F.col(f"__d.{field}")
+        return F.when(new.isNotNull(), new["v"]).otherwise(old).alias(field)
+
+    added = [f for f in fields if f not in base_fields]
+    return joined.select(*ids, *[value(f) for f in [*base_fields, *added]])
+
+
 def upsert_replace(base: DataFrame, delta: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Replace whole documents by id; a field the delta lacks becomes null."""
     kept = base.join(delta.select(*ids), list(ids), "left_anti")

@@ -49,13 +49,15 @@ def train_ranker(
     """Boosted trees over the features, trained where the rows lie.
 
     Fails if a feature holds nulls.  A factor below 1 trains on exactly that
-    share of the rows.
+    share of the rows.  Training passes over the rows many times, so they are
+    written to the workspace once instead of being recomputed, and a lost
+    executor costs a read.
     """
     rows = df.select(*dict.fromkeys([*sample_keys, *features, label]))
     if sampling_factor < 1.0:
         rows = sampling.sample_exact(rows, sample_keys, sampling_factor)
+    rows = session.materialise(rows, "training-rows")
     filters.assert_no_nulls(rows, features)
-    session.workspace(df.sparkSession)  # long lineages are cut in its checkpoint folder
     mapping = schemas.feature_name_map(features)
     assembler = VectorAssembler(inputCols=list(mapping.values()), outputCol="features")
     booster = GBTClassifier(

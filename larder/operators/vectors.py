@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions import vectors
-from larder.operators import aggregates, joins, ranking, sampling
+from larder.operators import aggregates, filters, joins, ranking, sampling
 
 # A factory that runs once per Python worker, loads a model there and returns
 # the function from a batch of texts to a matrix of vectors.
@@ -234,13 +234,13 @@ class VectorIndex:
         """Learn the cells with k-means and write every item to its own.
 
         The cells may be learned from a sample by key; all items are indexed.
-        Placing an item looks only at the centres, so nothing is shuffled.
         """
         unit = unit_vectors(_keyed(items, key, vector, "id"), "__v", "features")
         seen = unit if train_fraction >= 1.0 else sampling.sample_by_key(unit, ["id"], train_fraction, seed)
         model = KMeans(k=cells, seed=seed, maxIter=rounds).fit(seen.select("features"))
         placed = model.setPredictionCol("cell").transform(unit)
-        placed.select("id", F.col("__v").alias("vector"), "cell").write.partitionBy("cell").parquet(f"{self.path}/items")
+        rows = placed.select("id", F.col("__v").alias("vector"), "cell")
+        filters.write_category_slices(rows, f"{self.path}/items", "cell", mode="error")
         # One row per cell passes through the driver.
         centres = [(n, [float(x) for x in c]) for n, c in enumerate(model.clusterCenters())]
         frame = self.spark.createDataFrame(centres, "cell int, centre array<double>")

@@ -19,13 +19,15 @@ from larder.operators import merge
 from larder.sources import files, snapshots
 
 _BATCH = "change_batch"
+_SUPPLIED = "change_fields"
 
 
 @dataclass(frozen=True)
 class ServingTable:
     """A batch of changes holds one row per id.  ``ids`` empty means documents without an id: changes are appended.
 
-    ``rule`` is ``replace`` (whole documents) or ``partial`` (given fields).
+    ``rule`` is ``replace`` (whole documents) or ``partial`` (given fields: each
+    change says which fields it gives, so batches may give different ones).
     ``order`` names the columns of a change that tell which one is newer; without
     it the later batch wins.
     """
@@ -70,6 +72,9 @@ class ServingTable:
         if target is None:
             raise FileNotFoundError(f"no published version at {self.root}")
         number = self._next_batch(target) if batch is None else batch
+        if self.rule == "partial":
+            given = [F.lit(c) for c in docs.columns if c not in self.ids]
+            docs = docs.withColumn(_SUPPLIED, F.array(*given).cast("array<string>"))
         docs.write.mode("overwrite").parquet(f"{self.root}/changes/{target}/{_BATCH}={number}")
         return target
 
@@ -96,11 +101,13 @@ class ServingTable:
             return base
         if not self.ids:
             return merge.append(base, changed.drop(_BATCH))
-        last = merge.latest_change(changed, self.ids, [*self.order, _BATCH]).drop(_BATCH)
         if self.order and set(self.order) <= set(base.columns):
-            last = merge.not_older(base, last, self.ids, self.order)
-        fold = merge.upsert_replace if self.rule == "replace" else merge.upsert_partial
-        return fold(base, last, self.ids)
+            changed = merge.not_older(base, changed, self.ids, self.order)
+        order = [*self.order, _BATCH]
+        if self.rule == "partial":
+            newest = merge.latest_fields(changed, self.ids, order, _SUPPLIED).drop(_BATCH)
+            return merge.upsert_fields(base, newest, self.ids)
+        return merge.upsert_replace(base, merge.latest_change(changed, self.ids, order).drop(_BATCH), self.ids)
 
     def compact(self, version: str | None = None, keep: int | None = None) -> str:
         """Fold all changes into a new published version."""

@@ -160,6 +160,18 @@ def test_changes_replay_and_compact(spark, root):
     assert rows(served.read()) == wanted and served.changes("v2") is None
 
 
+def test_batches_may_give_different_fields(spark, root):
+    served = ServingTable(spark, root, ["id"], "partial")
+    base = spark.createDataFrame([(1, "a", "b", "c"), (2, "a", "b", "c")], "id int, a string, b string, c string")
+    served.publish(served.write(base, "full"))
+    served.write(spark.createDataFrame([(1, None)], "id int, a string"), "incremental")
+    served.write(spark.createDataFrame([(1, "x", 7), (3, "y", 8)], "id int, b string, d int"), "incremental")
+    wanted = [(1, None, "x", "c", 7), (2, "a", "b", "c", None), (3, None, "y", None, 8)]
+    assert rows(served.read().select("id", "a", "b", "c", "d")) == wanted
+    served.compact()
+    assert rows(served.read().select("id", "a", "b", "c", "d")) == wanted
+
+
 def test_order_decides_over_batches(spark, root):
     schema = "id int, v string, at int"
     served = ServingTable(spark, root, ["id"], "partial", ["at"])
