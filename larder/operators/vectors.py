@@ -130,29 +130,37 @@ _RESULT = T.StructType(
 
 
 def _block_top_k(k: int):
-    """Score one block pair and keep the k best items per query."""
+    """Score one block pair and keep the k best items per query.
+
+    The matrix product finds all items within rounding of the k-th score.  Only
+    those are scored again, element by element in a fixed order, so that equal
+    vectors score equally wherever they lie and ties go to the smaller id.
+    """
 
     def search(queries: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or items.empty:
             return pd.DataFrame({"__q": [], "__i": [], "score": []}).astype({"__q": object, "__i": object, "score": float})
         items = items.sort_values("__i", kind="stable")
-        names = items["__i"].to_numpy()
-        matrix = np.stack(items["__v"].to_numpy()).astype(np.float64).T
-        found = []
+        names, matrix = items["__i"].to_numpy(), np.stack(items["__v"].to_numpy()).astype(np.float64)
+        longest = np.linalg.norm(matrix, axis=1).max()
+        kept = min(k, len(names))
+        owners, hits, values = [], [], []
         for begin in range(0, len(queries), 256):
             part = queries.iloc[begin : begin + 256]
-            scores = np.stack(part["__v"].to_numpy()).astype(np.float64) @ matrix
-            best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-            found.append(
-                pd.DataFrame(
-                    {
-                        "__q": np.repeat(part["__q"].to_numpy(), best.shape[1]),
-                        "__i": names[best.ravel()],
-                        "score": np.take_along_axis(scores, best, axis=1).ravel(),
-                    }
-                )
-            )
-        return pd.concat(found, ignore_index=True)
+            vectors_ = np.stack(part["__v"].to_numpy()).astype(np.float64)
+            scores = vectors_ @ matrix.T
+            lowest = np.partition(scores, len(names) - kept, axis=1)[:, len(names) - kept]
+            margin = 1e-9 * longest * np.linalg.norm(vectors_, axis=1)
+            for name, vector, row, least in zip(part["__q"], vectors_, scores, lowest - margin):
+                near = np.flatnonzero(row >= least)
+                exact = (matrix[near] * vector).sum(axis=1)
+                best = np.lexsort((near, -exact))[:kept]
+                owners.append(name)
+                hits.append(names[near[best]])
+                values.append(exact[best])
+        return pd.DataFrame(
+            {"__q": np.repeat(np.array(owners, dtype=object), kept), "__i": np.concatenate(hits), "score": np.concatenate(values)}
+        )
 
     return search
 
