@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,10 +39,14 @@ def dense_ids(
     placed = df.withColumn("__bucket", hashing.key_bucket(key, buckets=buckets, seed=seed).cast("int"))
     earlier = Window.partitionBy(*category).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy(*groups).agg(F.count("*").alias("__size"))
-    shifts = sizes.select(*groups, F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__shift"))
+    shift = F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__shift")
+    other = {g: f"__of_{g}" for g in groups}
+    shifts = sizes.select(*[F.col(g).alias(o) for g, o in other.items()], shift)
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(o)) for g, o in other.items()])
     inside = F.row_number().over(Window.partitionBy(*groups).orderBy(key)).cast("bigint") - 1
-    numbered = placed.withColumn("__inside", inside).join(shifts, groups)
-    return numbered.withColumn(out, F.col("__inside") + F.col("__shift")).drop("__bucket", "__inside", "__shift")
+    numbered = placed.withColumn("__inside", inside).join(shifts, same)
+    numbered = numbered.withColumn(out, F.col("__inside") + F.col("__shift"))
+    return numbered.drop("__bucket", "__inside", "__shift", *other.values())
 
 
 def rank_within(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, out: str = "rank") -> DataFrame:

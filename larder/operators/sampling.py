@@ -44,33 +44,37 @@ def sample_by_key(df: DataFrame, keys: Sequence[str], fraction: float, seed: int
 
 
 def sample_exact(df: DataFrame, keys: Sequence[str], factor: float, seed: int = 42) -> DataFrame:
-    """Exactly ``int(factor * n)`` rows: those with the smallest key hashes.
+    """Exactly ``int(factor * n)`` rows, keys being unique: those with the
+    smallest key hashes.
 
-    A histogram of 4,096 hash ranges finds the range in which the quota ends.
-    Ranges below are taken whole; only the rows of that one range are ranked.
-    No full sort, and no task sees more than one range.
+    A histogram of 4,096 hash ranges finds the range in which the quota ends,
+    and the rows of that one range are ranked to find the last place taken.
+    Both read the key alone; the rows are then kept or not by one comparison.
     """
     ranges = 4096
     width = (1 << 32) // ranges
-    hashed = df.withColumn("__h", hashing.key_hash(*keys, seed=seed))
-    hashed = hashed.withColumn("__r", F.floor(F.col("__h") / width).cast("int"))
-    sizes = hashed.groupBy("__r").agg(F.count("*").alias("__n"))
+
+    def hashed(rows: DataFrame) -> DataFrame:
+        h = rows.withColumn("__h", hashing.key_hash(*keys, seed=seed))
+        return h.withColumn("__r", F.floor(F.col("__h") / width).cast("int"))
+
+    places = hashed(df.select(*keys))
+    sizes = places.groupBy("__r").agg(F.count("*").alias("__n"))
     # At most 4,096 rows are accumulated in one place.
-    running = sizes.withColumn("__upto", F.sum("__n").over(Window.orderBy("__r")))
-    quota = F.floor(F.lit(factor) * sizes.agg(F.coalesce(F.sum("__n"), F.lit(0))).scalar()).cast("bigint")
-    edge = running.withColumn("__quota", quota).filter(F.col("__upto") > F.col("__quota"))
-    first = edge.agg(F.min(F.struct("__r", (F.col("__quota") - F.col("__upto") + F.col("__n")).alias("left"))).alias("e"))
-    edge_range = F.coalesce(first.select("e.__r").scalar(), F.lit(ranges))
-    left_over = first.select("e.left").scalar()
-    whole = hashed.filter(F.col("__r") < edge_range)
-    order = Window.partitionBy("__r").orderBy("__h", *keys)
-    partial = (
-        hashed.filter(F.col("__r") == edge_range)
-        .withColumn("__rank", F.row_number().over(order))
-        .filter(F.col("__rank") <= left_over)
-        .drop("__rank")
+    whole, upto = Window.partitionBy(), Window.orderBy("__r")
+    quota = F.floor(F.lit(factor) * F.sum("__n").over(whole)).cast("bigint")
+    running = sizes.select("__r", "__n", F.sum("__n").over(upto).alias("__upto"), quota.alias("__quota"))
+    edge = running.filter(F.col("__upto") > F.col("__quota")).agg(
+        F.min(F.struct("__r", (F.col("__quota") - F.col("__upto") + F.col("__n")).alias("left"))).alias("e")
     )
-    return whole.unionByName(partial).drop("__h", "__r")
+    edge_range = F.coalesce(edge.select("e.__r").scalar(), F.lit(ranges))
+    left_over = edge.select("e.left").scalar()
+    place = F.struct("__h", *keys)
+    rank = F.row_number().over(Window.partitionBy("__r").orderBy(place))
+    last = places.filter(F.col("__r") == edge_range).withColumn("__rank", rank).filter(F.col("__rank") == left_over)
+    last_place = last.agg(F.max(place)).scalar()
+    below, on_edge = F.col("__r") < edge_range, (F.col("__r") == edge_range) & (place <= last_place)
+    return hashed(df).filter(below | F.coalesce(on_edge, F.lit(False))).drop("__h", "__r")
 
 
 def split_phases(

@@ -158,6 +158,12 @@ def test_dense_ids(spark, buckets):
     assert rows(got) == rows(ranking.dense_ids(df.repartition(5), "k", ["c"], buckets=buckets))
 
 
+def test_dense_ids_keep_a_null_category(spark):
+    df = frame(spark, "c string, k int", ("a", 1), (None, 2), (None, 3))
+    got = ranking.dense_ids(df, "k", ["c"])
+    assert got.columns == ["c", "k", "vid"] and sorted((r["c"] or "", r["vid"]) for r in got.collect()) == [("", 0), ("", 1), ("a", 0)]
+
+
 def test_next_id(spark):
     df = frame(spark, "i int", (4,), (2,))
     assert ranking.next_id(df, "i").first()[0] == 5 and ranking.next_id(df.filter("false"), "i").first()[0] == 1
