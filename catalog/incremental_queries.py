@@ -194,12 +194,12 @@ def _stream(spark, sf_dir, name):
 
 
 @query(
-    "incremental_pipeline",
+    "incremental_upsert",
     """with last as (select * from events qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1)
 select c_custkey as user_id, c_name, event_id, event_type, json_extract_string(props, '$.k')::int as k
 from customer left join last on user_id = c_custkey""",
 )
-def incremental_pipeline(spark, sf_dir):
+def incremental_upsert(spark, sf_dir):
     """Micro-batches upsert the last event per user; the result is the batch one."""
     base = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_name")
     served = ServingTable(spark, session.scratch_path(spark, "upserts"), ["user_id"], "partial", ["ts", "event_id"])
