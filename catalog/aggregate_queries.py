@@ -69,7 +69,7 @@ def _bounds(spark, sf_dir):
 
 
 def _stats_sql(term: str) -> str:
-    return f"""select len as length, round(avg({term}), 8) as term_avg, round(stddev_samp({term}), 8) as term_stddev,
+    return f"""select len::int as length, round(avg({term}), 8) as term_avg, round(stddev_samp({term}), 8) as term_stddev,
        round(min({term}) filter (where {term} < 0), 8) as term_min,
        round(max({term}) filter (where {term} < 0), 8) as term_max"""
 
@@ -89,7 +89,7 @@ def length_group_stats(spark, sf_dir):
     return both.withColumns({c: F.round(c, 8) for c in ("term_avg", "term_stddev", "term_min", "term_max")})
 
 
-@query("max_condensed_length", "select max(length(regexp_replace(text, '\\s', '', 'g'))) as max_length from documents")
+@query("max_condensed_length", "select max(length(regexp_replace(text, '\\s', '', 'g')))::int as max_length from documents")
 def max_condensed_length(spark, sf_dir):
     return aggregates.max_condensed_length(table(spark, sf_dir, "documents"), "text")
 
@@ -162,7 +162,7 @@ def classification_metrics(spark, sf_dir):
 
 @query(
     "vector_mean_by_key",
-    """select label, pos, round(avg(x::double), 6) as value from
+    """select label, pos::int as pos, round(avg(x::double), 6) as value from
 (select label, unnest(embedding) as x, unnest(range(64)) as pos from embeddings) group by all""",
 )
 def vector_mean_by_key(spark, sf_dir):
@@ -262,7 +262,7 @@ def first_last_term(spark, sf_dir):
 
 @query(
     "linspace_threshold",
-    f"""with {_TERMS_SQL} select len as length, round(ft, 10) as threshold from limits""",
+    f"""with {_TERMS_SQL} select len::int as length, round(ft, 10) as threshold from limits""",
 )
 def linspace_threshold(spark, sf_dir):
     return terms.thresholds(_bounds(spark, sf_dir), "first_term").select("length", F.round("threshold", 10).alias("threshold"))
@@ -272,7 +272,7 @@ def linspace_threshold(spark, sf_dir):
     "document_vocabulary",
     """with words as (select distinct unnest(regexp_extract_all(text, '[^ \t\n\r\f\v]+')) as keyword from documents),
 c as (select keyword from words)
-select length(keyword) as length, count(*) as n from c group by 1""",
+select length(keyword)::int as length, count(*) as n from c group by 1""",
 )
 def document_vocabulary(spark, sf_dir):
     """Distinct words of all documents by length: the keywords of a corpus."""

@@ -86,7 +86,7 @@ def assert_no_nulls(spark, sf_dir):
     return filters.null_counts(rows, schemas.feature_names(rows.columns, [], ""))
 
 
-@query("filter_positive_length", "select doc_id, length(text) as text_length from documents where length(text) > 0")
+@query("filter_positive_length", "select doc_id, length(text)::int as text_length from documents where length(text) > 0")
 def filter_positive_length(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return filters.with_positive_length(docs, "text").select("doc_id", "text_length")

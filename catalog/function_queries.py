@@ -193,7 +193,7 @@ def condense_space(spark, sf_dir):
 
 @query(
     "vector_pair_mean",
-    """select a.vec_id, i - 1 as pos, round((a.embedding[i]::double + coalesce(b.embedding[i], a.embedding[i])::double) / 2, 6) as value
+    """select a.vec_id, (i - 1)::int as pos, round((a.embedding[i]::double + coalesce(b.embedding[i], a.embedding[i])::double) / 2, 6) as value
 from embeddings a left join embeddings b on b.vec_id = a.vec_id + 250, range(1, 65) r(i)""",
 )
 def vector_pair_mean(spark, sf_dir):

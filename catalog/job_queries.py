@@ -158,7 +158,7 @@ flags as (select user_id as user_account_sid, {_FLAGS} from events group by 1)
 select r.recommendation_sid, r.user_account_sid, r.item_sid, r.logged_at::varchar as logged_at, r.label, r.phase,
        a.prev_events, round(a.prev_value, 6) as prev_value,
        round(coalesce(q.positive_ratio, (select avg(positive_ratio) from ratio)), 6) as positive_ratio,
-       coalesce(d.n, 0) as intro_len,
+       coalesce(d.n, 0)::int as intro_len,
        f.click, f.error, f.purchase, f.signup, f."view"
 from rows_in r
 join activity a using (recommendation_sid, user_account_sid, item_sid)
@@ -201,7 +201,7 @@ def mart_snapshots(spark, sf_dir):
     "feature_registry",
     f"""with {bindings.RATIO_SQL}, {bindings.LOG_SQL}
 select log.event_id, round(coalesce(positive_ratio, (select avg(positive_ratio) from ratio)), 6) as positive_ratio,
-       coalesce(n, 0) as intro_len
+       coalesce(n, 0)::int as intro_len
 from log left join ratio using (item_sid)
 left join (select doc_id, length(text) as n from documents where length(text) > 0) d on d.doc_id = log.item_sid""",
 )
@@ -247,7 +247,7 @@ def feature_badges(spark, sf_dir):
 
 @query(
     "feature_text_length",
-    """select l.doc_id, coalesce(n, 0) as intro_len from labels l
+    """select l.doc_id, coalesce(n, 0)::int as intro_len from labels l
 left join (select doc_id, length(text) as n from documents where length(text) > 0) d on d.doc_id = l.doc_id""",
 )
 def feature_text_length(spark, sf_dir):
@@ -302,7 +302,7 @@ limits as (select len,
 @query(
     "term_thresholds",
     f"""with {_TERMS_SQL}
-select len as length, round(ft, 8) as first_threshold, round(lt, 8) as last_threshold from limits""",
+select len::int as length, round(ft, 8) as first_threshold, round(lt, 8) as last_threshold from limits""",
 )
 def term_thresholds(spark, sf_dir):
     limits = terms.term_thresholds(table(spark, sf_dir, "part"), "p_name")

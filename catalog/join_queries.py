@@ -229,7 +229,7 @@ def match_condition_fields(spark, sf_dir):
 
 @query(
     "join_vectors_left",
-    """select l.vec_id, l.label, i as pos, round((l.embedding[i]::double + coalesce(h.v[i], l.embedding[i]::double)) / 2, 5) as value
+    """select l.vec_id, l.label, i::int as pos, round((l.embedding[i]::double + coalesce(h.v[i], l.embedding[i]::double)) / 2, 5) as value
 from embeddings l left join (select vec_id, embedding::double[] as v from embeddings where label < 5) h on h.vec_id = l.vec_id,
      range(1, 65) r(i)""",
 )

@@ -23,7 +23,7 @@ def _width(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-@query("embed_text", f"with {_EMBED_SQL} select doc_id, pos, round(value, 5) as value from embedded")
+@query("embed_text", f"with {_EMBED_SQL} select doc_id, pos::int as pos, round(value, 5) as value from embedded")
 def embed_text(spark, sf_dir):
     """Non-zero elements of the default text vectors."""
     made = vectors.embed_text(_documents(spark, sf_dir), ["doc_id"], {"text": "vector"}, spread=_width(spark))
@@ -50,7 +50,7 @@ def embed_several_fields(spark, sf_dir):
 @query(
     "history_vectors",
     f"""with {_EMBED_SQL}, sizes as (select lang, source, count(*) as n from documents group by all)
-select lang, source, pos, round(sum(value) / max(n), 6) as value from embedded join sizes using (lang, source) group by all""",
+select lang, source, pos::int as pos, round(sum(value) / max(n), 6) as value from embedded join sizes using (lang, source) group by all""",
 )
 def history_vectors(spark, sf_dir):
     """Mean text vector per source and language, one directory per language."""
@@ -67,7 +67,7 @@ def history_vectors(spark, sf_dir):
   from embeddings, range(1, 65) r(i) group by all),
 ids as (select vec_id, label, row_number() over (partition by label order by {bindings.sql_bucket(42, 256, 'vec_id')}, vec_id) - 1 as vid
         from embeddings)
-select e.vec_id, e.label, vid, r.i - 1 as pos,
+select e.vec_id, e.label, vid, (r.i - 1)::int as pos,
        round((e.embedding[r.i]::double + coalesce(p.v, e.embedding[r.i]::double)) / 2, 6) as value
 from embeddings e join ids using (vec_id, label), range(1, 65) r(i)
 left join past p on p.vec_id = e.vec_id and p.label = e.label and p.i = r.i""",
@@ -86,7 +86,7 @@ def _knn_sql(queries: str, k: int) -> str:
     return f"""with q as ({queries}),
 scored as (select q.id::varchar as query, e.vec_id::varchar as item, list_inner_product(q.v, e.embedding::double[]) as score
            from q, embeddings e)
-select query, item, round(score, 5) as score, rank from
+select query, item, round(score, 5) as score, rank::int as rank from
 (select *, row_number() over (partition by query order by score desc, item) as rank from scored) where rank <= {k}"""
 
 
@@ -149,7 +149,7 @@ _PHASED = f"""phased as (select doc_id, lang, doc_id % 10 as reference,
 rows as (select doc_id, lang, reference, phase, copy from train join r using (lang), range(1, 10) x(copy) where copy <= rate
          union all select doc_id, lang, reference, phase, 1 from phased where phase <> 'train'),
 static as (select label, lang, avg(embedding[1]::double) as v from embeddings join documents on doc_id = vec_id group by all)
-select doc_id, rows.lang, phase, copy, round(e.embedding[1]::double, 6) as adhoc, round(s.v, 6) as static
+select doc_id, rows.lang, phase, copy::int as copy, round(e.embedding[1]::double, 6) as adhoc, round(s.v, 6) as static
 from rows left join embeddings e on e.vec_id = doc_id left join static s on s.label = reference and s.lang = rows.lang""",
 )
 def vector_corpus(spark, sf_dir):
