@@ -219,13 +219,15 @@ select p_partkey as item_sid, round(coalesce(positive_ratio, (select avg(positiv
 from part left join ratio on item_sid = p_partkey""",
 )
 def feature_positive_ratio(spark, sf_dir):
-    """Build the ratio, store it as CSV, read it back, merge it with mean fill."""
+    """Build the ratio, store it as CSV with its mean, read both, merge with mean fill."""
     root = session.scratch_path(spark, "positive-ratio")
     made = aggregates.positive_ratio(bindings.item_feedback(spark, sf_dir), "item_sid", "interaction")
     snapshots.write_csv(made.select("item_sid", "positive_ratio"), root)
     stored = snapshots.read_csv(spark, root, "item_sid bigint, positive_ratio double")
+    snapshots.write_json(snapshots.mean_info(stored, ["positive_ratio"]), f"{root}.info")
+    mean = snapshots.read_json(spark, f"{root}.info", "feature string, mean double").first()["mean"]
     items = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item_sid"))
-    merged = features.positive_ratio_feature(stored, "item_sid").apply(items)
+    merged = features.positive_ratio_feature(stored, "item_sid", mean=mean).apply(items)
     return merged.withColumn("positive_ratio", F.round("positive_ratio", 6))
 
 

@@ -159,7 +159,7 @@ def vector_corpus(spark, sf_dir):
     adhoc = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding", "label")
     labelled = adhoc.join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
     static = aggregates.vector_mean(labelled.withColumnRenamed("label", "reference"), ["reference", "lang"], "embedding")
-    rows = corpus.vector_corpus(docs, "lang", _LANGS, "doc_id", adhoc, static, ["reference", "lang"])
+    rows = corpus.vector_corpus(docs, "lang", _LANGS, "doc_id", adhoc, static, ["reference", "lang"], unique=True)
     path = session.scratch_path(spark, "corpus")
     sampling.write_phases(rows, path)
     return spark.read.parquet(path).select(

@@ -94,11 +94,14 @@ def join_salting_hot_keys(
     return left.join(right, [*keys, _SALT], "left").drop(_SALT)
 
 
-def fill_with_mean(df: DataFrame, feature: DataFrame, key: str, field: str) -> DataFrame:
-    """Left join one feature; a missing value becomes the feature's global mean."""
-    mean = feature.agg(F.avg(field).alias("mean")).scalar()
+def fill_with_mean(df: DataFrame, feature: DataFrame, key: str, field: str, mean: float | None = None) -> DataFrame:
+    """Left join one feature; a missing value becomes the feature's global mean.
+
+    Give the stored ``mean`` where there is one; it saves a pass over the feature.
+    """
+    fill = feature.agg(F.avg(field).alias("mean")).scalar() if mean is None else F.lit(mean)
     joined = attach(df, feature.select(key, field), key)
-    return joined.withColumn(field, F.coalesce(F.col(field), mean))
+    return joined.withColumn(field, F.coalesce(F.col(field), fill))
 
 
 def fill_with_zero(df: DataFrame, feature: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
@@ -150,17 +153,20 @@ def restrict_to_id_sets(docs: DataFrame, id_sets: Mapping[str, DataFrame]) -> Da
     return filters.drop_null_ids(docs, list(id_sets))
 
 
-def lookup(df: DataFrame, table: DataFrame, keys: Mapping[str, str], fields: Mapping[str, str]) -> DataFrame:
+def lookup(
+    df: DataFrame, table: DataFrame, keys: Mapping[str, str], fields: Mapping[str, str], unique: bool = False
+) -> DataFrame:
     """Fetch fields of a table by one or several keys.
 
     ``keys`` maps a column of ``df`` to a column of ``table``; ``fields`` maps a
-    table field to its new name.  One row per key is taken from the table.
+    table field to its new name.  One row per key is taken from the table; say
+    ``unique`` where its keys are known to be, which saves that aggregation.
     """
     renamed = {f"__k{i}": t for i, t in enumerate(keys.values())}
     picked = table.select(*[F.col(t).alias(k) for k, t in renamed.items()], *[F.col(f).alias(n) for f, n in fields.items()])
-    unique = aggregates.one_row_per_key(picked, list(renamed), list(fields.values()))
+    single = picked if unique else aggregates.one_row_per_key(picked, list(renamed), list(fields.values()))
     condition = reduce(lambda a, b: a & b, [F.col(c) == F.col(k) for c, k in zip(keys, renamed)])
-    return df.join(unique, condition, "left").drop(*renamed)
+    return df.join(single, condition, "left").drop(*renamed)
 
 
 def match_on_conditions(current: DataFrame, delta: DataFrame, conditions: Sequence[str], prefix: str = "delta_") -> DataFrame:

@@ -313,8 +313,12 @@ def lookup_vectors(
     static_keys: Sequence[str],
     adhoc_vector: str,
     static_vector: str,
+    unique: bool = False,
 ) -> DataFrame:
-    """Attach the vector of the row's id and that of its reference and category."""
-    rows = joins.lookup(df, adhoc, {id_key: id_key}, {adhoc_vector: "adhoc_vector"})
-    return joins.lookup(rows, static, {c: c for c in static_keys}, {static_vector: "static_vector"})
+    """Attach the vector of the row's id and that of its reference and category.
+
+    Say ``unique`` where both tables have one vector per key.
+    """
+    rows = joins.lookup(df, adhoc, {id_key: id_key}, {adhoc_vector: "adhoc_vector"}, unique)
+    return joins.lookup(rows, static, {c: c for c in static_keys}, {static_vector: "static_vector"}, unique)
 

@@ -22,12 +22,14 @@ def vector_corpus(
     adhoc_vector: str = "embedding",
     static_vector: str = "vector",
     inflate_first: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Rows with both vectors, their phase and copy number.
 
     The split comes first and only the training rows are inflated, so no copy of
     a training row reaches another phase.  ``inflate_first`` repeats the rows of
     all phases; copies still share a phase, as it is a function of the id.
+    ``unique`` tells that both vector tables have one vector per key.
     """
     listed = rows.filter(F.col(category).isin(list(categories)))
     phased = sampling.split_phases(listed, [id_key])
@@ -37,4 +39,4 @@ def vector_corpus(
         train = sampling.inflate_classes(phased.filter("phase = 'train'"), category, categories)
         held_out = phased.filter("phase <> 'train'").withColumn("copy", F.lit(1))
         repeated = sampling.union_all(train, held_out)
-    return vectors.lookup_vectors(repeated, adhoc, static, id_key, static_keys, adhoc_vector, static_vector)
+    return vectors.lookup_vectors(repeated, adhoc, static, id_key, static_keys, adhoc_vector, static_vector, unique)

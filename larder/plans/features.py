@@ -80,9 +80,12 @@ class FeatureRegistry:
 # --- positive ratio -------------------------------------------------------
 
 
-def positive_ratio_feature(table: DataFrame, key: str, name: str = "positive_ratio") -> GeneralFeature:
-    """Share of positive feedback per key; a missing key gets the mean."""
-    return GeneralFeature(name, [name], lambda df: joins.fill_with_mean(df, table, key, name))
+def positive_ratio_feature(
+    table: DataFrame, key: str, name: str = "positive_ratio", mean: float | None = None
+) -> GeneralFeature:
+    """Share of positive feedback per key; a missing key gets the mean, which
+    may be the one stored beside the feature."""
+    return GeneralFeature(name, [name], lambda df: joins.fill_with_mean(df, table, key, name, mean))
 
 
 # --- badges ---------------------------------------------------------------

@@ -81,6 +81,7 @@ def test_left_joins_keep_the_row_count(spark):
 def test_fills(spark):
     df, feature = frame(spark, "k int", (1,), (2,), (3,)), frame(spark, "k int, f double", (1, 0.2), (2, 0.6))
     assert rows(joins.fill_with_mean(df, feature, "k", "f")) == [(1, 0.2), (2, 0.6), (3, pytest.approx(0.4))]
+    assert rows(joins.fill_with_mean(df, feature, "k", "f", mean=0.1)) == [(1, 0.2), (2, 0.6), (3, 0.1)]
     assert rows(joins.fill_with_zero(df, feature, "k", ["f"])) == [(1, 0.2), (2, 0.6), (3, 0.0)]
 
 
