@@ -14,7 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 MODULES = (
     "packing",
     "pieces",
+    "sketches",
+    "quality",
+    "secrets",
     "token_files",
+    "simhash",
+    "sharding",
 )
 
 
