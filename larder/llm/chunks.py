@@ -41,7 +41,7 @@ def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class ChunkTable:
     """Ids of the chunks seen by one worker; emptied beyond ``limit`` chunks, so its memory is bounded."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 1_000_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 350_000):
         self.encode, self.limit = encode, limit
         self._clear()
 

@@ -49,7 +49,7 @@ def text_array(column: pa.Array) -> pa.Array:
     return column.fill_null("")
 
 
-def by_bytes(batches: Iterator[pa.RecordBatch], column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, most: int = 6 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into slices of about ``most`` bytes in a text column; a longer text is a slice of its own."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
