@@ -15,6 +15,7 @@ MODULES = (
     "packing",
     "pieces",
     "sketches",
+    "toxicity",
     "quality",
     "secrets",
     "token_files",
