@@ -16,6 +16,7 @@ MODULES = (
     "pieces",
     "sketches",
     "toxicity",
+    "language_model",
     "quality",
     "secrets",
     "token_files",
