@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larder import session
 from larder.llm import chunks
@@ -95,8 +96,8 @@ MANY, DENSE = (2, 3, 5), (0.002, 0.01)
 VOTERS = LEXICON_VOTERS + len(MANY) + len(DENSE)
 
 
-def cast_votes(docs: DataFrame, lexicon: list[str]) -> DataFrame:
-    """(doc_id, votes, hits, n_words): a bit for each voter that fires, chunks with an entry, chunks."""
+def cast_votes(docs: DataFrame, lexicon: list[str], keep: str = "doc_id") -> DataFrame:
+    """(kept column, votes, hits, n_words): a bit for each voter that fires, chunks with an entry, chunks."""
     voter = voters_of(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,9 +120,10 @@ def cast_votes(docs: DataFrame, lexicon: list[str]) -> DataFrame:
             for n, fired in enumerate(patterns):
                 votes |= fired.astype(np.int64) << (LEXICON_VOTERS + n)
             columns = [batch.column(0), pa.array(votes), pa.array(hits.astype(np.int64)), pa.array(words.astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "votes", "hits", "n_words"])
+            yield pa.RecordBatch.from_arrays(columns, names=[keep, "votes", "hits", "n_words"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, votes long, hits long, n_words long")
+    schema = T.StructType([docs.schema[keep], *(T.StructField(c, T.LongType()) for c in ("votes", "hits", "n_words"))])
+    return docs.select(keep, "text").mapInArrow(run, schema)
 
 
 def _bit(voter: int) -> Column:

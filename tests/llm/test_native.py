@@ -55,7 +55,7 @@ def test_quality_awkward_rows(awkward, nothing):
 
 def test_policies_and_ablation(spark):
     rows = spark.createDataFrame([(0,), (1,), (4,), (5,), (3,), (None,)], "failed long")
-    assert rows.filter(quality.passes(1)).count() == 2 and rows.filter(quality.passes(2)).count() == 1
+    assert rows.filter(quality.passes(1)).count() == 2 and rows.filter(quality.passes(3)).count() == 1
     got = {r.rule: (r.n_failed, r.n_only) for r in quality.ablation(rows, 2).collect()}
     assert got["few_words"] == (3, 1) and got["symbols"] == (2, 1) and got["repeated_words"] == (1, 0)
     assert set(r.rule for r in quality.ablation(rows, 1).collect()) == {"few_words", "repeated_words"}

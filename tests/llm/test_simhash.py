@@ -65,13 +65,43 @@ def test_components_by_brute_force(spark, radius, block_rows):
 @pytest.mark.parametrize("n", [1, 2, 63, 64, 65, 400])
 def test_bit_sliced_pairs(n):
     rng = random.Random(n)
-    values = np.array(clustered(rng, n, 3) + clustered(rng, n, 3), np.uint64)
+    values = np.array(clustered(rng, n, 3) + clustered(rng, n, 3), np.uint64).reshape(-1, 1)
     bounds = np.array([0, n, 2 * n])
     found = {(int(i), int(j)) for a, b in simhash.near_pairs(values, bounds, 2) for i, j in zip(a, b, strict=True)}
-    want = {(i, j) for lo, hi in ((0, n), (n, 2 * n)) for i in range(lo, hi) for j in range(i + 1, hi) if (int(values[i]) ^ int(values[j])).bit_count() <= 2}
+    want = {(i, j) for lo, hi in ((0, n), (n, 2 * n)) for i in range(lo, hi) for j in range(i + 1, hi) if (int(values[i, 0]) ^ int(values[j, 0])).bit_count() <= 2}
     assert found == want
 
 
+def test_bit_sliced_pairs_of_wide_values():
+    rng = random.Random(8)
+    rows = [[rng.getrandbits(64) for _ in range(3)] for _ in range(20)]
+    rows = [[w ^ (rng.getrandbits(64) & rng.getrandbits(64) & rng.getrandbits(64)) for w in rng.choice(rows)] for _ in range(200)]
+    values = np.array(rows, np.uint64)
+    found = {(int(i), int(j)) for a, b in simhash.near_pairs(values, np.array([0, 200]), 33) for i, j in zip(a, b, strict=True)}
+    apart = lambda a, b: sum((x ^ y).bit_count() for x, y in zip(a, b, strict=True))
+    assert found == {(i, j) for i in range(200) for j in range(i + 1, 200) if apart(rows[i], rows[j]) <= 33} and found
+
+
+def test_near_copies(spark, awkward, nothing):
+    """Texts with one of a hundred words changed are found; half-equal ones are not."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    rows = []
+    for base in range(0, 240, 4):
+        words = [word() for _ in range(100)]
+        for copy in range(3):
+            own = list(words)
+            for _ in range(copy > 0):
+                own[rng.randrange(100)] = word()
+            rows.append((base + copy, " ".join(own).capitalize() + "." * copy))
+        rows.append((base + 3, " ".join(words[:50] + [word() for _ in range(50)])))
+    got = {r.key: r for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id").collect()}
+    for i, _ in rows:
+        assert got[i].component_id == (i if i % 4 == 3 else i - i % 4)
+        assert got[i].rank == (1 if i % 4 in (0, 3) else None)
+    assert simhash.near_copies(awkward, "doc_id").count() == 10 and simhash.near_copies(nothing, "doc_id").count() == 0
+
+
 def test_masks_cover_all_near_pairs():
     for radius in (1, 2, 3):
         for n in (10, 10**5, 10**8, 10**10):
