@@ -41,7 +41,7 @@ def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class ChunkTable:
     """Ids of the chunks seen by one worker; emptied beyond ``limit`` chunks, so its memory is bounded."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 350_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 550_000):
         self.encode, self.limit = encode, limit
         self._clear()
 
@@ -83,25 +83,25 @@ def flat_lists(lists: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter((i for one in lists for i in one), np.uint32, int(lengths.sum())), lengths
 
 
-def joined(encode: Encode, plain: Callable[[str], bool], glue: str, mark: np.ndarray, at_end: bool, group: int = 256):
+def joined(encode: Encode, marks_of: Callable[[str], int], glue: str, mark: np.ndarray, at_end: bool, group: int = 256):
     """Encode plain chunks many at a time, as one text cut again at marked ids, which saves a call for each chunk.
 
-    A plain chunk has exactly one marked id, its first (or its last, ``at_end``).  A group for which that is not so is
-    encoded chunk by chunk, as are chunks that are not plain.
+    ``marks_of`` tells how many marked ids a chunk has, among them its first (or its last, ``at_end``); none for a
+    chunk that is not plain.  A group whose marks do not add up is encoded chunk by chunk, as are chunks not plain.
     """
 
     def run(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        is_plain = np.fromiter(map(plain, chunks), bool, len(chunks))
-        where = np.flatnonzero(is_plain)
-        lengths, parts, order, single = np.zeros(len(chunks), np.int64), [], [], [np.flatnonzero(~is_plain)]
+        marks_in = np.fromiter(map(marks_of, chunks), np.int64, len(chunks))
+        where = np.flatnonzero(marks_in)
+        lengths, parts, order, single = np.zeros(len(chunks), np.int64), [], [], [np.flatnonzero(marks_in == 0)]
         groups = [where[i : i + group] for i in range(0, len(where), group)]
         for own, ids in zip(groups, encode([glue.join([chunks[i] for i in g]) for g in groups]), strict=True):
             ids = np.array(ids, np.uint32)
-            marks = np.flatnonzero(mark[ids])
-            if len(marks) != len(own) or (marks[-1] != len(ids) - 1 if at_end else marks[0] != 0):
+            marks, upto = np.flatnonzero(mark[ids]), np.cumsum(marks_in[own])
+            if len(marks) != upto[-1] or (marks[-1] != len(ids) - 1 if at_end else marks[0] != 0):
                 single.append(own)
                 continue
-            lengths[own] = np.diff(marks, prepend=-1) if at_end else np.diff(marks, append=len(ids))
+            lengths[own] = np.diff(marks[upto - 1], prepend=-1) if at_end else np.diff(marks[upto - marks_in[own]], append=len(ids))
             parts.append(ids)
             order.append(own)
         rest = np.concatenate(single)

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -136,10 +137,10 @@ def pieces(df: DataFrame, vocabulary: str, capacity: int, closing_id: int = 0, k
     """(key, piece, start, length, ids_crc32): each document's ids and the closing id, cut only beyond the capacity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = tokenizers_.word_end(vocabulary)
+        table = tokenizers_.word_end(vocabulary)  # lower case, so capitals are no chunks of their own
         closing = np.array([closing_id], "<u4").tobytes()
         for batch in by_bytes(batches, 1):
-            ids, offsets = table.ids_of(chunks.by_white_space(text_array(batch.column(1))))
+            ids, offsets = table.ids_of(chunks.by_white_space(pc.ascii_lower(text_array(batch.column(1)))))
             sizes = np.diff(offsets) + 1
             raw, rows = memoryview(ids.astype("<u4").tobytes()), -(-sizes // capacity)
             row = np.repeat(np.arange(len(sizes)), rows)

@@ -5,8 +5,8 @@ Selector 15 is an escape: the next word is one value of up to 64 bits.  Ids are
 lists the place of each block's first word, so all blocks are coded and decoded side by side by array operations.
 
 A segment is one row of a Spark table: a directory (document ids, lengths, block offsets) and the words.  Spark's
-writer commits whole tasks, so a lost executor leaves no half-written file.  Rows with equal ids are ordered by their
-text; null ids come first; null texts are empty.
+writer commits whole tasks, so a lost executor leaves no half-written file.  Rows with equal ids are ordered by a
+hash of their text; null ids come first; null texts are empty.
 """
 
 from __future__ import annotations
@@ -31,11 +31,8 @@ _ESCAPE = 15
 
 
 def _bit_lengths(values: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(values), np.uint8)
-    for step in (32, 16, 8, 4, 2, 1):
-        high = (values >> (out.astype(np.uint64) + np.uint64(step - 1)) >> np.uint64(1)) != 0
-        out += (high * step).astype(np.uint8)
-    return out + (values != 0)
+    """Bits that each value needs; at most one more beyond 2^53, where a float rounds up."""
+    return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
 
 
 def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
@@ -150,8 +147,10 @@ _SCHEMA = "part int, number int, n_ids long, doc_ids array<long>, lengths array<
 
 def write(df: DataFrame, path: str, vocabulary: str, end_id: int, key: str = "doc_id", text: str = "text") -> None:
     """Encode texts and write their ids as segments, in ascending order of the key over parts and segment numbers."""
-    ordered = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).repartitionByRange("key", "text")
-    rows = ordered.sortWithinPartitions("key", "text").mapInArrow(_segments(vocabulary, end_id), _SCHEMA)
+    rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
+    # ranges are drawn from samples of the key and the hash alone: no text goes to the driver
+    ordered = rows.repartitionByRange("key", "tie").sortWithinPartitions("key", "tie").select("key", "text")
+    rows = ordered.mapInArrow(_segments(vocabulary, end_id), _SCHEMA)
     rows.write.option("compression", "none").parquet(path)
 
 

@@ -32,18 +32,25 @@ def byte_level(path: str) -> chunks.ChunkTable:
         mark = np.array([t.startswith("Ġ") for t in _vocabulary(tokenizer)])
         encode = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         one_word = re.compile(r" \S+").fullmatch
-        return chunks.ChunkTable(chunks.joined(encode, lambda c: one_word(c) is not None, "", mark, at_end=False))
+        return chunks.ChunkTable(chunks.joined(encode, lambda c: int(one_word(c) is not None), "", mark, at_end=False))
 
     return worker_cache(f"byte {path}", make)
 
 
 def word_end(path: str) -> chunks.ChunkTable:
-    """Table of a vocabulary whose last token of a word carries an end mark and which drops white space."""
+    """Table of a lower-case vocabulary whose last token of a word carries an end mark and which drops white space."""
 
     def make() -> chunks.ChunkTable:
         tokenizer = _tokenizer(path)
         mark = np.array([t.endswith("</w>") for t in _vocabulary(tokenizer)])
         encode = lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return chunks.ChunkTable(chunks.joined(encode, str.isalpha, " ", mark, at_end=True))
+        # a run of letters is one token word, marks of a sentence after it are another
+        one_or_two = re.compile(r"[^\W\d_]+([.,;:!?]*)").fullmatch
+
+        def marks_of(chunk: str) -> int:
+            found = one_or_two(chunk)
+            return 0 if found is None else 2 if found[1] else 1
+
+        return chunks.ChunkTable(chunks.joined(encode, marks_of, " ", mark, at_end=True))
 
     return worker_cache(f"word {path}", make)
