@@ -224,7 +224,7 @@ def next_record_id(spark, sf_dir):
 @query(
     "assign_vector_ids",
     f"""select event_id, event_type, row_number() over (partition by event_type
-  order by {bindings.sql_bucket(42, 256, 'event_id')}, event_id) - 1 as vid from events""",
+  order by {bindings.sql_hash(42, 'event_id')}, event_id) - 1 as vid from events""",
 )
 def assign_vector_ids(spark, sf_dir):
     """Sequential ids per category, numbered by many tasks."""

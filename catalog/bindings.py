@@ -12,10 +12,15 @@ REQUEST = "event_type in ('view', 'click')"
 RESPONSE = "event_type = 'purchase'"
 
 
-def sql_bucket(seed: int, buckets: int, *columns: str) -> str:
-    """DuckDB text of the hash bucket of a key."""
+def sql_hash(seed: int, *columns: str) -> str:
+    """DuckDB text of the 60-bit hash of a key."""
     key = " || '|' || ".join(f"({c})::varchar" for c in columns)
-    return f"(('0x' || substr(md5('{seed}:' || {key}), 1, 8))::bigint % {buckets})"
+    return f"('0x' || substr(md5('{seed}:' || {key}), 1, 15))::bigint"
+
+
+def sql_sample(seed: int, fraction: float, *columns: str) -> str:
+    """DuckDB text of the condition that a key is in a sample."""
+    return f"({sql_hash(seed, *columns)} < {int(fraction * 2**60)})"
 
 
 def interaction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +51,7 @@ def label_spec(fraction: float, attributes: tuple[str, ...] = ("event_type", "va
 
 def labeled_sql(fraction: float) -> str:
     """Labelled dataset as CTEs: both sides aggregated, then a full outer join."""
-    bucket = sql_bucket(42, 1000, "recommendation_sid", "user_account_sid", "item_sid")
+    sampled = sql_sample(42, fraction, "recommendation_sid", "user_account_sid", "item_sid")
     return f"""{LOG_SQL},
 asked as (select recommendation_sid, user_account_sid, item_sid, min(logged_at) as l
           from log where {REQUEST} group by all),
@@ -56,7 +61,7 @@ paired as (select recommendation_sid, user_account_sid, item_sid, l, r
            from asked full outer join answered using (recommendation_sid, user_account_sid, item_sid)),
 kept as (select *, 1 as label from paired where r is not null
          union all
-         select *, 0 as label from paired where r is null and {bucket} < {round(fraction * 1000)}),
+         select *, 0 as label from paired where r is null and {sampled}),
 attributes as (select user_account_sid, event_type, value from log
                qualify row_number() over (partition by user_account_sid
                                           order by logged_at desc, event_type desc, value desc) = 1),

@@ -142,14 +142,14 @@ def _mart(spark, sf_dir, labeled):
     return mart.mart_dataset(labeled, mart_registry(spark, sf_dir), MART_SPEC, PHASES)
 
 
-_MART_SAMPLE = bindings.sql_bucket(7, 1000, "recommendation_sid", "user_account_sid", "item_sid")
+_MART_SAMPLE = bindings.sql_sample(7, mart.TEST_FRACTION, "recommendation_sid", "user_account_sid", "item_sid")
 _FLAGS = ", ".join(f"max((event_type = '{b}')::int) as \"{b}\"" for b in bindings.BADGES)
 _MART_SQL = f"""with {bindings.labeled_sql(0.5)},
 {_windows_sql(7, 0, ("training", START, SPLIT), ("test", SPLIT, END))},
 {bindings.RATIO_SQL},
 rows_in as (select l.*, w.phase, w.p_start, w.p_end from labeled l join win w
             on logged_at >= w_start and logged_at < w_end
-            where phase = 'training' or {_MART_SAMPLE} < 333),
+            where phase = 'training' or {_MART_SAMPLE}),
 activity as (select r.recommendation_sid, r.user_account_sid, r.item_sid,
                     nullif(count(e.event_id), 0) as prev_events, avg(e.value) as prev_value
              from rows_in r left join events e

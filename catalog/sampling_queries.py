@@ -41,19 +41,26 @@ def subtract_keep_duplicates(spark, sf_dir):
     return sampling.subtract(small, events.filter("value > 150").select("event_type", "user_id"), keep_duplicates=True)
 
 
-@query("sample_negatives", f"select event_id, user_id from events where {bindings.sql_bucket(42, 1000, 'event_id')} < 100")
+@query("sample_negatives", f"select event_id, user_id from events where {bindings.sql_sample(42, 0.1, 'event_id')}")
 def sample_negatives(spark, sf_dir):
     return sampling.sample_by_key(table(spark, sf_dir, "events").select("event_id", "user_id"), ["event_id"], 0.1)
 
 
-@query("sample_test", f"select doc_id, lang from documents where {bindings.sql_bucket(7, 1000, 'doc_id')} < 333")
+@query("sample_small_fraction", f"select l_orderkey, l_partkey, l_suppkey from lineitem where {bindings.sql_sample(3, 0.0004, 'l_orderkey', 'l_partkey', 'l_suppkey')}")
+def sample_small_fraction(spark, sf_dir):
+    """A fraction far below a thousandth, as samples of large tables have."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    return sampling.sample_by_key(rows, ["l_orderkey", "l_partkey", "l_suppkey"], 0.0004, seed=3)
+
+
+@query("sample_test", f"select doc_id, lang from documents where {bindings.sql_sample(7, 0.333, 'doc_id')}")
 def sample_test(spark, sf_dir):
     return sampling.sample_by_key(table(spark, sf_dir, "documents").select("doc_id", "lang"), ["doc_id"], 0.333, seed=7)
 
 
 @query(
     "sample_training",
-    f"""select o_orderkey from orders order by {bindings.sql_bucket(42, 4294967296, 'o_orderkey')}, o_orderkey
+    f"""select o_orderkey from orders order by {bindings.sql_hash(42, 'o_orderkey')}, o_orderkey
 limit (select (0.37 * count(*))::bigint - case when (0.37 * count(*))::bigint > 0.37 * count(*) then 1 else 0 end from orders)""",
 )
 def sample_training(spark, sf_dir):
@@ -61,8 +68,8 @@ def sample_training(spark, sf_dir):
     return sampling.sample_exact(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 0.37)
 
 
-_PHASE = f"""case when {bindings.sql_bucket(42, 1000, 'doc_id')} < 100 then 'test'
-  when {bindings.sql_bucket(43, 1000, 'doc_id')} < 90 then 'validation' else 'train' end"""
+_PHASE = f"""case when {bindings.sql_sample(42, 0.1, 'doc_id')} then 'test'
+  when {bindings.sql_sample(43, 0.09, 'doc_id')} then 'validation' else 'train' end"""
 
 
 @query("split_train_dev_test", f"select {_PHASE} as phase, doc_id from documents")

@@ -65,7 +65,7 @@ def history_vectors(spark, sf_dir):
     "merge_vectors",
     f"""with past as (select (vec_id // 2) * 2 as vec_id, label, i, avg(embedding[i]::double) as v
   from embeddings, range(1, 65) r(i) group by all),
-ids as (select vec_id, label, row_number() over (partition by label order by {bindings.sql_bucket(42, 256, 'vec_id')}, vec_id) - 1 as vid
+ids as (select vec_id, label, row_number() over (partition by label order by {bindings.sql_hash(42, 'vec_id')}, vec_id) - 1 as vid
         from embeddings)
 select e.vec_id, e.label, vid, (r.i - 1)::int as pos,
        round((e.embedding[r.i]::double + coalesce(p.v, e.embedding[r.i]::double)) / 2, 6) as value
@@ -138,8 +138,8 @@ _LANGS = ["de", "en", "es", "fr"]
 _CORPUS_SQL = f"""with c as (select lang, count(*) as n from train group by 1),
 r as (select lang, floor(0.5 * ((select count(*) from train) / 4.0) / n)::bigint + 1 as rate from c)"""
 _PHASED = f"""phased as (select doc_id, lang, doc_id % 10 as reference,
-  case when {bindings.sql_bucket(42, 1000, 'doc_id')} < 100 then 'test'
-       when {bindings.sql_bucket(43, 1000, 'doc_id')} < 90 then 'validation' else 'train' end as phase from documents)"""
+  case when {bindings.sql_sample(42, 0.1, 'doc_id')} then 'test'
+       when {bindings.sql_sample(43, 0.09, 'doc_id')} then 'validation' else 'train' end as phase from documents)"""
 
 
 @query(

@@ -302,15 +302,17 @@ def explain_features(
 
 
 def permutation_importance(
-    model: PipelineModel, df: DataFrame, features: Sequence[str], label: str, key: str, seed: int = SEED
+    model: PipelineModel, df: DataFrame, features: Sequence[str], label: str, key: str, seed: int = SEED, rows_per_group: int = 100_000
 ) -> DataFrame:
     """(feature, f1_drop): how much F1 loses when one feature is shuffled.
 
     A feature is shuffled by moving each value to the next row in hash order of
-    the key, inside hash buckets, so no task sorts the table.
+    the key, inside hash buckets of about ``rows_per_group`` rows each, however
+    many rows there are.
     """
     base = df.select(key, label, *features)
-    place = base.withColumn("__b", hashing.key_bucket(key, buckets=256, seed=seed))
+    buckets = max(1, -(-base.count() // rows_per_group))
+    place = base.withColumn("__b", hashing.key_bucket(key, buckets=buckets, seed=seed))
     order = Window.partitionBy("__b").orderBy(hashing.key_hash(key, seed=seed + 1), key)
     # The last row of a bucket takes the first one's value.
     moved = place.withColumns(

@@ -6,6 +6,7 @@ and engines.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from larder.functions import hashing
 
-_SCALE = 1000
+#: The most rows of the last hash range of an exact sample, which are ranked in one place.
+EDGE_ROWS = 100_000
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
@@ -34,8 +36,8 @@ def subtract(left: DataFrame, right: DataFrame, keep_duplicates: bool = False) -
 
 
 def in_sample(keys: Sequence[str], fraction: float, seed: int = 42) -> Column:
-    """True for about ``fraction`` of all keys, decided by a hash of the key."""
-    return hashing.key_bucket(*keys, buckets=_SCALE, seed=seed) < round(fraction * _SCALE)
+    """True for about ``fraction`` of all keys: those whose hash is below that share of the span, however small it is."""
+    return hashing.key_hash(*keys, seed=seed) < F.lit(int(fraction * hashing.HASH_SPAN)).cast("bigint")
 
 
 def sample_by_key(df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 42) -> DataFrame:
@@ -43,38 +45,33 @@ def sample_by_key(df: DataFrame, keys: Sequence[str], fraction: float, seed: int
     return df.filter(in_sample(keys, fraction, seed))
 
 
-def sample_exact(df: DataFrame, keys: Sequence[str], factor: float, seed: int = 42) -> DataFrame:
-    """Exactly ``int(factor * n)`` rows, keys being unique: those with the
-    smallest key hashes.
+def sample_exact(df: DataFrame, keys: Sequence[str], factor: float, seed: int = 42, edge_rows: int = EDGE_ROWS) -> DataFrame:
+    """Exactly ``int(factor * n)`` rows, keys being unique: those with the smallest key hashes.
 
-    A histogram of 4,096 hash ranges finds the range in which the quota ends,
-    and the rows of that one range are ranked to find the last place taken.
-    Both read the key alone; the rows are then kept or not by one comparison.
+    A histogram of 4,096 hash ranges finds the range in which the quota ends, a histogram of that range the next one,
+    until it holds at most ``edge_rows`` rows; those are ranked.  A level reads the keys alone and returns one row.
+    The rows themselves are kept or not by one comparison.
     """
-    ranges = 4096
-    width = (1 << 32) // ranges
-
-    def hashed(rows: DataFrame) -> DataFrame:
-        h = rows.withColumn("__h", hashing.key_hash(*keys, seed=seed))
-        return h.withColumn("__r", F.floor(F.col("__h") / width).cast("int"))
-
-    places = hashed(df.select(*keys))
-    sizes = places.groupBy("__r").agg(F.count("*").alias("__n"))
-    # At most 4,096 rows are accumulated in one place.
-    whole, upto = Window.partitionBy(), Window.orderBy("__r")
-    quota = F.floor(F.lit(factor) * F.sum("__n").over(whole)).cast("bigint")
-    running = sizes.select("__r", "__n", F.sum("__n").over(upto).alias("__upto"), quota.alias("__quota"))
-    edge = running.filter(F.col("__upto") > F.col("__quota")).agg(
-        F.min(F.struct("__r", (F.col("__quota") - F.col("__upto") + F.col("__n")).alias("left"))).alias("e")
-    )
-    edge_range = F.coalesce(edge.select("e.__r").scalar(), F.lit(ranges))
-    left_over = edge.select("e.left").scalar()
+    quota = math.floor(factor * df.count())
+    places = df.select(hashing.key_hash(*keys, seed=seed).alias("__h"), *keys)
+    low, width, left = 0, hashing.HASH_SPAN, quota
+    while quota:
+        width = max(1, width // 4096)
+        part = F.floor((F.col("__h") - low) / width).cast("bigint")
+        sizes = places.withColumn("__r", part).groupBy("__r").agg(F.count("*").alias("__n"))
+        # at most 4,097 rows are accumulated in one place
+        upto = sizes.withColumn("__upto", F.sum("__n").over(Window.orderBy("__r")))
+        edge = upto.filter(F.col("__upto") >= left).orderBy("__r").first()
+        low, left = low + edge["__r"] * width, left - (edge["__upto"] - edge["__n"])
+        places = places.filter((F.col("__h") >= low) & (F.col("__h") < low + width))
+        if edge["__n"] <= edge_rows or width == 1:
+            break
     place = F.struct("__h", *keys)
-    rank = F.row_number().over(Window.partitionBy("__r").orderBy(place))
-    last = places.filter(F.col("__r") == edge_range).withColumn("__rank", rank).filter(F.col("__rank") == left_over)
-    last_place = last.agg(F.max(place)).scalar()
-    below, on_edge = F.col("__r") < edge_range, (F.col("__r") == edge_range) & (place <= last_place)
-    return hashed(df).filter(below | F.coalesce(on_edge, F.lit(False))).drop("__h", "__r")
+    last_place = places.orderBy("__h", *keys).limit(left).agg(F.max(place)).scalar()
+    rows = df.withColumn("__h", hashing.key_hash(*keys, seed=seed))
+    on_edge = (F.col("__h") < low + width) & F.coalesce(place <= last_place, F.lit(False))
+    kept = (F.col("__h") < low) | on_edge if quota else F.lit(False)
+    return rows.filter(kept).drop("__h")
 
 
 def split_phases(

@@ -150,13 +150,13 @@ def test_vector_mean_skips_null(spark):
     assert rows(aggregates.vector_mean(df, ["k"], "v")) == [(1, [2.0, 4.0]), (2, [0.0, 1.0])]
 
 
-@pytest.mark.parametrize("buckets", [1, 7, 256])
-def test_dense_ids(spark, buckets):
+@pytest.mark.parametrize("rows_per_group", [1, 7, 500])
+def test_dense_ids(spark, rows_per_group):
     df = frame(spark, "c string, k int", *[("a", i) for i in range(50)], *[("b", i) for i in range(3)])
-    got = ranking.dense_ids(df, "k", ["c"], buckets=buckets)
+    got = ranking.dense_ids(df, "k", ["c"], rows_per_group=rows_per_group)
     per = {c: sorted(r["vid"] for r in got.filter(F.col("c") == c).collect()) for c in "ab"}
     assert per == {"a": list(range(50)), "b": [0, 1, 2]}
-    assert rows(got) == rows(ranking.dense_ids(df.repartition(5), "k", ["c"], buckets=buckets))
+    assert rows(got) == rows(ranking.dense_ids(df.repartition(5), "k", ["c"], rows_per_group=rows_per_group))
 
 
 def test_dense_ids_keep_a_null_category(spark):
@@ -187,6 +187,30 @@ def test_exact_sample_size(spark, factor):
     assert got == rows(sampling.sample_exact(df.repartition(3), ["id"], factor))
 
 
+def test_small_fractions_are_not_rounded(spark):
+    df = spark.range(1_000_000)
+    for fraction, want in ((0.0004, 400), (0.0005, 500), (0.0016, 1600)):
+        assert abs(sampling.sample_by_key(df, ["id"], fraction).count() - want) < 5 * want**0.5
+
+
+@pytest.mark.parametrize("edge_rows", [1, 50])
+def test_exact_sample_by_levels(spark, edge_rows):
+    """Several levels of histograms, equal hashes included, end at the same rows."""
+    df = spark.range(5000)
+    want = rows(sampling.sample_exact(df, ["id"], 0.37))
+    assert rows(sampling.sample_exact(df, ["id"], 0.37, edge_rows=edge_rows)) == want
+
+
+def test_dense_ids_do_not_depend_on_groups(spark):
+    df = spark.range(3000).withColumnRenamed("id", "k")
+    want = rows(ranking.dense_ids(df, "k"))
+    assert sorted(r[1] for r in want) == list(range(3000))
+    cut = ranking.dense_ids(df, "k", rows_per_group=100)
+    assert rows(cut) == want
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "__bucket" in plan
+
+
 def test_exact_sample_of_nothing(spark):
     assert sampling.sample_exact(spark.range(0), ["id"], 0.5).count() == 0
 
