@@ -259,13 +259,32 @@ def incremental_aggregates(spark, sf_dir):
     return folded.withColumns({"total": F.round("total", 4), "seen": F.col("seen").cast("string")})
 
 
-@query("late_data_policy", "select event_type, count(*) as n, count(distinct event_id) as ids from events group by 1")
+@query(
+    "late_data_policy",
+    """with last as (select max(ts) as top from events),
+more as (select event_id, event_type, ts from events
+         union all select event_id + 1000000, event_type, ts from events, last where ts > top - interval 1 day)
+select event_type, count(*) as n, count(distinct event_id) as ids from more group by 1""",
+)
 def late_data_policy(spark, sf_dir):
-    """Every change arrives twice; the copies fall to the watermark's state."""
-    events = table(spark, sf_dir, "events")
+    """Three files in time order, copies in each, and copies of the newest; then a file of late rows.
+
+    Of the last file, rows within two days of the newest event come in; older ones, whose ids are new and which no state
+    could tell from fresh ones, are beyond the watermark and fall, as do copies of old rows.
+    """
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
     path, out = session.scratch_path(spark, "late"), session.scratch_path(spark, "late-out")
-    events.unionByName(events).repartition(4, "event_id").write.parquet(path)
-    stream = incremental.change_stream(spark, path, events.schema)
+    late = events.withColumn("event_id", F.col("event_id") + 1_000_000)
+    ends = [F.lit(f"2024-01-{day}").cast("timestamp_ntz") for day in (11, 21)]
+    parts = [F.col("ts") < ends[0], (F.col("ts") >= ends[0]) & (F.col("ts") < ends[1]), F.col("ts") >= ends[1]]
+    newest = events.agg(F.max("ts")).scalar()
+    fresh, stale = F.col("ts") > newest - F.expr("interval 1 day"), F.col("ts") < newest - F.expr("interval 3 days")
+    files_ = [events.filter(p).unionByName(events.filter(p)) for p in parts]
+    files_.append(events.filter(fresh))  # rows are late by the watermark of the batch before: one more lets it arrive
+    files_.append(late.filter(fresh | stale).unionByName(events.filter(stale)))
+    for rows in files_:
+        rows.coalesce(1).write.mode("append").parquet(path)
+    stream = incremental.change_stream(spark, path, events.schema, files_per_batch=1)
     once = incremental.with_late_policy(stream, "ts", "2 days", ["event_id"]).select("event_id", "event_type")
     running = (
         once.writeStream.format("parquet")
@@ -277,3 +296,33 @@ def late_data_policy(spark, sf_dir):
     incremental.run_to_end(running)
     kept = spark.read.parquet(out)
     return kept.groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("ids"))
+
+
+@query(
+    "serving_many_writers",
+    """select o_orderkey, case when o_orderkey % 4 = 0 then 'B' when o_orderkey % 3 = 0 then 'A'
+       when o_orderkey % 5 = 0 then 'M' else o_orderstatus end as o_orderstatus,
+       case when o_orderkey % 4 = 0 then 3 when o_orderkey % 3 = 0 then 2 when o_orderkey % 5 = 0 then 1 else 0 end as seq
+from orders""",
+)
+def serving_many_writers(spark, sf_dir):
+    """A manual increment and two streams write to one table; all their batches are numbered from 0."""
+    served = ServingTable(spark, session.scratch_path(spark, "writers"), ["o_orderkey"], order=["seq"])
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    served.publish(served.write(orders.withColumn("seq", F.lit(0)), "full"))
+
+    def changed(every, status, seq):
+        rows = orders.filter(F.col("o_orderkey") % every == 0)
+        return rows.withColumns({"o_orderstatus": F.lit(status), "seq": F.lit(seq)})
+
+    streams = []
+    for every, status, seq in ((4, "B", 3), (3, "A", 2)):
+        path = session.scratch_path(spark, "changes")
+        rows = changed(every, status, seq)
+        rows.repartition(2, "o_orderkey").write.parquet(path)
+        stream = incremental.change_stream(spark, path, rows.schema, files_per_batch=1)
+        streams.append(incremental.upsert_stream(stream, served, session.scratch_path(spark, "progress")))
+    served.write(changed(5, "M", 1), "incremental")
+    for running in streams:
+        incremental.run_to_end(running)
+    return served.read()

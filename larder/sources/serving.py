@@ -9,8 +9,10 @@ replaces itself.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,15 +57,21 @@ class ServingTable:
         snapshots.resolve_snapshot(self.spark, f"{self.root}/versions", version)
         files.write_text(self.spark, f"{self.root}/CURRENT", version)
         if keep:
+            needed = {name for name, _ in self._batches(version)}
             for name in self.versions()[:-keep]:
                 if name != version:
                     files.delete_child(self.spark, f"{self.root}/versions", name)
-                    files.delete_child(self.spark, f"{self.root}/changes", name)
+                    if name not in needed:
+                        files.delete_child(self.spark, f"{self.root}/changes", name)
         return version
 
-    def write(self, docs: DataFrame, mode: str, version: str | None = None, batch: int | None = None) -> str:
-        """``full`` writes a new version, ``incremental`` a batch of changes to
-        the published one.  The batch number orders changes."""
+    def write(
+        self, docs: DataFrame, mode: str, version: str | None = None, batch: int | None = None, writer: str = "manual"
+    ) -> str:
+        """``full`` writes a new version, ``incremental`` a batch of changes to the published one.
+
+        A batch that ``writer`` has written before under the same number keeps its place in the order of commits.
+        """
         if mode == "full":
             return self.write_version(docs, version)
         if mode != "incremental":
@@ -71,32 +79,65 @@ class ServingTable:
         target = self.published()
         if target is None:
             raise FileNotFoundError(f"no published version at {self.root}")
-        number = self._next_batch(target) if batch is None else batch
+        name = self._batch_name(target, writer, batch)
         if self.rule == "partial":
             given = [F.lit(c) for c in docs.columns if c not in self.ids]
             docs = docs.withColumn(_SUPPLIED, F.array(*given).cast("array<string>"))
-        docs.write.mode("overwrite").parquet(f"{self.root}/changes/{target}/{_BATCH}={number}")
+        docs.write.mode("overwrite").parquet(f"{self.root}/changes/{target}/{_BATCH}={name}")
         return target
 
-    def _next_batch(self, version: str) -> int:
-        names = files.child_directories(self.spark, f"{self.root}/changes/{version}")
-        return max((int(n.partition("=")[2]) for n in names), default=-1) + 1
-
-    def changes(self, version: str) -> DataFrame | None:
+    def _batch_name(self, version: str, writer: str, number: int | None) -> str:
+        """``commit~writer~number``: sorts by commit, then writer."""
+        if "~" in writer or "/" in writer:
+            raise ValueError(f"not a writer's name: {writer!r}")
+        taken = [n.partition("=")[2].split("~") for _, n in self._batches(version)]
+        own = {int(n): int(c) for c, w, n in taken if w == writer}
+        number = max(own, default=-1) + 1 if number is None else number
+        commit = own.get(number, max((int(c) for c, _, _ in taken), default=-1) + 1)
+        return f"{commit:012d}~{writer}~{number}"
+
+    def _lineage(self, version: str) -> list[tuple[str, set[str]]]:
+        """A version and those it was compacted from, each with the batches folded since."""
+        found, folded = [(version, set())], set()
+        while (text := files.read_text(self.spark, f"{self.root}/lineage/{found[-1][0]}")) is not None:
+            parent = json.loads(text)
+            folded = folded | {tuple(b) for b in parent["folded"]}
+            found.append((parent["version"], {n for v, n in folded if v == parent["version"]}))
+        return found
+
+    def _batches(self, version: str) -> list[tuple[str, str]]:
+        """(version, folder) of batches, complete or not, that the version has not folded."""
+        return [
+            (name, batch)
+            for name, folded in self._lineage(version)
+            for batch in files.child_directories(self.spark, f"{self.root}/changes/{name}")
+            if batch not in folded
+        ]
+
+    def _complete(self, version: str) -> list[tuple[str, str]]:
+        """Batches that can be read."""
+        whole = lambda v, b: files.exists(self.spark, f"{self.root}/changes/{v}/{b}/_SUCCESS")
+        return [(v, b) for v, b in self._batches(version) if whole(v, b)]
+
+    def changes(self, version: str, batches: list[tuple[str, str]] | None = None) -> DataFrame | None:
         """All batches of changes of a version, or None."""
-        path = f"{self.root}/changes/{version}"
-        names = files.child_directories(self.spark, path)
-        complete = [f"{path}/{n}" for n in names if files.exists(self.spark, f"{path}/{n}/_SUCCESS")]
-        if not complete:
-            return None
-        return self.spark.read.option("basePath", path).option("mergeSchema", True).parquet(*complete)
+        batches = self._complete(version) if batches is None else batches
+        frames = []
+        for source in dict.fromkeys(v for v, _ in batches):
+            path = f"{self.root}/changes/{source}"
+            paths = [f"{path}/{b}" for v, b in batches if v == source]
+            frames.append(self.spark.read.option("basePath", path).option("mergeSchema", True).parquet(*paths))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
 
     def read(self, version: str | None = None) -> DataFrame:
         name = version or self.published()
         if name is None:
             raise FileNotFoundError(f"no published version at {self.root}")
+        return self._folded(name, self._complete(name))
+
+    def _folded(self, name: str, batches: list[tuple[str, str]]) -> DataFrame:
         base = self.spark.read.parquet(f"{self.root}/versions/{name}")
-        changed = self.changes(name)
+        changed = self.changes(name, batches)
         if changed is None:
             return base
         if not self.ids:
@@ -110,8 +151,15 @@ class ServingTable:
         return merge.upsert_replace(base, merge.latest_change(changed, self.ids, order).drop(_BATCH), self.ids)
 
     def compact(self, version: str | None = None, keep: int | None = None) -> str:
-        """Fold all changes into a new published version."""
-        return self.publish(self.write_version(self.read(), version), keep)
+        """Fold the changes that are there into a new published version; later ones stay beside it."""
+        source = self.published()
+        if source is None:
+            raise FileNotFoundError(f"no published version at {self.root}")
+        batches = self._complete(source)
+        name = self.write_version(self._folded(source, batches), version)
+        files.make_directory(self.spark, f"{self.root}/lineage")
+        files.write_text(self.spark, f"{self.root}/lineage/{name}", json.dumps({"version": source, "folded": batches}))
+        return self.publish(name, keep)
 
     def pointers(self) -> DataFrame:
         """(version, published) for every complete version."""

@@ -1,13 +1,14 @@
 """Incremental updates as micro-batches.
 
 A micro-batch is written as one batch of changes beside the published version of
-a serving table, under its batch id: a batch that runs again after a failure
-replaces itself.  Its cost follows the batch.  Whatever the order or number of
+a serving table, under the stream's name and its batch id: a batch that runs again
+after a failure replaces itself, and several streams may write to one table.  Its cost follows the batch.  Whatever the order or number of
 batches, the folded table equals one batch recompute.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +47,11 @@ def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint
     )
 
 
+def writer_of(checkpoint: str) -> str:
+    """A stream's name as a writer: the same whenever it starts again from its checkpoint."""
+    return f"stream-{hashlib.md5(checkpoint.rstrip('/').encode()).hexdigest()[:16]}"
+
+
 def upsert_stream(
     stream: DataFrame,
     table: ServingTable,
@@ -62,7 +68,7 @@ def upsert_stream(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         last = merge.latest_change(transform(batch), table.ids, table.order)
-        table.write(last, "incremental", batch=batch_id)
+        table.write(last, "incremental", batch=batch_id, writer=writer_of(checkpoint))
 
     return _start(stream, each, checkpoint)
 
@@ -83,7 +89,7 @@ def reload_stream(
     def each(batch: DataFrame, batch_id: int) -> None:
         keys = batch.select(*table.ids).distinct()
         reloaded = documents().join(keys, list(table.ids), "left_semi")
-        table.write(transform(reloaded), "incremental", batch=batch_id)
+        table.write(transform(reloaded), "incremental", batch=batch_id, writer=writer_of(checkpoint))
 
     return _start(stream, each, checkpoint)
 

@@ -160,6 +160,41 @@ def test_changes_replay_and_compact(spark, root):
     assert rows(served.read()) == wanted and served.changes("v2") is None
 
 
+def test_writers_do_not_overwrite_each_other(spark, root):
+    served = ServingTable(spark, root, ["id"])
+    served.publish(served.write(docs(spark, (1, "a")), "full", "v1"))
+    served.write(docs(spark, (2, "manual")), "incremental")
+    served.write(docs(spark, (3, "s"), (4, "s")), "incremental", batch=0, writer="s")
+    served.write(docs(spark, (4, "t")), "incremental", batch=0, writer="t")
+    wanted = [(1, "a"), (2, "manual"), (3, "s"), (4, "t")]
+    assert rows(served.read()) == wanted
+    served.write(docs(spark, (3, "s"), (4, "s")), "incremental", batch=0, writer="s")  # a replay keeps its place
+    assert rows(served.read()) == wanted
+    with pytest.raises(ValueError):
+        served.write(docs(spark, (1, "a")), "incremental", writer="a~b")
+
+
+def test_compaction_keeps_batches_written_meanwhile(spark, root, monkeypatch):
+    served = ServingTable(spark, root, ["id"])
+    served.publish(served.write(docs(spark, (1, "a"), (2, "b")), "full", "v1"))
+    served.write(docs(spark, (2, "x")), "incremental")
+    write_version = ServingTable.write_version
+
+    def slow(self, made, version=None):
+        name = write_version(self, made, version)
+        if version == "v2":  # another writer, between the read and the publish
+            served.write(docs(spark, (1, "z"), (3, "c")), "incremental", writer="other")
+        return name
+
+    monkeypatch.setattr(ServingTable, "write_version", slow)
+    served.compact("v2", keep=1)
+    wanted = [(1, "z"), (2, "x"), (3, "c")]
+    assert served.published() == "v2" and rows(served.read()) == wanted
+    served.write(docs(spark, (3, "d")), "incremental")
+    served.compact("v3", keep=1)
+    assert rows(served.read()) == [(1, "z"), (2, "x"), (3, "d")] and served.changes("v3") is None
+
+
 def test_batches_may_give_different_fields(spark, root):
     served = ServingTable(spark, root, ["id"], "partial")
     base = spark.createDataFrame([(1, "a", "b", "c"), (2, "a", "b", "c")], "id int, a string, b string, c string")

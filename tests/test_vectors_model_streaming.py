@@ -218,3 +218,17 @@ def test_stream_continues_after_a_stop(spark, sf_dir, root):
 def test_upsert_stream_needs_an_order(spark, root):
     with pytest.raises(ValueError):
         incremental.upsert_stream(spark.range(1), ServingTable(spark, root, ["id"]), root)
+
+
+def test_late_rows_beyond_the_delay_are_dropped(spark, root):
+    """Copies within the delay fall to the state, rows beyond it to the watermark."""
+    schema = "id int, at timestamp"
+    minute = lambda m: f"2024-01-01 {m // 60:02d}:{m % 60:02d}:00"
+    batches = [[(1, 0), (1, 0), (2, 30)], [(2, 30), (3, 300)], [(4, 305)], [(5, 10), (1, 0), (6, 299)]]
+    for batch in batches:
+        rows_ = spark.createDataFrame([(i, minute(m)) for i, m in batch], "id int, at string")
+        rows_.withColumn("at", F.col("at").cast("timestamp")).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = incremental.with_late_policy(incremental.change_stream(spark, f"{root}/in", spark.createDataFrame([], schema).schema, 1), "at", "60 minutes", ["id"])
+    running = stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start()
+    incremental.run_to_end(running)
+    assert sorted(r["id"] for r in spark.read.parquet(f"{root}/out").collect()) == [1, 2, 3, 4, 6]
