@@ -54,10 +54,10 @@ def agg_global_mean(spark, sf_dir):
 @query(
     "collect_sorted_string",
     """select s_suppkey, coalesce(string_agg(p_name, ' ' order by p_name), '') as tag_names
-from supplier left join lineitem on l_suppkey = s_suppkey and l_quantity > 45 left join part on p_partkey = l_partkey group by 1""",
+from supplier left join lineitem on l_suppkey = s_suppkey and s_suppkey % 5 <> 0 left join part on p_partkey = l_partkey group by 1""",
 )
 def collect_sorted_string(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").filter("l_quantity > 45").select("l_partkey", F.col("l_suppkey").alias("s_suppkey"))
+    lines = table(spark, sf_dir, "lineitem").filter("l_suppkey % 5 <> 0").select("l_partkey", F.col("l_suppkey").alias("s_suppkey"))
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     tags = table(spark, sf_dir, "supplier").select("s_suppkey").join(lines.join(parts, "l_partkey"), "s_suppkey", "left")
     return aggregates.sorted_tag_text(tags, "s_suppkey", "p_name")

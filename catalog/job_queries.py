@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog import bindings, query, table
 from larder import session
-from larder.operators import aggregates, sampling
+from larder.operators import aggregates, keywords, sampling
 from larder.plans import documents, features, labels, mart, terms
 from larder.plans.windows import ORDINAL, PeriodWindows, pit_join, window_features
 from larder.sources import snapshots
@@ -290,7 +290,7 @@ terms as (select cooccur, c.n::double / (select sum(n) from token2count) * log2(
           from cooccur2count c join token2count t on t.token = substr(cooccur, 1, 1)),
 bounds as (select keyword, w, length(w) as len, f.term as first_term, l.term as last_term
            from (select distinct keyword, w from words)
-           join terms f on f.cooccur = substr(w, 1, 2) join terms l on l.cooccur = substr(w, length(w) - 1, 2)),
+           left join terms f on f.cooccur = substr(w, 1, 2) left join terms l on l.cooccur = substr(w, greatest(length(w) - 1, 1), 2)),
 limits as (select len,
              -max(first_term) filter (where first_term < 0)
                + (max(first_term) filter (where first_term < 0) - min(first_term) filter (where first_term < 0))
@@ -323,6 +323,48 @@ def refine_keywords(spark, sf_dir):
     return terms.refine_keywords(table(spark, sf_dir, "part"), "p_name")
 
 
+_SHORT = "select substr(replace(p_name, ' ', ''), 1 + p_partkey % 7, p_partkey % 6) as keyword from part"
+_SHORT_SQL = _TERMS_SQL.replace(
+    "select regexp_replace(p_name, '\\s', '', 'g') as w, p_name as keyword from part", f"select keyword as w, keyword from ({_SHORT})"
+)
+
+
+@query(
+    "refine_short_keywords",
+    f"""with {_SHORT_SQL},
+cuts as (select keyword, w, coalesce(-first_term < ft, false) as drop_first, coalesce(-last_term < lt, false) as drop_last
+         from bounds left join limits using (len))
+select keyword, drop_first, drop_last,
+       substr(w, 1 + drop_first::int, length(w) - drop_first::int - drop_last::int) as refined from cuts""",
+)
+def refine_short_keywords(spark, sf_dir):
+    """Keywords of none to five characters: those too short for terms stay as they are."""
+    whole = F.regexp_replace("p_name", " ", "")
+    short = F.substring(whole, (F.col("p_partkey") % 7 + 1).cast("int"), (F.col("p_partkey") % 6).cast("int"))
+    return terms.refine_keywords(table(spark, sf_dir, "part").select(short.alias("keyword")), "keyword")
+
+
+@query(
+    "short_keyword_terms",
+    f"""with {_SHORT_SQL},
+pos as (select keyword, w, unnest(range(1, length(w))) as i from (select distinct keyword, w from words)),
+found as (select keyword, i, term from pos join terms on cooccur = substr(w, i::int, 2))
+select k.keyword, coalesce(round(-sum(term), 8), 0.0) as entropy, count(term) as n,
+       round(max(term) filter (where i = 1), 10) as first_term,
+       round(max(term) filter (where i = length(k.keyword) - 1), 10) as last_term
+from (select distinct keyword from words) k left join found f on f.keyword = k.keyword group by 1""",
+)
+def short_keyword_terms(spark, sf_dir):
+    """Entropy and outer terms of the same keywords."""
+    whole = F.regexp_replace("p_name", " ", "")
+    short = F.substring(whole, (F.col("p_partkey") % 7 + 1).cast("int"), (F.col("p_partkey") % 6).cast("int"))
+    words = table(spark, sf_dir, "part").select(short.alias("keyword"))
+    made = keywords.keyword_terms(words, "keyword", keywords.pair_terms(keywords.frequency_tables(words, "keyword")))
+    ends = keywords.first_and_last_term(made)
+    rounded = {"entropy": F.round("entropy", 8), "first_term": F.round("first_term", 10), "last_term": F.round("last_term", 10)}
+    return ends.withColumns(rounded).select("keyword", "entropy", F.size("terms").cast("bigint").alias("n"), "first_term", "last_term")
+
+
 @query(
     "serving_publish",
     """select c_custkey, c_name, n_orders, round(spent, 2) as spent, n_events, 'v1' as source, 1.5::double as boost

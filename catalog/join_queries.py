@@ -35,16 +35,16 @@ def join_full_outer(spark, sf_dir):
 
 @query(
     "join_full_outer_null_safe",
-    """with l as (select case when user_id % 7 <> 0 then user_id end as u, event_type, count(*) as n from events where value < 20 group by all),
-r as (select case when user_id % 7 <> 0 then user_id end as u, event_type, count(*) as m from events where value > 90 group by all)
+    """with l as (select case when user_id % 7 <> 0 then user_id end as u, event_type, count(*) as n from events where user_id % 3 <> 0 group by all),
+r as (select case when user_id % 7 <> 0 then user_id end as u, event_type, count(*) as m from events where user_id % 3 <> 1 group by all)
 select coalesce(l.u, r.u) as u, coalesce(l.event_type, r.event_type) as event_type, n, m
 from l full outer join r on l.u is not distinct from r.u and l.event_type = r.event_type""",
 )
 def join_full_outer_null_safe(spark, sf_dir):
     """Null key parts pair with each other."""
     events = table(spark, sf_dir, "events").withColumn("u", F.when(F.col("user_id") % 7 != 0, F.col("user_id")))
-    low = events.filter("value < 20").groupBy("u", "event_type").agg(F.count("*").alias("n"))
-    high = events.filter("value > 90").groupBy("u", "event_type").agg(F.count("*").alias("m"))
+    low = events.filter("user_id % 3 <> 0").groupBy("u", "event_type").agg(F.count("*").alias("n"))
+    high = events.filter("user_id % 3 <> 1").groupBy("u", "event_type").agg(F.count("*").alias("m"))
     return joins.full_outer_unique(low, high, ["u", "event_type"], null_safe=True)
 
 
@@ -120,16 +120,37 @@ def join_left_zero_fill(spark, sf_dir):
 @query(
     "join_left_plain",
     """select c_custkey, click, error from customer left join (select user_id, max((event_type = 'click')::int) as click,
-  max((event_type = 'error')::int) as error from events where value > 120 group by 1) on user_id = c_custkey""",
+  max((event_type = 'error')::int) as error from events where event_id % 50 <> user_id % 50 or event_type <> 'click' group by 1) on user_id = c_custkey""",
 )
 def join_left_plain(spark, sf_dir):
-    kinds = table(spark, sf_dir, "events").filter("value > 120").groupBy(F.col("user_id").alias("c_custkey")).agg(
+    kinds = table(spark, sf_dir, "events").filter("event_id % 50 <> user_id % 50 or event_type <> 'click'").groupBy(F.col("user_id").alias("c_custkey")).agg(
         F.array_join(F.collect_set("event_type"), "|").alias("badges")
     )
     flags = features.badge_flags(kinds, "c_custkey", "badges", ["click", "error"]).drop("badges")
     return joins.attach(table(spark, sf_dir, "customer").select("c_custkey"), flags, "c_custkey")
 
 
+@query(
+    "merge_documents_empty_first",
+    """select c_custkey, c_nationkey, c_name, n_name, round(c_acctbal, 2) as c_acctbal, n_orders, null::bigint as n_none
+from customer join nation on n_nationkey = c_nationkey
+left join (select o_custkey, count(*) as n_orders from orders group by 1) on o_custkey = c_custkey where c_acctbal > 0""",
+)
+def merge_documents_empty_first(spark, sf_dir):
+    """Two id sets, related by the second document set, as the first is empty."""
+    customers = table(spark, sf_dir, "customer")
+    ids = {
+        "c_custkey": customers.select("c_custkey", "c_name"),
+        "c_nationkey": table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"),
+    }
+    keys = ["c_custkey", "c_nationkey"]
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n_orders"))
+    none = customers.filter("c_custkey < 0").select(*keys, F.lit(1).cast("bigint").alias("n_none"))
+    rich = customers.filter("c_acctbal > 0").select(*keys, F.round("c_acctbal", 2).alias("c_acctbal"))
+    counts = customers.join(orders, "c_custkey").select(*keys, "n_orders")
+    return joins.merge_documents(ids, [none, rich, counts])
+
+
 @query(
     "merge_documents",
     """select c_custkey, n_orders, round(spent, 2) as spent, n_events, last_seen::varchar as last_seen from customer
@@ -212,16 +233,16 @@ def lookup_several_keys(spark, sf_dir):
 
 @query(
     "match_condition_fields",
-    """with cur as (select user_id, event_type, count(*) as n from events where ts < timestamp '2024-01-16' group by all),
-d as (select user_id, event_type, count(*) as m, round(sum(value), 2) as v from events where ts >= timestamp '2024-01-29' group by all)
+    """with cur as (select user_id, event_type, count(*) as n from events where user_id % 4 <> 0 or ts < timestamp '2024-01-16' group by all),
+d as (select user_id, event_type, count(*) as m, round(sum(value), 2) as v from events where user_id % 4 <> 1 or ts >= timestamp '2024-01-16' group by all)
 select user_id, event_type, n, m as delta_n, v as delta_v,
        case when n is null then 'delta' when m is null then 'current' else 'both' end as matched
 from cur full outer join d using (user_id, event_type)""",
 )
 def match_condition_fields(spark, sf_dir):
     events, keys = table(spark, sf_dir, "events"), ["user_id", "event_type"]
-    current = events.filter("ts < '2024-01-16'").groupBy(*keys).agg(F.count("*").alias("n"))
-    delta = events.filter("ts >= '2024-01-29'").groupBy(*keys).agg(
+    current = events.filter("user_id % 4 <> 0 or ts < '2024-01-16'").groupBy(*keys).agg(F.count("*").alias("n"))
+    delta = events.filter("user_id % 4 <> 1 or ts >= '2024-01-16'").groupBy(*keys).agg(
         F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("v")
     )
     return joins.match_on_conditions(current, delta, keys)

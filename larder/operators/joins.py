@@ -125,8 +125,8 @@ def merge_documents(
     """Documents of every id: id set left join document sets, null ids dropped.
 
     ``id_sets`` maps an id column to the set that defines its ids.  The first
-    document set is laid under each id set in turn, the others are attached on
-    all id columns.  Document sets are expected to be unique per id.
+    document set that has rows is laid under each id set in turn, the others are
+    attached on all id columns.  Document sets are expected to be unique per id.
     """
     ids = list(id_sets)
     if not documents:
@@ -135,8 +135,11 @@ def merge_documents(
         if len(ids) != 1:
             raise ValueError("several id sets need at least one document set to relate them")
         return filters.drop_null_ids(next(iter(id_sets.values())), ids)
-    merged = reduce(lambda docs, kv: kv[1].join(docs, kv[0], "left"), id_sets.items(), documents[0])
-    merged = reduce(lambda docs, more: docs.join(more, ids, "left"), documents[1:], merged)
+    # only a set with rows can relate several ids; a single id needs none
+    first = next((n for n, docs in enumerate(documents) if len(ids) > 1 and not docs.isEmpty()), 0)
+    others = [docs for n, docs in enumerate(documents) if n != first]
+    merged = reduce(lambda docs, kv: kv[1].join(docs, kv[0], "left"), id_sets.items(), documents[first])
+    merged = reduce(lambda docs, more: docs.join(more, ids, "left"), others, merged)
     return filters.drop_null_ids(merged, ids)
 
 

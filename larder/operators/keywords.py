@@ -70,24 +70,27 @@ def keyword_terms(keywords: DataFrame, column: str, terms: DataFrame) -> DataFra
     """Entropy and term list of each distinct keyword.
 
     The list is as long as the keyword, which bounds what is gathered per row.
+    Keywords of fewer than two characters have no terms and entropy 0.
     """
     words = keywords.select(F.col(column).alias("keyword")).filter("keyword is not null").distinct()
-    pieces = words.select("keyword", F.posexplode(_pieces(text.condense("keyword"), 2)).alias("position", "cooccur"))
-    found = pieces.join(terms, "cooccur").groupBy("keyword").agg(
-        (-F.sum("term")).alias("entropy"),
-        F.array_sort(F.collect_list(F.struct("position", "term"))).alias("__t"),
+    pieces = words.select("keyword", F.posexplode_outer(_pieces(text.condense("keyword"), 2)).alias("position", "cooccur"))
+    found = pieces.join(terms, "cooccur", "left").groupBy("keyword").agg(
+        F.coalesce(-F.sum("term"), F.lit(0.0)).alias("entropy"),
+        F.array_sort(F.collect_list(F.when(F.col("term").isNotNull(), F.struct("position", "term")))).alias("__t"),
     )
     return found.select("keyword", "entropy", F.transform("__t", lambda t: t["term"]).alias("terms"))
 
 
 def first_and_last_term(df: DataFrame, terms: str = "terms") -> DataFrame:
-    return df.withColumns({"first_term": F.element_at(terms, 1), "last_term": F.element_at(terms, -1)})
+    """The outer terms; null where there are none."""
+    return df.withColumns({"first_term": F.try_element_at(terms, F.lit(1)), "last_term": F.try_element_at(terms, F.lit(-1))})
 
 
 def boundary_terms(keywords: DataFrame, column: str, terms: DataFrame) -> DataFrame:
     """(keyword, condensed, length, first_term, last_term) per distinct keyword.
 
     Only the outer pairs are looked up, so nothing is exploded or regrouped.
+    Keywords of fewer than two characters stay, without terms.
     """
     words = (
         keywords.select(F.col(column).alias("keyword"))
@@ -95,7 +98,6 @@ def boundary_terms(keywords: DataFrame, column: str, terms: DataFrame) -> DataFr
         .distinct()
         .withColumn("condensed", text.condense("keyword"))
         .withColumn("length", F.length("condensed"))
-        .filter("length >= 2")
     )
     first = terms.select(F.col("cooccur").alias("__f"), F.col("term").alias("first_term"))
     last = terms.select(F.col("cooccur").alias("__l"), F.col("term").alias("last_term"))
@@ -114,7 +116,7 @@ def length_stats(bounds: DataFrame, term: str) -> DataFrame:
     Minimum and maximum look at negative terms only.
     """
     negative = F.when(F.col(term) < 0.0, F.col(term))
-    return bounds.groupBy("length").agg(
+    return bounds.filter("length >= 2").groupBy("length").agg(
         F.avg(term).alias("term_avg"),
         F.stddev(term).alias("term_stddev"),
         F.min(negative).alias("term_min"),

@@ -108,8 +108,8 @@ def append_records(records: DataFrame, new: DataFrame, order: Sequence[str]) ->
     them in one place is bounded.
     """
     last = records.agg(F.coalesce(F.max("record_id"), F.lit(0))).scalar()
-    numbered = ranking.dense_ids(new.withColumn("__k", F.concat_ws("|", *order)), "__k", buckets=1)
-    added = numbered.withColumn("record_id", F.col("vid") + 1 + last).drop("vid", "__k")
+    place = F.row_number().over(Window.orderBy(*order)).cast("bigint")
+    added = new.withColumn("record_id", place + last)
     return records.unionByName(added.select(*records.columns))
 
 

@@ -91,15 +91,21 @@ def positive_ratio_feature(
 # --- badges ---------------------------------------------------------------
 
 
-def badge_names(df: DataFrame, badges: str, at_most: int = 2000) -> list[str]:
-    """Sorted distinct badges.  They become columns, so their number must be
-    that of a schema; more than ``at_most`` is an error, never a cut."""
-    names = [r[0] for r in aggregates.distinct_categories(df, badges).take(at_most + 1)]
-    if len(names) > at_most:
+def badge_names(df: DataFrame, badges: str, at_most: int | None = None) -> list[str]:
+    """Sorted distinct badges, to become columns.  A caller may set a number beyond
+    which that is an error, never a cut; ``badge_rows`` needs no columns."""
+    found = aggregates.distinct_categories(df, badges)
+    names = [r[0] for r in found.take(found.count() if at_most is None else at_most + 1)]
+    if at_most is not None and len(names) > at_most:
         raise ValueError(f"more than {at_most} distinct badges in {badges}")
     return sorted(names)
 
 
+def badge_rows(df: DataFrame, key: str, badges: str) -> DataFrame:
+    """(key, badge) for every badge of a key: the flags as a long table, however many badges there are."""
+    return df.select(key, F.explode(text.split_badges(badges)).alias("badge")).filter("badge <> ''").distinct()
+
+
 def badge_flags(df: DataFrame, key: str, badges: str, names: Sequence[str], mode: str = "token") -> DataFrame:
     """One 0/1 column per badge, all in one projection."""
     flags = [text.has_badge(badges, n, mode).alias(n) for n in names]

@@ -26,11 +26,21 @@ def record_run(
     spark.createDataFrame([row], MANIFEST_SCHEMA).coalesce(1).write.mode("overwrite").json(path)
 
 
-def read_runs(spark: SparkSession, root: str) -> DataFrame:
-    """All recorded runs; empty if there are none."""
-    if not files.exists(spark, root):
+def read_runs(spark: SparkSession, root: str, job_id: str | None = None, task_id: str | None = None) -> DataFrame:
+    """Recorded runs, of a job and task if given; empty if there are none.
+
+    Only the folders of that job and task are listed and read.
+    """
+    wanted = [f"job={job_id}"] if job_id is not None else files.child_directories(spark, root)
+    folders = [
+        f"{root}/{job}/{task}"
+        for job in wanted
+        for task in files.child_directories(spark, f"{root}/{job}")
+        if task_id is None or task == f"task={task_id}"
+    ]
+    if not folders:
         return spark.createDataFrame([], MANIFEST_SCHEMA)
-    return spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", True).json(root)
+    return spark.read.schema(MANIFEST_SCHEMA).json([f"{folder}/*" for folder in folders])
 
 
 def latest_run(runs: DataFrame, job_id: str, task_id: str) -> DataFrame:
@@ -47,4 +57,4 @@ def previous_end(runs: DataFrame, job_id: str, task_id: str, field: str = "end_d
 
 
 def previous_end_value(spark: SparkSession, root: str, job_id: str, task_id: str) -> str:
-    return previous_end(read_runs(spark, root), job_id, task_id).first()["previous_end"]
+    return previous_end(read_runs(spark, root, job_id, task_id), job_id, task_id).first()["previous_end"]
