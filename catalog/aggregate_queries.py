@@ -63,6 +63,19 @@ def collect_sorted_string(spark, sf_dir):
     return aggregates.sorted_tag_text(tags, "s_suppkey", "p_name")
 
 
+@query(
+    "collect_tag_chunks",
+    """with placed as (select l_suppkey, p_name, row_number() over (partition by l_suppkey order by p_name) - 1 as place
+  from lineitem join part on p_partkey = l_partkey)
+select l_suppkey, place // 100 as chunk, string_agg(p_name, ' ' order by p_name) as tag_names from placed group by all""",
+)
+def collect_tag_chunks(spark, sf_dir):
+    """The same in rows of a hundred tags, for suppliers with any number of them."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").join(parts, "l_partkey")
+    return aggregates.sorted_tag_chunks(lines, "l_suppkey", "p_name", 100)
+
+
 def _bounds(spark, sf_dir):
     parts = table(spark, sf_dir, "part")
     return keywords.boundary_terms(parts, "p_name", keywords.pair_terms(keywords.frequency_tables(parts, "p_name")))

@@ -96,9 +96,7 @@ _LAND_SQL = """select l_returnflag, l_linestatus, count(*) as n, cast(sum(l_orde
 
 @query("land_batches", _LAND_SQL)
 def land_batches(spark, sf_dir):
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lines = table(spark, sf_dir, "lineitem")
-    landed = extract.land(lines, session.scratch_path(spark, "land"), rows_per_file=25_000, spread=width)
+    landed = extract.land(table(spark, sf_dir, "lineitem"), session.scratch_path(spark, "land"))
     return landed.groupBy("l_returnflag", "l_linestatus").agg(
         F.count("*").alias("n"),
         F.sum("l_orderkey").alias("keys"),
@@ -107,6 +105,17 @@ def land_batches(spark, sf_dir):
     )
 
 
+@query(
+    "land_nested",
+    """select event_type, count(*) as n, cast(sum(json_extract_string(props, '$.k')::bigint) as bigint) as keys
+from events group by 1""",
+)
+def land_nested(spark, sf_dir):
+    """Objects in text land nested, by inferred types."""
+    landed = extract.land(table(spark, sf_dir, "events"), session.scratch_path(spark, "land"), json_columns=["props"])
+    return landed.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("props.k").cast("bigint").alias("keys"))
+
+
 def _add_net(batch: pd.DataFrame, rate: float) -> pd.DataFrame:
     return batch.assign(net=batch["l_extendedprice"] * (1 - batch["l_discount"]) * rate)
 

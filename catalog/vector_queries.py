@@ -19,14 +19,10 @@ def _documents(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
 
 
-def _width(spark) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 @query("embed_text", f"with {_EMBED_SQL} select doc_id, pos::int as pos, round(value, 5) as value from embedded")
 def embed_text(spark, sf_dir):
     """Non-zero elements of the default text vectors."""
-    made = vectors.embed_text(_documents(spark, sf_dir), ["doc_id"], {"text": "vector"}, spread=_width(spark))
+    made = vectors.embed_text(_documents(spark, sf_dir), ["doc_id"], {"text": "vector"})
     rows = made.select("doc_id", F.posexplode("vector").alias("pos", "value")).filter("value <> 0")
     return rows.withColumn("value", F.round(F.col("value").cast("double"), 5))
 
@@ -55,7 +51,7 @@ select lang, source, pos::int as pos, round(sum(value) / max(n), 6) as value fro
 def history_vectors(spark, sf_dir):
     """Mean text vector per source and language, one directory per language."""
     path = session.scratch_path(spark, "history")
-    made = vectors.history_vectors(_documents(spark, sf_dir), ["lang", "source"], "text", spread_by=["doc_id"], spread=_width(spark))
+    made = vectors.history_vectors(_documents(spark, sf_dir), ["lang", "source"], "text", spread_by=["doc_id"])
     filters.write_category_slices(made, path, "lang")
     rows = spark.read.parquet(path).select("lang", "source", F.posexplode("vector").alias("pos", "value"))
     return rows.filter("value <> 0").withColumn("value", F.round("value", 6))
@@ -120,11 +116,22 @@ def _index(spark, sf_dir, cells):
     return vectors.VectorIndex(spark, session.scratch_path(spark, "index")).build(items, "vec_id", cells=cells)
 
 
+@query("knn_approx_recall", "select true as enough, 10::bigint as queries")
+def knn_approx_recall(spark, sf_dir):
+    """The index finds at least nine of ten true neighbours of the label means."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    centres = aggregates.vector_mean(embeddings, ["label"], "embedding")
+    truth = vectors.knn_inner_product(centres, embeddings.withColumnRenamed("embedding", "vector"), 10, "label", "vec_id")
+    found = _index(spark, sf_dir, 16).search(centres, 10, "label", probes=12, block_rows=100, query_rows=3)
+    queries = found.agg(F.count_distinct("query")).scalar()
+    return vectors.recall(found, truth).select((F.col("recall") >= 0.9).alias("enough"), queries.alias("queries"))
+
+
 @query("knn_approx")
 def knn_approx(spark, sf_dir):
     """The ten best vectors per label mean among the cells nearest to it."""
     centres = aggregates.vector_mean(table(spark, sf_dir, "embeddings"), ["label"], "embedding")
-    return _index(spark, sf_dir, 16).search(centres, 10, "label", probes=6)
+    return _index(spark, sf_dir, 16).search(centres, 10, "label", probes=12)
 
 
 @query("knn_approx_all_cells", _knn_sql(_CENTRES_SQL, 10))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from larder.functions import numbers, text
@@ -75,6 +75,24 @@ def sorted_tag_text(df: DataFrame, key: str | Sequence[str], tag: str, out: str
     return gathered.select(*keys, F.array_join(repeated, " ").alias(out))
 
 
+def sorted_tag_chunks(df: DataFrame, key: str | Sequence[str], tag: str, per_chunk: int, out: str = "tag_names") -> DataFrame:
+    """(key, chunk, text): the sorted tags of a key in rows of ``per_chunk`` tags, so that no cell grows with a key's rows.
+
+    Chunks are numbered from 0; their texts, one after the other, are that of ``sorted_tag_text``.  Keys without a tag
+    have no row.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    counted = df.filter(F.col(tag).isNotNull()).groupBy(*keys, tag).agg(F.count("*").alias("__n"))
+    upto = F.sum("__n").over(Window.partitionBy(*keys).orderBy(tag))
+    placed = counted.withColumn("__end", upto).withColumn("__start", F.col("__end") - F.col("__n"))
+    chunk = F.sequence(F.floor(F.col("__start") / per_chunk), F.floor((F.col("__end") - 1) / per_chunk))
+    cut = placed.withColumn("chunk", F.explode(chunk))
+    copies = F.least("__end", (F.col("chunk") + 1) * per_chunk) - F.greatest("__start", F.col("chunk") * per_chunk)
+    gathered = cut.groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list(F.struct(F.col(tag).alias("tag"), copies.cast("int").alias("n")))).alias("__t"))
+    repeated = F.flatten(F.transform("__t", lambda t: F.array_repeat(t["tag"], t["n"])))
+    return gathered.select(*keys, "chunk", F.array_join(repeated, " ").alias(out))
+
+
 def max_condensed_length(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.max(F.length(text.condense(column))).alias("max_length"))
 

@@ -28,6 +28,8 @@ from larder.sources import schemas
 TREES = 500
 LEARNING_RATE = 0.2
 MAX_DEPTH = 4
+#: Values of feature pairs held at once while explaining: rows are taken in slices of that many over the pairs.
+PAIR_CELLS = 4_000_000
 SEED = 32
 
 # Fixed value: the threshold of a record that does not name one.
@@ -277,11 +279,14 @@ def attributions(model: PipelineModel, df: DataFrame, features: Sequence[str]) -
     second = [n for _ in names for n in names] + [None] * count
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows_at_once = max(1, PAIR_CELLS // (count * count))
         for batch in batches:
-            values, mixed = _explain_batch(batch[names].to_numpy(dtype=float), found, True)
-            every = np.concatenate([mixed.reshape(len(batch), -1), values], axis=1)
-            sums = {"abs_sum": np.abs(every).sum(axis=0), "total": every.sum(axis=0), "n": len(batch)}
-            yield pd.DataFrame({"feature": first, "other": second, **sums})
+            for at in range(0, len(batch), rows_at_once):
+                part = batch[names].iloc[at : at + rows_at_once].to_numpy(dtype=float)
+                values, mixed = _explain_batch(part, found, True)
+                every = np.concatenate([mixed.reshape(len(part), -1), values], axis=1)
+                sums = {"abs_sum": np.abs(every).sum(axis=0), "total": every.sum(axis=0), "n": len(part)}
+                yield pd.DataFrame({"feature": first, "other": second, **sums})
 
     schema = "feature string, other string, abs_sum double, total double, n bigint"
     parts = df.select(*[F.col(c).cast("double").alias(c) for c in names]).mapInPandas(explain, schema)

@@ -8,8 +8,6 @@ as many blocks as its size asks for.
 
 from __future__ import annotations
 
-import hashlib
-import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -31,39 +29,8 @@ EncoderFactory = Callable[[], Callable[[np.ndarray], np.ndarray]]
 
 VECTOR = T.ArrayType(T.FloatType())
 
-
-def hashed_token_encoder(dim: int = 64) -> EncoderFactory:
-    """Count tokens in ``dim`` buckets by md5 and scale to length 1.
-
-    The default when no model is given: no download, same result on every
-    engine.  A text without tokens is the zero vector.
-    """
-
-    def load() -> Callable[[np.ndarray], np.ndarray]:
-        token = re.compile("[^ \t\n\r\f\v]+")
-        known: dict[str, int] = {}
-
-        def bucket(word: str) -> int:
-            place = known.get(word)
-            if place is None:
-                if len(known) >= 1 << 18:  # the cache of a worker stays bounded
-                    known.clear()
-                place = int.from_bytes(hashlib.md5(word.encode("utf-8")).digest()[:4], "big") % dim
-                known[word] = place
-            return place
-
-        def encode(texts: np.ndarray) -> np.ndarray:
-            counts = np.zeros((len(texts), dim))
-            for row, value in enumerate(texts):
-                places = [bucket(w) for w in token.findall(value or "")]
-                if places:
-                    counts[row] = np.bincount(places, minlength=dim)
-            norms = np.linalg.norm(counts, axis=1, keepdims=True)
-            return (counts / np.where(norms == 0.0, 1.0, norms)).astype(np.float32)
-
-        return encode
-
-    return load
+#: Length of the vectors made without a model.
+DIMENSIONS = 64
 
 
 def embed_text(
@@ -76,12 +43,16 @@ def embed_text(
 ) -> DataFrame:
     """Vectors of text fields: ``fields`` maps a text column to its vector column.
 
-    Encoding outweighs moving the text, so with ``spread`` the rows are first
-    dealt out by key to that many tasks, whatever the layout of the files.
+    Without an encoder the vectors are hashed token counts, made by built-in
+    functions.  Encoding with a model outweighs moving the text, so with
+    ``spread`` the rows are first dealt out by key to that many tasks, whatever
+    the layout of the files.
     """
+    if encoder is None:
+        return df.select(*keys, *[vectors.hashed_tokens(t, DIMENSIONS).alias(v) for t, v in fields.items()])
     if spread:
         df = df.select(*keys, *fields).repartition(spread, *keys)
-    encode = predict_batch_udf(encoder or hashed_token_encoder(), return_type=VECTOR, batch_size=batch_size)
+    encode = predict_batch_udf(encoder, return_type=VECTOR, batch_size=batch_size)
     # A filter on the vector must not make Spark encode a second time below it.
     encode = encode.asNondeterministic()
     return df.select(*keys, *[encode(F.coalesce(F.col(t), F.lit(""))).alias(v) for t, v in fields.items()])
@@ -104,7 +75,7 @@ def history_vectors(
     """
     columns = list(dict.fromkeys([*keys, *spread_by]))
     rows = df.select(*columns, text)
-    if spread:
+    if spread and encoder is not None:
         rows = rows.repartition(spread, *(spread_by or keys))
     return aggregates.vector_mean(embed_text(rows, columns, {text: "__text"}, encoder, batch_size), keys, "__text", out)
 
@@ -278,25 +249,35 @@ class VectorIndex:
         probes: int = 4,
         out: Sequence[str] = ("query", "item"),
         block_rows: int = 65_536,
+        query_rows: int = 4_096,
     ) -> DataFrame:
         """k best items per query among its nearest cells.
 
-        A cell is cut into blocks by its size, so a cell of any size is searched
-        by many tasks.  Probing all cells gives the exact result, which
+        The items of a cell and the queries routed to it are cut into blocks by
+        their numbers, so a cell of any size, met by any number of queries, is
+        searched by many tasks, each of one block pair.  Probing all cells gives the exact result, which
         ``knn_inner_product`` finds without an index.
         """
         stored = self.spark.read.parquet(f"{self.path}/items")
         items = stored.select(F.col("id").alias("__i"), F.col("vector").alias("__v"), F.col("cell").alias("__cell"))
-        sizes = items.groupBy("__cell").agg(F.ceil(F.count("*") / block_rows).cast("bigint").alias("__blocks"))
+        routed = _keyed(queries, key, vector, "__q").join(self.probe(queries, key, vector, probes), "__q")
 
-        def sized(df: DataFrame) -> DataFrame:
-            cut = sizes.select(F.col("__cell").alias("__c"), "__blocks")
-            return df.join(F.broadcast(cut), F.col("__cell") == F.col("__c")).drop("__c")  # one row per cell
+        def sized(rows: DataFrame, of: DataFrame, most: int, name: str) -> DataFrame:
+            blocks = of.groupBy(F.col("__cell").alias("__c")).agg(F.ceil(F.count("*") / most).cast("bigint").alias(name))
+            return rows.join(F.broadcast(blocks), F.col("__cell") == F.col("__c")).drop("__c")  # one row per cell
 
-        placed_i = sized(items).withColumn("__block", F.pmod(F.xxhash64("__i"), "__blocks"))
-        routed = _keyed(queries, key, vector, "__q").join(self.probe(queries, key, vector, probes), "__q")
-        placed_q = sized(routed).withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__blocks") - 1)))
-        return _search(placed_q.drop("__blocks"), placed_i.drop("__blocks"), ["__cell", "__block"], k, out)
+        def cut(rows: DataFrame) -> DataFrame:
+            return sized(sized(rows, items, block_rows, "__ibs"), routed, query_rows, "__qbs")
+
+        def own(name: str, blocks: str):
+            return F.pmod(F.xxhash64(name), blocks)
+
+        def every(blocks: str):
+            return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(blocks) - 1))
+
+        placed_i = cut(items).withColumn("__block", own("__i", "__ibs")).withColumn("__qblock", every("__qbs"))
+        placed_q = cut(routed).withColumn("__qblock", own("__q", "__qbs")).withColumn("__block", every("__ibs"))
+        return _search(placed_q.drop("__ibs", "__qbs"), placed_i.drop("__ibs", "__qbs"), ["__cell", "__block", "__qblock"], k, out)
 
 
 def recall(found: DataFrame, truth: DataFrame, query: str = "query", item: str = "item") -> DataFrame:

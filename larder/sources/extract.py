@@ -6,7 +6,7 @@ first-batch / later-batch bookkeeping of a driver loop has no counterpart here.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import date, datetime
 from typing import Any
 
@@ -99,17 +99,25 @@ def land(
     rows_per_file: int | None = None,
     normalise: bool = True,
     spread: int | None = None,
+    json_columns: Mapping[str, T.DataType | str] | Sequence[str] = (),
+    time_format: str | None = None,
 ) -> DataFrame:
     """Land rows as gzip JSON and return them read back with their schema.
 
     ``callback`` maps the DataFrame before it is written and may add fields.
+    ``json_columns`` hold JSON objects as text and land nested: by the types
+    given, or, for a list of names, by types that Spark merges over all rows.
+    ``time_format`` is a pattern for times.  Files follow the partitions of the
+    rows; ``rows_per_file`` cuts them further.
     ``spread`` deals the rows of a source with few partitions (one connection,
     one large file) out to that many writers.
     """
     if spread:
         df = df.repartition(spread)
     rows = df.transform(callback) if callback is not None else df
-    rows = schemas.normalize_values(rows) if normalise else rows
+    if not isinstance(json_columns, Mapping):
+        json_columns = {c: schemas.infer_json_schema(rows, c) for c in json_columns}
+    rows = schemas.normalize_values(rows, json_columns, time_format) if normalise else rows
     writer = rows.write.mode("overwrite").options(compression="gzip", **snapshots.JSON_TIMES)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)

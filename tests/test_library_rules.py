@@ -33,7 +33,7 @@ def test_every_broadcast_states_its_bound(path):
 
 
 SQL_ONLY = ["labeled_interactions", "pit_join", "mart_dataset", "term_thresholds", "inflate_classes", "merge_aggregate",
-            "badge_onehot", "bitmap_to_ranges", "sample_training", "assign_vector_ids", "merge_documents"]
+            "badge_onehot", "bitmap_to_ranges", "sample_training", "assign_vector_ids", "merge_documents", "embed_text", "collect_tag_chunks"]
 
 
 @pytest.mark.parametrize("name", SQL_ONLY)

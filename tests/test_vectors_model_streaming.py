@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
+import re
 
 import numpy as np
 import pytest
@@ -66,10 +68,24 @@ def test_default_encoder(spark):
     assert {r["id"]: r["v"] for r in dealt.collect()} == got
 
 
+def test_default_vectors_by_hand(spark):
+    texts = ["a b a", "é\u00a0x y\tz", " ", "w " * 500 + "v"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    for r in vectors.embed_text(df, ["id"], {"t": "v"}).collect():
+        counts = np.zeros(64)
+        for word in re.findall("[^ \t\n\r\f\v]+", texts[r["id"]]):
+            counts[int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % 64] += 1
+        assert r["v"] == pytest.approx((counts / max(np.linalg.norm(counts), 1e-9)).tolist(), abs=1e-6)
+
+
 def test_texts_are_encoded_once(spark, sf_dir):
     """A filter on the vectors must not repeat the encoder below the shuffle."""
+
+    def ones():
+        return lambda texts: np.ones((len(texts), 2), dtype=np.float32)
+
     docs = table(spark, sf_dir, "documents")
-    made = vectors.embed_text(docs, ["doc_id"], {"text": "v"}, spread=4).select("doc_id", F.explode("v").alias("x")).filter("x > 0")
+    made = vectors.embed_text(docs, ["doc_id"], {"text": "v"}, ones, spread=4).select("doc_id", F.explode("v").alias("x")).filter("x > 0")
     assert made._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
 
 
