@@ -119,8 +119,7 @@ def pack(items: DataFrame, capacity: int, length: str = "length", nearly_full: f
         dealt = rest.repartition(tasks, F.xxhash64("items")) if tasks > 1 else rest.repartition(1)
         room = int(capacity * nearly_full) if tasks > 1 else capacity
         bins = session.materialise(dealt.mapInArrow(_round(number, capacity, room), _BIN), f"packing-round-{number}")
-        counts = {r["done"]: r["n"] for r in bins.groupBy("done").agg(F.count("*").alias("n")).collect()}
-        left = counts.get(False, 0)
+        left = bins.filter("not done").count()
         stuck = left > 0.98 * waiting  # the bins cannot be combined any more
         finished.append(bins if stuck else bins.filter("done"))
         rest, waiting, number = bins.filter("not done"), 0 if stuck else left, number + 1

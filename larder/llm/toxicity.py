@@ -68,14 +68,16 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame) -> list[str]:
     sample = F.broadcast(of_class(1, SAMPLE_TOXIC).union(of_class(0, SAMPLE_CLEAN)))
     texts = docs.select("doc_id", "text").join(sample, "doc_id").select("text", F.col("toxic").cast("int"))
     counts = texts.mapInArrow(_entry_counts, "entry string, n_toxic long, n_clean long").groupBy("entry").agg(F.sum("n_toxic").alias("a"), F.sum("n_clean").alias("b"))
-    classes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if not classes.get(1):
+    n = sample.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean")).first()
+    if not n.toxic:
         return []
-    share = (F.col("a") + 0.5) / (classes[1] + 1), (F.col("b") + 0.5) / (classes.get(0, 0) + 1)
-    enough = max(4, classes[1] // 150)
+    share = (F.col("a") + 0.5) / (n.toxic + 1), (F.col("b") + 0.5) / (n.clean + 1)
+    enough = max(4, n.toxic // 150)
     good = counts.filter((F.col("a") >= enough) & (share[0] > 20 * share[1]))
-    best = good.orderBy((F.log(share[0] / share[1]) * F.sqrt("a")).desc(), "entry").limit(ENTRIES)
-    return [r.entry for r in best.collect()]
+    worth = F.log(share[0] / share[1]) * F.sqrt("a")
+    best = good.select("entry", worth.alias("worth")).orderBy(F.desc("worth"), "entry").limit(ENTRIES)
+    ranked = best.agg(F.sort_array(F.collect_list(F.struct((-F.col("worth")).alias("w"), "entry"))).alias("all")).first()
+    return [r.entry for r in ranked["all"]]
 
 
 def voters_of(lexicon: list[str]) -> dict[str, int]:
@@ -238,7 +240,8 @@ def calibrated(model: Model, rows: DataFrame) -> Model:
     The cut lies midway between two neighbouring scores; scores are read as at most 1,001 distinct values.
     """
     score = F.round(model.score(), 3)
-    counts = rows.filter("toxic is not null").groupBy(score.alias("s")).agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).orderBy("s").collect()
+    by_score = rows.filter("toxic is not null").groupBy(score.alias("s")).agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
+    counts = by_score.agg(F.sort_array(F.collect_list(F.struct("s", "t", "n"))).alias("all")).first()["all"]
     best, missed, lost = None, 0, sum(r.n - r.t for r in counts)
     for low, high in zip(counts[:-1], counts[1:], strict=True):
         missed, lost = missed + low.t, lost - (low.n - low.t)
