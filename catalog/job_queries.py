@@ -114,6 +114,8 @@ PHASES = (mart.Phase("training", START, SPLIT), mart.Phase("test", SPLIT, END, m
 def mart_registry(spark, sf_dir) -> features.FeatureRegistry:
     """The features of the mart, each over its whole table."""
     ratio = aggregates.positive_ratio(bindings.item_feedback(spark, sf_dir), "item_sid", "interaction")
+    ratio = session.materialise(ratio, "ratio")
+    mean = ratio.agg(F.avg("positive_ratio").alias("mean")).first()["mean"]
     lengths = features.text_length_table(
         bindings.item_introductions(spark, sf_dir).withColumnRenamed("account_sid", "item_sid"),
         "item_sid",
@@ -132,7 +134,7 @@ def mart_registry(spark, sf_dir) -> features.FeatureRegistry:
     return (
         features.FeatureRegistry()
         .register(activity)
-        .register(features.positive_ratio_feature(ratio, "item_sid"))
+        .register(features.positive_ratio_feature(ratio, "item_sid", mean=mean))
         .register(features.text_length_feature(lengths, "item_sid"))
         .register(features.badge_feature(flags, "user_account_sid", bindings.BADGES, "user_badges"))
     )
@@ -170,7 +172,8 @@ left join flags f using (user_account_sid)"""
 @query("mart_dataset", _MART_SQL)
 def mart_dataset(spark, sf_dir):
     log = bindings.interaction_log(spark, sf_dir)
-    rows = _mart(spark, sf_dir, labels.labeled_interactions(log, bindings.label_spec(0.5)))
+    labeled = session.materialise(labels.labeled_interactions(log, bindings.label_spec(0.5)), "labeled")
+    rows = _mart(spark, sf_dir, labeled)
     rounded = {c: F.round(c, 6) for c in ("prev_value", "positive_ratio")}
     return _text_time(rows.withColumns(rounded), "logged_at")
 

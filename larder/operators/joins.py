@@ -17,6 +17,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder import session
 from larder.operators import aggregates, filters
 
 _SALT = "__salt"
@@ -77,9 +78,11 @@ def join_salting_hot_keys(
 
     Keys are counted on ``heat``, by default on ``df``.  Where ``df`` is the end
     of a long plan, pass a plain table whose keys are spread alike: it decides
-    only how many pieces a key gets, never the result.
+    only how many pieces a key gets, never the result.  The list of hot keys,
+    fewer than ``parts`` rows, is written once, so both sides read it and neither
+    counts again.
     """
-    hot = F.broadcast(hot_keys(df if heat is None else heat, keys, parts))
+    hot = F.broadcast(session.materialise(hot_keys(df if heat is None else heat, keys, parts), "hot-keys"))
     piece = F.pmod(F.xxhash64(*spread_by), F.col("__splits").cast("bigint")).cast("int")
     left = (
         df.join(hot, list(keys), "left")
@@ -189,4 +192,4 @@ def match_on_conditions(current: DataFrame, delta: DataFrame, conditions: Sequen
 def default_parts(df: DataFrame) -> int:
     """A split count for hot keys that follows the configured shuffle width."""
     width: Any = df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")
-    return max(8, min(1024, 2 ** math.ceil(math.log2(int(width)))))
+    return max(8, 2 ** math.ceil(math.log2(int(width))))

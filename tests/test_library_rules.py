@@ -41,3 +41,10 @@ def test_no_python_worker_in_relational_plans(spark, sf_dir, name):
     plan = entry_points.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas", plan)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize(("name", "most"), [("mart_dataset", 8), ("pit_join", 4), ("join_hot_keys", 4)])
+def test_plans_scan_little(spark, sf_dir, name, most):
+    """Labels, ratios and hot keys are written once and read, not derived again for every use."""
+    plan = entry_points.queries()[name](spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet") <= most
