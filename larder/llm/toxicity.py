@@ -170,27 +170,41 @@ def fit_label_model(patterns: DataFrame, rounds: int = ROUNDS) -> LabelModel:
         return patterns.select("*", (p * F.col("n")).alias("t"), ((1 - p) * F.col("n")).alias("c"))
 
     for _ in range(rounds):
-        sums = [F.sum(F.col(side) * _bit(v)).alias(f"{side}{v}") for v in range(VOTERS) for side in "tc"]
-        got = weighted().agg(F.sum("t").alias("t"), F.sum("c").alias("c"), *sums).first()
-        if not got.t and not got.c:
+        t, c = _fired(weighted(), 1)
+        if not t[-1] and not c[-1]:
             return model
-        model.prior = clip((got.t + 1) / (got.t + got.c + 2))
-        model.toxic = [clip((got[f"t{v}"] + 0.1) / (got.t + 0.2)) for v in range(VOTERS)]
-        model.clean = [clip((got[f"c{v}"] + 0.01) / (got.c + 0.2)) for v in range(VOTERS)]
+        model.prior = clip((t[-1] + 1) / (t[-1] + c[-1] + 2))
+        model.toxic = [clip((t[v] + 0.1) / (t[-1] + 0.2)) for v in range(VOTERS)]
+        model.clean = [clip((c[v] + 0.01) / (c[-1] + 0.2)) for v in range(VOTERS)]
     model.weight = _independence(weighted(), model)
     return model
 
 
+def _fired(weighted: DataFrame, together: int) -> tuple[Counter, Counter]:
+    """Weights of either class by voter that fires, or by pair ``i * VOTERS + j`` of voters; at -1 the whole weight.
+
+    At most a row for each voter, or pair of voters, leaves the tasks.
+    """
+    fired = F.filter(F.sequence(F.lit(0), F.lit(VOTERS - 1)), lambda v: F.call_function("shiftright", F.col("votes"), v).bitwiseAND(F.lit(1).cast("long")) == 1)
+    if together == 2:
+        fired = F.flatten(F.transform(fired, lambda i: F.transform(F.filter(fired, lambda j: j > i), lambda j: i * VOTERS + j)))
+    rows = weighted.select(F.explode(F.concat(F.array(F.lit(-1)), fired)).alias("v"), "t", "c")
+    sums = rows.groupBy("v").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    found = sums.agg(F.collect_list(F.struct("v", "t", "c")).alias("all")).first()["all"]
+    return Counter({r.v: r.t for r in found}), Counter({r.v: r.c for r in found})
+
+
 def _independence(weighted: DataFrame, model: LabelModel) -> list[float]:
     """One over the number of voters that each voter stands for: itself, and others as far as they correlate with it in a class."""
-    pairs = [(i, j) for i in range(VOTERS) for j in range(i + 1, VOTERS)]
-    got = weighted.agg(F.sum("t").alias("t"), F.sum("c").alias("c"), *[F.sum(F.col(s) * _bit(i) * _bit(j)).alias(f"{s}{i}_{j}") for i, j in pairs for s in "tc"]).first()
+    sums = _fired(weighted, 2)
+    whole = max(sums[0][-1] + sums[1][-1], 1e-9)
     shared = np.zeros((VOTERS, VOTERS))
-    for side, share in (("t", model.toxic), ("c", model.clean)):
-        total = max(got[side], 1e-9)
-        for i, j in pairs:
-            spread = math.sqrt(share[i] * (1 - share[i]) * share[j] * (1 - share[j]))
-            shared[i, j] += (got[side] / max(got.t + got.c, 1e-9)) * max(0.0, (got[f"{side}{i}_{j}"] / total - share[i] * share[j]) / spread)
+    for both, share in zip(sums, (model.toxic, model.clean), strict=True):
+        total = max(both[-1], 1e-9)
+        for i in range(VOTERS):
+            for j in range(i + 1, VOTERS):
+                spread = math.sqrt(share[i] * (1 - share[i]) * share[j] * (1 - share[j]))
+                shared[i, j] += both[-1] / whole * max(0.0, (both[i * VOTERS + j] / total - share[i] * share[j]) / spread)
     shared += shared.T
     return [float(1 / (1 + s)) for s in np.minimum(shared, 1).sum(axis=1)]
 
@@ -230,7 +244,7 @@ def fit_classifier(rows: DataFrame, lexicon: list[str], labels: LabelModel) -> M
     grouped = rows.groupBy(features.alias("x")).agg(F.sum(p).alias("t"), F.sum(1 - p).alias("c"))
     both = F.inline(F.array(F.struct(F.lit(1.0).alias("label"), F.col("t").alias("weight")), F.struct(F.lit(0.0).alias("label"), F.col("c").alias("weight"))))
     train = session.materialise(grouped.select("x", both), "toxicity-training").select(array_to_vector("x").alias("features"), "label", "weight")
-    fitted = LogisticRegression(weightCol="weight", regParam=1e-4, maxIter=50, standardization=False).fit(train)
+    fitted = LogisticRegression(weightCol="weight", regParam=1e-4, maxIter=30, standardization=False).fit(train)
     return Model(lexicon, labels, float(fitted.intercept), [float(w) for w in fitted.coefficients])
 
 
