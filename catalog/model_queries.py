@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import query, table
+from larder import session
 from larder.functions import text
 from larder.operators import aggregates, model
 
@@ -29,9 +30,16 @@ def judged_documents(spark, sf_dir):
     return rows.join(table(spark, sf_dir, "labels"), "doc_id")
 
 
-def _trained(spark, sf_dir, trees=5, factor=0.8):
+_MODELS: dict = {}
+
+
+def _trained(spark, sf_dir, trees=model.TREES, factor=0.8):
+    """The judged documents and a model of all its trees; a session trains it once for each set of tables."""
     rows = judged_documents(spark, sf_dir)
-    return rows, model.train_ranker(rows, FEATURES, "quality", factor, ["doc_id"], trees=trees)
+    key = spark.sparkContext.applicationId, sf_dir, trees, factor
+    if key not in _MODELS:
+        _MODELS[key] = model.train_ranker(rows, FEATURES, "quality", factor, ["doc_id"], trees=trees)
+    return rows, _MODELS[key]
 
 
 @query("train_ranker")
@@ -134,3 +142,61 @@ def explain_rows(spark, sf_dir):
 def permutation_importance(spark, sf_dir):
     rows, trained = _trained(spark, sf_dir)
     return model.permutation_importance(trained, rows, FEATURES, "quality", "doc_id")
+
+
+_JUDGED = "documents join labels using (doc_id)"
+
+
+@query("scores_agree", f"select source, count(*) as n, 0::bigint as off, cast(sum(quality) as bigint) as positives from {_JUDGED} group by 1")
+def scores_agree(spark, sf_dir):
+    """Probabilities lie between 0 and 1, and predictions follow from them and the threshold."""
+    rows, trained = _trained(spark, sf_dir)
+    scored = model.score_batch(trained, rows, FEATURES, threshold=0.6)
+    right = F.col("probability").between(0, 1) & (F.col("prediction") == (F.col("probability") > 0.6).cast("int"))
+    return scored.groupBy("source").agg(
+        F.count("*").alias("n"), F.count_if(~right).alias("off"), F.sum("quality").cast("bigint").alias("positives")
+    )
+
+
+@query("evaluation_recomputed", f"select count(*) as n, 0::bigint as off from {_JUDGED}")
+def evaluation_recomputed(spark, sf_dir):
+    """The model's metrics against counts taken from its scores by hand."""
+    rows, trained = _trained(spark, sf_dir)
+    scored = session.materialise(model.score_batch(trained, rows, FEATURES), "scores")
+    made = model.evaluate_scores(scored, "quality")
+    said, good = F.col("probability") > 0.5, F.col("quality") == 1
+    hits, wrong, missed = scored.agg(F.count_if(said & good)).scalar(), scored.agg(F.count_if(said & ~good)).scalar(), scored.agg(F.count_if(~said & good)).scalar()
+    f1 = 2.0 * hits / (2.0 * hits + wrong + missed)
+    same = (F.col("true_positive") == hits) & (F.abs(F.col("precision") - hits / (hits + wrong)) < 1e-9) & (F.abs(F.col("f1") - f1) < 1e-9)
+    return made.select("n", F.when(same, 0).otherwise(1).cast("bigint").alias("off"))
+
+
+@query("explanations_add_up", f"select count(*) as n, 0::bigint as off from {_JUDGED}")
+def explanations_add_up(spark, sf_dir):
+    """The Shapley values of a row and the mean margin are its margin: what is left over is the same for all rows."""
+    rows, trained = _trained(spark, sf_dir)
+    values = model.explain_rows(trained, rows, FEATURES, ["doc_id"])
+    total = values.select("doc_id", sum(F.col(f) for f in FEATURES).alias("total"))
+    scored = model.margins(trained, rows, FEATURES)
+    left = session.materialise(scored.join(total, "doc_id").select((F.col("margin") - F.col("total")).alias("d")), "left-over")
+    middle = left.agg(F.avg("d")).scalar()
+    return left.agg(F.count("*").alias("n"), F.count_if(F.coalesce(F.abs(F.col("d") - middle) > 1e-6, F.lit(True))).alias("off"))
+
+
+@query("attributions_add_up", "select unnest([" + ", ".join(f"'{f}'" for f in FEATURES) + "]) as feature, true as adds_up")
+def attributions_add_up(spark, sf_dir):
+    """The pairs of a feature, itself included, add up to its own mean value."""
+    rows, trained = _trained(spark, sf_dir)
+    parts = session.materialise(model.explain_features(trained, rows, FEATURES), "attributions")
+    own = parts.filter("other is null").select("feature", F.col("mean").alias("own"))
+    pairs = parts.filter("other is not null").groupBy("feature").agg(F.sum("mean").alias("pairs"))
+    return own.join(pairs, "feature").select("feature", (F.abs(F.col("own") - F.col("pairs")) < 1e-6).alias("adds_up"))
+
+
+@query("importance_of_constant", "select 'constant' as feature, 0.0::double as f1_drop")
+def importance_of_constant(spark, sf_dir):
+    """Moving the values of a feature that never varies changes nothing."""
+    rows = judged_documents(spark, sf_dir).withColumn("constant", F.lit(1.0))
+    names = [*FEATURES, "constant"]
+    fitted = model.train_ranker(rows, names, "quality", trees=3)
+    return model.permutation_importance(fitted, rows, names, "quality", "doc_id").filter("feature = 'constant'")

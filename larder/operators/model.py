@@ -80,6 +80,14 @@ def score_batch(
     return scored.withColumn("prediction", (F.col("probability") > threshold).cast("int"))
 
 
+def margins(model: PipelineModel, df: DataFrame, features: Sequence[str], out: str = "margin") -> DataFrame:
+    """Add the sum of the trees of each row, which its Shapley values explain."""
+    mapping = schemas.feature_name_map(features)
+    copies = df.withColumns({new: F.col(old) for old, new in mapping.items()})
+    scored = model.transform(copies).withColumn(out, vector_to_array("rawPrediction").getItem(1))
+    return scored.drop("prediction", "probability", "rawPrediction", "features", *mapping.values())
+
+
 def evaluate_scores(scored: DataFrame, label: str, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """Precision, recall, F1 and counts of a scored table at a threshold."""
     judged = scored.withColumn("__p", (F.col("probability") > threshold).cast("int"))
