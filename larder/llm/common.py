@@ -58,6 +58,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: int, most: int = 6 << 20
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             if b > a:
                 yield batch.slice(a, b - a)
+        pa.default_memory_pool().release_unused()  # a worker shares its executor's memory
 
 
 def spans(lengths: np.ndarray) -> np.ndarray:

@@ -68,7 +68,7 @@ def with_fingerprint(df: DataFrame, keep: list[str], text: str = "text", shingle
     """The kept columns and the fingerprint of each text, as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, len(keep), 2 << 20):
+        for batch in by_bytes(batches, len(keep), 1 << 20):
             values = fingerprints(text_array(batch.column(len(keep))), shingle).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(len(keep))), pa.array(values)], names=[*keep, out])
 
@@ -294,7 +294,7 @@ def with_wide_fingerprint(df: DataFrame, keep: list[str], piece_bits: int, piece
     words = -(-piece_bits * pieces // 64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, len(keep), 2 << 20):
+        for batch in by_bytes(batches, len(keep), 1 << 19):
             texts = text_array(batch.column(len(keep))).cast(pa.binary()).to_pylist()
             own = [[w for w in (x.strip(_EDGES) for x in raw.lower().split()) if w] for raw in texts]
             made = []
@@ -317,7 +317,7 @@ def near_copies(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, tie, component_id, rank): components of texts whose five-word resemblance is about 0.8 or more.
 
     ``tie`` is a hash of the text; ``rank`` is 1 for the first text of a component, by key and tie, and null else.
-    Pieces have as many bits as leave about 128 texts to meet by chance, and there are more of them the longer they are.
+    Texts without a word are copies of each other.  Pieces have as many bits as leave about 128 texts to meet by chance, and there are more of them the longer they are.
     """
     n = max(df.count(), 1)
     piece_bits = max(12, int(np.ceil(np.log2(n))) - 7)

@@ -50,7 +50,7 @@ def entries_of(word: str) -> list[str]:
 
 def _entry_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(entry, n_toxic, n_clean) of texts with labels: in how many texts an entry occurs."""
-    for batch in by_bytes(batches, 0):
+    for batch in by_bytes(batches, 0, 2 << 20):
         cut = chunks.by_white_space(text_array(batch.column(0)))
         known = [entries_of(v) for v in cut.values]
         counts = Counter(), Counter()
@@ -103,7 +103,7 @@ def cast_votes(docs: DataFrame, lexicon: list[str], keep: str = "doc_id") -> Dat
     voter = voters_of(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, 1):
+        for batch in by_bytes(batches, 1, 2 << 20):
             cut = chunks.by_white_space(text_array(batch.column(1)))
             bits = np.zeros(len(cut.values), np.int64)
             empty = np.zeros(len(cut.values), bool)
