@@ -102,6 +102,43 @@ def test_near_copies(spark, awkward, nothing):
     assert simhash.near_copies(awkward, "doc_id").count() == 10 and simhash.near_copies(nothing, "doc_id").count() == 0
 
 
+def resemblance(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split()))
+    return len(a & b) / len(a | b)
+
+
+def of_words(rng):
+    return lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+
+
+def test_contiguous_edits_at_the_limit(spark):
+    """Copies trimmed, with a paragraph replaced or a header added, of resemblance 0.80 to 0.85: all are found."""
+    rng = random.Random(12)
+    word = of_words(rng)
+    rows, pairs = [], []
+    for base in range(0, 1200, 2):
+        words = [word() for _ in range(rng.randint(80, 400))]
+        n, kind = len(words) - 4, rng.randrange(3)
+        for _ in range(200):
+            cut = rng.randint(1, n // 4)
+            if kind == 0:
+                copy = words[: len(words) - cut]
+            elif kind == 1:
+                at = rng.randrange(len(words) - cut)
+                copy = [*words[:at], *(word() for _ in range(cut)), *words[at + cut :]]
+            else:
+                copy = [*(word() for _ in range(cut)), *words]
+            if 0.8 <= resemblance(" ".join(words), " ".join(copy)) <= 0.85:
+                break
+        else:
+            continue
+        rows += [(base, " ".join(words)), (base + 1, " ".join(copy))]
+        pairs.append(base)
+    assert len(pairs) > 550
+    got = {r.key: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id").collect()}
+    assert [b for b in pairs if got[b + 1] != b] == []
+
+
 def test_masks_cover_all_near_pairs():
     for radius in (1, 2, 3):
         for n in (10, 10**5, 10**8, 10**10):
