@@ -139,6 +139,33 @@ def test_contiguous_edits_at_the_limit(spark):
     assert [b for b in pairs if got[b + 1] != b] == []
 
 
+def test_links_by_exact_resemblance(spark, monkeypatch):
+    """Texts around the limit and many that share a passage: components are those of exact resemblance, whatever is frequent."""
+    rng = random.Random(21)
+    word = of_words(rng)
+    passage, texts = [word() for _ in range(60)], []
+    for _ in range(120):  # a shared passage of resemblance 0.45 to 0.7 to each other, and some of more
+        texts.append([word() for _ in range(rng.randint(3, 12))] + passage + [word() for _ in range(rng.randint(3, 12))])
+    for _ in range(40):  # chains of copies of copies around the limit
+        words = [word() for _ in range(rng.randint(30, 120))]
+        for _ in range(5):
+            texts.append(words)
+            cut = rng.randint(1, len(words) // 8)
+            words = [*words[cut:], *(word() for _ in range(rng.randint(0, 6)))]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    label = list(range(len(rows)))
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if resemblance(rows[i][1], rows[j][1]) >= 0.8]
+    for _ in rows:
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.key: r.component_id for r in simhash.near_copies(frame, "doc_id").collect()}
+    assert [got[i] for i in range(len(rows))] == label and 150 < len(set(label)) < len(rows)
+    monkeypatch.setattr(simhash, "FREQUENT", 10**9)
+    got = {r.key: r.component_id for r in simhash.near_copies(frame, "doc_id").collect()}
+    assert [got[i] for i in range(len(rows))] == label
+
+
 def test_masks_cover_all_near_pairs():
     for radius in (1, 2, 3):
         for n in (10, 10**5, 10**8, 10**10):
