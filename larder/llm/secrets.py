@@ -17,17 +17,23 @@ from pyspark.sql import functions as F
 from larder import session
 from larder.llm.common import documents
 
+#: A private key: up to its END line, whatever headers it has, or the lines of base64 that follow where END is missing.
+_KEY_END = r"-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+_KEY = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----((?:[^-]++|-(?!----)){0,400}+(?=" + _KEY_END + ")"
+    r"|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{16,}+){0,400}+(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{1,15}+(?:=|\s*$)=?)?)(?:" + _KEY_END + ")?"
+)
 #: Kinds in the order in which spans with equal starts are listed: (name, pattern, group of the value, its least length).
 #: The patterns of access and hex ask for their lengths themselves, which finds the same maximal runs.
 KINDS = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
-    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("private_key", _KEY, 1, 0),
     ("forge", r"gh[opsru]_[A-Za-z0-9]{36,}", 0, 40),
     ("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 35),
 )
-BASE = 3
+BASE, KEY = 3, 3
 #: A value that so many owners have is an example.
 MIN_OWNERS = 3
 _EXAMPLE = "(?i)example|sample|dummy|placeholder|changeme|your|xxxx|1234567|abcdef"
@@ -67,10 +73,19 @@ def live_looking(value: Column) -> Column:
     return (F.length(value) >= 12) & varied & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & ~value.rlike(_EXAMPLE)
 
 
+def live_key(body: Column) -> Column:
+    """Whether the body of a private key, without white space, is one: a long run of base64 of many characters."""
+    varied = F.size(F.array_distinct(F.split(body, ""))) >= 16
+    return body.rlike("[A-Za-z0-9+/]{40}") & varied & ~body.rlike("EXAMPLE|example|PLACEHOLDER|placeholder|xxxxxxxx|XXXXXXXX")
+
+
 def scan(df: DataFrame, keep: list[str], text: str, owner: str, repository: str) -> DataFrame:
     """The kept columns, owner, repository and ``spans`` of (start, kind, until, hash, live): no values leave the row."""
     found = df.select(*keep, F.col(owner).cast("string").alias("owner"), F.col(repository).cast("string").alias("repository"), spans(F.col(text)).alias("spans"))
-    hidden = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["until"].alias("until"), F.sha2(s["value"], 256).alias("hash"), live_looking(s["value"]).alias("live"))
+    # a key is the same however its lines are broken
+    value = lambda s: F.when(s["kind"] == KEY, F.regexp_replace(s["value"], r"\s|\\[nr]", "")).otherwise(s["value"])
+    live = lambda s: F.when(s["kind"] == KEY, live_key(value(s))).otherwise(live_looking(s["value"]))
+    hidden = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["until"].alias("until"), F.sha2(value(s), 256).alias("hash"), live(s).alias("live"))
     return found.withColumn("spans", F.transform("spans", hidden))
 
 

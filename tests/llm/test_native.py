@@ -113,6 +113,31 @@ def test_ownership_and_redaction(spark):
     assert got[6].judged is None and got[6].out is None
 
 
+def test_private_keys_are_cut_whole(spark):
+    """Header, body and END go; also with headers, escaped line ends, or no END; a mere mention of the lines stays."""
+    import base64
+    import random
+
+    rng = random.Random(5)
+    body = lambda: [base64.b64encode(rng.randbytes(48)).decode() for _ in range(20)] + [base64.b64encode(rng.randbytes(10)).decode()]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    whole, headed, escaped, cut, shared = ("\n".join(body()) for _ in range(5))
+    mention = f"the {begin} line and the {end} line"
+    texts = [
+        f"a\n{begin}\n{whole}\n{end}\nb", f"a {begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n{headed}\n{end} b",
+        'a "' + f"{begin}\n{escaped}\n{end}".replace("\n", "\\n") + '" b', f"a {begin}\n{cut}\nand, b", mention, f"only {begin} and words, b",
+        *(f"{n} {begin}\n{shared}\n{end} b" for n in range(3)), f"a {begin}\r\n{whole}".replace("\n", "\r\n").replace("\r\r", "\r") + f"\r\n{end}",
+    ]
+    want = ["a\n[SECRET]\nb", "a [SECRET] b", 'a "[SECRET]" b', "a [SECRET]\nand, b", *texts[4:9], "a [SECRET]"]
+    owners = ["o1", "o1", "o2", "o2", "o1", "o1", "o1", "o2", "o3", "o1"]
+    rows = [(i, t, o, "en") for i, (t, o) in enumerate(zip(texts, owners, strict=True))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    judged = secrets.judge(secrets.scanned_table(frame, ["doc_id", "text"]))
+    got = {r.doc_id: r for r in judged.select("doc_id", "judged", secrets.redact(F.col("text"), F.col("judged")).alias("out")).collect()}
+    assert [got[i].out for i in range(len(want))] == want
+    assert [[s.verdict for s in got[i].judged if s.kind == 3] for i in (0, 4, 5, 6, 9)] == [["live"], ["unclear"], ["unclear"], ["example"], ["live"]]
+
+
 def test_secrets_awkward_rows(awkward, nothing):
     assert secrets.judge(secrets.scanned_table(awkward, ["doc_id"])).count() == 10
     assert secrets.judge(secrets.scanned_table(nothing, ["doc_id"])).count() == 0
