@@ -1,7 +1,8 @@
 """Secret scans with corpus-wide ownership frequency.
 
-Candidates are found by patterns in each text.  Their hashes are counted over distinct repositories and owners: a value
-that several owners have is a widely copied example, one that a single owner has and that looks random is live-looking.
+Candidates are found by patterns in each text.  Their hashes are counted over distinct owners, repositories and texts: a
+value that several owners or many repositories or texts have is a widely copied example; any other that looks random is
+live-looking.
 Only hashes leave the row of a text, and they are made distinct before they are counted, so a value in a third of all
 rows costs a count per partition.
 
@@ -33,9 +34,9 @@ KINDS = (
     ("forge", r"gh[opsru]_[A-Za-z0-9]{36,}", 0, 40),
     ("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 35),
 )
-BASE, KEY = 3, 3
-#: A value that so many owners have is an example.
-MIN_OWNERS = 3
+BASE, ASSIGN, KEY = 3, 0, 3
+#: A value that so many owners, repositories or distinct texts have is an example, also where one owner has most rows.
+MIN_OWNERS, MIN_REPOSITORIES, MIN_TEXTS = 3, 5, 20
 _EXAMPLE = "(?i)example|sample|dummy|placeholder|changeme|your|xxxx|1234567|abcdef"
 
 
@@ -67,10 +68,17 @@ def spans(text: Column) -> Column:
     return F.sort_array(F.concat(*[_spans_of(text, number) for number in range(len(KINDS))]))
 
 
-def live_looking(value: Column) -> Column:
-    """Whether a value looks random: long, of many characters, with letters and digits, and no word of an example."""
-    varied = F.size(F.array_distinct(F.split(value, ""))) >= 8
-    return (F.length(value) >= 12) & varied & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & ~value.rlike(_EXAMPLE)
+def live_looking(value: Column, assigned: Column) -> Column:
+    """Whether a value looks random: of many characters, with letters and digits, and no word of an example.
+
+    A value that is assigned to the name of a secret may be short (6 to 11 characters), or without a digit if its capitals
+    stand as in no word.  Short values without a digit, and words of one case, are no more than words.
+    """
+    several = lambda n: F.size(F.array_distinct(F.split(value, ""))) >= n
+    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+    long = (F.length(value) >= 12) & several(8)
+    scattered = value.rlike("[a-z]") & value.rlike("(?:[A-Z][a-z]?[A-Z].*){2}")
+    return ((long & mixed) | (assigned & ((several(5) & mixed) | (long & scattered)))) & ~value.rlike(_EXAMPLE)
 
 
 def live_key(body: Column) -> Column:
@@ -80,33 +88,36 @@ def live_key(body: Column) -> Column:
 
 
 def scan(df: DataFrame, keep: list[str], text: str, owner: str, repository: str) -> DataFrame:
-    """The kept columns, owner, repository and ``spans`` of (start, kind, until, hash, live): no values leave the row."""
-    found = df.select(*keep, F.col(owner).cast("string").alias("owner"), F.col(repository).cast("string").alias("repository"), spans(F.col(text)).alias("spans"))
+    """The kept columns, owner, repository, ``content`` (a hash of the text) and ``spans`` of (start, kind, until, hash, live): no values leave the row."""
+    of_row = F.col(owner).cast("string").alias("owner"), F.col(repository).cast("string").alias("repository"), F.xxhash64(F.col(text)).alias("content")
+    found = df.select(*keep, *of_row, spans(F.col(text)).alias("spans"))
     # a key is the same however its lines are broken
     value = lambda s: F.when(s["kind"] == KEY, F.regexp_replace(s["value"], r"\s|\\[nr]", "")).otherwise(s["value"])
-    live = lambda s: F.when(s["kind"] == KEY, live_key(value(s))).otherwise(live_looking(s["value"]))
+    live = lambda s: F.when(s["kind"] == KEY, live_key(value(s))).otherwise(live_looking(s["value"], s["kind"] == ASSIGN))
     hidden = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["until"].alias("until"), F.sha2(value(s), 256).alias("hash"), live(s).alias("live"))
     return found.withColumn("spans", F.transform("spans", hidden))
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """(hash, n_owners, n_repositories) of candidates (hash, owner, repository)."""
+    """(hash, n_owners, n_repositories, n_texts) of candidates (hash, owner, repository, content)."""
     null = F.lit("\0null")
     rows = candidates.select("hash", F.coalesce("owner", null).alias("owner"), F.coalesce("repository", null).alias("repository")).distinct()
     repositories = rows.groupBy("hash", "owner").agg(F.count("*").alias("n"))
-    return repositories.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"))
+    owners = repositories.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repositories"))
+    return owners.join(candidates.select("hash", "content").distinct().groupBy("hash").agg(F.count("*").alias("n_texts")), "hash")
 
 
 def judge(scanned: DataFrame, min_owners: int = MIN_OWNERS) -> DataFrame:
-    """A scan's table (with a unique ``row``) with ``judged``: spans as (start, kind, until, n_owners, n_repositories, verdict).
+    """A scan's table (with a unique ``row``) with ``judged``: spans as (start, kind, until, n_owners, n_repositories, n_texts, verdict).
 
-    The verdict is ``example`` (many owners), ``live`` (one owner, live-looking) or ``unclear``.
+    The verdict is ``example`` (many owners, repositories or texts), ``live`` (fewer of all, live-looking) or ``unclear``.
     """
-    one = scanned.filter(F.size("spans") > 0).select("row", "owner", "repository", F.explode("spans").alias("s"))
-    one = one.select("row", "owner", "repository", "s.*")
-    counted = one.join(ownership(one.select("hash", "owner", "repository")), "hash")
-    verdict = F.when(F.col("n_owners") >= min_owners, "example").when((F.col("n_owners") == 1) & F.col("live"), "live").otherwise("unclear")
-    span = F.struct("start", "kind", "until", "n_owners", "n_repositories", verdict.alias("verdict"))
+    one = scanned.filter(F.size("spans") > 0).select("row", "owner", "repository", "content", F.explode("spans").alias("s"))
+    one = one.select("row", "owner", "repository", "content", "s.*")
+    counted = one.join(ownership(one.select("hash", "owner", "repository", "content")), "hash")
+    copied = (F.col("n_owners") >= min_owners) | (F.col("n_repositories") >= MIN_REPOSITORIES) | (F.col("n_texts") >= MIN_TEXTS)
+    verdict = F.when(copied, "example").when(F.col("live"), "live").otherwise("unclear")
+    span = F.struct("start", "kind", "until", "n_owners", "n_repositories", "n_texts", verdict.alias("verdict"))
     by_row = counted.groupBy("row").agg(F.sort_array(F.collect_list(span)).alias("judged"))
     return scanned.join(by_row, "row", "left")
 

@@ -138,6 +138,25 @@ def test_private_keys_are_cut_whole(spark):
     assert [[s.verdict for s in got[i].judged if s.kind == 3] for i in (0, 4, 5, 6, 9)] == [["live"], ["unclear"], ["unclear"], ["example"], ["live"]]
 
 
+def test_verdicts_by_owners_repositories_and_texts(spark):
+    two, hot, spread, repeated = "aB3dE6gH9jK2mN5p", "zY8xW7vU6tS5rQ4p", "kQ2wE4rT6yU8iO0p", "mN1bV3cX5zL7kJ9h"
+    rows = [(f"x password={two}", "o1", "en"), (f"y password={two}", "o2", "en")]
+    rows += [(f"{n} secret: {hot} end", "o1", "en") for n in range(secrets.MIN_TEXTS)]
+    rows += [(f"token={spread}", o, lang) for o, lang in (("o1", "en"), ("o1", "de"), ("o1", "fr"), ("o2", "en"), ("o2", "de"))]
+    rows += [(f"token={repeated}", "o1", "en")] * 40
+    short = {"Tr0ub4d0r": "live", "s3cr3t": "live", "abcdeg": "unclear", "kXqRzTBvWmLpNsAd": "live", "getTokenFromCaller": "unclear", "wordsofonecase": "unclear"}
+    rows += [(f"password={v}", "o1", "en") for v in short]
+    rows += [("build Tr0ub4d0rX", "o1", "en")]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, source string, lang string")
+    judged = secrets.judge(secrets.scanned_table(frame, ["doc_id", "text"]))
+    got = [(r.text, r.judged, r.out) for r in judged.select("text", "judged", secrets.redact(F.col("text"), F.col("judged")).alias("out"), "doc_id").orderBy("doc_id").collect()]
+    verdicts = lambda value: {(s.verdict, s.n_owners, s.n_repositories, s.n_texts) for t, j, _ in got if value in t for s in j or []}
+    assert verdicts(two) == {("live", 2, 2, 2)} and [o for _, _, o in got[:2]] == ["x [SECRET]", "y [SECRET]"]
+    assert verdicts(hot) == {("example", 1, 1, secrets.MIN_TEXTS)} and verdicts(spread) == {("example", 2, 5, 1)}
+    assert verdicts(repeated) == {("live", 1, 1, 1)}
+    assert {v: next(j[0].verdict for t, j, _ in got if t == f"password={v}") for v in short} == short
+
+
 def test_secrets_awkward_rows(awkward, nothing):
     assert secrets.judge(secrets.scanned_table(awkward, ["doc_id"])).count() == 10
     assert secrets.judge(secrets.scanned_table(nothing, ["doc_id"])).count() == 0
