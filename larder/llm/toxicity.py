@@ -35,7 +35,8 @@ from larder.llm.common import by_bytes, documents, spans, text_array
 #: The lexicon is learned from at most so many labelled training rows of either class, those of the lowest hashes.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4_000, 8_000
 PREFIXES = (3, 4, 5, 6, 7, 8)
-ENTRIES = 400
+#: An entry must be in so many sampled texts; of the entries that pass the test, about such a share may be false.
+LEAST, FALSE = 4, 0.01
 GROUPS = 4
 ROUNDS = 8
 THRESHOLD = 0.7
@@ -61,8 +62,31 @@ def _entry_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(both, pa.string()), *numbers], names=["entry", "n_toxic", "n_clean"])
 
 
+def _log_chance(p: float) -> Column:
+    """A bound of the log chance that of ``a + b`` texts so many are toxic, where a share ``p`` of all sampled ones is."""
+    n = F.col("a") + F.col("b")
+    part = lambda c, share: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (n * share))).otherwise(0.0)
+    return F.when(F.col("a") > n * p, -(part("a", p) + part("b", 1 - p))).otherwise(0.0)
+
+
+def _cut(counts: DataFrame, chance: Column) -> float:
+    """The log chance up to which about ``FALSE`` of the entries are false (Benjamini and Hochberg)."""
+    # chances that reach no more than one in e are never below the cut
+    by_chance = counts.groupBy(F.round(chance, 6).alias("c")).agg(F.count("*").alias("n"))
+    found = by_chance.agg(F.sum("n").alias("all"), F.sort_array(F.collect_list(F.when(F.col("c") < -1, F.struct("c", "n")))).alias("rows")).first()
+    upto, cut = 0, -math.inf
+    for r in found["rows"]:
+        upto += r.n
+        if r.c <= math.log(FALSE * upto / found["all"]):
+            cut = r.c
+    return cut
+
+
 def learn_lexicon(docs: DataFrame, labels: DataFrame) -> list[str]:
-    """Entries that nearly only toxic texts have, best first, at most ``ENTRIES``; labels are (doc_id, toxic)."""
+    """All entries that nearly only toxic texts have, more than chance explains, best first; labels are (doc_id, toxic).
+
+    Their number is bounded by the sample alone.
+    """
     of_class = lambda c, most: labels.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     # at most SAMPLE_TOXIC + SAMPLE_CLEAN rows may be broadcast
     sample = F.broadcast(of_class(1, SAMPLE_TOXIC).union(of_class(0, SAMPLE_CLEAN)))
@@ -71,12 +95,12 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame) -> list[str]:
     n = sample.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean")).first()
     if not n.toxic:
         return []
+    counts = session.materialise(counts.filter(F.col("a") + F.col("b") >= LEAST), "toxicity-entries")
     share = (F.col("a") + 0.5) / (n.toxic + 1), (F.col("b") + 0.5) / (n.clean + 1)
-    enough = max(4, n.toxic // 150)
-    good = counts.filter((F.col("a") >= enough) & (share[0] > 20 * share[1]))
+    chance = _log_chance(n.toxic / (n.toxic + n.clean + 1))
+    good = counts.filter((F.col("a") >= LEAST) & (share[0] > 20 * share[1]) & (F.round(chance, 6) <= _cut(counts, chance)))
     worth = F.log(share[0] / share[1]) * F.sqrt("a")
-    best = good.select("entry", worth.alias("worth")).orderBy(F.desc("worth"), "entry").limit(ENTRIES)
-    ranked = best.agg(F.sort_array(F.collect_list(F.struct((-F.col("worth")).alias("w"), "entry"))).alias("all")).first()
+    ranked = good.agg(F.sort_array(F.collect_list(F.struct((-worth).alias("w"), "entry"))).alias("all")).first()
     return [r.entry for r in ranked["all"]]
 
 
@@ -244,7 +268,7 @@ def fit_classifier(rows: DataFrame, lexicon: list[str], labels: LabelModel) -> M
     grouped = rows.groupBy(features.alias("x")).agg(F.sum(p).alias("t"), F.sum(1 - p).alias("c"))
     both = F.inline(F.array(F.struct(F.lit(1.0).alias("label"), F.col("t").alias("weight")), F.struct(F.lit(0.0).alias("label"), F.col("c").alias("weight"))))
     train = session.materialise(grouped.select("x", both), "toxicity-training").select(array_to_vector("x").alias("features"), "label", "weight")
-    fitted = LogisticRegression(weightCol="weight", regParam=1e-4, maxIter=30, standardization=False).fit(train)
+    fitted = LogisticRegression(weightCol="weight", regParam=1e-4, maxIter=50, standardization=False).fit(train)
     return Model(lexicon, labels, float(fitted.intercept), [float(w) for w in fitted.coefficients])
 
 

@@ -44,6 +44,25 @@ def test_held_out_accuracy(made):
     assert caught > 0.95 and not any(r.predicted for r in held if not r.toxic)
 
 
+def test_many_rare_insults(spark):
+    """Two hundred insults, one to a toxic text: none is in a hundred and fiftieth of the toxic texts on average."""
+    rng = random.Random(6)
+    word = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    common = [word("aeioulmnrst", rng.randint(2, 9)) for _ in range(400)]
+    insults = [word("bcdfghjkpqvwxyz", rng.randint(6, 9)) for _ in range(200)]
+    rows = []
+    for i in range(18_000):
+        ws, toxic = [rng.choice(common) for _ in range(rng.randint(5, 20))], int(i % 3 == 0)
+        if toxic:
+            ws.insert(rng.randrange(len(ws)), rng.choice(insults))
+        rows.append((i, " ".join(ws), toxic))
+    made = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    held = [r for r in toxicity.scores(made, made.select("doc_id", "toxic")).join(made, "doc_id").collect() if r.held_out]
+    caught = sum(r.predicted for r in held if r.toxic) / sum(r.toxic for r in held)
+    lost = sum(r.predicted for r in held if not r.toxic) / sum(1 - r.toxic for r in held)
+    assert caught > 0.95 and lost < 0.01, (caught, lost)
+
+
 def test_held_out_labels_are_never_read(made):
     labels = made.select("doc_id", "toxic")
     turned = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
