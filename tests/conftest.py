@@ -26,8 +26,3 @@ def sf_dir():
 def root(spark):
     """A new scratch folder for one test."""
     return session.scratch_path(spark, "test")
-
-
-def rows(df, *order):
-    """Collected rows as tuples in a fixed order."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import pytest
-from conftest import rows
+from support import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -6,7 +6,7 @@ import random
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from catalog import table

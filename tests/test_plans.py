@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from catalog import bindings, table
