@@ -153,6 +153,17 @@ def before_spaces(texts: pa.Array) -> Chunks:
     return _mixed(texts, odd, quick, _BEFORE_SPACE.split)
 
 
+def after_a_space(texts: pa.Array) -> Chunks:
+    """Chunks of a space and each text, that each begin with the space before a word; an empty text is one space."""
+
+    def quick(some: pa.Array) -> Chunks:
+        values, codes, offsets = _coded(pc.split_pattern(some, " "))
+        return Chunks([" " + v for v in values], codes, offsets)
+
+    odd = pc.match_substring_regex(texts, r"(^ )|([\s\x0b\x1c-\x1f\x{85}\p{Z}] )")
+    return _mixed(texts, odd, quick, lambda t: _BEFORE_SPACE.split(" " + t))
+
+
 def marked_words(texts: pa.Array) -> Chunks:
     """Chunks that begin with a run of spaces, without their first space; a text starts with an unwritten space.
 

@@ -31,8 +31,9 @@ class PieceModel:
         from sentencepiece import SentencePieceProcessor
 
         self.model = SentencePieceProcessor(model_file=path)
-        pieces = map(self.model.id_to_piece, range(self.model.get_piece_size()))
-        self.separable = not any("▁" in piece.lstrip("▁") for piece in pieces)
+        self.pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.n_pieces = len(self.pieces)
+        self.separable = not any("▁" in piece.lstrip("▁") for piece in self.pieces)
         self.mark = self.model.piece_to_id("▁")
         self.table = chunks.ChunkTable(self._encode)
 

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from larder import session
 from larder.llm import blocks
 from larder.llm.chunks import gather
-from larder.llm.common import documents, spans
+from larder.llm.common import documents, mixed, spans
 
 #: Every difference modulo the period is one of two cover positions.
 PERIOD, COVER = 7, (0, 1, 3)
@@ -48,13 +48,6 @@ _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit words after which all bits depend on all."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def _powers(base: int, n: int, modulus: int) -> np.ndarray:
     """base^0 ... base^(n - 1), by doubling."""
     out = np.ones(1, np.uint64)

@@ -24,6 +24,11 @@ def _vocabulary(tokenizer) -> list[str]:
     return [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size())]
 
 
+def entries(path: str) -> list[str]:
+    """The vocabulary of a file in the order of its ids."""
+    return _vocabulary(_tokenizer(path))
+
+
 def byte_level(path: str) -> chunks.ChunkTable:
     """Table of a byte-level vocabulary, whose tokens keep the space before a word."""
 
