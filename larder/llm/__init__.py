@@ -22,6 +22,7 @@ MODULES = (
     "token_files",
     "simhash",
     "sharding",
+    "negatives",
     "alignment",
     "substrings",
 )
