@@ -9,6 +9,7 @@ from larder import session
 from larder.functions import text
 from larder.operators import merge
 from larder.sources import snapshots
+from larder.sources.keyed import KeyedTable
 from larder.sources.serving import ServingTable
 from larder.streaming import incremental
 
@@ -47,10 +48,40 @@ def change_trigger(spark, sf_dir):
     f"with {_CHANGED} select c_custkey as user_id, c_name, c_acctbal from customer where c_custkey in (select user_id from changed)",
 )
 def load_by_keys(spark, sf_dir):
+    """The changed ids' documents from a keyed table, of which only their directories are read."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_name", "c_acctbal")
+    keyed = KeyedTable(spark, session.scratch_path(spark, "customers"), ["user_id"]).write(customers, buckets=64)
+    return keyed.load(_changed(spark, sf_dir))
+
+
+@query(
+    "load_by_keys_scan",
+    f"with {_CHANGED} select c_custkey as user_id, c_name, c_acctbal from customer where c_custkey in (select user_id from changed)",
+)
+def load_by_keys_scan(spark, sf_dir):
+    """The same from a table of any layout."""
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_name", "c_acctbal")
     return merge.load_by_keys(customers, _changed(spark, sf_dir), "user_id")
 
 
+@query(
+    "serving_load",
+    f"""with {_CHANGED} select c_custkey as user_id, case when c_custkey % 3 = 0 then 'new' else c_name end as c_name,
+       case when c_custkey % 3 <> 0 then c_acctbal end as c_acctbal
+from customer where c_custkey in (select user_id from changed)""",
+)
+def serving_load(spark, sf_dir):
+    """Documents of some ids from a serving table that was compacted once and has changes beside it."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_name", "c_acctbal")
+    served = ServingTable(spark, session.scratch_path(spark, "served"), ["user_id"])
+    served.publish(served.write(customers, "full"))
+    newer = customers.filter("user_id % 3 = 0").select("user_id", F.lit("new").alias("c_name"))
+    served.write(newer.filter("user_id % 2 = 0"), "incremental")
+    served.compact()
+    served.write(newer.filter("user_id % 2 = 1"), "incremental")
+    return served.load(_changed(spark, sf_dir))
+
+
 def _orders(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
 
@@ -235,9 +266,8 @@ def incremental_reload(spark, sf_dir):
         tags = F.concat_ws("|", "c_mktsegment", "c_nationkey")
         return df.select("c_custkey", "c_name", text.split_pipe(tags).alias("tags"))
 
-    query_ = incremental.reload_stream(
-        stream, lambda: customers, served, session.scratch_path(spark, "progress"), transform
-    )
+    keyed = KeyedTable(spark, session.scratch_path(spark, "customers"), ["c_custkey"]).write(customers, buckets=64)
+    query_ = incremental.reload_stream(stream, keyed, served, session.scratch_path(spark, "progress"), transform)
     incremental.run_to_end(query_)
     return served.read().withColumn("tags", F.array_join("tags", "|"))
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import bindings, query, table
+from larder import session
 from larder.functions import numbers
 from larder.functions import vectors as vector_columns
 from larder.operators import aggregates, joins, ranking
 from larder.plans import features
+from larder.sources.keyed import KeyedTable
 
 def _side(spark, sf_dir, kind, first, n):
     rows = table(spark, sf_dir, "events").filter(F.col("event_type") == kind)
@@ -202,13 +204,18 @@ from documents d left join embeddings e on e.vec_id = d.doc_id
 left join (select label, count(*) as members, avg(embedding[1]::double) as first from embeddings group by 1) s on s.label = d.doc_id % 12""",
 )
 def lookup_by_keys(spark, sf_dir):
-    """A vector by id, and a mean vector with its count by category."""
+    """A vector by id, and a mean vector with its count by category.
+
+    The vectors are a keyed table: those of a batch of ids are read from their directories alone.
+    """
     embeddings = table(spark, sf_dir, "embeddings")
     docs = table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 12).cast("int").alias("category"))
     means = aggregates.vector_mean(embeddings, ["label"], "embedding").join(
         embeddings.groupBy("label").agg(F.count("*").alias("members")), "label"
     )
-    by_id = joins.lookup(docs, embeddings, {"doc_id": "vec_id"}, {"label": "label", "embedding": "adhoc"})
+    keyed = KeyedTable(spark, session.scratch_path(spark, "vectors"), ["vec_id"]).write(embeddings, buckets=64)
+    wanted = keyed.load(docs.select(F.col("doc_id").alias("vec_id")))
+    by_id = joins.lookup(docs, wanted, {"doc_id": "vec_id"}, {"label": "label", "embedding": "adhoc"})
     both = joins.lookup(by_id, means, {"category": "label"}, {"vector": "mean", "members": "members"})
     norm = F.round(vector_columns.dot("adhoc", "adhoc"), 5).alias("norm")
     return both.select("doc_id", "label", norm, "members", F.round(F.col("mean")[0], 5).alias("first"))

@@ -2,8 +2,8 @@
 
 A micro-batch is written as one batch of changes beside the published version of
 a serving table, under the stream's name and its batch id: a batch that runs again
-after a failure replaces itself, and several streams may write to one table.  Its cost follows the batch.  Whatever the order or number of
-batches, the folded table equals one batch recompute.
+after a failure replaces itself, and several streams may write to one table.  Its cost follows the batch.  Whatever the
+order or number of batches, the folded table equals one batch recompute.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from larder.operators import merge
 from larder.sources import files
+from larder.sources.keyed import KeyedTable
 from larder.sources.serving import ServingTable
 
 
@@ -75,20 +76,21 @@ def upsert_stream(
 
 def reload_stream(
     stream: DataFrame,
-    documents: Callable[[], DataFrame],
+    documents: KeyedTable | Callable[[], DataFrame],
     table: ServingTable,
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> StreamingQuery:
     """Detect, reload, transform, upsert.
 
-    Change rows only name ids; their full documents are read from the source,
-    transformed, and replace what the table holds.
+    Change rows only name ids; their full documents are read from the source, transformed, and replace what the table
+    holds.  A keyed source is read in the directories of the changed ids alone; any other is scanned in every micro-batch.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         keys = batch.select(*table.ids).distinct()
-        reloaded = documents().join(keys, list(table.ids), "left_semi")
+        keyed = isinstance(documents, KeyedTable)
+        reloaded = documents.load(keys) if keyed else documents().join(keys, list(table.ids), "left_semi")
         table.write(transform(reloaded), "incremental", batch=batch_id, writer=writer_of(checkpoint))
 
     return _start(stream, each, checkpoint)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder import session
-from larder.sources import extract, files, manifest, snapshots
+from larder.sources import extract, files, keyed, manifest, snapshots
 from larder.sources.serving import ServingTable
 
 A, B, C = "20240101_000000_000000", "20240102_000000_000000", "20240103_000000_000000"
@@ -150,14 +151,24 @@ def test_incremental_needs_a_version(spark, root):
 def test_changes_replay_and_compact(spark, root):
     served = ServingTable(spark, root, ["id"])
     served.publish(served.write(docs(spark, (1, "a"), (2, "b")), "full", "v1"))
-    served.write(docs(spark, (2, "x"), (3, "c")), "incremental", batch=0)
-    served.write(docs(spark, (2, "y")), "incremental", batch=1)
+    served.write(docs(spark, (2, "x"), (3, "c")), "incremental", batch=0, writer="w")
+    served.write(docs(spark, (2, "y")), "incremental", batch=1, writer="w")
     wanted = [(1, "a"), (2, "y"), (3, "c")]
     assert rows(served.read()) == wanted
-    served.write(docs(spark, (2, "y")), "incremental", batch=1)
+    served.write(docs(spark, (2, "y")), "incremental", batch=1, writer="w")
     assert rows(served.read()) == wanted
-    served.compact("v2")
-    assert rows(served.read()) == wanted and served.changes("v2") is None
+    served.compact()
+    assert rows(served.read()) == wanted and served.changes("v1") is None
+
+
+def test_a_replay_replaces_all_of_its_batch(spark, root):
+    served = ServingTable(spark, root, ["id"])
+    served.publish(served.write(docs(spark, (1, "a")), "full"))
+    served.write(docs(spark, (1, "x"), (2, "x")), "incremental", batch=3, writer="w")
+    served.write(docs(spark, (2, "y")), "incremental", batch=3, writer="w")
+    assert rows(served.read()) == [(1, "a"), (2, "y")]
+    served.write(docs(spark, (2, "z")).filter("false"), "incremental", batch=3, writer="w")
+    assert rows(served.read()) == [(1, "a")]
 
 
 def test_writers_do_not_overwrite_each_other(spark, root):
@@ -171,28 +182,124 @@ def test_writers_do_not_overwrite_each_other(spark, root):
     served.write(docs(spark, (3, "s"), (4, "s")), "incremental", batch=0, writer="s")  # a replay keeps its place
     assert rows(served.read()) == wanted
     with pytest.raises(ValueError):
-        served.write(docs(spark, (1, "a")), "incremental", writer="a~b")
+        served.write(docs(spark, (1, "a")), "incremental", writer="a/b")
+
+
+def test_writers_at_one_time(spark, root):
+    """Batches written side by side, several of which see the same numbers taken, all count."""
+    served = ServingTable(spark, root, ["id"])
+    served.publish(served.write(docs(spark, (0, "base")), "full"))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: served.write(docs(spark, (i, f"w{i}")), "incremental"), range(1, 9)))
+    wanted = [(0, "base"), *((i, f"w{i}") for i in range(1, 9))]
+    assert rows(served.read()) == wanted
+    served.compact()
+    assert rows(served.read()) == wanted
 
 
 def test_compaction_keeps_batches_written_meanwhile(spark, root, monkeypatch):
     served = ServingTable(spark, root, ["id"])
     served.publish(served.write(docs(spark, (1, "a"), (2, "b")), "full", "v1"))
     served.write(docs(spark, (2, "x")), "incremental")
-    write_version = ServingTable.write_version
+    write_fold = ServingTable._write_fold
 
-    def slow(self, made, version=None):
-        name = write_version(self, made, version)
-        if version == "v2":  # another writer, between the read and the publish
+    def slow(self, made, version, fold):
+        write_fold(self, made, version, fold)
+        if fold == 1:  # another writer, between the read and the publish
             served.write(docs(spark, (1, "z"), (3, "c")), "incremental", writer="other")
-        return name
 
-    monkeypatch.setattr(ServingTable, "write_version", slow)
-    served.compact("v2", keep=1)
-    wanted = [(1, "z"), (2, "x"), (3, "c")]
-    assert served.published() == "v2" and rows(served.read()) == wanted
+    monkeypatch.setattr(ServingTable, "_write_fold", slow)
+    served.compact()
+    assert rows(served.read()) == [(1, "z"), (2, "x"), (3, "c")]
     served.write(docs(spark, (3, "d")), "incremental")
-    served.compact("v3", keep=1)
-    assert rows(served.read()) == [(1, "z"), (2, "x"), (3, "d")] and served.changes("v3") is None
+    served.compact()
+    assert rows(served.read()) == [(1, "z"), (2, "x"), (3, "d")] and served.changes("v1") is None
+
+
+def test_compaction_writes_only_the_ranges_of_its_changes(spark, root):
+    served = ServingTable(spark, root, ["id"], buckets=16)
+    base = spark.range(400).selectExpr("cast(id as int) as id", "'old' as v")
+    served.publish(served.write(base, "full", "v1"))
+    served.write(docs(spark, (7, "new"), (9_000, "new")), "incremental")
+    served.compact()
+    written = files.child_directories(spark, f"{root}/versions/v1/fold=1")
+    ranges = base.limit(0).union(docs(spark, (7, ""), (9_000, ""))).select(keyed.bucket_of(["id"], 16)).distinct().collect()
+    assert written == sorted(f"{keyed.BUCKET}={r[0]}" for r in ranges)
+    assert len(files.child_directories(spark, f"{root}/versions/v1/fold=0")) == 16
+    got = {r.id: r.v for r in served.read().collect()}
+    assert got == {**{i: "old" for i in range(400)}, 7: "new", 9_000: "new"}
+
+
+def test_a_compaction_cut_short_is_done_again(spark, root, monkeypatch):
+    """The pointer has moved, one of two folded batches is gone: the other is folded again and changes nothing."""
+    for rule, order in (("replace", ()), ("partial", ("at",))):
+        served = ServingTable(spark, f"{root}/{rule}", ["id"], rule, order)
+        made = lambda *r: spark.createDataFrame(list(r), "id int, v string, at int")
+        served.publish(served.write(made((1, "a", 0), (2, "b", 0)), "full"))
+        served.write(made((1, "x", 1), (2, "late", 1)), "incremental")
+        served.write(made((2, "y", 2)), "incremental")
+        wanted, gone = rows(served.read()), []
+
+        def once(spark_, parent, name, gone=gone):
+            if gone:
+                raise RuntimeError("stopped")
+            gone.append(name)
+            files_delete(spark_, parent, name)
+
+        files_delete = files.delete_child
+        monkeypatch.setattr(files, "delete_child", once)
+        with pytest.raises(RuntimeError):
+            served.compact()
+        monkeypatch.setattr(files, "delete_child", files_delete)
+        assert rows(served.read()) == wanted
+        served.compact()
+        assert rows(served.read()) == wanted and served.changes(served.published()) is None
+
+
+def test_empty_versions_and_loads(spark, root):
+    served = ServingTable(spark, root, ["id"])
+    served.publish(served.write(docs(spark, (1, "a")).filter("false"), "full"))
+    assert rows(served.read()) == [] and served.read().columns == ["id", "v"]
+    served.write(docs(spark, (1, "a"), (2, "b")), "incremental")
+    keys = spark.createDataFrame([(2,), (2,), (None,), (5,)], "id long")
+    assert rows(served.load(keys)) == [(2, "b")]
+    served.compact()
+    served.write(docs(spark, (5, "e")), "incremental")
+    assert rows(served.load(keys)) == [(2, "b"), (5, "e")] and rows(served.load(keys.limit(0))) == []
+
+
+def files_read(df):
+    """Files of keyed tables that the scans of a query that has run took."""
+    plan = df._jdf.queryExecution().executedPlan()
+    for inner, unwrap in (("AdaptiveSparkPlan", "executedPlan"), ("ResultQueryStage", "plan")):
+        plan = getattr(plan, unwrap)() if plan.nodeName() == inner else plan
+    leaves = plan.collectLeaves()
+    scans = [s for s in map(leaves.apply, range(leaves.size())) if s.nodeName().startswith("Scan parquet") and keyed.BUCKET in s.toString()]
+    assert scans
+    return sum(s.metrics().get("numFiles").get().value() for s in scans)
+
+
+def test_keys_read_only_their_directories(spark, root):
+    base = spark.range(5_000).selectExpr("id", "concat('v', id) as v")
+    stored = keyed.KeyedTable(spark, f"{root}/t", ["id"]).write(base, buckets=32)
+    assert rows(stored.read().limit(1)) and stored.read().count() == 5_000
+    keys = spark.createDataFrame([(3,), (3,), (None,), (77,), (9_999,)], "id int")
+    found = stored.load(keys)
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString().lower()
+    assert rows(found) == [(3, "v3"), (77, "v77")]
+    assert 1 <= files_read(found) <= 3
+    assert rows(stored.load(keys.limit(0))) == []
+    empty = keyed.KeyedTable(spark, f"{root}/e", ["id"]).write(base.limit(0))
+    assert empty.read().count() == 0 and rows(empty.load(keys)) == []
+    with pytest.raises(FileNotFoundError):
+        keyed.KeyedTable(spark, f"{root}/none", ["id"]).read()
+
+
+def test_keys_of_several_columns(spark, root):
+    base = spark.range(300).selectExpr("id % 10 as a", "concat('k', id div 10) as b", "id as v")
+    stored = keyed.KeyedTable(spark, root, ["a", "b"]).write(base)
+    keys = spark.createDataFrame([(1, "k2"), (4, "k29"), (4, None)], "a int, b string")
+    assert rows(stored.load(keys)) == [(1, "k2", 21), (4, "k29", 294)]
 
 
 def test_batches_may_give_different_fields(spark, root):
