@@ -8,6 +8,7 @@ from catalog import query, table
 from larder import session
 from larder.functions import text
 from larder.operators import aggregates, model
+from larder.sources import files, models, schemas, snapshots
 
 FEATURES = ["n_chars", "n_words", "n_lines", "word_length", "digit_share"]
 
@@ -30,38 +31,59 @@ def judged_documents(spark, sf_dir):
     return rows.join(table(spark, sf_dir, "labels"), "doc_id")
 
 
-_MODELS: dict = {}
+def _model_root(spark, sf_dir):
+    """Where the models of these tables are: a rewritten table has another place."""
+    tables = [f"{sf_dir}/{name}.parquet" for name in ("documents", "labels")]
+    return f"{session.workspace(spark)}/larder/models/{files.fingerprint(spark, *tables)}"
 
 
-def _trained(spark, sf_dir, trees=model.TREES, factor=0.8):
-    """The judged documents and a model of all its trees; a session trains it once for each set of tables."""
-    rows = judged_documents(spark, sf_dir)
-    key = spark.sparkContext.applicationId, sf_dir, trees, factor
-    if key not in _MODELS:
-        _MODELS[key] = model.train_ranker(rows, FEATURES, "quality", factor, ["doc_id"], trees=trees)
-    return rows, _MODELS[key]
+def _train(spark, sf_dir):
+    """Train on 80 % of the judged documents, with all trees, and save the model."""
+    return models.train(judged_documents(spark, sf_dir), _model_root(spark, sf_dir), FEATURES, "quality", sampling_factor=0.8, sample_keys=["doc_id"])
+
+
+def _saved(spark, sf_dir):
+    """The judged documents and the newest model of these tables; the first who asks has it trained."""
+    root = _model_root(spark, sf_dir)
+    if not snapshots.complete_snapshots(spark, root):
+        _train(spark, sf_dir)
+    return judged_documents(spark, sf_dir), models.load(spark, root)
 
 
 @query("train_ranker")
 def train_ranker(spark, sf_dir):
-    """Train on 80 % of the rows; the model judged on the sources of all rows."""
-    rows, trained = _trained(spark, sf_dir)
-    scored = model.score_batch(trained, rows, FEATURES)
+    """Train and save a model, then judge the saved one, by its name, on the sources of all rows."""
+    name = _train(spark, sf_dir)
+    saved = models.load(spark, _model_root(spark, sf_dir), pinned=name)
+    scored = saved.score(saved.check(judged_documents(spark, sf_dir)))
     return scored.groupBy("source").agg(
         F.count("*").alias("n"), F.avg("probability").alias("mean_probability"), F.sum("quality").alias("positives")
     )
 
 
+@query(
+    "model_snapshot",
+    "select unnest(["
+    + ", ".join(f"{{'name': 'f{n}', 'feature': '{f}', 'type': '{t}'}}" for n, (f, t) in enumerate(zip(FEATURES, ("bigint", "int", "int", "double", "double"), strict=True)))
+    + "], recursive := true)",
+)
+def model_snapshot(spark, sf_dir):
+    """The feature map and the schema that lie beside the newest model."""
+    _, saved = _saved(spark, sf_dir)
+    rows = [(new, old, saved.schema[old].dataType.simpleString()) for old, new in schemas.feature_name_map(saved.features).items()]
+    return spark.createDataFrame(rows, "name string, feature string, type string")
+
+
 @query("score_batch")
 def score_batch(spark, sf_dir):
-    rows, trained = _trained(spark, sf_dir)
-    return model.score_batch(trained, rows, FEATURES, threshold=0.6).select("doc_id", "quality", "probability", "prediction")
+    rows, saved = _saved(spark, sf_dir)
+    return saved.score(rows, threshold=0.6).select("doc_id", "quality", "probability", "prediction")
 
 
 @query("evaluate_model")
 def evaluate_model(spark, sf_dir):
-    rows, trained = _trained(spark, sf_dir)
-    return model.evaluate_scores(model.score_batch(trained, rows, FEATURES), "quality")
+    rows, saved = _saved(spark, sf_dir)
+    return model.evaluate_scores(saved.score(rows), "quality")
 
 
 @query(
@@ -127,21 +149,21 @@ def leaderboard(spark, sf_dir):
 @query("explain_features")
 def explain_features(spark, sf_dir):
     """Mean Shapley value of every feature and of every pair of features."""
-    rows, trained = _trained(spark, sf_dir)
-    return model.explain_features(trained, rows, FEATURES)
+    rows, saved = _saved(spark, sf_dir)
+    return model.explain_features(saved.fitted, rows, FEATURES)
 
 
 @query("explain_rows")
 def explain_rows(spark, sf_dir):
     """Shapley values of every document."""
-    rows, trained = _trained(spark, sf_dir)
-    return model.explain_rows(trained, rows, FEATURES, ["doc_id"])
+    rows, saved = _saved(spark, sf_dir)
+    return model.explain_rows(saved.fitted, rows, FEATURES, ["doc_id"])
 
 
 @query("permutation_importance")
 def permutation_importance(spark, sf_dir):
-    rows, trained = _trained(spark, sf_dir)
-    return model.permutation_importance(trained, rows, FEATURES, "quality", "doc_id")
+    rows, saved = _saved(spark, sf_dir)
+    return model.permutation_importance(saved.fitted, rows, FEATURES, "quality", "doc_id")
 
 
 _JUDGED = "documents join labels using (doc_id)"
@@ -150,8 +172,8 @@ _JUDGED = "documents join labels using (doc_id)"
 @query("scores_agree", f"select source, count(*) as n, 0::bigint as off, cast(sum(quality) as bigint) as positives from {_JUDGED} group by 1")
 def scores_agree(spark, sf_dir):
     """Probabilities lie between 0 and 1, and predictions follow from them and the threshold."""
-    rows, trained = _trained(spark, sf_dir)
-    scored = model.score_batch(trained, rows, FEATURES, threshold=0.6)
+    rows, saved = _saved(spark, sf_dir)
+    scored = model.score_batch(saved.fitted, rows, FEATURES, threshold=0.6)
     right = F.col("probability").between(0, 1) & (F.col("prediction") == (F.col("probability") > 0.6).cast("int"))
     return scored.groupBy("source").agg(
         F.count("*").alias("n"), F.count_if(~right).alias("off"), F.sum("quality").cast("bigint").alias("positives")
@@ -161,8 +183,8 @@ def scores_agree(spark, sf_dir):
 @query("evaluation_recomputed", f"select count(*) as n, 0::bigint as off from {_JUDGED}")
 def evaluation_recomputed(spark, sf_dir):
     """The model's metrics against counts taken from its scores by hand."""
-    rows, trained = _trained(spark, sf_dir)
-    scored = session.materialise(model.score_batch(trained, rows, FEATURES), "scores")
+    rows, saved = _saved(spark, sf_dir)
+    scored = session.materialise(model.score_batch(saved.fitted, rows, FEATURES), "scores")
     made = model.evaluate_scores(scored, "quality")
     said, good = F.col("probability") > 0.5, F.col("quality") == 1
     hits, wrong, missed = scored.agg(F.count_if(said & good)).scalar(), scored.agg(F.count_if(said & ~good)).scalar(), scored.agg(F.count_if(~said & good)).scalar()
@@ -174,10 +196,10 @@ def evaluation_recomputed(spark, sf_dir):
 @query("explanations_add_up", f"select count(*) as n, 0::bigint as off from {_JUDGED}")
 def explanations_add_up(spark, sf_dir):
     """The Shapley values of a row and the mean margin are its margin: what is left over is the same for all rows."""
-    rows, trained = _trained(spark, sf_dir)
-    values = model.explain_rows(trained, rows, FEATURES, ["doc_id"])
+    rows, saved = _saved(spark, sf_dir)
+    values = model.explain_rows(saved.fitted, rows, FEATURES, ["doc_id"])
     total = values.select("doc_id", sum(F.col(f) for f in FEATURES).alias("total"))
-    scored = model.margins(trained, rows, FEATURES)
+    scored = model.margins(saved.fitted, rows, FEATURES)
     left = session.materialise(scored.join(total, "doc_id").select((F.col("margin") - F.col("total")).alias("d")), "left-over")
     middle = left.agg(F.avg("d")).scalar()
     return left.agg(F.count("*").alias("n"), F.count_if(F.coalesce(F.abs(F.col("d") - middle) > 1e-6, F.lit(True))).alias("off"))
@@ -186,17 +208,16 @@ def explanations_add_up(spark, sf_dir):
 @query("attributions_add_up", "select unnest([" + ", ".join(f"'{f}'" for f in FEATURES) + "]) as feature, true as adds_up")
 def attributions_add_up(spark, sf_dir):
     """The pairs of a feature, itself included, add up to its own mean value."""
-    rows, trained = _trained(spark, sf_dir)
-    parts = session.materialise(model.explain_features(trained, rows, FEATURES), "attributions")
+    rows, saved = _saved(spark, sf_dir)
+    parts = session.materialise(model.explain_features(saved.fitted, rows, FEATURES), "attributions")
     own = parts.filter("other is null").select("feature", F.col("mean").alias("own"))
     pairs = parts.filter("other is not null").groupBy("feature").agg(F.sum("mean").alias("pairs"))
     return own.join(pairs, "feature").select("feature", (F.abs(F.col("own") - F.col("pairs")) < 1e-6).alias("adds_up"))
 
 
-@query("importance_of_constant", "select 'constant' as feature, 0.0::double as f1_drop")
+@query("importance_of_constant", "select 'digit_share' as feature, 0.0::double as f1_drop")
 def importance_of_constant(spark, sf_dir):
-    """Moving the values of a feature that never varies changes nothing."""
-    rows = judged_documents(spark, sf_dir).withColumn("constant", F.lit(1.0))
-    names = [*FEATURES, "constant"]
-    fitted = model.train_ranker(rows, names, "quality", trees=3)
-    return model.permutation_importance(fitted, rows, names, "quality", "doc_id").filter("feature = 'constant'")
+    """Moving the values of a feature that does not vary in the rows changes nothing."""
+    rows, saved = _saved(spark, sf_dir)
+    level = rows.withColumn("digit_share", F.lit(0.01))
+    return model.permutation_importance(saved.fitted, level, FEATURES, "quality", "doc_id").filter("feature = 'digit_share'")

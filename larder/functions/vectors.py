@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,40 +28,18 @@ def vector_text(v: Column | str, digits: int = 5) -> Column:
     return F.array_join(F.transform(_column(v), lambda e: F.format_string(f"%.{digits}f", e.cast("double"))), ",")
 
 
-def hashed_tokens(text: Column | str, dim: int = 64) -> Column:
-    """Counts of a text's tokens in ``dim`` buckets by md5, scaled to length 1; a text without tokens is the zero vector.
-
-    Sorted places are read once, and a count is written down when its place ends, so the work follows the tokens.
-    """
-    tokens = F.regexp_extract_all(F.coalesce(_column(text), F.lit("")), F.lit("[^ \t\n\r\f\x0b]+"), F.lit(0))
-    place = lambda w: F.pmod(F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("bigint"), F.lit(dim)).cast("int")
-    counts = "array<struct<place:int,n:int>>"
-    start = F.struct(F.lit(-1).alias("place"), F.lit(0).alias("n"), F.array().cast(counts).alias("done"))
-
-    def step(acc: Column, p: Column) -> Column:
-        ended = F.concat(acc["done"], F.array(F.struct(acc["place"].alias("place"), acc["n"].alias("n"))))
-        same = acc["place"] == p
-        return F.struct(
-            p.alias("place"), F.when(same, acc["n"] + 1).otherwise(F.lit(1)).alias("n"), F.when(same, acc["done"]).otherwise(ended).alias("done")
-        )
-
-    def finish(acc: Column) -> Column:
-        return F.map_from_entries(F.concat(acc["done"], F.array(F.struct(acc["place"].alias("place"), acc["n"].alias("n")))))
-
-    def dense(found: Column) -> Column:
-        raw = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda b: F.coalesce(F.try_element_at(found, b), F.lit(0)).cast("double"))
-        return _once(raw, scaled)
+def tokens(text: Column | str) -> Column:
+    """The runs of a text without white space; none where it is null."""
+    return F.regexp_extract_all(F.coalesce(_column(text), F.lit("")), F.lit("[^ \t\n\r\f\x0b]+"), F.lit(0))
 
-    def scaled(raw: Column) -> Column:
-        length = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda total, x: total + x * x))
-        return _once(length, lambda n: F.transform(raw, lambda x: F.when(n == 0, F.lit(0.0)).otherwise(x / n).cast("float")))
 
-    places = F.sort_array(F.transform(tokens, place))
-    of_places = lambda p: _once(F.aggregate(p, start, step, finish), dense)
-    empty = F.array_repeat(F.lit(0.0).cast("float"), dim)
-    return _once(places, lambda p: F.when(F.size(p) == 0, empty).otherwise(of_places(p)))
+def token_place(token: Column | str, dim: int) -> Column:
+    """The place of a token in a vector of ``dim`` elements, by md5; null for no token."""
+    head = F.substring(F.md5(_column(token).cast("binary")), 1, 8)
+    return F.pmod(F.conv(head, 16, 10).cast("bigint"), F.lit(dim)).cast("int")
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
-    return F.transform(F.array(value), use).getItem(0)
+def densified(entries: Column | str, dim: int, kind: str) -> Column:
+    """A vector from an array of structs (place, value), each place at most once; places that are not there are 0."""
+    found = F.map_from_entries(_column(entries))
+    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda b: F.coalesce(F.try_element_at(found, b), F.lit(0.0)).cast(kind))

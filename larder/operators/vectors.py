@@ -43,13 +43,13 @@ def embed_text(
 ) -> DataFrame:
     """Vectors of text fields: ``fields`` maps a text column to its vector column.
 
-    Without an encoder the vectors are hashed token counts, made by built-in
-    functions.  Encoding with a model outweighs moving the text, so with
+    Without an encoder the vectors are hashed token counts of length 1, made by
+    built-in functions.  Encoding with a model outweighs moving the text, so with
     ``spread`` the rows are first dealt out by key to that many tasks, whatever
     the layout of the files.
     """
     if encoder is None:
-        return df.select(*keys, *[vectors.hashed_tokens(t, DIMENSIONS).alias(v) for t, v in fields.items()])
+        return _dense(_token_values(df, keys, fields), ["__row", *keys], fields).drop("__row")
     if spread:
         df = df.select(*keys, *fields).repartition(spread, *keys)
     encode = predict_batch_udf(encoder, return_type=VECTOR, batch_size=batch_size)
@@ -58,6 +58,43 @@ def embed_text(
     return df.select(*keys, *[encode(F.coalesce(F.col(t), F.lit(""))).alias(v) for t, v in fields.items()])
 
 
+def _token_values(df: DataFrame, keys: Sequence[str], fields: Mapping[str, str]) -> DataFrame:
+    """(__row, keys, field, place, value): the elements other than 0 of each row's vectors; place is null where there are none.
+
+    Tokens become rows and are counted by place, at most ``DIMENSIONS`` of them for each row and field before anything is
+    shuffled: a row's tokens lie in one task.
+    """
+    rows = df.select(F.monotonically_increasing_id().alias("__row"), *keys, *fields)
+    texts = [F.struct(F.lit(n).alias("field"), F.col(t).alias("text")) for n, t in enumerate(fields)]
+    single = rows.select("__row", *keys, F.explode(F.array(*texts)).alias("__f"))
+    words = single.select("__row", *keys, F.col("__f.field").alias("field"), F.explode_outer(vectors.tokens("__f.text")).alias("token"))
+    own = ["__row", *keys, "field"]
+    counts = words.groupBy(*own, vectors.token_place("token", DIMENSIONS).alias("place")).agg(F.count("token").alias("n"))
+    lengths = counts.groupBy(*own).agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("length"), F.collect_list(F.struct("place", "n")).alias("all"))
+    single = lengths.select(*own, "length", F.explode("all").alias("e"))
+    value = (F.col("e.n") / F.col("length")).cast("float").cast("double")
+    return single.select(*own, F.col("e.place").alias("place"), F.when(F.col("e.place").isNotNull(), value).alias("value"))
+
+
+def _dense(values: DataFrame, keys: Sequence[str], fields: Mapping[str, str], kind: str = "float") -> DataFrame:
+    """One row per key with a vector for each field, from its elements."""
+    own = lambda n: F.when((F.col("field") == n) & F.col("place").isNotNull(), F.struct("place", "value"))
+    gathered = [F.collect_list(own(n)).alias(v) for n, v in enumerate(fields.values())]
+    made = values.groupBy(*keys).agg(*gathered)
+    return made.select(*keys, *[vectors.densified(v, DIMENSIONS, kind).alias(v) for v in fields.values()])
+
+
+def _token_means(df: DataFrame, keys: Sequence[str], text: str, out: str) -> DataFrame:
+    """Mean of the default vectors per key, summed by (key, place)."""
+    values = _token_values(df, keys, {text: out})
+    sums = values.filter("place is not null").groupBy(*keys, "place").agg(F.sum("value").alias("total"))
+    sizes = df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.count("*").alias("__n"))
+    same = [F.col(f"__{k}").eqNullSafe(F.col(k)) for k in keys]
+    whole = sizes.join(sums, same, "left").withColumns({"field": F.lit(0), "value": F.col("total") / F.col("__n")})
+    made = _dense(whole, [f"__{k}" for k in keys], {text: out}, "double")
+    return made.withColumnsRenamed({f"__{k}": k for k in keys})
+
+
 def history_vectors(
     df: DataFrame,
     keys: Sequence[str],
@@ -71,8 +108,11 @@ def history_vectors(
     """Mean vector over all texts of a key.
 
     Texts are dealt out by ``spread_by``, which is finer than the key, so the
-    texts of one key are encoded by many tasks; their sums meet afterwards.
+    texts of one key are encoded by many tasks; their sums meet afterwards.  Default vectors are summed element by
+    element and made dense at the end.
     """
+    if encoder is None:
+        return _token_means(df, keys, text, out)
     columns = list(dict.fromkeys([*keys, *spread_by]))
     rows = df.select(*columns, text)
     if spread and encoder is not None:

@@ -5,6 +5,8 @@ Only names and sizes pass through here, never table rows.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 
 
@@ -28,6 +30,17 @@ def child_directories(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in listed if s.isDirectory())
 
 
+def fingerprint(spark: SparkSession, *paths: str) -> str:
+    """A digest of the names, sizes and times of all files below some paths: another one once a table is rewritten."""
+    found = []
+    for path in paths:
+        listed = _fs(spark, path).listFiles(_path(spark, path), True)
+        while listed.hasNext():
+            status = listed.next()
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return hashlib.md5(repr(sorted(found)).encode()).hexdigest()
+
+
 def make_directory(spark: SparkSession, path: str) -> None:
     _fs(spark, path).mkdirs(_path(spark, path))
 
