@@ -66,4 +66,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    frame = spark.read.schema(df.schema).parquet(path)
+    frame._larder_path = path
+    return frame
+
+
+def discard(frame: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for a frame that nothing reads any more; other frames are left alone."""
+    path = getattr(frame, "_larder_path", None)
+    if path:
+        jvm, spark = frame.sparkSession._jvm, frame.sparkSession
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -353,3 +353,13 @@ def test_materialise(spark):
     df = spark.range(3).withColumn("x", F.lit(1))
     again = session.materialise(df, "m")
     assert rows(again) == rows(df) and "range" not in again._jdf.queryExecution().toString().lower()
+
+
+def test_discard_deletes_only_what_was_materialised(spark, root):
+    spark.range(3).write.parquet(f"{root}/own")
+    made, other = session.materialise(spark.range(3), "m"), spark.read.parquet(f"{root}/own")
+    path = made.inputFiles()[0].rpartition("/")[0]
+    session.discard(other)
+    session.discard(made)
+    session.discard(made)
+    assert files.exists(spark, f"{root}/own/_SUCCESS") and not files.exists(spark, path)
