@@ -12,7 +12,7 @@ their bytes overlap.  How often an id pair is linked in the whole corpus tells w
 
 Pairs are at most the product of the vocabularies, so shards and vectors are bounded however large the corpus is, and no
 table of pairs is broadcast.  Both tokenizers end a token before a space that follows a character other than white space,
-so each distinct chunk between such places is aligned once in a worker's table (emptied when full).
+so a block aligns each distinct chunk between such places once, and each pass aligns anew.
 
 Null and empty texts, and texts that one of the tokenizers does not give back byte by byte, have no tokens: zeros and
 empty groups.  Null keys stay null; repeated rows stay repeated and count as often.  Other columns are not returned.
@@ -23,8 +23,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +39,6 @@ from larder.llm.common import documents, mixed, spans, worker_cache
 PER_SHARD, MOST_SHARDS = 1 << 24, 4096
 #: Blocks that count into one vector, and vectors that are summed at a time.
 WIDTH = 64
-#: Chunks that a worker keeps aligned.
-KEPT_CHUNKS = 300_000
 
 
 # -- minimal perfect hash ---------------------------------------------------------------------------------------------
@@ -91,133 +87,117 @@ class PerfectHash:
 # -- alignment in a worker --------------------------------------------------------------------------------------------
 
 
-@lru_cache(1)
-def _byte_alphabet() -> dict[str, int]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
-def _byte_token(entry: str) -> bytes:
-    alphabet = _byte_alphabet()
-    return bytes(alphabet[c] for c in entry) if all(c in alphabet for c in entry) else entry.encode()
-
-
 def _piece_token(piece: str) -> bytes:
     code = re.fullmatch("<0x([0-9A-F]{2})>", piece)
     return bytes([int(code[1], 16)]) if code else piece.replace("▁", " ").encode()
 
 
-@dataclass
-class Aligned:
-    """Chunks aligned one after the other: by chunk whether it came back byte by byte, its numbers, links and text."""
-
-    valid: np.ndarray
-    numbers: np.ndarray  # tokens of either side, groups, links
-    pairs: np.ndarray  # of all links
-    groups: list[str]
-
-
 class Aligner:
     """A byte-level vocabulary and a SentencePiece model side by side."""
 
     def __init__(self, byte_vocabulary: str, piece_model: str):
         self.encoders = tokenizers_.byte_level(byte_vocabulary).encode, pieces.model_at(piece_model).table.encode
         names = [tokenizers_.entries(byte_vocabulary), pieces.model_at(piece_model).pieces]
-        self.tokens = [[_byte_token(x) for x in names[0]], [_piece_token(x) for x in names[1]]]
-        self.lengths = [np.fromiter(map(len, own), np.int64, len(own)) for own in self.tokens]
+        self.tokens = [[tokenizers_.byte_token(x) for x in names[0]], [_piece_token(x) for x in names[1]]]
+        self.sizes = [np.fromiter(map(len, own), np.int64, len(own)) for own in self.tokens]
         self.n_pieces = len(self.tokens[1])
-        self.decimal = [str(i) for i in range(max(map(len, self.tokens)))]
-        self._clear()
 
-    def _clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.valid, self.numbers, self.groups = np.zeros(0, bool), np.zeros((0, 4), np.int64), []
-        self.offsets, self.pairs = np.zeros(1, np.int64), np.zeros(0, np.uint64)
 
-    def align(self, texts: list[str]) -> Aligned:
-        """Chunks, each beginning with a space."""
-        sides = [self.encoders[0](texts), self.encoders[1]([t[1:] for t in texts])]
+def aligner(byte_vocabulary: str, piece_model: str) -> Aligner:
+    return worker_cache(f"aligner {byte_vocabulary} {piece_model}", lambda: Aligner(byte_vocabulary, piece_model))
+
+
+#: Bytes of text in a block, which is aligned as a whole, and distinct chunks that are encoded at a time.
+BLOCK_BYTES = 2 << 20
+_AT_ONCE = 20_000
+
+
+class _Aligned:
+    """Distinct chunks, each beginning with a space, aligned one after the other.
+
+    The bytes of the chunks that come back byte by byte are one stream, which both sides cut.
+    """
+
+    def __init__(self, texts: list[str], tool: Aligner):
+        made = [self._encoded(texts[a : a + _AT_ONCE], tool) for a in range(0, max(1, len(texts)), _AT_ONCE)]
+        self.valid, sizes = (np.concatenate([m[k] for m in made]) for k in (0, 1))
+        own = [tuple(np.concatenate([m[2 + side][k] for m in made]) for k in (0, 1)) for side in (0, 1)]
+        self.ids = [ids[np.repeat(self.valid, counts)] for ids, counts in own]
+        self.ends = [np.cumsum(sizes[ids]) for ids, sizes in zip(self.ids, tool.sizes, strict=True)]
+        self.upto = np.cumsum(sizes * self.valid)
+        # which side ends a token after each byte of the stream
+        mark = np.zeros(int(self.upto[-1]) + 1 if len(self.upto) else 1, np.uint8)
+        mark[self.ends[0]] = 1
+        mark[self.ends[1]] |= 2
+        links = np.flatnonzero(mark)
+        here = mark[links]
+        self.cuts = links[here == 3]
+        # an overlap ends where either token does: the tokens there are the first not to end before
+        at = [np.cumsum(here & side > 0) - (here & side > 0) for side in (1, 2)]
+        self.pairs = self.ids[0][at[0]].astype(np.uint64) * np.uint64(tool.n_pieces) + self.ids[1][at[1]].astype(np.uint64)
+        per_chunk = lambda e: np.diff(np.searchsorted(e, self.upto, "right"), prepend=0)
+        #: tokens of either side, groups and links of each chunk
+        self.numbers = np.stack([per_chunk(e) for e in (*self.ends, self.cuts, links)], axis=1)
+
+    @staticmethod
+    def _encoded(texts: list[str], tool: Aligner) -> tuple:
+        """Which of some chunks come back, their sizes, and ids and numbers of ids of either side."""
         raw = [t.encode() for t in texts]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        sides = [tool.encoders[0](texts), tool.encoders[1]([t[1:] for t in texts])]
         valid = np.ones(len(texts), bool)
-        for (ids, counts), tokens in zip(sides, self.tokens, strict=True):
+        for (ids, counts), tokens in zip(sides, tool.tokens, strict=True):
             given = list(map(tokens.__getitem__, ids.tolist()))
-            if b"".join(given) != b"".join(raw) or (np.add.reduceat(np.append(np.fromiter(map(len, given), np.int64, len(given)), 0), spans(counts)[:-1]) != sizes).any():
+            at = spans(np.fromiter(map(len, given), np.int64, len(given)))[spans(counts)]
+            if b"".join(given) != b"".join(raw) or (np.diff(at) != sizes).any():
                 upto = spans(counts).tolist()
                 valid &= np.fromiter((b"".join(given[a:b]) == r for a, b, r in zip(upto[:-1], upto[1:], raw, strict=True)), bool, len(raw))
-        # from here on the bytes of the valid chunks are one stream, which both sides cut
-        ids = [own[np.repeat(valid, counts)] for own, counts in sides]
-        ends = [np.cumsum(lengths[own]) for own, lengths in zip(ids, self.lengths, strict=True)]
-        chunk_ends = np.cumsum(sizes * valid)
-        links = np.union1d(*ends)
-        cuts = np.intersect1d(*ends)
-        at = [np.searchsorted(e, links) for e in ends]
-        pairs = ids[0][at[0]].astype(np.uint64) * np.uint64(self.n_pieces) + ids[1][at[1]].astype(np.uint64)
-        per_chunk = lambda e: np.diff(np.searchsorted(e, chunk_ends, "right"), prepend=0)
-        numbers = np.stack([per_chunk(ends[0]), per_chunk(ends[1]), per_chunk(cuts), per_chunk(links)], axis=1)
-        return Aligned(valid, numbers, pairs, self._written(ids, ends, cuts, chunk_ends, valid))
-
-    def _written(self, ids: list[np.ndarray], ends: list[np.ndarray], cuts: np.ndarray, chunk_ends: np.ndarray, valid: np.ndarray) -> list[str]:
-        """``a1,a2|b1;a3|b2,b3`` for each chunk: what follows an id is a comma, a bar after the last of the first side, a semicolon after a group."""
-        group = [np.searchsorted(cuts, e) for e in ends]
+        return valid, sizes, *sides
+
+    def groups(self) -> list[str]:
+        """``a1,a2|b1;a3|b2,b3`` for each chunk: after an id a comma, after the last of the first side a bar, after a group a semicolon."""
+        group = [np.searchsorted(self.cuts, e) for e in self.ends]
         both, side = np.concatenate(group), np.repeat([0, 1], [len(g) for g in group])
         order = np.argsort(2 * both + side, kind="stable")
         run = (2 * both + side)[order]
         last = np.append(run[1:] != run[:-1], True)[: len(run)]
-        after = np.where(last, np.where(side[order] == 0, "|", ";"), ",").tolist()
-        decimal = map(self.decimal.__getitem__, np.concatenate(ids)[order].tolist())
-        whole = list(map("".join, zip(decimal, after, strict=True)))
-        upto = np.searchsorted(both[order], np.searchsorted(cuts, chunk_ends, "right")).tolist()
-        return ["".join(whole[a:b])[:-1] if v else "" for a, b, v in zip([0, *upto[:-1]], upto, valid.tolist(), strict=True)]
-
-    def rows_of(self, values: list[str]) -> np.ndarray:
-        """The places of some chunks in the worker's table, new ones added."""
-        if len(self.place) > KEPT_CHUNKS:
-            self._clear()
-        new = [c for c in dict.fromkeys(values) if c not in self.place]
-        made = [self.align(new[a : a + 20_000]) for a in range(0, len(new), 20_000)]
-        if made:
-            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
-            self.valid = np.concatenate([self.valid, *(m.valid for m in made)])
-            self.numbers = np.concatenate([self.numbers, *(m.numbers for m in made)])
-            self.pairs = np.concatenate([self.pairs, *(m.pairs for m in made)])
-            self.groups.extend(chain.from_iterable(m.groups for m in made))
-            self.offsets = spans(self.numbers[:, 3])
-        return np.fromiter(map(self.place.__getitem__, values), np.int64, len(values))
-
-
-def aligner(byte_vocabulary: str, piece_model: str) -> Aligner:
-    return worker_cache(f"aligner {byte_vocabulary} {piece_model}", lambda: Aligner(byte_vocabulary, piece_model))
+        ids = np.concatenate(self.ids)[order].astype(np.int64)
+        # the digits of each id and what follows it, a row of bytes for each, of which leading zeros are left out
+        width = 7
+        rows = np.empty((len(ids), width + 1), np.uint8)
+        for place in range(width):
+            rows[:, width - 1 - place] = ids // 10**place % 10 + 0x30
+        rows[:, width] = np.where(last, np.where(side[order] == 0, ord("|"), ord(";")), ord(","))
+        digits = 1 + np.searchsorted(10 ** np.arange(1, width), ids, "right")
+        written = np.arange(width + 1) >= width - digits[:, None]
+        text = rows[written].tobytes().decode()
+        begins = spans(digits + 1)[np.searchsorted(both[order], np.searchsorted(self.cuts, self.upto, "right"))].tolist()
+        return [text[a : b - 1] if b > a else "" for a, b in zip([0, *begins[:-1]], begins, strict=True)]
 
 
 class _Block:
-    """The texts of a block as chunks, and its distinct pairs in the order of shards."""
+    """The texts of a block as distinct chunks, and its distinct pairs in the order of shards."""
 
     def __init__(self, texts: pa.Array, tool: Aligner, shards: int):
-        self.tool, self.n_texts = tool, len(texts)
         cut = chunks.after_a_space(texts)
-        self.rows, self.codes, self.offsets = tool.rows_of(cut.values), cut.codes, cut.offsets
+        self.chunks, self.codes, self.offsets = _Aligned(cut.values, tool), cut.codes, cut.offsets
         doc = np.repeat(np.arange(len(texts)), np.diff(self.offsets))
-        bad = np.bincount(doc, weights=~tool.valid[self.rows][self.codes], minlength=len(texts)) > 0
+        bad = np.bincount(doc, weights=~self.chunks.valid[self.codes], minlength=len(texts)) > 0
         self.valid = ~bad & (pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0)
-        seen = np.bincount(self.codes, weights=self.valid[doc], minlength=len(self.rows)).astype(np.int64)
-        self.lengths = tool.numbers[self.rows, 3]
-        links = tool.pairs[gather(tool.offsets[self.rows], self.lengths)]
-        weight = np.repeat(seen, self.lengths)
-        order = np.lexsort((links, shard_of(links, tool.n_pieces, shards)))
-        new = np.append(True, links[order][1:] != links[order][:-1])[: len(order)]
-        self.pairs = links[order][new]
-        self.counts = np.add.reduceat(weight[order], np.flatnonzero(new)) if len(order) else weight
-        self.entry = np.empty(len(order), np.int64)
-        self.entry[order] = np.cumsum(new) - 1
-        self.shard = shard_of(self.pairs, tool.n_pieces, shards)
+        seen = np.bincount(self.codes, weights=self.valid[doc], minlength=len(cut.values)).astype(np.int64)
+        weight = np.repeat(seen, self.chunks.numbers[:, 3])
+        pairs, entry = np.unique(self.chunks.pairs, return_inverse=True)
+        shard = shard_of(pairs, tool.n_pieces, shards)
+        order = np.argsort(shard, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.entry, self.pairs, self.shard = place[entry], pairs[order], shard[order]
+        self.counts = np.bincount(self.entry, weights=weight, minlength=len(pairs)).astype(np.int64)
 
     def by_chunk(self, values: np.ndarray) -> np.ndarray:
         """Sums over the links of each distinct chunk of a value of their pairs."""
         upto = spans(values[self.entry])
-        at = spans(self.lengths)
+        at = spans(self.chunks.numbers[:, 3])
         return upto[at[1:]] - upto[at[:-1]]
 
     def by_text(self, values: np.ndarray) -> np.ndarray:
@@ -226,8 +206,7 @@ class _Block:
         return (upto[self.offsets[1:]] - upto[self.offsets[:-1]]) * self.valid
 
     def groups(self) -> list[str]:
-        own = [self.tool.groups[r] for r in self.rows.tolist()]
-        codes, offsets = self.codes.tolist(), self.offsets.tolist()
+        own, codes, offsets = self.chunks.groups(), self.codes.tolist(), self.offsets.tolist()
         return [";".join([own[c] for c in codes[a:b]]) if v else "" for a, b, v in zip(offsets[:-1], offsets[1:], self.valid.tolist(), strict=True)]
 
 
@@ -338,7 +317,7 @@ def _for_parts(tables: DataFrame, parts: int) -> DataFrame:
     return tables.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
 
 
-def counted(df: DataFrame, byte_vocabulary: str, piece_model: str, key: str = "doc_id", text: str = "text", block_bytes: int = blocks.BLOCK_BYTES) -> Counted:
+def counted(df: DataFrame, byte_vocabulary: str, piece_model: str, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> Counted:
     """The first pass: all links of the corpus counted by id pair."""
     table = blocks.written(df, key, text, "alignment", block_bytes)
     size, n = table.agg(F.sum(F.aggregate("texts", F.lit(0).cast("long"), lambda n, t: n + F.octet_length(t))), F.count("*")).first()
@@ -391,7 +370,7 @@ def pair_counts(found: Counted, piece_model: str) -> DataFrame:
     return found.tables.select("pairs", "counts").mapInArrow(run, "a int, b int, n long").filter("n > 0")
 
 
-def aligned(df: DataFrame, byte_vocabulary: str, piece_model: str, key: str = "doc_id", text: str = "text", block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
+def aligned(df: DataFrame, byte_vocabulary: str, piece_model: str, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(key, n_a, n_b, n_groups, n_links, n_best, count_sum, groups) of each text.
 
     ``n_best`` are links whose pair no other pair of the same second id exceeds; ``count_sum`` sums the counts of all links.
@@ -409,7 +388,7 @@ def aligned(df: DataFrame, byte_vocabulary: str, piece_model: str, key: str = "d
             for row in range(len(batch)):
                 own = _Block(batch.column("texts")[row].values, tool, shards)
                 value = _longs(batch.column("values")[row].as_py() or [])
-                numbers = [own.by_text(tool.numbers[own.rows, c]) for c in range(4)]
+                numbers = [own.by_text(own.chunks.numbers[:, c]) for c in range(4)]
                 numbers += [own.by_text(own.by_chunk(value & 1)), own.by_text(own.by_chunk(value >> 1))]
                 columns = [batch.column("ids")[row].values, *(pa.array(x, pa.int64()) for x in numbers), pa.array(own.groups(), pa.string())]
                 out = pa.RecordBatch.from_arrays(columns, names=[key, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])

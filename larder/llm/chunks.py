@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,7 +81,7 @@ class ChunkTable:
 def flat_lists(lists: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Lists of ids as one array and their lengths."""
     lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((i for one in lists for i in one), np.uint32, int(lengths.sum())), lengths
+    return np.fromiter(chain.from_iterable(lists), np.uint32, int(lengths.sum())), lengths
 
 
 def joined(encode: Encode, marks_of: Callable[[str], int], glue: str, mark: np.ndarray, at_end: bool, group: int = 256):
@@ -114,6 +115,22 @@ def joined(encode: Encode, marks_of: Callable[[str], int], glue: str, mark: np.n
     return run
 
 
+def either(plain: Callable[[pa.Array], pa.Array], one: Callable, other: Callable):
+    """Encode the chunks that ``plain`` says are so by ``one``, all others by ``other``."""
+
+    def run(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flags = plain(pa.array(chunks, pa.string())).to_numpy(zero_copy_only=False)
+        own = [np.flatnonzero(flags), np.flatnonzero(~flags)]
+        made = [how([chunks[i] for i in at.tolist()]) for how, at in zip((one, other), own, strict=True)]
+        flat, order = np.concatenate([ids for ids, _ in made]), np.concatenate(own)
+        lengths, starts = np.empty(len(chunks), np.int64), np.empty(len(chunks), np.int64)
+        lengths[order] = np.concatenate([n for _, n in made])
+        starts[order] = spans(lengths[order])[:-1]
+        return flat[gather(starts, lengths)], lengths
+
+    return run
+
+
 def _coded(lists: pa.ListArray) -> tuple[list[str], np.ndarray, np.ndarray]:
     flat = lists.flatten().dictionary_encode()
     offsets = lists.offsets.to_numpy().astype(np.int64)

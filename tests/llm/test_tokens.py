@@ -146,3 +146,24 @@ def test_simple8b_round_trip(top, n):
     assert (token_files.unpack(words, offsets, n) == values).all()
     if top <= 50_000:
         assert len(words) <= n // 3 + n // 1024 + 1
+
+
+def test_plain_words_by_rank_are_the_library_s():
+    """Words of letters and marks, real and random, of all alphabets that take the quick path."""
+    import random
+
+    import public_tokenizers as public
+    from tokenizers import Tokenizer
+
+    from larder.llm import tokenizers_
+
+    path, draw = public.path("byte_bpe_50k.json"), random.Random(4)
+    alphabets = ["abcdefghijklmnopqrstuvwxyz", "ABCdefGHI", "éèêàçüößñæøåÉÜ", "αβγδεζηθΑΒΓ", "абвгдеёжзАБВ", "ƀǎȘșĳŒœ"]
+    words = [" " + "".join(draw.choices(draw.choice(alphabets), k=draw.randrange(1, 25))) + draw.choice(["", "", ".", ",", "...", "?!"]) for _ in range(20_000)]
+    words += [" it", " it's", " a1", " x²", " ", " \n", " ...", " aµ", " É.a", " d×e", " tokenization", " <|endoftext|>"]
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    ids, lengths = tokenizers_.byte_level(path).encode(words)
+    want = [library.encode(w, add_special_tokens=False).ids for w in words]
+    assert lengths.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
