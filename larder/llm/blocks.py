@@ -59,6 +59,15 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def joined_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All texts with a line end after each, so that no word goes on, as bytes, and where each begins."""
+    raw, offsets = bytes_of(texts)
+    data, inner = np.full(len(raw) + len(texts), 0x0A, np.uint8), np.ones(len(raw) + len(texts), bool)
+    inner[offsets[1:] + np.arange(len(texts))] = False
+    data[inner] = raw
+    return data, offsets[:-1] + np.arange(len(texts))
+
+
 def flags_of(packed: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(packed, np.uint8), count=n).astype(bool)
 

@@ -7,8 +7,7 @@ distances of a query to all of them grow plane by plane in carry-save counters,
 beyond the radius are abandoned.  A bucket sends the links of a spanning forest, never all its pairs; larger buckets
 are cut into blocks that are compared pair by pair.  Equal fingerprints are one node, however many rows have them.
 
-Near copies of the pipeline are linked by the resemblance of their shingles itself: prefixes of the sets of shingles,
-ordered alike, find every pair of 0.8 or more, and the sets of a pair decide.
+Near copies of the pipeline, linked by the resemblance of their shingles itself, are in ``near_copies``.
 
 Null and empty texts have fingerprint zero and link like any other.  Null keys take part; a component is named by its
 smallest key, nulls aside.  Repeated rows stay repeated.
@@ -272,143 +271,6 @@ def component_of(rows: DataFrame, key: str, radius: int, value: str = "fingerpri
     return _named(rows, value, key, nodes.withColumn("node", F.col("value")), found)
 
 
-#: Near copies: distinct five-word shingles, of which the shared ones are at least LIKE[0] / LIKE[1] of all.
-COPY_SHINGLE, LIKE = 5, (4, 5)
-#: Frequent shingles are looked for in about so many texts; they are those that so many of these have.  They only set an
-#: order that keeps buckets small: which pairs are found does not depend on them.
-SAMPLE_TEXTS, FREQUENT, MOST_FREQUENT = 40_000, 16, 1 << 18
-_EDGES = "!\"#$%&'()*+,-./:;<=>?@[]^_`{|}~".encode()
-
-
-def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
-    """The distinct five-word shingle hashes of each text, ascending; words are compared without case and punctuation at their ends."""
-    out = []
-    for raw in texts.cast(pa.binary()).to_pylist():
-        words = [w for w in (x.strip(_EDGES) for x in raw.lower().split()) if w]
-        out.append(np.unique(np.array(shingle_hashes(words, COPY_SHINGLE), np.uint64)))
-    return out
-
-
-def _list_of(own: list[np.ndarray]) -> pa.Array:
-    flat = np.concatenate([*own, np.zeros(0, np.uint64)]).view(np.int64)
-    return pa.ListArray.from_arrays(pa.array(spans(np.fromiter(map(len, own), np.int64, len(own))), pa.int32()), pa.array(flat))
-
-
-def with_shingles(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """The kept columns and ``shingles``, the distinct shingle hashes of each text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, len(keep), 1 << 19):
-            sets = _list_of(shingle_sets(text_array(batch.column(len(keep)))))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(len(keep))), sets], names=[*keep, "shingles"])
-
-    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField("shingles", T.ArrayType(T.LongType()))])
-    return df.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
-
-
-def frequent_shingles(df: DataFrame, text: str = "text") -> np.ndarray:
-    """Shingles that many texts of a sample, taken by hash, have, ascending."""
-    share = int(min(1.0, SAMPLE_TEXTS / max(df.count(), 1)) * (1 << 40))
-    sample = df.filter(F.pmod(F.xxhash64(text, F.lit(5)), F.lit(1 << 40)) <= share).select(text).distinct()
-    counts = with_shingles(sample, [], text).select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n")).filter(F.col("n") >= FREQUENT)
-    most = counts.orderBy(F.desc("n"), "s").limit(MOST_FREQUENT).agg(F.collect_list("s").alias("all")).first()["all"]
-    return np.sort(np.array(most, np.int64).view(np.uint64))
-
-
-def with_prefix(df: DataFrame, keep: list[str], frequent: np.ndarray, text: str = "text") -> DataFrame:
-    """The kept columns, ``value`` (128 bits of the set of shingles), ``size`` and ``prefix``: its first fifth and one more.
-
-    Shingles stand in one order for all texts, frequent ones last.  Sets of resemblance 0.8 share four fifths of the larger
-    at least, so they have a shingle in common among those, whatever the order is.
-    """
-    num, den = LIKE
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
-
-        for batch in by_bytes(batches, len(keep), 1 << 19):
-            sets = shingle_sets(text_array(batch.column(len(keep))))
-            heads = []
-            for own in sets:
-                last = _within(own, frequent)
-                heads.append(np.concatenate([own[~last], own[last]])[: len(own) - -(-num * len(own) // den) + 1])
-            value = pa.array([xxh3_128_digest(own.astype("<u8").tobytes()) for own in sets], pa.binary())
-            size = pa.array(np.fromiter(map(len, sets), np.int64, len(sets)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(len(keep))), value, size, _list_of(heads)], names=[*keep, "value", "size", "prefix"])
-
-    made = [T.StructField("value", T.BinaryType()), T.StructField("size", T.LongType()), T.StructField("prefix", T.ArrayType(T.LongType()))]
-    return df.select(*keep, F.col(text).alias("__text")).mapInArrow(run, T.StructType([*(df.schema[c] for c in keep), *made]))
-
-
-def _within(own: np.ndarray, ascending: np.ndarray) -> np.ndarray:
-    if not len(ascending):
-        return np.zeros(len(own), bool)
-    return ascending[np.minimum(np.searchsorted(ascending, own), len(ascending) - 1)] == own
-
-
-def resembling(met: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, root): the smallest node that each linked node reaches over pairs of resemblance 0.8 or more.
-
-    ``met`` has (bucket, node, size), a row for each bucket of a node; ``sets`` has (node, shingles).  In every round all
-    nodes of a bucket are compared with some leaders, four times as many as before, which then leave it; pairs
-    that are joined already are left out.  Rounds end when no bucket has nodes of two components, so every pair that
-    shares a bucket has been compared or is joined.
-    """
-    num, den = LIKE
-    spark = met.sparkSession
-    found = spark.createDataFrame([], "node long, root long")
-    left = session.materialise(met.withColumn("comp", F.col("node")), "met")
-    leaders_wanted = 1
-    while left.first():
-        salt = F.pmod(F.xxhash64("node", F.lit(leaders_wanted)), F.lit(leaders_wanted))
-        leaders = left.groupBy("bucket", salt.alias("salt")).agg(F.min(F.struct("node", "size", "comp")).alias("l"))
-        leaders = session.materialise(leaders.select(F.col("bucket").alias("at"), F.col("l.node").alias("leader"), F.col("l.size").alias("n"), F.col("l.comp").alias("c")), "leaders")
-        apart = left.join(leaders, F.col("bucket") == F.col("at")).filter("comp != c")
-        apart = apart.filter(den * F.least("size", "n") >= num * F.greatest("size", "n"))
-        pairs = apart.select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v")).distinct()
-        one, two = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("u", "v"))
-        both = pairs.join(one, "u").join(two, "v").withColumn("common", F.size(F.array_intersect("of_u", "of_v")))
-        alike = (num + den) * F.col("common") >= num * (F.size("of_u") + F.size("of_v"))
-        new = session.materialise(both.filter(alike).select("u", "v"), "copies")
-        if new.first():
-            # what is joined already is a star around its root
-            edges = found.select(F.col("node").alias("u"), F.col("root").alias("v")).union(new)
-            found = session.materialise(components(edges), "copies")
-        rest = left.join(leaders, (F.col("bucket") == F.col("at")) & (F.col("node") == F.col("leader")), "left_anti")
-        rest = rest.drop("comp").join(found, "node", "left").select("bucket", "node", "size", F.coalesce("root", "node").alias("comp"))
-        left = session.materialise(_several(rest, "comp"), "met")
-        leaders_wanted *= 4
-    return found
-
-
-def _several(rows: DataFrame, what: str) -> DataFrame:
-    """The rows of buckets that have more than one value."""
-    several = rows.groupBy("bucket").agg(F.min(what).alias("low"), F.max(what).alias("high")).filter("low < high").select("bucket")
-    return rows.join(several, "bucket", "left_semi")
-
-
-def near_copies(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(key, tie, component_id, rank): components of texts linked where their five-word resemblance is 0.8 or more.
-
-    Every such pair is found, at any number of rows, and no other pair is a link.  ``tie`` is a hash of the text; ``rank``
-    is 1 for the first text of a component, by key and tie, and null else.  Texts without a word are copies of each other.
-    """
-    tie = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    own = df.select(F.col(key).alias("key"), tie.alias("tie"), F.col(text).alias("text"))
-    rows = session.materialise(with_prefix(own, ["key", "tie"], frequent_shingles(own)), "near-copies")
-    first = F.min(F.struct("key", "tie")).alias("least")
-    nodes = rows.groupBy("value").agg(first, F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    nodes = session.materialise(nodes.withColumn("node", F.xxhash64("value")), "near-copies")
-    met = session.materialise(_several(nodes.select(F.explode("prefix").alias("bucket"), "node", "size"), "node"), "met")
-    # sets are made again for the nodes that meet another, from one of their texts
-    meeting = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", F.col("least.key").alias("k"), F.col("least.tie").alias("t"))
-    chosen = own.join(meeting, F.col("key").eqNullSafe(F.col("k")) & (F.col("tie") == F.col("t"))).dropDuplicates(["node"])
-    found = resembling(met, session.materialise(with_shingles(chosen, ["node"]), "shingles"))
-    named = _named(rows.select("key", "tie", "value"), "value", "key", nodes.select("node", "value", "least"), found)
-    is_first = F.struct("key", "tie").eqNullSafe(F.col("component_id"))
-    return named.select("key", "tie", F.col("component_id.key").alias("component_id"), F.when(is_first, 1).alias("rank"))
-
-
 def as_hex(value: Column) -> Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
 

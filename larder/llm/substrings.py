@@ -78,17 +78,20 @@ class _Powers:
 _POWERS = _Powers()
 
 
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, end) of the words of some bytes: runs without space and U+0009 to U+000D.
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the words of some bytes: runs without space and U+0009 to U+000D."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], _WHITE[data], [True]])))
+    return edges[::2], edges[1::2]
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of ascending spans of bytes that do not meet.
 
     Two polynomials, modulo 2^64 and a prime, are differences of prefix sums, so the cost is that of a few array
-    operations over the bytes.  Segments end at white space; a word longer than a segment is hashed by itself.
+    operations over the bytes.  Segments end between spans; a span longer than a segment is hashed by itself.
     """
     from xxhash import xxh64_intdigest
 
-    white = _WHITE[data]
-    edges = np.flatnonzero(np.diff(np.concatenate([[True], white, [True]])))
-    starts, ends = edges[::2], edges[1::2]
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
@@ -107,10 +110,16 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         two = (prime[e] - prime[s]) % np.uint64(_PRIME) * field_back[s] % np.uint64(_PRIME)
         out[at:upto] = mixed(mixed(one) ^ (two << np.uint64(32)) ^ (e - s).astype(np.uint64))
         at = upto
-    return out, starts, ends
+    return out
+
+
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, end) of the words of some bytes."""
+    starts, ends = word_spans(data)
+    return span_hashes(data, starts, ends), starts, ends
 
 
-def _run_hashes(words: np.ndarray, at: np.ndarray, length: int, seed: int) -> np.ndarray:
+def run_hashes(words: np.ndarray, at: np.ndarray, length: int, seed: int) -> np.ndarray:
     """Hashes of the runs of ``length`` word hashes that start at some places."""
     factors = mixed(np.arange(1, length + 1, dtype=np.uint64) + np.uint64(seed << 32)) | np.uint64(1)
     total = np.zeros(len(at), np.uint64)
@@ -149,13 +158,7 @@ class _Block:
     """The words of one block, its anchors, and the windows around shared ones."""
 
     def __init__(self, ids: np.ndarray, texts: pa.Array, length: int):
-        raw, offsets = blocks.bytes_of(texts)
-        # a line end between texts, so that no word goes on
-        self.data = np.full(len(raw) + len(ids), 0x0A, np.uint8)
-        inner = np.ones(len(self.data), bool)
-        begins = offsets[:-1] + np.arange(len(ids))
-        inner[offsets[1:] + np.arange(len(ids))] = False
-        self.data[inner] = raw
+        self.data, begins = blocks.joined_bytes(texts)
         self.ids, self.length = ids, length
         self.words, self.starts, self.ends = word_hashes(self.data)
         #: the words of document d are those from first[d] to first[d + 1]
@@ -167,7 +170,7 @@ class _Block:
         anchor = length - PERIOD + 1
         self.anchors = np.flatnonzero(np.isin(place % PERIOD, COVER) & (left >= anchor))
         self.fits = left >= length
-        self.anchor = _distinct(_run_hashes(self.words, self.anchors, anchor, 1), np.zeros(0, np.uint64), ids[self.doc[self.anchors]])
+        self.anchor = _distinct(run_hashes(self.words, self.anchors, anchor, 1), np.zeros(0, np.uint64), ids[self.doc[self.anchors]])
 
     def extend(self, shared: np.ndarray) -> None:
         """The windows that hold one of the shared anchors at one of their first places."""
@@ -176,8 +179,8 @@ class _Block:
         upto = spans(has)
         near = upto[PERIOD : PERIOD + len(self.doc)] > upto[: len(self.doc)]
         self.windows = np.flatnonzero(near & self.fits)
-        hashes = _run_hashes(self.words, self.windows, self.length, 2)
-        more = _run_hashes(mixed(self.words), self.windows, self.length, 3) >> np.uint64(32)
+        hashes = run_hashes(self.words, self.windows, self.length, 2)
+        more = run_hashes(mixed(self.words), self.windows, self.length, 3) >> np.uint64(32)
         self.window = _distinct(hashes, more, self.ids[self.doc[self.windows]])
 
     def removed(self, earlier: np.ndarray) -> np.ndarray:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from larder.llm import simhash
+from larder.llm import near_copies, simhash
 
 
 def fingerprint(text, n=3):
@@ -95,11 +95,11 @@ def test_near_copies(spark, awkward, nothing):
                 own[rng.randrange(100)] = word()
             rows.append((base + copy, " ".join(own).capitalize() + "." * copy))
         rows.append((base + 3, " ".join(words[:50] + [word() for _ in range(50)])))
-    got = {r.key: r for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id").collect()}
+    got = {r.key: r for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id").collect()}
     for i, _ in rows:
         assert got[i].component_id == (i if i % 4 == 3 else i - i % 4)
         assert got[i].rank == (1 if i % 4 in (0, 3) else None)
-    assert simhash.near_copies(awkward, "doc_id").count() == 10 and simhash.near_copies(nothing, "doc_id").count() == 0
+    assert near_copies.near_copies(awkward, "doc_id").count() == 10 and near_copies.near_copies(nothing, "doc_id").count() == 0
 
 
 def resemblance(a, b):
@@ -135,7 +135,7 @@ def test_contiguous_edits_at_the_limit(spark):
         rows += [(base, " ".join(words)), (base + 1, " ".join(copy))]
         pairs.append(base)
     assert len(pairs) > 550
-    got = {r.key: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id").collect()}
+    got = {r.key: r.component_id for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id").collect()}
     assert [b for b in pairs if got[b + 1] != b] == []
 
 
@@ -159,10 +159,10 @@ def test_links_by_exact_resemblance(spark, monkeypatch):
         for i, j in links:
             label[i] = label[j] = min(label[i], label[j])
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.key: r.component_id for r in simhash.near_copies(frame, "doc_id").collect()}
+    got = {r.key: r.component_id for r in near_copies.near_copies(frame, "doc_id").collect()}
     assert [got[i] for i in range(len(rows))] == label and 150 < len(set(label)) < len(rows)
-    monkeypatch.setattr(simhash, "FREQUENT", 10**9)
-    got = {r.key: r.component_id for r in simhash.near_copies(frame, "doc_id").collect()}
+    monkeypatch.setattr(near_copies, "FREQUENT", 10**9)
+    got = {r.key: r.component_id for r in near_copies.near_copies(frame, "doc_id").collect()}
     assert [got[i] for i in range(len(rows))] == label
 
 
