@@ -105,10 +105,10 @@ def pack(items: DataFrame, capacity: int, length: str = "length", nearly_full: f
     """``items`` with ``sequence_id`` and ``offset``: at most ``capacity`` in a sequence, without gaps from 0.
 
     Lengths are between 1 and ``capacity``.  ``nearly_full`` is the share of the capacity that may stay free in a bin
-    that leaves before the last round.  Columns of the two output names are replaced.
+    that leaves before the last round.  Columns of the two output names, and one named ``__item``, are not kept.
     """
     spark = items.sparkSession
-    kept = [c for c in items.columns if c not in ("sequence_id", "offset")]
+    kept = [c for c in items.columns if c not in ("sequence_id", "offset", "__item")]
     items = session.materialise(items.select(*kept, F.monotonically_increasing_id().alias("__item")), "packing-items")
     is_full = F.col(length) == capacity
     full = items.filter(is_full).select(F.col("__item").alias("item"), F.col("__item").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))

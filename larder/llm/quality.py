@@ -79,9 +79,11 @@ def measure(text: Column) -> Column:
 def ledger(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns, all measurements and ``failed``, with a bit for each failed rule.
 
-    Kept columns must not be named like a measurement or ``failed``.
+    A kept column that is named like a measurement, or ``failed``, gives way to it; keep it inside a struct if it is needed.
     """
-    measured = df.select(*keep, measure(F.col(text)).alias("__m")).select(*keep, "__m.*")
+    measured = df.select(F.struct(F.lit(0).alias("__none"), *keep).alias("__k"), measure(F.col(text)).alias("__m"))
+    own = {*measured.select("__m.*").columns, "failed"}
+    measured = measured.select(*[F.col("__k")[c].alias(c) for c in keep if c not in own], "__m.*")
     bits = [F.when(F.expr(rule), F.lit(1 << bit)).otherwise(F.lit(0)) for bit, (_, rule) in enumerate(RULES)]
     failed = bits[0]
     for bit in bits[1:]:

@@ -21,9 +21,11 @@ from larder.llm.common import documents
 #: A private key: up to its END line, whatever headers it has, or the lines of base64 that follow where END is missing.
 _KEY_END = r"-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
 _KEY = (
-    r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----((?:[^-]++|-(?!----)){0,400}+(?=" + _KEY_END + ")"
-    r"|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{16,}+){0,400}+(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{1,15}+(?:=|\s*$)=?)?)(?:" + _KEY_END + ")?"
+    r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----((?:[^-]++|-(?!----))*+(?=" + _KEY_END + ")"
+    r"|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{16,}+)*+(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{1,15}+(?:=|\s*$)=?)?)(?:" + _KEY_END + ")?"
 )
+#: What a line of a key holds: a long run of base64 with a digit or sign among its letters, as no words of prose.
+_KEY_LINE = r"(?<![A-Za-z0-9+/])(?=[A-Za-z]*[0-9+/])[A-Za-z0-9+/]{16,}"
 #: Kinds in the order in which spans with equal starts are listed: (name, pattern, group of the value, its least length).
 #: The patterns of access and hex ask for their lengths themselves, which finds the same maximal runs.
 KINDS = (
@@ -35,6 +37,8 @@ KINDS = (
     ("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 35),
 )
 BASE, ASSIGN, KEY = 3, 0, 3
+#: Columns that a scan makes itself.
+_OWN = ("owner", "repository", "content", "spans", "row", "judged")
 #: A value that so many owners, repositories or distinct texts have is an example, also where one owner has most rows.
 MIN_OWNERS, MIN_REPOSITORIES, MIN_TEXTS = 3, 5, 20
 _EXAMPLE = "(?i)example|sample|dummy|placeholder|changeme|your|xxxx|1234567|abcdef"
@@ -82,18 +86,26 @@ def live_looking(value: Column, assigned: Column) -> Column:
 
 
 def live_key(body: Column) -> Column:
-    """Whether the body of a private key, without white space, is one: a long run of base64 of many characters."""
-    varied = F.size(F.array_distinct(F.split(body, ""))) >= 16
-    return body.rlike("[A-Za-z0-9+/]{40}") & varied & ~body.rlike("EXAMPLE|example|PLACEHOLDER|placeholder|xxxxxxxx|XXXXXXXX")
+    """Whether the body of a private key, as it stands, is one: lines of base64 of 40 characters together, of many different ones.
+
+    Prose that lies between the mention of a key's first and last line has no such lines, however long it is.
+    """
+    lines = F.array_join(F.regexp_extract_all(body, F.lit(_KEY_LINE), F.lit(0)), "")
+    varied = F.size(F.array_distinct(F.split(lines, ""))) >= 16
+    return (F.length(lines) >= 40) & varied & ~body.rlike("EXAMPLE|example|PLACEHOLDER|placeholder|xxxxxxxx|XXXXXXXX")
 
 
 def scan(df: DataFrame, keep: list[str], text: str, owner: str, repository: str) -> DataFrame:
-    """The kept columns, owner, repository, ``content`` (a hash of the text) and ``spans`` of (start, kind, until, hash, live): no values leave the row."""
+    """The kept columns, owner, repository, ``content`` (a hash of the text) and ``spans`` of (start, kind, until, hash, live): no values leave the row.
+
+    A kept column that is named like one of these, ``row`` or ``judged`` comes back as ``kept_<name>``.
+    """
     of_row = F.col(owner).cast("string").alias("owner"), F.col(repository).cast("string").alias("repository"), F.xxhash64(F.col(text)).alias("content")
-    found = df.select(*keep, *of_row, spans(F.col(text)).alias("spans"))
+    own = [F.col(c).alias(f"kept_{c}" if c in _OWN else c) for c in keep]
+    found = df.select(*own, *of_row, spans(F.col(text)).alias("spans"))
     # a key is the same however its lines are broken
     value = lambda s: F.when(s["kind"] == KEY, F.regexp_replace(s["value"], r"\s|\\[nr]", "")).otherwise(s["value"])
-    live = lambda s: F.when(s["kind"] == KEY, live_key(value(s))).otherwise(live_looking(s["value"], s["kind"] == ASSIGN))
+    live = lambda s: F.when(s["kind"] == KEY, live_key(s["value"])).otherwise(live_looking(s["value"], s["kind"] == ASSIGN))
     hidden = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["until"].alias("until"), F.sha2(value(s), 256).alias("hash"), live(s).alias("live"))
     return found.withColumn("spans", F.transform("spans", hidden))
 

@@ -84,12 +84,14 @@ MOST_BLOCKS = 1 << 16
 
 
 def with_next(df: DataFrame, key: str, columns: list[str], more: dict[str, Column] | None = None, rows_per_block: int = 4096) -> DataFrame:
-    """``df`` with ``next_<column>`` of the row that follows in descending order of a unique key, the first after the last.
+    """``df`` with ``next_<column>`` of the row that follows in descending order of the key, the first after the last.
+
+    Rows of equal keys stand by a hash of those of the columns that ``df`` has, so ties have one result; null keys come last.
 
     ``more`` are further columns to compute, once for each row, that may be among ``columns``.
 
     Rows are dealt to blocks of the key's range, so that each row is moved once; only the highest row of a block is also
-    sent to the next block above it, whose last row it follows.  Null keys come last.
+    sent to the next block above it, whose last row it follows.
     """
     n = df.count()
     if n == 0:
@@ -120,7 +122,8 @@ def with_next(df: DataFrame, key: str, columns: list[str], more: dict[str, Colum
     copies = rows.join(edges, rows[key].eqNullSafe(edges["__key"])).drop("__key", "__block").withColumnRenamed("__to", "__block")
     both = rows.withColumn("__copy", F.lit(0)).unionByName(copies.withColumn("__copy", F.lit(1)))
     both = both.withColumns(more or {})
-    order = Window.partitionBy("__block").orderBy("__copy", F.col(key).desc_nulls_last())
+    ties = [F.xxhash64(c) for c in columns if c in df.columns]
+    order = Window.partitionBy("__block").orderBy("__copy", F.col(key).desc_nulls_last(), *ties)
     following = both.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
     return following.filter("__copy = 0").drop("__copy", "__block")
 

@@ -123,8 +123,11 @@ VOTERS = LEXICON_VOTERS + len(MANY) + len(DENSE)
 
 
 def cast_votes(docs: DataFrame, lexicon: list[str], keep: str = "doc_id") -> DataFrame:
-    """(kept column, votes, hits, n_words): a bit for each voter that fires, chunks with an entry, chunks."""
-    voter = voters_of(lexicon)
+    """(kept column, votes, hits, n_words): a bit for each voter that fires, chunks with an entry, chunks.
+
+    A kept column that is named like one of these comes back as ``kept_<name>``.
+    """
+    voter, out = voters_of(lexicon), f"kept_{keep}" if keep in ("votes", "hits", "n_words") else keep
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, 1, 2 << 20):
@@ -146,9 +149,9 @@ def cast_votes(docs: DataFrame, lexicon: list[str], keep: str = "doc_id") -> Dat
             for n, fired in enumerate(patterns):
                 votes |= fired.astype(np.int64) << (LEXICON_VOTERS + n)
             columns = [batch.column(0), pa.array(votes), pa.array(hits.astype(np.int64)), pa.array(words.astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=[keep, "votes", "hits", "n_words"])
+            yield pa.RecordBatch.from_arrays(columns, names=[out, "votes", "hits", "n_words"])
 
-    schema = T.StructType([docs.schema[keep], *(T.StructField(c, T.LongType()) for c in ("votes", "hits", "n_words"))])
+    schema = T.StructType([T.StructField(out, docs.schema[keep].dataType), *(T.StructField(c, T.LongType()) for c in ("votes", "hits", "n_words"))])
     return docs.select(keep, "text").mapInArrow(run, schema)
 
 

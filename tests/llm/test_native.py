@@ -268,3 +268,37 @@ def test_shuffle_is_repeatable_and_seeded(spark, docs):
         return [(r.shard, r.slot, r.record.doc_id) for r in sharding.slots(written, "record").orderBy("shard", "slot").collect()]
 
     assert order(1) == order(1) != order(2)
+
+
+def test_kept_columns_of_any_name(spark):
+    """Columns named like what an operator makes do not break it."""
+    rows = [(1, "password = Xk9fQ2mZ7pLw3vTa and more words to come for all of us", "en", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    df = df.withColumns({c: F.lit("kept") for c in ("owner", "content", "row", "spans", "repository", "n_words", "failed", "votes", "hits")})
+    scanned = secrets.scanned_table(df, ["doc_id", "owner", "content", "row", "spans", "repository"])
+    one = secrets.judge(scanned).first()
+    assert one.kept_owner == "kept" and one.kept_row == "kept" and [s.verdict for s in one.judged] == ["live"]
+    made = quality.ledger(df, keep=("doc_id", "n_words", "failed", "owner")).first()
+    assert made.owner == "kept" and made.n_words == 12 and isinstance(made.failed, int)
+
+
+def test_private_keys_of_any_length_and_prose(spark):
+    """Long keys without an END line go whole; prose that mentions both lines stays."""
+    import base64
+    import random
+
+    draw = random.Random(9)
+    lines = [base64.b64encode(draw.randbytes(48)).decode() for _ in range(1_500)]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    prose = f"A key starts with {begin} and goes on for a while, as everyone who has ever looked at one in an editor knows very well, until {end} comes."
+    wide = f"{begin}\n" + " ".join(f"word{'abcdefgh'[i % 8]}" for i in range(3_000)) + f"\n{end}"
+    texts = [
+        f"one {begin}\n" + "\n".join(lines[:450]) + "\nafter it", f"two {begin}\n" + "\n".join(lines[450:]) + f"\n{end} after", prose, wide,
+        f"{begin}\\n" + "\\n".join(lines[3:20]) + f"\\n{end}", f"{begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n" + "\n".join(lines[30:50]) + f"\n{end}",
+    ]
+    df = spark.createDataFrame([(i, t, "en", f"s{i}") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    judged = secrets.judge(secrets.scanned_table(df, ["doc_id", "text"]))
+    got = {r.doc_id: r.out for r in judged.select("doc_id", secrets.redact(F.col("text"), F.coalesce("judged", F.expr("array()").cast(judged.schema["judged"].dataType))).alias("out")).collect()}
+    assert got[0] == "one [SECRET]\nafter it" and got[1] == "two [SECRET] after"
+    assert got[2] == prose and got[3] == wide
+    assert got[4] == "[SECRET]" and got[5] == "[SECRET]"
