@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog import query, table
@@ -213,6 +214,42 @@ def pre_aggregate_delta(spark, sf_dir):
     return merge.pre_aggregate(rows, ["user_id"], {"n": "sum", "best": "max", "last_type": "last"}, ["ts", "event_id"])
 
 
+@query(
+    "merge_append",
+    """select user_id, row_number() over (partition by user_id order by ts >= timestamp '2024-01-20', ts, event_id) as place, event_type as value
+from events""",
+)
+def merge_append(spark, sf_dir):
+    """Lists of event types kept as chunks; a later delta of many rows per user is appended."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id")
+    path = session.scratch_path(spark, "lists")
+    for part, when in enumerate(("ts < '2024-01-20'", "ts >= '2024-01-20'")):
+        made = merge.list_chunks(events.filter(when), ["user_id"], "event_type", ["ts", "event_id"], part, per_chunk=16)
+        made.write.mode("append").parquet(path)
+    values = merge.list_values(spark.read.parquet(path), ["user_id"])
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy("part", "slice", "chunk", "place")).cast("bigint")
+    return values.select("user_id", place.alias("place"), "value")
+
+
+@query(
+    "late_rows_aside",
+    """with last as (select max(ts) as top from events)
+select event_type, late, count(*) as n, count(distinct event_id) as ids from (
+  select event_type, event_id, false as late from events
+  union all select event_type, event_id, ts < top - interval 2 day from events, last where event_id % 3 = 0) group by all""",
+)
+def late_rows_aside(spark, sf_dir):
+    """Events in time order, then a third of them again: those more than two days behind the newest go to a side table."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    path, out = session.scratch_path(spark, "late"), session.scratch_path(spark, "late-out")
+    for rows in (events.filter("ts < '2024-01-16'"), events.filter("ts >= '2024-01-16'"), events.filter("event_id % 3 = 0")):
+        rows.coalesce(1).write.mode("append").parquet(path)
+    stream = incremental.change_stream(spark, path, events.schema, files_per_batch=1)
+    incremental.run_to_end(incremental.split_late_stream(stream, "ts", 2 * 86_400, out, session.scratch_path(spark, "progress")))
+    found = incremental.read_split(spark, out)
+    return found.groupBy("event_type", "late").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("ids"))
+
+
 # --- streaming ------------------------------------------------------------
 
 

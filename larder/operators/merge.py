@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions import nested
@@ -131,8 +131,9 @@ _MERGE: dict[str, Callable[[Column, Column], Column]] = {
 def pre_aggregate(delta: DataFrame, ids: Sequence[str], rules: Mapping[str, str], order: Sequence[str]) -> DataFrame:
     """Fold several delta rows per id with the rules of ``merge_aggregate``.
 
-    ``append`` needs a delta that is already unique per id: gathering the rows
-    of an id here would put a group of any size into one cell.
+    ``append`` of cells needs a delta that is already unique per id: gathering the rows
+    of an id here would put a group of any size into one cell.  ``list_chunks`` appends
+    any number of rows.
     """
     if "append" in rules.values():
         raise ValueError("append needs a delta that is unique per id")
@@ -146,6 +147,36 @@ def pre_aggregate(delta: DataFrame, ids: Sequence[str], rules: Mapping[str, str]
     return delta.groupBy(*ids).agg(*[fold[rule](c).alias(c) for c, rule in rules.items()])
 
 
+#: Values of a list that one row holds.
+CHUNK_VALUES = 1024
+
+
+def list_chunks(delta: DataFrame, ids: Sequence[str], value: str, order: Sequence[str], part: int, per_chunk: int = CHUNK_VALUES) -> DataFrame:
+    """(ids, part, slice, chunk, values): the values of a delta with any number of rows per id, in order, as numbered rows.
+
+    Lists are kept beside their documents as such rows, so ``append`` adds the rows of the delta under the next ``part`` and
+    changes none: the list of an id is its chunks by part, slice and chunk.  Ids with many values are cut into slices of the
+    order's range, the same for all ids, so the rows of one id are numbered by many tasks.  The first column of ``order``
+    is a number, a date or a time; together its columns tell the rows of an id apart.
+    """
+    total = delta.count()
+    slices = max(1, -(-total // (64 * per_chunk)))
+    cuts = [n / slices for n in range(1, slices)]
+    first = order[0]
+    bounds = delta.agg(F.percentile_approx(first, cuts, 100 * slices)).first()[0] if cuts else []
+    ends = F.array(*[F.lit(b) for b in bounds]) if bounds else None
+    slice_ = F.size(F.filter(ends, lambda e: e <= F.col(first))) if bounds else F.lit(0)
+    rows = delta.withColumn("slice", slice_).withColumn("__place", F.row_number().over(Window.partitionBy(*ids, "slice").orderBy(*order)) - 1)
+    chunk = F.floor(F.col("__place") / per_chunk).alias("chunk")
+    values = F.transform(F.array_sort(F.collect_list(F.struct("__place", F.col(value).alias("v")))), lambda e: e["v"])
+    return rows.groupBy(*ids, F.lit(part).alias("part"), "slice", chunk).agg(values.alias("values"))
+
+
+def list_values(chunks: DataFrame, ids: Sequence[str]) -> DataFrame:
+    """(ids, part, slice, chunk, place, value): the values of lists one by one; they stand in the order of the four numbers."""
+    return chunks.select(*ids, "part", "slice", "chunk", F.posexplode("values").alias("place", "value"))
+
+
 def merge_aggregate(base: DataFrame, delta: DataFrame, ids: Sequence[str], rules: Mapping[str, str]) -> DataFrame:
     """Combine a delta into current documents field by field.
 

@@ -11,13 +11,17 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from larder import session
 from larder.functions import hashing
 
 #: The most rows of the last hash range of an exact sample, which are ranked in one place.
 EDGE_ROWS = 100_000
+#: Size of the quantile sketch of an exact sample, and the share of rows on either side of its answer that the quota may
+#: lie in: three times the sketch's error.
+SKETCH, BRACKET = 4096, 0.003
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
@@ -48,18 +52,33 @@ def sample_by_key(df: DataFrame, keys: Sequence[str], fraction: float, seed: int
 def sample_exact(df: DataFrame, keys: Sequence[str], factor: float, seed: int = 42, edge_rows: int = EDGE_ROWS) -> DataFrame:
     """Exactly ``int(factor * n)`` rows, keys being unique: those with the smallest key hashes.
 
-    A histogram of 4,096 hash ranges finds the range in which the quota ends, a histogram of that range the next one,
-    until it holds at most ``edge_rows`` rows; those are ranked.  A level reads the keys alone and returns one row.
-    The rows themselves are kept or not by one comparison.
+    One scan counts the keys and sketches the quantiles of their hashes, partly in each task.  A second one writes the keys
+    between the hashes where the quota must end, about one in a hundred, and counts those below.  Ranks are found in that
+    small table: histograms of 4,096 hash ranges narrow it to at most ``edge_rows`` rows, which are ranked.  Should the sketch
+    have missed, all keys take the place of the table.  The rows themselves are kept or not by one comparison.
     """
-    quota = math.floor(factor * df.count())
     places = df.select(hashing.key_hash(*keys, seed=seed).alias("__h"), *keys)
-    low, width, left = 0, hashing.HASH_SPAN, quota
-    while quota:
+    ranks = [max(0.0, factor - BRACKET), min(1.0, factor + BRACKET)]
+    ends = F.kll_sketch_get_quantile_bigint(F.kll_sketch_agg_bigint("__h", F.lit(SKETCH)), F.array(*map(F.lit, ranks)))
+    total, found = places.agg(F.count("*"), F.when(F.count("*") > 0, ends)).first()
+    quota = math.floor(factor * total)
+    if not quota:
+        return df.filter(F.lit(False))
+    low = found[0] if ranks[0] > 0 else 0
+    high = found[1] + 1 if ranks[1] < 1 else hashing.HASH_SPAN
+    sides = Observation()
+    watched = places.observe(sides, F.count_if(F.col("__h") < low).alias("below"), F.count_if(F.col("__h") < high).alias("upto"))
+    inside = session.materialise(watched.filter((F.col("__h") >= low) & (F.col("__h") < high)), "sample-edge")
+    below, upto = sides.get["below"], sides.get["upto"]
+    if below < quota <= upto:
+        places, width, left = inside, high - low, quota - below
+    else:
+        low, width, left = 0, hashing.HASH_SPAN, quota
+    while True:
         width = max(1, width // 4096)
         part = F.floor((F.col("__h") - low) / width).cast("bigint")
         sizes = places.withColumn("__r", part).groupBy("__r").agg(F.count("*").alias("__n"))
-        # at most 4,097 rows are accumulated in one place
+        # at most 8,192 rows are accumulated in one place
         upto = sizes.withColumn("__upto", F.sum("__n").over(Window.orderBy("__r")))
         edge = upto.filter(F.col("__upto") >= left).orderBy("__r").first()
         low, left = low + edge["__r"] * width, left - (edge["__upto"] - edge["__n"])
@@ -70,8 +89,7 @@ def sample_exact(df: DataFrame, keys: Sequence[str], factor: float, seed: int =
     last_place = places.orderBy("__h", *keys).limit(left).agg(F.max(place)).scalar()
     rows = df.withColumn("__h", hashing.key_hash(*keys, seed=seed))
     on_edge = (F.col("__h") < low + width) & F.coalesce(place <= last_place, F.lit(False))
-    kept = (F.col("__h") < low) | on_edge if quota else F.lit(False)
-    return rows.filter(kept).drop("__h")
+    return rows.filter((F.col("__h") < low) | on_edge).drop("__h")
 
 
 def split_phases(

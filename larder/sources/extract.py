@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.sources import schemas, snapshots
+from larder.sources import keyed, schemas, snapshots
 
 
 def jdbc_options(
@@ -92,6 +92,20 @@ def extract_query(
     return land(run_query(spark, query, tables, parameters), path)
 
 
+#: Bytes of rows, as the optimiser counts them, that a writer is worth, and that one file is to hold at most.
+WRITER_BYTES, FILE_BYTES = 1 << 20, 64 << 20
+
+
+def _parallel(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
+def writers_for(df: DataFrame) -> int:
+    """Writers for rows of a size: as many as run at a time, if each is worth it, and more once files would grow too large."""
+    size = keyed.plan_bytes(df)
+    return max(1, min(_parallel(df), -(-size // WRITER_BYTES)), -(-size // FILE_BYTES))
+
+
 def land(
     df: DataFrame,
     path: str,
@@ -107,13 +121,14 @@ def land(
     ``callback`` maps the DataFrame before it is written and may add fields.
     ``json_columns`` hold JSON objects as text and land nested: by the types
     given, or, for a list of names, by types that Spark merges over all rows.
-    ``time_format`` is a pattern for times.  Files follow the partitions of the
-    rows; ``rows_per_file`` cuts them further.
-    ``spread`` deals the rows of a source with few partitions (one connection,
-    one large file) out to that many writers.
+    ``time_format`` is a pattern for times.  The number of writers follows the
+    optimiser's estimate of the rows' bytes (``writers_for``), whatever the layout
+    of the source: one connection or one large file is dealt out.  ``spread``
+    sets that number, and ``rows_per_file`` cuts files further.
     """
-    if spread:
-        df = df.repartition(spread)
+    wanted = spread or writers_for(df)
+    # few writers are dealt their rows evenly; many get partitions of a size that adaptive execution keeps even
+    df = df.repartition(wanted) if spread or wanted <= _parallel(df) else df.hint("rebalance")
     rows = df.transform(callback) if callback is not None else df
     if not isinstance(json_columns, Mapping):
         json_columns = {c: schemas.infer_json_schema(rows, c) for c in json_columns}

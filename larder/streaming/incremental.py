@@ -39,6 +39,36 @@ def with_late_policy(stream: DataFrame, time: str, delay: str, ids: Sequence[str
     return zoned.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(ids))
 
 
+def split_late_stream(stream: DataFrame, time: str, delay_seconds: float, path: str, checkpoint: str) -> StreamingQuery:
+    """Write rows that are not late below ``path/on_time`` and late ones, which a watermark would drop, below ``path/late``.
+
+    A row is late if its time is more than the delay before the newest time of all earlier micro-batches, which lies in
+    ``path/newest``, one row for each batch.  All three are written by batch, so a batch that runs again finds the same
+    earlier ones and replaces its own rows.  Rows without a time are on time.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        names = [n for n in files.child_directories(spark, f"{path}/newest") if int(n.partition("=")[2]) < batch_id]
+        earlier = [f"{path}/newest/{n}" for n in names]
+        top = spark.read.parquet(*earlier).agg(F.max("newest")).first()[0] if earlier else None
+        rows = batch.persist()
+        span = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(float(delay_seconds)))
+        late = F.coalesce(F.col(time) < F.lit(top) - span, F.lit(False)) if top is not None else F.lit(False)
+        for name, wanted in (("on_time", ~late), ("late", late)):
+            rows.filter(wanted).write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+        rows.agg(F.max(time).alias("newest")).write.mode("overwrite").parquet(f"{path}/newest/batch={batch_id}")
+        rows.unpersist()
+
+    return _start(stream, each, checkpoint)
+
+
+def read_split(spark: SparkSession, path: str) -> DataFrame:
+    """All rows that ``split_late_stream`` wrote, with ``batch`` and whether they came ``late``."""
+    sides = [spark.read.parquet(f"{path}/{name}").withColumn("late", F.lit(name == "late")) for name in ("on_time", "late")]
+    return sides[0].unionByName(sides[1])
+
+
 def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(each)

@@ -201,6 +201,18 @@ def test_exact_sample_by_levels(spark, edge_rows):
     assert rows(sampling.sample_exact(df, ["id"], 0.37, edge_rows=edge_rows)) == want
 
 
+def test_exact_sample_writes_few_keys(spark, monkeypatch):
+    """The quota ends inside the sketched bracket, which is small; a sketch that misses changes no row."""
+    df, seen = spark.range(200_000), []
+    original = sampling.session.materialise
+    monkeypatch.setattr(sampling.session, "materialise", lambda d, name: seen.append(original(d, name)) or seen[-1])
+    got = sampling.sample_exact(df, ["id"], 0.37)
+    assert got.count() == 74_000 and len(seen) == 1 and seen[0].count() < 0.01 * 200_000
+    want = rows(got)
+    monkeypatch.setattr(sampling, "BRACKET", -0.2)  # an empty bracket: the whole table is ranked
+    assert rows(sampling.sample_exact(df, ["id"], 0.37)) == want
+
+
 def test_dense_ids_do_not_depend_on_groups(spark):
     df = spark.range(3000).withColumnRenamed("id", "k")
     want = rows(ranking.dense_ids(df, "k"))
@@ -300,3 +312,22 @@ def test_window_bounds(spark):
     df = spark.sql("select timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) as t, id from range(100)")
     end = F.lit("2024-01-01 00:01:00").cast("timestamp_ntz")
     assert [r["id"] for r in df.filter(merge.in_window("t", end, 5)).orderBy("id").collect()] == [55, 56, 57, 58, 59]
+
+
+def test_lists_are_appended_by_rows(spark):
+    """A hot id of half of all rows, cut into slices and chunks; a second part comes after the first."""
+    made = [(0 if i % 2 else i % 7, i * 37 % 1000, f"v{i}") for i in range(1000)]
+    frame = lambda r: spark.createDataFrame(r, "id int, at int, v string").repartition(4)
+    parts = [made[:700], made[700:]]
+    chunks = [merge.list_chunks(frame(p), ["id"], "v", ["at"], n, per_chunk=2) for n, p in enumerate(parts)]
+    both = chunks[0].unionByName(chunks[1])
+    assert both.agg(F.max(F.size("values"))).first()[0] == 2 and both.agg(F.max("slice")).first()[0] > 1
+    got: dict[int, list] = {}
+    for r in sorted(merge.list_values(both, ["id"]).collect(), key=lambda r: (r.part, r.slice, r.chunk, r.place)):
+        got.setdefault(r.id, []).append(r.value)
+    want: dict[int, list] = {}
+    for p in parts:
+        for i, _, v in sorted(p, key=lambda r: r[1]):
+            want.setdefault(i, []).append(v)
+    assert got == want
+    assert merge.list_chunks(frame(made).limit(0), ["id"], "v", ["at"], 0).count() == 0

@@ -363,3 +363,24 @@ def test_discard_deletes_only_what_was_materialised(spark, root):
     session.discard(made)
     session.discard(made)
     assert files.exists(spark, f"{root}/own/_SUCCESS") and not files.exists(spark, path)
+
+
+def test_landing_is_sized_by_the_data(spark, root, monkeypatch):
+    """One partition in, files of a size out, with no argument for it; small rows get one file."""
+    rows_ = spark.range(0, 200_000, numPartitions=1).selectExpr("id", "md5(cast(id as string)) as a", "md5(cast(-id as string)) as b")
+    rows_.coalesce(1).write.parquet(f"{root}/source")
+    source = spark.read.parquet(f"{root}/source")
+    landed = lambda name: [f for f in source_files(spark, f"{root}/{name}")]
+    assert extract.land(source, f"{root}/a").count() == 200_000
+    sizes = landed("a")
+    assert extract.writers_for(source) == len(sizes) >= 8 and max(sizes) < 1.5 * min(sizes)
+    monkeypatch.setattr(extract, "FILE_BYTES", 1 << 20)
+    assert extract.writers_for(source) >= keyed.plan_bytes(source) >> 20
+    small = extract.land(spark.range(10), f"{root}/b")
+    assert small.count() == 10 and extract.writers_for(spark.range(10)) == 1
+
+
+def source_files(spark, path):
+    """Sizes of the files that hold rows."""
+    listed = files._fs(spark, path).listStatus(files._path(spark, path))
+    return [s.getLen() for s in listed if s.getPath().getName().startswith("part-")]

@@ -248,3 +248,20 @@ def test_late_rows_beyond_the_delay_are_dropped(spark, root):
     running = stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/progress").trigger(availableNow=True).start()
     incremental.run_to_end(running)
     assert sorted(r["id"] for r in spark.read.parquet(f"{root}/out").collect()) == [1, 2, 3, 4, 6]
+
+
+def test_late_rows_stand_beside_those_on_time(spark, root):
+    """No row is lost, a batch that runs again replaces itself, rows without a time are on time."""
+    schema = "id int, at timestamp"
+    minute = lambda m: None if m is None else f"2024-01-01 {m // 60:02d}:{m % 60:02d}:00"
+    batches = [[(1, 0), (2, 30)], [(3, 300)], [(4, 305), (5, 239), (6, 240)], [(7, 10), (8, None), (9, 299)]]
+    for batch in batches:
+        rows_ = spark.createDataFrame([(i, minute(m)) for i, m in batch], "id int, at string")
+        rows_.withColumn("at", F.col("at").cast("timestamp")).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    read = lambda: incremental.change_stream(spark, f"{root}/in", spark.createDataFrame([], schema).schema, 1)
+    incremental.run_to_end(incremental.split_late_stream(read(), "at", 3600, f"{root}/out", f"{root}/progress"))
+    first = sorted((r["id"], r["late"], r["batch"]) for r in incremental.read_split(spark, f"{root}/out").collect())
+    assert [(i, late) for i, late, _ in first] == [(i, i in (5, 7)) for i in range(1, 10)]
+    # another run from the start writes the same batches again
+    incremental.run_to_end(incremental.split_late_stream(read(), "at", 3600, f"{root}/out", f"{root}/again"))
+    assert sorted((r["id"], r["late"], r["batch"]) for r in incremental.read_split(spark, f"{root}/out").collect()) == first
