@@ -7,6 +7,7 @@ session, with adaptive execution on (Spark's default).
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -71,10 +72,32 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return frame
 
 
+def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """Write ``df`` to the workspace, dealt by a column, as a table of which Spark knows that: joins on it do not move it again."""
+    spark = df.sparkSession
+    path, table = scratch_path(spark, name), f"larder_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, column)
+    dealt.write.bucketBy(buckets, column).sortBy(column).option("path", path).saveAsTable(table)
+    frame = spark.table(table)
+    frame._larder_path, frame._larder_table = path, table
+    return frame
+
+
 def discard(frame: DataFrame) -> None:
     """Delete what ``materialise`` wrote for a frame that nothing reads any more; other frames are left alone."""
     path = getattr(frame, "_larder_path", None)
+    if getattr(frame, "_larder_table", None):
+        frame.sparkSession.sql(f"drop table if exists {frame._larder_table}")
     if path:
         jvm, spark = frame.sparkSession._jvm, frame.sparkSession
         place = jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that are no longer referred to.
+
+    They go when the driver's garbage is collected, which on a large heap may be long after the frames are gone.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

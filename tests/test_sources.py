@@ -384,3 +384,15 @@ def source_files(spark, path):
     """Sizes of the files that hold rows."""
     listed = files._fs(spark, path).listStatus(files._path(spark, path))
     return [s.getLen() for s in listed if s.getPath().getName().startswith("part-")]
+
+
+def test_a_bucketed_table_is_not_moved_by_joins(spark):
+    made = session.bucketed(spark.range(500).selectExpr("id", "id * 2 as v"), "b", "id", 4)
+    joined = made.hint("merge").join(spark.range(300).hint("merge"), "id")
+    assert joined.count() == 300
+    assert joined._jdf.queryExecution().sparkPlan().toString().count("Bucketed: true") == 1
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 1
+    path = made._larder_path
+    session.discard(made)
+    session.release(spark)
+    assert not files.exists(spark, path) and made._larder_table not in {t.name for t in spark.catalog.listTables()}
