@@ -2,26 +2,22 @@
 
 The search cuts items and queries into blocks of bounded size and scores one
 block pair per task as a matrix product, keeping the k best per query.  Nothing
-is broadcast, no pair of vectors becomes a row, and a popular cell is cut into
-as many blocks as its size asks for.
+is broadcast and no pair of vectors becomes a row.  ``vector_index`` has a stored index.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import Normalizer
-from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import predict_batch_udf
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions import vectors
-from larder.operators import aggregates, filters, joins, ranking, sampling
+from larder.operators import aggregates, joins, ranking
 
 # A factory that runs once per Python worker, loads a model there and returns
 # the function from a batch of texts to a matrix of vectors.
@@ -223,103 +219,6 @@ def knn_inner_product(
     return _search(placed_q, placed_i, ["__qb", "__ib"], k, out)
 
 
-def unit_vectors(df: DataFrame, vector: str, out: str) -> DataFrame:
-    """Add the vector scaled to length 1, as an ML vector; zero stays zero."""
-    dense = df.withColumn("__raw", array_to_vector(F.col(vector).cast("array<double>")))
-    return Normalizer(inputCol="__raw", outputCol=out).transform(dense).drop("__raw")
-
-
-@dataclass(frozen=True)
-class VectorIndex:
-    """Items grouped into cells by direction, stored as a table.
-
-    ``items`` holds (id, vector) in one directory per cell, ``centres`` one row
-    per cell.  A search reads the directories of the probed cells.
-    """
-
-    spark: SparkSession
-    path: str
-
-    def build(
-        self,
-        items: DataFrame,
-        key: str,
-        vector: str = "vector",
-        cells: int = 16,
-        seed: int = 32,
-        rounds: int = 5,
-        train_fraction: float = 1.0,
-    ) -> VectorIndex:
-        """Learn the cells with k-means and write every item to its own.
-
-        The cells may be learned from a sample by key; all items are indexed.
-        """
-        unit = unit_vectors(_keyed(items, key, vector, "id"), "__v", "features")
-        seen = unit if train_fraction >= 1.0 else sampling.sample_by_key(unit, ["id"], train_fraction, seed)
-        model = KMeans(k=cells, seed=seed, maxIter=rounds).fit(seen.select("features"))
-        placed = model.setPredictionCol("cell").transform(unit)
-        rows = placed.select("id", F.col("__v").alias("vector"), "cell")
-        filters.write_category_slices(rows, f"{self.path}/items", "cell", mode="error")
-        # One row per cell passes through the driver.
-        centres = [(n, [float(x) for x in c]) for n, c in enumerate(model.clusterCenters())]
-        frame = self.spark.createDataFrame(centres, "cell int, centre array<double>")
-        frame.coalesce(1).write.parquet(f"{self.path}/centres")
-        return self
-
-    def probe(self, queries: DataFrame, key: str, vector: str, probes: int) -> DataFrame:
-        """(query, cell): the ``probes`` cells nearest to each query.
-
-        Nearest means the smallest distance to the centre, written as an inner
-        product with one more element.
-        """
-        unit = unit_vectors(_keyed(queries, key, vector, "__q"), "__v", "__unit")
-        wide = unit.select("__q", F.concat(vector_to_array("__unit"), F.array(F.lit(1.0))).alias("w"))
-        centres = self.spark.read.parquet(f"{self.path}/centres")
-        half = -vectors.dot("centre", "centre") / 2
-        targets = centres.select("cell", F.concat("centre", F.array(half)).alias("w"))
-        found = knn_inner_product(wide, targets, probes, "__q", "cell", "w", ("__q", "cell"))
-        return found.select("__q", F.col("cell").cast("int").alias("__cell"))
-
-    def search(
-        self,
-        queries: DataFrame,
-        k: int,
-        key: str,
-        vector: str = "vector",
-        probes: int = 4,
-        out: Sequence[str] = ("query", "item"),
-        block_rows: int = 65_536,
-        query_rows: int = 4_096,
-    ) -> DataFrame:
-        """k best items per query among its nearest cells.
-
-        The items of a cell and the queries routed to it are cut into blocks by
-        their numbers, so a cell of any size, met by any number of queries, is
-        searched by many tasks, each of one block pair.  Probing all cells gives the exact result, which
-        ``knn_inner_product`` finds without an index.
-        """
-        stored = self.spark.read.parquet(f"{self.path}/items")
-        items = stored.select(F.col("id").alias("__i"), F.col("vector").alias("__v"), F.col("cell").alias("__cell"))
-        routed = _keyed(queries, key, vector, "__q").join(self.probe(queries, key, vector, probes), "__q")
-
-        def sized(rows: DataFrame, of: DataFrame, most: int, name: str) -> DataFrame:
-            blocks = of.groupBy(F.col("__cell").alias("__c")).agg(F.ceil(F.count("*") / most).cast("bigint").alias(name))
-            return rows.join(F.broadcast(blocks), F.col("__cell") == F.col("__c")).drop("__c")  # one row per cell
-
-        def cut(rows: DataFrame) -> DataFrame:
-            return sized(sized(rows, items, block_rows, "__ibs"), routed, query_rows, "__qbs")
-
-        def own(name: str, blocks: str):
-            return F.pmod(F.xxhash64(name), blocks)
-
-        def every(blocks: str):
-            return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(blocks) - 1))
-
-        placed_i = cut(items).withColumn("__block", own("__i", "__ibs")).withColumn("__qblock", every("__qbs"))
-        placed_q = cut(routed).withColumn("__qblock", own("__q", "__qbs")).withColumn("__block", every("__ibs"))
-        return _search(placed_q.drop("__ibs", "__qbs"), placed_i.drop("__ibs", "__qbs"), ["__cell", "__block", "__qblock"], k, out)
-
-
 def recall(found: DataFrame, truth: DataFrame, query: str = "query", item: str = "item") -> DataFrame:
     """One row: the share of the true neighbours that were found."""
     hits = truth.select(query, item).join(found.select(query, item).withColumn("hit", F.lit(1)), [query, item], "left")

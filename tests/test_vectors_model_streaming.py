@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from catalog import model_queries, table
 from larder import session
-from larder.operators import model, vectors
+from larder.operators import model, vector_index, vectors
 from larder.sources import snapshots
 from larder.sources.serving import ServingTable
 from larder.streaming import incremental
@@ -49,14 +49,47 @@ def test_more_neighbours_than_items(spark):
     assert got.count() == 6
 
 
-def test_index_finds_most_and_all_cells_find_all(spark, root):
+def test_index_searches(spark, root):
+    """Exact search equals brute force, ties and blocks included; the approximate one finds most of it."""
     items, queries = points(spark, 400, copies=200), points(spark, 20, seed=2)
-    index = vectors.VectorIndex(spark, root).build(items, "id", cells=8)
+    index = vector_index.VectorIndex(spark, root).build(items, "id", cells=8)
     exact = vectors.knn_inner_product(queries, items, 5, "id", "id")
-    everywhere = index.search(queries, 5, "id", probes=8, block_rows=50)
-    assert rows(everywhere.withColumn("score", F.round("score", 9))) == rows(exact.withColumn("score", F.round("score", 9)))
-    near = vectors.recall(index.search(queries, 5, "id", probes=4), exact).first()["recall"]
-    assert near > 0.5
+    rounded = lambda df: rows(df.select("query", "item", F.round("score", 9).alias("score"), "rank"))
+    assert rounded(index.search_exact(queries, 5, "id", block_rows=50, query_rows=7)) == rounded(exact)
+    assert vectors.recall(index.search(queries, 5, "id", share=0.8), exact).first()["recall"] > 0.7
+    none = items.filter("id < 0")
+    empty = vector_index.VectorIndex(spark, f"{root}/empty").build(none, "id")
+    assert empty.search_exact(queries, 5, "id").count() == 0 and empty.search(queries, 5, "id").count() == 0
+
+
+def test_longest_items_come_first(spark, root):
+    """Of vectors of mixed length few cells are near a query, and those hold its neighbours."""
+    rng = np.random.default_rng(3)
+    data = [(i, (rng.normal(size=8) * (1 + i % 9)).tolist()) for i in range(900)]
+    items = spark.createDataFrame(data, "id int, vector array<double>")
+    queries = items.filter("id % 30 = 0")
+    index = vector_index.VectorIndex(spark, root).build(items, "id")
+    truth = vectors.knn_inner_product(queries, items, 10, "id", "id")
+    assert vectors.recall(index.search(queries, 10, "id"), truth).first()["recall"] >= 0.9
+    read = index.probe(queries, "id").join(spark.read.parquet(f"{root}/cells"), "cell").agg(F.sum("n")).first()[0]
+    assert read < 0.25 * 900 * 30
+
+
+def test_bounds_leave_cells_out(spark, root, monkeypatch):
+    """All against all of grouped vectors: what is asked of cells grows less than the pairs do."""
+    rng, asked = np.random.default_rng(5), []
+    original = vector_index.session.materialise
+    monkeypatch.setattr(vector_index.session, "materialise", lambda d, n: (f := original(d, n), n == "visits" and seen.append(f))[0])
+    for n in (400, 1600):
+        centres = rng.normal(size=(n // 40, 8)) * 10
+        data = [(i, (centres[i % len(centres)] + rng.normal(size=8) / 10).tolist()) for i in range(n)]
+        items, seen = spark.createDataFrame(data, "id int, vector array<double>"), []
+        index = vector_index.VectorIndex(spark, f"{root}/{n}").build(items, "id")
+        got = index.search_exact(items, 3, "id")
+        assert {(r["query"], r["item"], r["rank"]) for r in got.collect()} == brute_force(items, items, 3)
+        sizes = spark.read.parquet(f"{root}/{n}/cells")
+        asked.append(sum(f.join(sizes, "cell").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] for f in seen))
+    assert asked[0] < 0.4 * 400**2 and asked[1] < 8 * asked[0]
 
 
 def test_default_encoder(spark):
