@@ -71,7 +71,7 @@ def _log_chance(p: float) -> Column:
 
 def _cut(counts: DataFrame, chance: Column) -> float:
     """The log chance up to which about ``FALSE`` of the entries are false (Benjamini and Hochberg)."""
-    # chances that reach no more than one in e are never below the cut
+    # chances that reach no more than one in e are never below the cut; a row per rounded chance of the bounded sample's entries
     by_chance = counts.groupBy(F.round(chance, 6).alias("c")).agg(F.count("*").alias("n"))
     found = by_chance.agg(F.sum("n").alias("all"), F.sort_array(F.collect_list(F.when(F.col("c") < -1, F.struct("c", "n")))).alias("rows")).first()
     upto, cut = 0, -math.inf
