@@ -250,6 +250,12 @@ def feature_badges(spark, sf_dir):
     return features.badge_feature(stored, "c_custkey", names).apply(customers)
 
 
+@query("feature_badge_rows", "select distinct user_id as account_sid, event_type as badge from events")
+def feature_badge_rows(spark, sf_dir):
+    """Badges as rows, for any number of different ones."""
+    return features.badge_rows(bindings.user_badges(spark, sf_dir), "account_sid", "badge_type")
+
+
 @query(
     "feature_text_length",
     """select l.doc_id, coalesce(n, 0)::int as intro_len from labels l

@@ -91,13 +91,16 @@ def positive_ratio_feature(
 # --- badges ---------------------------------------------------------------
 
 
-def badge_names(df: DataFrame, badges: str, at_most: int | None = None) -> list[str]:
-    """Sorted distinct badges, to become columns.  A caller may set a number beyond
-    which that is an error, never a cut; ``badge_rows`` needs no columns."""
-    found = aggregates.distinct_categories(df, badges)
-    names = [r[0] for r in found.take(found.count() if at_most is None else at_most + 1)]
-    if at_most is not None and len(names) > at_most:
-        raise ValueError(f"more than {at_most} distinct badges in {badges}")
+#: Badges that may become columns; more are a long table.
+MOST_BADGES = 1000
+
+
+def badge_names(df: DataFrame, badges: str, at_most: int = MOST_BADGES) -> list[str]:
+    """Sorted distinct badges, to become columns.  More than ``at_most`` are an error, never a cut: ``badge_rows`` holds
+    any number."""
+    names = [r[0] for r in aggregates.distinct_categories(df, badges).take(at_most + 1)]
+    if len(names) > at_most:
+        raise ValueError(f"more than {at_most} distinct badges in {badges}: use badge_rows")
     return sorted(names)
 
 

@@ -7,9 +7,9 @@ session, with adaptive execution on (Spark's default).
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
+from gc import collect as drop_garbage
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -99,5 +99,5 @@ def release(spark: SparkSession) -> None:
 
     They go when the driver's garbage is collected, which on a large heap may be long after the frames are gone.
     """
-    gc.collect()
+    drop_garbage()
     spark.sparkContext._jvm.System.gc()

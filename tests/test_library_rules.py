@@ -23,6 +23,16 @@ def test_nothing_is_pulled_to_the_driver(path):
             assert call not in source, f"{call} in {path}"
 
 
+@pytest.mark.parametrize("path", LIBRARY, ids=lambda p: p.name)
+def test_every_gathered_row_states_its_bound(path):
+    """A list that an aggregate gathers for the driver is a collect by another name: what bounds it stands near."""
+    lines = path.read_text().splitlines()
+    for number, line in enumerate(lines):
+        if re.search(r"collect_(list|set)\(.*\.first\(\)", line):
+            near = " ".join(lines[max(0, number - 6) : number + 1])
+            assert re.search(r"at most|one row per|a row per", near), f"{path.name}:{number + 1}: {line.strip()}"
+
+
 @pytest.mark.parametrize("path", LIBRARY, ids=lambda p: p.name)
 def test_every_broadcast_states_its_bound(path):
     lines = path.read_text().splitlines()
