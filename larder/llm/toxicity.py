@@ -100,6 +100,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame) -> list[str]:
     chance = _log_chance(n.toxic / (n.toxic + n.clean + 1))
     good = counts.filter((F.col("a") >= LEAST) & (share[0] > 20 * share[1]) & (F.round(chance, 6) <= _cut(counts, chance)))
     worth = F.log(share[0] / share[1]) * F.sqrt("a")
+    # at most the entries of SAMPLE_TOXIC and SAMPLE_CLEAN texts
     ranked = good.agg(F.sort_array(F.collect_list(F.struct((-worth).alias("w"), "entry"))).alias("all")).first()
     return [r.entry for r in ranked["all"]]
 
@@ -217,6 +218,7 @@ def _fired(weighted: DataFrame, together: int) -> tuple[Counter, Counter]:
         fired = F.flatten(F.transform(fired, lambda i: F.transform(F.filter(fired, lambda j: j > i), lambda j: i * VOTERS + j)))
     rows = weighted.select(F.explode(F.concat(F.array(F.lit(-1)), fired)).alias("v"), "t", "c")
     sums = rows.groupBy("v").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    # one row per voter or pair of voters
     found = sums.agg(F.collect_list(F.struct("v", "t", "c")).alias("all")).first()["all"]
     return Counter({r.v: r.t for r in found}), Counter({r.v: r.c for r in found})
 
@@ -282,6 +284,7 @@ def calibrated(model: Model, rows: DataFrame) -> Model:
     """
     score = F.round(model.score(), 3)
     by_score = rows.filter("toxic is not null").groupBy(score.alias("s")).agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
+    # one row per score, 1,001 at most
     counts = by_score.agg(F.sort_array(F.collect_list(F.struct("s", "t", "n"))).alias("all")).first()["all"]
     best, missed, lost = None, 0, sum(r.n - r.t for r in counts)
     for low, high in zip(counts[:-1], counts[1:], strict=True):
