@@ -182,3 +182,19 @@ def test_awkward_rows(awkward, nothing):
     assert {r.component_id for r in rows if r.doc_id in (1, 2, 3)} == {1}
     assert {r.component_id for r in rows if r.doc_id in (5, 7)} == {5}
     assert simhash.component_of(simhash.with_fingerprint(nothing, ["doc_id"]), "doc_id", 2).collect() == []
+
+
+def test_bits_rule_out_no_pair_that_is_alike():
+    rng, ruled_out = np.random.default_rng(8), 0
+    for _ in range(400):
+        n = int(rng.integers(1, 900))
+        one = np.unique(rng.integers(0, 1 << 64, n, np.uint64))
+        lost = int(rng.integers(0, n // 2 + 1))
+        two = np.unique(np.concatenate([one[lost:], rng.integers(0, 1 << 64, int(rng.integers(0, n // 3 + 1)), np.uint64)]))
+        flat, offsets = np.concatenate([one, two]), np.array([0, len(one), len(one) + len(two)])
+        common = len(np.intersect1d(one, two))
+        alike = 5 * common >= 4 * (len(one) + len(two) - common)
+        possible = near_copies.may_be_alike(*near_copies.bit_sets(flat, offsets), len(one), len(two))
+        assert possible or not alike
+        ruled_out += not possible
+    assert ruled_out > 150
