@@ -147,8 +147,19 @@ def pre_aggregate(delta: DataFrame, ids: Sequence[str], rules: Mapping[str, str]
     return delta.groupBy(*ids).agg(*[fold[rule](c).alias(c) for c, rule in rules.items()])
 
 
-#: Values of a list that one row holds.
-CHUNK_VALUES = 1024
+#: Values of a list that one row holds, and slices of the order's range at most.
+CHUNK_VALUES, MOST_SLICES = 1024, 1024
+
+
+def _bounds_upto(bounds: Sequence, value: Column) -> Column:
+    """How many of the ascending bounds are not above the value, by halving; none for null."""
+    ends = F.array(*[F.lit(b) for b in bounds])
+    steps = F.array(*[F.lit(1 << n) for n in reversed(range(len(bounds).bit_length()))])
+
+    def passed(at: Column, step: Column) -> Column:
+        return F.when(F.get(ends, at + step - 1) <= value, at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), passed)
 
 
 def list_chunks(delta: DataFrame, ids: Sequence[str], value: str, order: Sequence[str], part: int, per_chunk: int = CHUNK_VALUES) -> DataFrame:
@@ -156,16 +167,16 @@ def list_chunks(delta: DataFrame, ids: Sequence[str], value: str, order: Sequenc
 
     Lists are kept beside their documents as such rows, so ``append`` adds the rows of the delta under the next ``part`` and
     changes none: the list of an id is its chunks by part, slice and chunk.  Ids with many values are cut into slices of the
-    order's range, the same for all ids, so the rows of one id are numbered by many tasks.  The first column of ``order``
-    is a number, a date or a time; together its columns tell the rows of an id apart.
+    order's range, the same for all ids, so the rows of one id are numbered by many tasks: as many slices as the longest list
+    asks for, ``MOST_SLICES`` at most; beyond that slices grow.  A row finds its slice by halving.  The first column of
+    ``order`` is a number, a date or a time; together its columns tell the rows of an id apart.
     """
-    total = delta.count()
-    slices = max(1, -(-total // (64 * per_chunk)))
+    longest = delta.groupBy(*ids).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    slices = min(MOST_SLICES, max(1, -(-longest // (64 * per_chunk))))
     cuts = [n / slices for n in range(1, slices)]
     first = order[0]
     bounds = delta.agg(F.percentile_approx(first, cuts, 100 * slices)).first()[0] if cuts else []
-    ends = F.array(*[F.lit(b) for b in bounds]) if bounds else None
-    slice_ = F.size(F.filter(ends, lambda e: e <= F.col(first))) if bounds else F.lit(0)
+    slice_ = _bounds_upto(bounds, F.col(first)) if bounds else F.lit(0)
     rows = delta.withColumn("slice", slice_).withColumn("__place", F.row_number().over(Window.partitionBy(*ids, "slice").orderBy(*order)) - 1)
     chunk = F.floor(F.col("__place") / per_chunk).alias("chunk")
     values = F.transform(F.array_sort(F.collect_list(F.struct("__place", F.col(value).alias("v")))), lambda e: e["v"])

@@ -331,3 +331,12 @@ def test_lists_are_appended_by_rows(spark):
             want.setdefault(i, []).append(v)
     assert got == want
     assert merge.list_chunks(frame(made).limit(0), ["id"], "v", ["at"], 0).count() == 0
+
+
+def test_slices_follow_the_longest_list(spark):
+    """Many short lists are one slice, however many rows there are; equal and null order values have one place."""
+    short = spark.range(5000).selectExpr("id div 10 as id", "id * 37 % 1000 as at", "id as v")
+    assert merge.list_chunks(short, ["id"], "v", ["at", "v"], 0, per_chunk=2).agg(F.max("slice")).first()[0] == 0
+    bounds, values = [3, 3, 3, 7, 20, 20], [None, -1, 2, 3, 4, 7, 8, 19, 20, 99]
+    got = spark.createDataFrame([(v,) for v in values], "v int").select("v", merge._bounds_upto(bounds, F.col("v")).alias("n")).collect()
+    assert {r.v: r.n for r in got} == {v: sum(v is not None and b <= v for b in bounds) for v in values}
