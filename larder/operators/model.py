@@ -30,6 +30,8 @@ LEARNING_RATE = 0.2
 MAX_DEPTH = 4
 #: Values of feature pairs held at once while explaining: rows are taken in slices of that many over the pairs.
 PAIR_CELLS = 4_000_000
+#: Values of a table that stands for some leaves while explaining, and rows that are looked up at a time.
+TABLE_VALUES, TABLE_ROWS = 1 << 15, 4096
 SEED = 32
 
 # Fixed value: the threshold of a record that does not name one.
@@ -232,28 +234,118 @@ def _subset_products(o: np.ndarray, z: Sequence[float], players: Sequence[int],
     return total
 
 
-def _explain_batch(x: np.ndarray, found: Sequence[Leaf], pairs: bool) -> tuple[np.ndarray, np.ndarray | None]:
-    """Shapley values (rows x features) and interaction values of one batch."""
+def _of_leaf(leaf: Leaf, o: np.ndarray, pairs: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Shapley values (players x columns) and interactions of one leaf, where ``o`` says which players a column passes."""
+    n = len(leaf.players)
+    values = np.zeros(o.shape)
+    mixed = np.zeros((n, *o.shape)) if pairs else None
+    gain = leaf.value * (o - np.array(leaf.share)[:, None])
+    one = [math.factorial(k) * math.factorial(n - k - 1) / math.factorial(n) for k in range(n)]
+    two = [math.factorial(k) * math.factorial(n - k - 2) / math.factorial(n - 1) / 2 for k in range(n - 1)]
+    for i in range(n):
+        others = [p for p in range(n) if p != i]
+        values[i] = gain[i] * _subset_products(o, leaf.share, others, one)
+        for j in others if mixed is not None else ():
+            rest = [p for p in others if p != j]
+            mixed[i, j] = gain[i] * (o[j] - leaf.share[j]) * _subset_products(o, leaf.share, rest, two)
+    return values, mixed
+
+
+def _passed(leaf: Leaf, x: np.ndarray) -> np.ndarray:
+    columns = x[:, leaf.players].T
+    return (columns > np.array(leaf.low)[:, None]) & (columns <= np.array(leaf.high)[:, None])
+
+
+def _explain_leaves(x: np.ndarray, found: Sequence[Leaf], pairs: bool) -> np.ndarray:
+    """Shapley values of rows, or their interactions flattened, leaf by leaf.
+
+    What a leaf gives depends only on which of its players a row passes, so it is computed for each such case, not for each row.
+    """
     rows, count = x.shape
-    values = np.zeros((rows, count))
-    mixed = np.zeros((rows, count, count)) if pairs else None
+    out = np.zeros((rows, count, count)) if pairs else np.zeros((rows, count))
     for leaf in found:
         n = len(leaf.players)
-        columns = x[:, leaf.players].T
-        o = ((columns > np.array(leaf.low)[:, None]) & (columns <= np.array(leaf.high)[:, None])).astype(float)
-        gain = leaf.value * (o - np.array(leaf.share)[:, None])
-        one = [math.factorial(k) * math.factorial(n - k - 1) / math.factorial(n) for k in range(n)]
-        two = [math.factorial(k) * math.factorial(n - k - 2) / math.factorial(n - 1) / 2 for k in range(n - 1)]
-        for i, f in enumerate(leaf.players):
-            others = [p for p in range(n) if p != i]
-            values[:, f] += gain[i] * _subset_products(o, leaf.share, others, one)
-            for j in others if mixed is not None else ():
-                rest = [p for p in others if p != j]
-                mixed[:, f, leaf.players[j]] += gain[i] * (o[j] - leaf.share[j]) * _subset_products(o, leaf.share, rest, two)
-    if mixed is not None:
-        diagonal = np.arange(count)
-        mixed[:, diagonal, diagonal] = values - mixed.sum(axis=2)
-    return values, mixed
+        if not n:
+            continue
+        cases = (np.arange(1 << n) >> np.arange(n)[:, None] & 1).astype(float)
+        values, mixed = _of_leaf(leaf, cases, pairs)
+        case = (_passed(leaf, x) << np.arange(n)[:, None]).sum(axis=0)
+        if mixed is None:
+            out[:, leaf.players] += values.T[case]
+            continue
+        mixed[np.arange(n), np.arange(n)] = values - mixed.sum(axis=1)
+        out[np.ix_(np.arange(rows), leaf.players, leaf.players)] += mixed.transpose(2, 0, 1)[case]
+    return out.reshape(rows, -1)
+
+
+class ShapleyTables:
+    """The leaves of a model as tables: neighbouring leaves, together a tree or less, are constant on the cells that their
+    thresholds cut, so a row costs one look-up for each table, not a game for each leaf.
+
+    A table has at most ``TABLE_VALUES`` values, or is that of one leaf; there are never more tables than leaves.
+    """
+
+    def __init__(self, found: Sequence[Leaf], count: int, pairs: bool):
+        self.found, self.count, self.pairs = found, count, pairs
+        every = [np.zeros(0)] * count
+        for leaf in found:
+            for f, *ends in zip(leaf.players, leaf.low, leaf.high, strict=True):
+                every[f] = np.append(every[f], [e for e in ends if math.isfinite(e)])
+        self.edges = [np.unique(e) for e in every]
+        self.tables = [self._table(group) for group in self._groups(found)]
+
+    def _groups(self, found: Sequence[Leaf]) -> Iterator[list[Leaf]]:
+        group, cuts = [], {}
+        for leaf in found:
+            both = {f: set(c) for f, c in cuts.items()}
+            for f, *ends in zip(leaf.players, leaf.low, leaf.high, strict=True):
+                both.setdefault(f, set()).update(e for e in ends if math.isfinite(e))
+            width = len(both) ** 2 if self.pairs else len(both)
+            if group and width * math.prod(len(c) + 1 for c in both.values()) > TABLE_VALUES:
+                yield group
+                group, both = [], {}
+                for f, *ends in zip(leaf.players, leaf.low, leaf.high, strict=True):
+                    both.setdefault(f, set()).update(e for e in ends if math.isfinite(e))
+            group, cuts = [*group, leaf], both
+        if group:
+            yield group
+
+    def _table(self, group: list[Leaf]) -> tuple[list[int], list[np.ndarray], np.ndarray]:
+        """The features, the place that each of their bins has, and the values by the sum of places."""
+        features = sorted({f for leaf in group for f in leaf.players})
+        at = {f: n for n, f in enumerate(features)}
+        cuts = [np.unique([e for leaf in group for f, *ends in zip(leaf.players, leaf.low, leaf.high, strict=True) if f == g for e in ends if math.isfinite(e)]) for g in features]
+        # an interval of a tree ends with its upper threshold, which stands for it
+        ends = [np.append(c, math.inf) for c in cuts]
+        cells = np.stack([g.ravel() for g in np.meshgrid(*ends, indexing="ij")], axis=1) if features else np.zeros((1, 0))
+        own = [Leaf(leaf.value, tuple(at[f] for f in leaf.players), leaf.low, leaf.high, leaf.share) for leaf in group]
+        steps = [math.prod(len(e) for e in ends[n + 1 :]) for n in range(len(ends))]
+        places = [np.searchsorted(c, np.append(self.edges[f], math.inf)) * step for f, c, step in zip(features, cuts, steps, strict=True)]
+        return features, places, _explain_leaves(cells, own, self.pairs)
+
+    def explain(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+        """Shapley values (rows x features) and interactions (rows x features x features) of a batch."""
+        width = self.count**2 if self.pairs else self.count
+        out = np.zeros((len(x), width))
+        for at in range(0, len(x), TABLE_ROWS):
+            part, own = x[at : at + TABLE_ROWS], out[at : at + TABLE_ROWS]
+            bins = [np.searchsorted(e, part[:, f]) for f, e in enumerate(self.edges)]
+            for features, places, values in self.tables:
+                if not features:
+                    continue
+                cell = sum(place[bins[f]] for f, place in zip(features, places, strict=True))
+                if len(features) == self.count:
+                    own += values[cell]
+                else:
+                    columns = [f * self.count + g for f in features for g in features] if self.pairs else features
+                    own[:, columns] += values[cell]
+        odd = np.flatnonzero(np.isnan(x).any(axis=1))  # no threshold is passed by what is no number
+        if len(odd):
+            out[odd] = _explain_leaves(x[odd], self.found, self.pairs)
+        if not self.pairs:
+            return out, None
+        mixed = out.reshape(len(x), self.count, self.count)
+        return mixed.sum(axis=2), mixed
 
 
 def explain_rows(model: PipelineModel, df: DataFrame, features: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -265,8 +357,9 @@ def explain_rows(model: PipelineModel, df: DataFrame, features: Sequence[str], k
     found, names = leaves(tree_nodes(model)), list(features)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tables = ShapleyTables(found, len(names), False)
         for batch in batches:
-            values, _ = _explain_batch(batch[[f"__{n}" for n in names]].to_numpy(dtype=float), found, False)
+            values, _ = tables.explain(batch[[f"__{n}" for n in names]].to_numpy(dtype=float))
             yield pd.concat([batch[list(keys)].reset_index(drop=True), pd.DataFrame(values, columns=names)], axis=1)
 
     rows = df.select(*keys, *[F.col(n).cast("double").alias(f"__{n}") for n in names])
@@ -287,11 +380,11 @@ def attributions(model: PipelineModel, df: DataFrame, features: Sequence[str]) -
     second = [n for _ in names for n in names] + [None] * count
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows_at_once = max(1, PAIR_CELLS // (count * count))
+        rows_at_once, tables = max(1, PAIR_CELLS // (count * count)), ShapleyTables(found, count, True)
         for batch in batches:
             for at in range(0, len(batch), rows_at_once):
                 part = batch[names].iloc[at : at + rows_at_once].to_numpy(dtype=float)
-                values, mixed = _explain_batch(part, found, True)
+                values, mixed = tables.explain(part)
                 every = np.concatenate([mixed.reshape(len(part), -1), values], axis=1)
                 sums = {"abs_sum": np.abs(every).sum(axis=0), "total": every.sum(axis=0), "n": len(part)}
                 yield pd.DataFrame({"feature": first, "other": second, **sums})
