@@ -1,7 +1,7 @@
 """Text vectors and nearest neighbours by inner product.
 
 The search cuts items and queries into blocks of bounded size and scores one
-block pair per task as a matrix product, keeping the k best per query.  Nothing
+block pair per task by matrix products of slices, keeping the k best per query.  Nothing
 is broadcast and no pair of vectors becomes a row.  ``vector_index`` has a stored index.
 """
 
@@ -136,50 +136,98 @@ _RESULT = T.StructType(
 )
 
 
-def _block_top_k(k: int):
-    """Score one block pair and keep the k best items per query.
+#: Values of a block of vectors that one task reads of each side, and rows of the two sides that are multiplied at a time.
+BLOCK_VALUES, QUERY_ROWS, ITEM_ROWS = 1 << 21, 256, 4096
 
-    The matrix product finds all items within rounding of the k-th score.  Only
-    those are scored again, element by element in a fixed order, so that equal
-    vectors score equally wherever they lie and ties go to the smaller id.
+
+def in_order(names: np.ndarray, matrix: np.ndarray, k: int) -> np.ndarray:
+    """Places of the items by name, of equal vectors the first ``k`` only: no other copy can be among the k best."""
+    order = np.argsort(names, kind="stable")
+    if not matrix.shape[1]:
+        return order[:k]
+    raw = np.ascontiguousarray(matrix[order]).view(np.dtype((np.void, matrix.itemsize * matrix.shape[1])))[:, 0]
+    _, first, vector = np.unique(raw, return_index=True, return_inverse=True)
+    if len(first) == len(order):
+        return order
+    by_vector = np.argsort(vector, kind="stable")
+    sizes = np.bincount(vector)
+    place = np.empty(len(order), np.int64)
+    place[by_vector] = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return order[place < k]
+
+
+def _best_of(owner: np.ndarray, item: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best of each owner, ties by item, sorted by owner and place."""
+    order = np.lexsort((item, -score, owner))
+    owner, item, score = owner[order], item[order], score[order]
+    place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    return owner[place < k], item[place < k], score[place < k]
+
+
+def best_products(
+    asking: np.ndarray, matrix: np.ndarray, k: int, floors: np.ndarray | None = None, wanted: Callable[[int, int], np.ndarray] | None = None, item_rows: int = ITEM_ROWS, query_rows: int = QUERY_ROWS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, item, score) by places: the k best items of each query; equal scores go to the item that comes first.
+
+    Slices of both sides are multiplied, so memory does not grow with a block.  The product finds the items within rounding
+    of the k-th score so far, or of a floor that is known.  Only those are scored again, element by element in a fixed
+    order, so that equal vectors score equally wherever they lie.  ``wanted(begin, end)`` gives, for a slice of the queries,
+    which items they ask for (queries x items); the others are left out.
     """
+    out = []
+    longest = np.linalg.norm(matrix, axis=1).max() if len(matrix) else 0.0
+    for at in range(0, len(asking), query_rows):
+        part = asking[at : at + query_rows]
+        margin = 1e-9 * longest * np.linalg.norm(part, axis=1)
+        least = np.full(len(part), -np.inf) if floors is None else floors[at : at + query_rows] - 1e-9 * (np.abs(floors[at : at + query_rows]) + 1)
+        least[np.isnan(least)] = -np.inf
+        asked = wanted(at, at + len(part)) if wanted else None
+        places = np.arange(len(matrix)) if asked is None else np.flatnonzero(asked.any(axis=0))
+        found = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        for begin in range(0, len(places), item_rows):
+            own = places[begin : begin + item_rows]
+            items = matrix[own]
+            scores = part @ items.T
+            if asked is not None:
+                scores[~asked[:, own]] = -np.inf
+            scores[np.isnan(scores)] = -np.inf
+            lowest = least
+            if np.isneginf(least).any():
+                kept = min(k, len(own))
+                lowest = np.maximum(least, np.partition(scores, len(own) - kept, axis=1)[:, len(own) - kept])
+            row, column = np.nonzero((scores >= (lowest - margin)[:, None]) & (scores > -np.inf))
+            exact = [(items[column[i : i + 65_536]] * part[row[i : i + 65_536]]).sum(axis=1) for i in range(0, len(row), 65_536)]
+            found = _best_of(*(np.concatenate(x) for x in zip(found, (row, own[column], np.concatenate([np.zeros(0), *exact])), strict=True)), k)
+            full = np.flatnonzero(np.bincount(found[0], minlength=len(part)) == k)
+            last = np.searchsorted(found[0], full, "right") - 1
+            least[full] = np.maximum(least[full], found[2][last])
+        out.append((found[0] + at, found[1], found[2]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+
+
+def _block_top_k(k: int, item_rows: int, query_rows: int):
+    """Score one block pair and keep the k best items per query."""
 
     def search(queries: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or items.empty:
             return pd.DataFrame({"__q": [], "__i": [], "score": []}).astype({"__q": object, "__i": object, "score": float})
-        items = items.sort_values("__i", kind="stable")
         names, matrix = items["__i"].to_numpy(), np.stack(items["__v"].to_numpy()).astype(np.float64)
-        longest = np.linalg.norm(matrix, axis=1).max()
-        kept = min(k, len(names))
-        owners, hits, values = [], [], []
-        for begin in range(0, len(queries), 256):
-            part = queries.iloc[begin : begin + 256]
-            vectors_ = np.stack(part["__v"].to_numpy()).astype(np.float64)
-            scores = vectors_ @ matrix.T
-            lowest = np.partition(scores, len(names) - kept, axis=1)[:, len(names) - kept]
-            margin = 1e-9 * longest * np.linalg.norm(vectors_, axis=1)
-            for name, vector, row, least in zip(part["__q"], vectors_, scores, lowest - margin):
-                near = np.flatnonzero(row >= least)
-                exact = (matrix[near] * vector).sum(axis=1)
-                best = np.lexsort((near, -exact))[:kept]
-                owners.append(name)
-                hits.append(names[near[best]])
-                values.append(exact[best])
-        return pd.DataFrame(
-            {"__q": np.repeat(np.array(owners, dtype=object), kept), "__i": np.concatenate(hits), "score": np.concatenate(values)}
-        )
+        order = in_order(names, matrix, k)
+        asking = np.stack(queries["__v"].to_numpy()).astype(np.float64)
+        owner, item, score = best_products(asking, matrix[order], k, item_rows=item_rows, query_rows=query_rows)
+        return pd.DataFrame({"__q": queries["__q"].to_numpy()[owner], "__i": names[order][item], "score": score})
 
     return search
 
 
-def _blocks(df: DataFrame, block_rows: int):
+def _blocks(df: DataFrame):
     """Number of blocks for a table, as a scalar of the plan."""
-    rows = df.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / block_rows)).cast("int").alias("blocks"))
+    rows = df.agg(F.greatest(F.lit(1), F.ceil(F.coalesce(F.sum(F.size("__v")), F.lit(0)) / BLOCK_VALUES)).cast("int").alias("blocks"))
     return rows.scalar()
 
 
-def _search(queries: DataFrame, items: DataFrame, block: Sequence[str], k: int, out: Sequence[str]) -> DataFrame:
-    found = queries.groupBy(*block).cogroup(items.groupBy(*block)).applyInPandas(_block_top_k(k), _RESULT)
+def _search(queries: DataFrame, items: DataFrame, block: Sequence[str], k: int, out: Sequence[str], item_rows: int, query_rows: int) -> DataFrame:
+    found = queries.groupBy(*block).cogroup(items.groupBy(*block)).applyInPandas(_block_top_k(k, item_rows, query_rows), _RESULT)
     ranked = ranking.rank_within(found, ["__q"], [F.col("score").desc(), F.col("__i")], k)
     return ranked.select(F.col("__q").alias(out[0]), F.col("__i").alias(out[1]), "score", "rank")
 
@@ -203,10 +251,12 @@ def knn_inner_product(
 
     Ids are returned as text; ties go to the smaller one.  Items are copied once
     per block of queries and queries once per block of items, so the shuffle
-    grows with items x query blocks, never with the number of pairs.
+    grows with items x query blocks, never with the number of pairs.  A block has
+    ``BLOCK_VALUES`` values whatever the rows asked for: ``block_rows`` and ``query_rows``
+    bound what is multiplied at a time.
     """
     q, i = _keyed(queries, query_key, vector, "__q"), _keyed(items, item_key, vector, "__i")
-    item_blocks, query_blocks = _blocks(i, block_rows), _blocks(q, query_rows)
+    item_blocks, query_blocks = _blocks(i), _blocks(q)
 
     def own(name: str, blocks):
         return F.pmod(F.xxhash64(name), blocks.cast("bigint")).cast("int")
@@ -216,7 +266,7 @@ def knn_inner_product(
 
     placed_q = q.withColumn("__qb", own("__q", query_blocks)).withColumn("__ib", every(item_blocks))
     placed_i = i.withColumn("__ib", own("__i", item_blocks)).withColumn("__qb", every(query_blocks))
-    return _search(placed_q, placed_i, ["__qb", "__ib"], k, out)
+    return _search(placed_q, placed_i, ["__qb", "__ib"], k, out, min(block_rows, ITEM_ROWS), min(query_rows, QUERY_ROWS))
 
 
 def recall(found: DataFrame, truth: DataFrame, query: str = "query", item: str = "item") -> DataFrame:
