@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from larder import session
 from larder.llm import near_copies, packing, quality, secrets, toxicity
 
+#: Bits in which the fingerprints of near copies may differ.
+RADIUS = 2
+
 
 def _whole(docs: DataFrame) -> DataFrame:
     """The text, and all columns as ``doc``."""
@@ -35,9 +38,11 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the first by id and a hash of the text; repeated rows are one.
 
+    Texts are linked by the SimHash operator, and by their exact resemblance where their fingerprints differ in more bits.
+
     Rows of an id and a text share their fate; only those that stay and are repeated are moved whole to drop the repeats.
     """
-    copies = near_copies.near_copies(docs, "doc_id")
+    copies = near_copies.near_copies(docs, "doc_id", radius=RADIUS)
     fate = copies.groupBy("key", "tie").agg(F.max("rank").alias("rank"), F.count("*").alias("n"))
     first = fate.filter("rank = 1").select(F.col("key").alias("__key"), F.col("tie").alias("__tie"), "n")
     tie = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))

@@ -12,6 +12,9 @@ member's set goes to its leader, whose own is read once.  Rounds end when no shi
 components.  Written tables of a round go when the next stands, and with them the shuffles that made them.  Sets are
 written in buckets by node, so that no round moves them all.
 
+With a ``radius`` the SimHash operator comes first: texts whose fingerprints its bit planes link are joined, and the exact
+comparison follows for all that is still apart.
+
 Words are compared without case of A to Z and without punctuation at their ends; texts of fewer than five words have one
 shingle, texts without a word are copies of each other.  Shingles are compared as 64-bit hashes, their sets as 128 bits, and
 nodes are places in a written table, so no two sets are one by chance of their number.  Null keys come first; ties of a
@@ -32,7 +35,7 @@ from pyspark.sql import types as T
 from larder import session
 from larder.llm import blocks
 from larder.llm.common import by_bytes, fit_rows, spans, text_array
-from larder.llm.simhash import components
+from larder.llm.simhash import component_of, components, fingerprints
 from larder.llm.substrings import run_hashes, span_hashes, word_spans
 
 #: Near copies: distinct five-word shingles, of which the shared ones are at least LIKE[0] / LIKE[1] of all.
@@ -47,6 +50,8 @@ _PLACE, _SLICE = 23, 20
 _SLICE_BYTES = 1 << 20
 #: Sets in a bucket of their table.
 SETS_PER_BUCKET = 10_000
+#: Words in a shingle of a fingerprint.
+PRINT_SHINGLE = 3
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -115,8 +120,8 @@ def frequent_shingles(df: DataFrame, text: str = "text") -> np.ndarray:
     return np.sort(np.array(most, np.int64).view(np.uint64))
 
 
-def _sets_by_slice(own: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """A row for each slice of (key, tie, text): its keys, ties, 128 bits and sizes of sets, and prefixes."""
+def _sets_by_slice(own: DataFrame, frequent: np.ndarray, printed: bool) -> DataFrame:
+    """A row for each slice of (key, tie, text): its keys, ties, 128 bits and sizes of sets, fingerprints if asked for, and prefixes."""
     key = own.schema["key"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,17 +129,19 @@ def _sets_by_slice(own: DataFrame, frequent: np.ndarray) -> DataFrame:
 
         first = TaskContext.get().partitionId() << _SLICE
         for number, batch in enumerate(by_bytes(batches, 2, _SLICE_BYTES)):
-            flat, offsets = shingle_sets(text_array(batch.column(2)))
+            texts = text_array(batch.column(2))
+            flat, offsets = shingle_sets(texts)
+            prints = fingerprints(texts, PRINT_SHINGLE).view(np.int64) if printed else np.zeros(len(batch), np.int64)
             head, cuts = prefixes(flat, offsets, frequent)
             values = [xxh3_128_digest(flat[a:b].astype("<u8").tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             whole = pa.array([0, len(batch)], pa.int32())
-            lists = [pa.ListArray.from_arrays(whole, c) for c in (batch.column(0), batch.column(1), pa.array(values, pa.binary()), pa.array(np.diff(offsets)), pa.array(np.diff(cuts)))]
+            lists = [pa.ListArray.from_arrays(whole, c) for c in (batch.column(0), batch.column(1), pa.array(values, pa.binary()), pa.array(prints), pa.array(np.diff(offsets)), pa.array(np.diff(cuts)))]
             yield pa.RecordBatch.from_arrays([pa.array([first + number]), *lists, pa.array([head.astype("<u8").tobytes()], pa.binary())], names=schema.names)
             pa.default_memory_pool().release_unused()
 
     array = lambda name, kind: T.StructField(name, T.ArrayType(kind))
     schema = T.StructType(
-        [T.StructField("block", T.LongType()), array("keys", key), array("ties", T.LongType()), array("sets", T.BinaryType()), array("sizes", T.LongType()), array("heads", T.LongType()), T.StructField("prefix", T.BinaryType())]
+        [T.StructField("block", T.LongType()), array("keys", key), array("ties", T.LongType()), array("sets", T.BinaryType()), array("prints", T.LongType()), array("sizes", T.LongType()), array("heads", T.LongType()), T.StructField("prefix", T.BinaryType())]
     )
     return session.materialise(own.mapInArrow(run, schema), "set-slices")
 
@@ -262,15 +269,28 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("u", "v")], names=["u", "v"])
 
 
-def resembling(met: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, root): the smallest node that each linked node reaches over pairs of resemblance 0.8 or more.
+def _with_components(met: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``met`` in buckets that still have more than one component."""
+    named = met.drop("comp").join(found, "node", "left").select("bucket", "node", "size", F.coalesce("root", "node").alias("comp"))
+    return session.materialise(_several(named), "met")
+
+
+def _by_fingerprints(rows: DataFrame, nodes: DataFrame, radius: int) -> DataFrame:
+    """(node, root): nodes whose texts the SimHash operator links."""
+    prints = rows.join(nodes.select("value", F.col("node").alias("own")), "value").select(F.col("own").alias("node"), "print").distinct()
+    linked = component_of(session.materialise(prints, "prints"), "node", radius, "print")
+    return session.materialise(components(linked.select(F.col("node").alias("u"), F.col("component_id").alias("v"))), "copies")
+
+
+def resembling(met: DataFrame, sets: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """(node, root): the smallest node that each linked node reaches over pairs of resemblance 0.8 or more, and what is found already.
 
     ``met`` has (bucket, node, size), a row for each bucket of a node; ``sets`` has (node, n, bits, set).  A round takes four times as
     many leaders as the one before, which leave their buckets afterwards.
     """
     num, den = LIKE
-    found = met.sparkSession.createDataFrame([], "node long, root long")
-    left = session.materialise(_several(met.withColumn("comp", F.col("node"))), "met")
+    found = found or met.sparkSession.createDataFrame([], "node long, root long")
+    left = _with_components(met, found)
     wanted = 1
     while left.first():
         salt = F.pmod(F.xxhash64("node", F.lit(wanted)), F.lit(wanted))
@@ -295,8 +315,7 @@ def resembling(met: DataFrame, sets: DataFrame) -> DataFrame:
             older.append(found)
             found = session.materialise(components(edges), "copies")
         rest = left.join(leaders, (F.col("bucket") == F.col("at")) & (F.col("node") == F.col("leader")), "left_anti")
-        rest = rest.drop("comp").join(found, "node", "left").select("bucket", "node", "size", F.coalesce("root", "node").alias("comp"))
-        left = session.materialise(_several(rest), "met")
+        left = _with_components(rest, found)
         for frame in [*older, pairs, new]:
             session.discard(frame)
         del apart, pairs, members, heads, both, rest, older, leaders, new
@@ -311,17 +330,18 @@ def _several(rows: DataFrame) -> DataFrame:
     return rows.join(several, "bucket", "left_semi")
 
 
-def near_copies(df: DataFrame, key: str, text: str = "text") -> DataFrame:
+def near_copies(df: DataFrame, key: str, text: str = "text", radius: int | None = None) -> DataFrame:
     """(key, tie, component_id, rank): components of texts linked where their five-word resemblance is 0.8 or more.
 
-    Every such pair is found, at any number of rows, and no other pair is a link.  ``tie`` is a hash of the text;
+    Every such pair is found, at any number of rows, and no other pair is a link, but for those that the SimHash operator
+    links where a ``radius`` is given.  ``tie`` is a hash of the text;
     ``component_id`` is the first (key, tie) of the component, and ``rank`` is 1 for the texts that have it, and null else.
     """
     tie = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     own = df.select(F.col(key).alias("key"), tie.alias("tie"), F.col(text).alias("text"))
-    table = _sets_by_slice(own, frequent_shingles(own))
-    each = F.posexplode(F.arrays_zip("keys", "ties", "sets")).alias("place", "r")
-    rows = table.select("block", each).select(F.shiftleft("block", _PLACE).bitwiseOR(F.col("place").cast("long")).alias("node"), F.col("r.keys").alias("key"), F.col("r.ties").alias("tie"), F.col("r.sets").alias("value"))
+    table = _sets_by_slice(own, frequent_shingles(own), radius is not None)
+    each = F.posexplode(F.arrays_zip("keys", "ties", "sets", "prints")).alias("place", "r")
+    rows = table.select("block", each).select(F.shiftleft("block", _PLACE).bitwiseOR(F.col("place").cast("long")).alias("node"), F.col("r.keys").alias("key"), F.col("r.ties").alias("tie"), F.col("r.sets").alias("value"), F.col("r.prints").alias("print"))
     rows = session.materialise(rows, "set-rows")
     nodes = rows.groupBy("value").agg(F.min(F.struct("key", "tie")).alias("least"), F.min("node").alias("node"))
     nodes = session.materialise(nodes, "nodes")
@@ -335,6 +355,12 @@ def near_copies(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     session.discard(table)
     del answered, asked, places, table
     session.release(df.sparkSession)
+    linked = None
+    if radius is not None:
+        linked = _by_fingerprints(rows, nodes, radius)
+        every, met = met, _with_components(met, linked)
+        session.discard(every)
+        session.release(df.sparkSession)
     # sets are made again for the nodes that meet another, from one of their texts
     meeting = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", F.col("least.key").alias("k"), F.col("least.tie").alias("t"))
     chosen = own.join(meeting, F.col("key").eqNullSafe(F.col("k")) & (F.col("tie") == F.col("t"))).dropDuplicates(["node"])
@@ -342,7 +368,7 @@ def near_copies(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     sets = session.bucketed(_with_sets(chosen), "sets", "node", buckets)
     del chosen, meeting
     session.release(df.sparkSession)
-    found = resembling(met, sets)
+    found = resembling(met, sets, linked)
     session.discard(met)
     session.discard(sets)
     rooted = nodes.join(found.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left")

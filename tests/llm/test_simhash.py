@@ -198,3 +198,18 @@ def test_bits_rule_out_no_pair_that_is_alike():
         assert possible or not alike
         ruled_out += not possible
     assert ruled_out > 150
+
+
+def test_fingerprints_link_first(spark, monkeypatch):
+    """With a radius the SimHash operator joins what it links, and nothing of that is left for the exact comparison."""
+    words = [f"w{i}" for i in range(3000)]
+    one = " ".join(words)
+    rows = [(1, one), (2, one + " more"), (3, " ".join(words[:-500])), (4, "quite another text of a few words"), (5, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, components_of = [], near_copies.component_of
+    monkeypatch.setattr(near_copies, "component_of", lambda *a: seen.append(a[2]) or components_of(*a))
+    got = {r.key: r.component_id for r in near_copies.near_copies(frame, "doc_id", radius=2).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5} and seen == [2]
+    prints = simhash.with_fingerprint(frame, ["doc_id"])
+    linked = {r.doc_id: r.component_id for r in simhash.component_of(prints, "doc_id", 2).collect()}
+    assert linked[2] == 1 and linked[3] == 3
