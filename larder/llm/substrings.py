@@ -36,8 +36,8 @@ from larder.llm.common import documents, mixed, spans
 
 #: Every difference modulo the period is one of two cover positions.
 PERIOD, COVER = 7, (0, 1, 3)
-#: Bytes hashed at a time.
-SEGMENT = 1 << 20
+#: Bytes hashed at a time; some ten arrays of as many 64-bit words are held meanwhile, and four tables of powers for good.
+SEGMENT = 1 << 18
 #: Anchors and windows in a shard.
 PER_SHARD = 1 << 21
 _LOW, _HIGH = 5, 4
@@ -227,6 +227,7 @@ _ANSWER_SQL = "block long, shard int, answer binary"
 
 
 def _answered(rows: pa.Table, flags: np.ndarray, bounds: np.ndarray) -> pa.Table:
+    pa.default_memory_pool().release_unused()
     answer = [np.packbits(flags[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     return pa.Table.from_arrays([rows["block"].combine_chunks(), rows["shard"].combine_chunks(), pa.array(answer, pa.binary())], schema=_ANSWER)
 

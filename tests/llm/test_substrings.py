@@ -91,3 +91,18 @@ def test_narrow_hashes_come_back():
 
     assert cuts[-1] == 5_000 and (np.diff(cuts) > 0).all()
     assert (blocks.widened(packed, 5) == (hashes << np.uint64(6)) >> np.uint64(24)).all()
+
+
+def test_hashing_holds_little():
+    """Bytes are hashed in short segments, and a word has one hash wherever a segment ends."""
+    import tracemalloc
+
+    data = np.frombuffer(b"some words of a text " * 200_000, np.uint8)
+    starts, ends = substrings.word_spans(data)
+    substrings.span_hashes(data, starts[:5], ends[:5])
+    tracemalloc.start()
+    hashes = substrings.span_hashes(data, starts, ends)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(np.unique(hashes)) == 5 and (hashes[:5] == hashes[-5:]).all()
+    assert peak - hashes.nbytes < 32 << 20
