@@ -21,7 +21,7 @@ words; repeated rows stay repeated.  Texts of fewer words than a window keep the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,8 +38,10 @@ from larder.llm.common import documents, mixed, spans
 PERIOD, COVER = 7, (0, 1, 3)
 #: Bytes hashed at a time; some ten arrays of as many 64-bit words are held meanwhile, and four tables of powers for good.
 SEGMENT = 1 << 18
+#: Bytes of text in a block: a worker holds some thirty times as many while it works on one.
+BLOCK_BYTES = 2 << 20
 #: Anchors and windows in a shard.
-PER_SHARD = 1 << 21
+PER_SHARD = 1 << 20
 _LOW, _HIGH = 5, 4
 
 _PRIME = (1 << 31) - 1
@@ -164,12 +166,13 @@ class _Block:
         #: the words of document d are those from first[d] to first[d + 1]
         self.first = np.append(np.searchsorted(self.starts, begins), len(self.starts))
         self.n_words = np.diff(self.first)
-        self.doc = np.repeat(np.arange(len(ids)), self.n_words)
+        self.doc = np.repeat(np.arange(len(ids), dtype=np.int32), self.n_words)
         place = np.arange(len(self.doc)) - self.first[self.doc]
         left = self.n_words[self.doc] - place
         anchor = length - PERIOD + 1
         self.anchors = np.flatnonzero(np.isin(place % PERIOD, COVER) & (left >= anchor))
         self.fits = left >= length
+        del place, left
         self.anchor = _distinct(run_hashes(self.words, self.anchors, anchor, 1), np.zeros(0, np.uint64), ids[self.doc[self.anchors]])
 
     def extend(self, shared: np.ndarray) -> None:
@@ -177,6 +180,7 @@ class _Block:
         has = np.zeros(len(self.doc) + PERIOD, np.int64)
         has[self.anchors[shared[self.anchor.entry]]] = 1
         upto = spans(has)
+        del has
         near = upto[PERIOD : PERIOD + len(self.doc)] > upto[: len(self.doc)]
         self.windows = np.flatnonzero(near & self.fits)
         hashes = run_hashes(self.words, self.windows, self.length, 2)
@@ -192,15 +196,22 @@ class _Block:
         change[gone + self.length] -= 1
         return np.cumsum(change[:-1]) > 0
 
-    def kept_texts(self, removed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The kept words joined by one space, as bytes and offsets; a text ends one byte before the next begins."""
+    def counted(self, removed: np.ndarray) -> tuple[pa.Array, pa.Array]:
+        """The words of each text, and how many of them are removed."""
+        upto = spans(removed)
+        return pa.array(self.n_words), pa.array(upto[self.first[1:]] - upto[self.first[:-1]])
+
+    def kept_texts(self, removed: np.ndarray) -> pa.Array:
+        """The kept words joined by one space."""
         kept = np.flatnonzero(~removed)
         lengths = self.ends[kept] - self.starts[kept] + 1
         out = self.data[np.minimum(gather(self.starts[kept], lengths), len(self.data) - 1)]
         ends = np.cumsum(lengths)
         out[ends - 1] = 0x20
-        before = spans(lengths)
-        return out, before[np.searchsorted(kept, self.first)]
+        # a text ends one byte before the next begins
+        offsets = spans(lengths)[np.searchsorted(kept, self.first)]
+        texts = [out[a : max(a, b - 1)].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        return pa.array(texts, pa.binary()).cast(pa.string())
 
 
 def _sent(block: int, found: _Distinct, shards: int, whole: bool) -> pa.RecordBatch:
@@ -256,10 +267,12 @@ def _earlier_windows(rows: pa.Table) -> pa.Table:
     return _answered(rows, least > found.least[found.entry], bounds)
 
 
-def _blocks_in(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, int, _Block]]:
-    ids, texts, names = batch.column("ids"), batch.column("texts"), batch.column("block").to_pylist()
-    for row, name in enumerate(names):
-        yield row, name, _Block(blocks.ids_of(ids, row), texts[row].values, length)
+def _each_block(batches: Iterator[pa.RecordBatch], length: int, use: Callable[[pa.RecordBatch, int, int, _Block], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What ``use`` makes of each block, in slices; a block is gone before its rows are sent and the next one is made."""
+    for batch in batches:
+        for row, name in enumerate(batch.column("block").to_pylist()):
+            yield from _sliced(use(batch, row, name, _Block(blocks.ids_of(batch.column("ids"), row), batch.column("texts")[row].values, length)))
+            pa.default_memory_pool().release_unused()
 
 
 def _flags(batch: pa.RecordBatch, column: str, row: int, found: _Distinct, shards: int) -> np.ndarray:
@@ -269,7 +282,7 @@ def _flags(batch: pa.RecordBatch, column: str, row: int, found: _Distinct, shard
     return np.concatenate([np.zeros(0, bool), *(blocks.flags_of(p, int(n)) for p, n in zip(packed, sizes[sizes > 0], strict=True))])
 
 
-def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = 13, block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
+def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = 13, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(key, n_words, n_removed, kept): each text without the words of windows that a smaller key has too.
 
     A window is ``length`` (8 or more) consecutive words; windows are judged on the texts as given.
@@ -281,41 +294,28 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", leng
     # a word of natural text takes some six bytes with its space
     shards = blocks.shards_for(size * len(COVER) // (6 * PERIOD), PER_SHARD)
 
-    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, name, block in _blocks_in(batch, length):
-                yield _sent(name, block.anchor, shards, False)
-                pa.default_memory_pool().release_unused()
+    def anchors(batch: pa.RecordBatch, row: int, name: int, block: _Block) -> pa.RecordBatch:
+        return _sent(name, block.anchor, shards, False)
 
-    shared = table.mapInArrow(anchors, _SENT_SQL).groupBy("shard").applyInArrow(_shared_anchors, _ANSWER_SQL)
+    shared = table.mapInArrow(lambda batches: _each_block(batches, length, anchors), _SENT_SQL).groupBy("shard").applyInArrow(_shared_anchors, _ANSWER_SQL)
     shared = session.materialise(blocks.answers(shared, "shared"), "shared-anchors")
     asked = table.join(shared, "block", "left")
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, name, block in _blocks_in(batch, length):
-                block.extend(_flags(batch, "shared", row, block.anchor, shards))
-                yield _sent(name, block.window, shards, True)
-                pa.default_memory_pool().release_unused()
+    def windows(batch: pa.RecordBatch, row: int, name: int, block: _Block) -> pa.RecordBatch:
+        block.extend(_flags(batch, "shared", row, block.anchor, shards))
+        return _sent(name, block.window, shards, True)
 
-    earlier = asked.mapInArrow(windows, _SENT_SQL).groupBy("shard").applyInArrow(_earlier_windows, _ANSWER_SQL)
+    earlier = asked.mapInArrow(lambda batches: _each_block(batches, length, windows), _SENT_SQL).groupBy("shard").applyInArrow(_earlier_windows, _ANSWER_SQL)
     # one plan for both uses of the blocks joined with their anchors, so that texts are shuffled once
     judged = asked.join(blocks.answers(earlier, "earlier"), "block", "left")
 
-    def results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, _, block in _blocks_in(batch, length):
-                block.extend(_flags(batch, "shared", row, block.anchor, shards))
-                removed = block.removed(_flags(batch, "earlier", row, block.window, shards))
-                out, offsets = block.kept_texts(removed)
-                kept = [out[a : max(a, b - 1)].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                upto = spans(removed)
-                columns = [batch.column("ids")[row].values, pa.array(block.n_words), pa.array(upto[block.first[1:]] - upto[block.first[:-1]])]
-                for part in _sliced(pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.binary()).cast(pa.string())], names=[key, "n_words", "n_removed", "kept"])):
-                    yield part
-                pa.default_memory_pool().release_unused()
-
-    return judged.mapInArrow(results, f"`{key}` long, n_words long, n_removed long, kept string")
+    def results(batch: pa.RecordBatch, row: int, name: int, block: _Block) -> pa.RecordBatch:
+        block.extend(_flags(batch, "shared", row, block.anchor, shards))
+        removed = block.removed(_flags(batch, "earlier", row, block.window, shards))
+        columns = [batch.column("ids")[row].values, *block.counted(removed), block.kept_texts(removed)]
+        return pa.RecordBatch.from_arrays(columns, names=[key, "n_words", "n_removed", "kept"])
+
+    return judged.mapInArrow(lambda batches: _each_block(batches, length, results), f"`{key}` long, n_words long, n_removed long, kept string")
 
 
 def _sliced(batch: pa.RecordBatch, rows: int = 2_000) -> Iterator[pa.RecordBatch]:

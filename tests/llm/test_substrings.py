@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 import re
+import weakref
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from larder.llm import blocks, substrings
@@ -106,3 +108,21 @@ def test_hashing_holds_little():
     tracemalloc.stop()
     assert len(np.unique(hashes)) == 5 and (hashes[:5] == hashes[-5:]).all()
     assert peak - hashes.nbytes < 32 << 20
+
+
+def test_a_worker_holds_one_block(monkeypatch):
+    """A block and what was made of it are gone when the next one is made; blocks are of 2 MB or less."""
+    alive, most = weakref.WeakSet(), []
+
+    class Seen(substrings._Block):
+        def __init__(self, *arguments):
+            alive.add(self)
+            most.append(len(alive))
+            super().__init__(*arguments)
+
+    monkeypatch.setattr(substrings, "_Block", Seen)
+    texts = [[" ".join(f"w{b}x{i}" for i in range(40))] for b in range(4)]
+    batch = pa.record_batch({"block": pa.array(range(4), pa.int64()), "ids": pa.array([[b] for b in range(4)]), "texts": pa.array(texts)})
+    sent = list(substrings._each_block(iter([batch, batch]), 13, lambda batch, row, name, block: substrings._sent(name, block.anchor, 32, False)))
+    assert sent and most == [1] * 8
+    assert substrings.BLOCK_BYTES <= 2 << 20
