@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,6 +28,12 @@ from larder.sources import schemas
 TREES = 500
 LEARNING_RATE = 0.2
 MAX_DEPTH = 4
+#: Bins of a feature among which the booster looks for splits.
+BINS = 32
+#: Distinct values of a feature up to which its bins are cut by the values themselves, else by their quantiles.
+CUT_VALUES = 10_000
+#: Cells of training rows in a task: each level of each tree is a job, of two tasks for each part.
+TASK_CELLS = 50_000
 #: Values of feature pairs held at once while explaining: rows are taken in slices of that many over the pairs.
 PAIR_CELLS = 4_000_000
 #: Values of a table that stands for some leaves while explaining, and rows that are looked up at a time.
@@ -42,6 +48,48 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
 
 
+def split_points(rows: DataFrame, features: Sequence[str], bins: int = BINS) -> dict[str, list[float]]:
+    """Where each feature is cut into bins of nearly equal numbers of rows, as Spark's trees cut it when they see all rows.
+
+    A feature of at most CUT_VALUES values is cut half-way between two of them; one of more at quantiles of all rows.
+    Either way the driver gets a bounded number of values.
+    """
+    named = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).cast("double").alias("v")) for f in features])).alias("x")
+    counts = session.materialise(rows.select(named).groupBy("x.f", "x.v").agg(F.count("*").alias("n")), "feature-values")
+    several = {r["f"]: r["d"] for r in counts.groupBy("f").agg(F.count("*").alias("d")).collect()}  # a row for each feature
+    few = [f for f in features if several.get(f, 0) <= CUT_VALUES]
+    # at most CUT_VALUES rows for each feature
+    known = counts.filter(F.col("f").isin(few)).orderBy("f", "v").toPandas()
+    found = {f: _cuts(own["v"].to_numpy(), own["n"].to_numpy(), bins) for f, own in known.groupby("f")}
+    many = [f for f in features if several.get(f, 0) > CUT_VALUES]
+    if many:
+        ranks = [k / bins for k in range(1, bins)]
+        places = rows.agg(*[F.percentile_approx(F.col(f).cast("double"), ranks, F.lit(CUT_VALUES)).alias(f"q{i}") for i, f in enumerate(many)]).first()
+        found |= {f: sorted(set(places[f"q{i}"])) for i, f in enumerate(many)}
+    session.discard(counts)
+    return {f: found.get(f, []) for f in features}
+
+
+def _cuts(values: np.ndarray, counts: np.ndarray, bins: int) -> list[float]:
+    """The thresholds of ascending distinct values with their counts: half-way between two, nearest to equal shares."""
+    middles = (values[:-1] + values[1:]) / 2
+    if len(middles) < bins:
+        return middles.tolist()
+    stride = counts.sum() / bins
+    target, out = stride, []
+    for middle, before, upto in zip(middles, np.cumsum(counts)[:-1], np.cumsum(counts)[1:], strict=True):
+        if abs(before - target) < abs(upto - target):
+            out.append(float(middle))
+            target += stride
+    return out
+
+
+def _binner(points: Mapping[str, list[float]]) -> Bucketizer:
+    """Bins of the renamed features.  A tree goes left up to a threshold, a bin starts at its split: the next number."""
+    splits = [[-math.inf, *np.nextafter(np.array(p or [0.0]), math.inf).tolist(), math.inf] for p in points.values()]
+    return Bucketizer(splitsArray=splits, inputCols=list(points), outputCols=[f"{f}_bin" for f in points])
+
+
 def train_ranker(
     df: DataFrame,
     features: Sequence[str],
@@ -53,9 +101,9 @@ def train_ranker(
     """Boosted trees over the features, trained where the rows lie.
 
     Fails if a feature holds nulls.  A factor below 1 trains on exactly that
-    share of the rows.  Training passes over the rows many times, so they are
-    written to the workspace once instead of being recomputed, and a lost
-    executor costs a read.
+    share of the rows.  Training passes over the rows thousands of times, and
+    trees see no more of a row than its bins and label; so rows alike in these
+    are one cell with their number as its weight, and only cells are passed over.
     """
     rows = df.select(*dict.fromkeys([*sample_keys, *features, label]))
     if sampling_factor < 1.0:
@@ -63,12 +111,22 @@ def train_ranker(
     rows = session.materialise(rows, "training-rows")
     filters.assert_no_nulls(rows, features)
     mapping = schemas.feature_name_map(features)
-    assembler = VectorAssembler(inputCols=list(mapping.values()), outputCol="features")
+    renamed = schemas.rename_features(rows.select(*features, label), mapping)
+    binner = _binner(split_points(renamed, list(mapping.values())))
+    bins = binner.getOutputCols()
+    # without their metadata, which would make categories of bins
+    binned = binner.transform(renamed).select(label, *[F.col(b).alias(b, metadata={}) for b in bins])
+    cells = binned.groupBy(*bins, label).agg(F.count("*").cast("double").alias("weight"))
+    cells = session.materialise(cells, "training-cells")
+    number = cells.count()
+    assembler = VectorAssembler(inputCols=bins, outputCol="features")
+    # Spark looks for splits in a sample of maxBins^2 rows; with as many as there are cells it sees every bin
     booster = GBTClassifier(
-        labelCol=label, maxIter=trees, maxDepth=MAX_DEPTH, stepSize=LEARNING_RATE, seed=SEED, checkpointInterval=10
-    )
-    ready = assembler.transform(schemas.rename_features(rows, mapping)).select("features", label)
-    return PipelineModel([assembler, booster.fit(ready)])
+        labelCol=label, weightCol="weight", maxIter=trees, maxDepth=MAX_DEPTH, stepSize=LEARNING_RATE, seed=SEED, checkpointInterval=10,
+        maxBins=max(BINS, math.isqrt(number) + 1),
+    )
+    ready = assembler.transform(cells.repartition(max(1, -(-number // TASK_CELLS)))).select("features", label, "weight")
+    return PipelineModel([binner, assembler, booster.fit(ready)])
 
 
 def score_batch(
@@ -77,7 +135,7 @@ def score_batch(
     """Add ``probability`` of the positive class and the 0/1 ``prediction``."""
     mapping = schemas.feature_name_map(features)
     copies = df.withColumns({new: F.col(old) for old, new in mapping.items()})
-    scored = model.transform(copies).drop("prediction", "rawPrediction", "features", *mapping.values())
+    scored = model.transform(copies).drop("prediction", "rawPrediction", "features", *mapping.values(), *_bins_of(model))
     scored = scored.withColumn("probability", vector_to_array("probability").getItem(1))
     return scored.withColumn("prediction", (F.col("probability") > threshold).cast("int"))
 
@@ -87,7 +145,12 @@ def margins(model: PipelineModel, df: DataFrame, features: Sequence[str], out: s
     mapping = schemas.feature_name_map(features)
     copies = df.withColumns({new: F.col(old) for old, new in mapping.items()})
     scored = model.transform(copies).withColumn(out, vector_to_array("rawPrediction").getItem(1))
-    return scored.drop("prediction", "probability", "rawPrediction", "features", *mapping.values())
+    return scored.drop("prediction", "probability", "rawPrediction", "features", *mapping.values(), *_bins_of(model))
+
+
+def _bins_of(model: PipelineModel) -> list[str]:
+    """The columns of bins that scoring adds; a model saved before there were bins has none."""
+    return list(model.stages[0].getOutputCols()) if isinstance(model.stages[0], Bucketizer) else []
 
 
 def evaluate_scores(scored: DataFrame, label: str, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
@@ -192,12 +255,18 @@ def tree_nodes(model: PipelineModel) -> pd.DataFrame:
             data["leftChild"].alias("left"),
             data["rightChild"].alias("right"),
             data["prediction"].alias("value"),
-            data["rawCount"].alias("rows"),
+            F.get(data["impurityStats"], F.lit(0)).alias("rows"),
         )
         .orderBy("tree", "node")
         .toPandas()
     )
     table["value"] *= np.asarray(booster.treeWeights)[table["tree"].to_numpy()]
+    if _bins_of(model):
+        # a threshold between two bins is the last number of the lower one
+        inner = table["left"].to_numpy() >= 0
+        ends = [np.nextafter(np.array(s[1:]), -math.inf) for s in model.stages[0].getSplitsArray()]
+        upper = [ends[f][math.floor(t)] for f, t in zip(table.loc[inner, "feature"], table.loc[inner, "threshold"], strict=True)]
+        table.loc[inner, "threshold"] = upper
     return table
 
 
