@@ -49,7 +49,7 @@ PER_SHARD, SENT_BYTES, KEPT_BYTES = 1 << 20, 5, 6
 _PLACE, _SLICE = 23, 20
 _SLICE_BYTES = 1 << 20
 #: Sets in a bucket of their table.
-SETS_PER_BUCKET = 10_000
+SETS_PER_BUCKET = 4_000
 #: Words in a shingle of a fingerprint.
 PRINT_SHINGLE = 3
 
@@ -261,8 +261,9 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     num, den = LIKE
     for batch in batches:
         kept = []
-        for one, two in zip(batch.column("of_u").to_pylist(), batch.column("of_v").to_pylist(), strict=True):
-            a, b = blocks.widened([one], KEPT_BYTES), blocks.widened([two], KEPT_BYTES)
+        # sets are read where they lie in the batch: a leader's comes once for each of its members
+        for one, two in zip(batch.column("of_u"), batch.column("of_v"), strict=True):
+            a, b = blocks.widened([one.as_buffer()], KEPT_BYTES), blocks.widened([two.as_buffer()], KEPT_BYTES)
             common = int(_within(a, b).sum())
             kept.append((num + den) * common >= num * (len(a) + len(b)))
         mask = pa.array(kept, pa.bool_())
@@ -330,6 +331,18 @@ def _several(rows: DataFrame) -> DataFrame:
     return rows.join(several, "bucket", "left_semi")
 
 
+def _one_text(own: DataFrame, rows: DataFrame, meeting: DataFrame) -> DataFrame:
+    """(key, tie, text, node, ...): of each node (node, k, t) one of the rows that have its key and tie.
+
+    Only rows that are repeated are gathered to take one; all others are moved no more than to meet their node.
+    """
+    repeated = rows.groupBy(F.col("key").alias("rk"), F.col("tie").alias("rt")).agg(F.count("*").alias("n")).filter("n > 1")
+    marked = meeting.join(repeated, F.col("k").eqNullSafe(F.col("rk")) & (F.col("t") == F.col("rt")), "left").select("node", "k", "t", F.col("n").isNotNull().alias("again"))
+    marked = session.materialise(marked, "meeting")
+    chosen = own.join(marked, F.col("key").eqNullSafe(F.col("k")) & (F.col("tie") == F.col("t")))
+    return chosen.filter(~F.col("again")).union(chosen.filter("again").dropDuplicates(["node"]))
+
+
 def near_copies(df: DataFrame, key: str, text: str = "text", radius: int | None = None) -> DataFrame:
     """(key, tie, component_id, rank): components of texts linked where their five-word resemblance is 0.8 or more.
 
@@ -363,7 +376,7 @@ def near_copies(df: DataFrame, key: str, text: str = "text", radius: int | None
         session.release(df.sparkSession)
     # sets are made again for the nodes that meet another, from one of their texts
     meeting = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", F.col("least.key").alias("k"), F.col("least.tie").alias("t"))
-    chosen = own.join(meeting, F.col("key").eqNullSafe(F.col("k")) & (F.col("tie") == F.col("t"))).dropDuplicates(["node"])
+    chosen = _one_text(own, rows, meeting)
     buckets = fit_rows(nodes.count(), SETS_PER_BUCKET, 8)
     sets = session.bucketed(_with_sets(chosen), "sets", "node", buckets)
     del chosen, meeting

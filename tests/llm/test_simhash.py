@@ -213,3 +213,14 @@ def test_fingerprints_link_first(spark, monkeypatch):
     prints = simhash.with_fingerprint(frame, ["doc_id"])
     linked = {r.doc_id: r.component_id for r in simhash.component_of(prints, "doc_id", 2).collect()}
     assert linked[2] == 1 and linked[3] == 3
+
+
+def test_one_text_of_a_node_gathers_repeated_rows_only(spark):
+    """Each node gets one row, null keys too; the rows that are gathered to drop repeats are the repeated ones."""
+    made = [(k, k * 7, f"text {k}") for k in range(40)] + [(None, 5, "none"), (3, 21, "text 3"), (3, 21, "text 3"), (None, 5, "none")]
+    own = spark.createDataFrame(made, "key long, tie long, text string").repartition(3)
+    meeting = spark.createDataFrame([(100 + k, k, k * 7) for k in range(20)] + [(99, None, 5)], "node long, k long, t long")
+    got = near_copies._one_text(own, own.select("key", "tie"), meeting)
+    assert sorted((r["node"], r["text"]) for r in got.collect()) == [(99, "none"), *((100 + k, f"text {k}") for k in range(20))]
+    alone = got.filter("not again").collect()
+    assert sorted(r["node"] for r in got.filter("again").collect()) == [99, 103] and len(alone) == 19
