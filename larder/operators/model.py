@@ -56,12 +56,12 @@ def split_points(rows: DataFrame, features: Sequence[str], bins: int = BINS) ->
     """
     named = F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).cast("double").alias("v")) for f in features])).alias("x")
     counts = session.materialise(rows.select(named).groupBy("x.f", "x.v").agg(F.count("*").alias("n")), "feature-values")
-    several = {r["f"]: r["d"] for r in counts.groupBy("f").agg(F.count("*").alias("d")).collect()}  # a row for each feature
-    few = [f for f in features if several.get(f, 0) <= CUT_VALUES]
+    distinct = counts.agg(*[F.count_if(F.col("f") == f).alias(f) for f in features]).first()
+    few = [f for f in features if distinct[f] <= CUT_VALUES]
     # at most CUT_VALUES rows for each feature
     known = counts.filter(F.col("f").isin(few)).orderBy("f", "v").toPandas()
     found = {f: _cuts(own["v"].to_numpy(), own["n"].to_numpy(), bins) for f, own in known.groupby("f")}
-    many = [f for f in features if several.get(f, 0) > CUT_VALUES]
+    many = [f for f in features if distinct[f] > CUT_VALUES]
     if many:
         ranks = [k / bins for k in range(1, bins)]
         places = rows.agg(*[F.percentile_approx(F.col(f).cast("double"), ranks, F.lit(CUT_VALUES)).alias(f"q{i}") for i, f in enumerate(many)]).first()
