@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -44,6 +45,12 @@ def worker_cache(key: str, make: Callable[[], Any]) -> Any:
     return vars(home)[key]
 
 
+def drop_worker_cache() -> None:
+    """Lets go of what other operators keep in this Python worker, which shares its executor's memory."""
+    if sys.modules.pop("_larder_worker_cache", None) is not None:
+        gc.collect()
+
+
 def text_array(column: pa.Array) -> pa.Array:
     """The texts of a batch, null as empty."""
     return column.fill_null("")

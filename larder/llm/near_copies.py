@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from larder import session
 from larder.llm import blocks
-from larder.llm.common import by_bytes, fit_rows, spans, text_array
+from larder.llm.common import by_bytes, drop_worker_cache, fit_rows, spans, text_array
 from larder.llm.simhash import component_of, components, fingerprints
 from larder.llm.substrings import run_hashes, span_hashes, word_spans
 
@@ -48,6 +48,8 @@ PER_SHARD, SENT_BYTES, KEPT_BYTES = 1 << 20, 5, 6
 #: Bits of a node that count texts in a slice, and of a slice those that count slices of a task.
 _PLACE, _SLICE = 23, 20
 _SLICE_BYTES = 1 << 20
+#: Bytes of text whose words and shingles a worker holds at a time; each takes some sixty times as much while it is hashed.
+PART_BYTES = 1 << 17
 #: Sets in a bucket of their table.
 SETS_PER_BUCKET = 4_000
 #: Words in a shingle of a fingerprint.
@@ -110,7 +112,8 @@ def frequent_shingles(df: DataFrame, text: str = "text") -> np.ndarray:
     sample = df.filter(F.pmod(F.xxhash64(text, F.lit(5)), F.lit(1 << 40)) <= share).select(F.col(text).alias("__text")).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, 0, _SLICE_BYTES):
+        drop_worker_cache()
+        for batch in by_bytes(batches, 0, PART_BYTES):
             found, n = np.unique(shingle_sets(text_array(batch.column(0)))[0].view(np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["s", "n"])
 
@@ -120,30 +123,40 @@ def frequent_shingles(df: DataFrame, text: str = "text") -> np.ndarray:
     return np.sort(np.array(most, np.int64).view(np.uint64))
 
 
-def _sets_by_slice(own: DataFrame, frequent: np.ndarray, printed: bool) -> DataFrame:
+def _slices(frequent: np.ndarray, printed: bool):
     """A row for each slice of (key, tie, text): its keys, ties, 128 bits and sizes of sets, fingerprints if asked for, and prefixes."""
-    key = own.schema["key"].dataType
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of_part(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, bytes]:
         from xxhash import xxh3_128_digest
 
+        flat, offsets = shingle_sets(texts)
+        prints = fingerprints(texts, PRINT_SHINGLE).view(np.int64) if printed else np.zeros(len(texts), np.int64)
+        head, cuts = prefixes(flat, offsets, frequent)
+        values = [xxh3_128_digest(flat[a:b].astype("<u8").tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        return values, prints, np.diff(offsets), np.diff(cuts), head.astype("<u8").tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_cache()
         first = TaskContext.get().partitionId() << _SLICE
         for number, batch in enumerate(by_bytes(batches, 2, _SLICE_BYTES)):
-            texts = text_array(batch.column(2))
-            flat, offsets = shingle_sets(texts)
-            prints = fingerprints(texts, PRINT_SHINGLE).view(np.int64) if printed else np.zeros(len(batch), np.int64)
-            head, cuts = prefixes(flat, offsets, frequent)
-            values = [xxh3_128_digest(flat[a:b].astype("<u8").tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            parts = [of_part(text_array(part.column(2))) for part in by_bytes(iter([batch]), 2, PART_BYTES)]
+            values, prints, sizes, heads, head = zip(*parts, strict=True)
             whole = pa.array([0, len(batch)], pa.int32())
-            lists = [pa.ListArray.from_arrays(whole, c) for c in (batch.column(0), batch.column(1), pa.array(values, pa.binary()), pa.array(prints), pa.array(np.diff(offsets)), pa.array(np.diff(cuts)))]
-            yield pa.RecordBatch.from_arrays([pa.array([first + number]), *lists, pa.array([head.astype("<u8").tobytes()], pa.binary())], names=schema.names)
+            columns = batch.column(0), batch.column(1), pa.array([v for own in values for v in own], pa.binary()), *(pa.array(np.concatenate(c)) for c in (prints, sizes, heads))
+            lists = [pa.ListArray.from_arrays(whole, c) for c in columns]
+            yield pa.RecordBatch.from_arrays([pa.array([first + number]), *lists, pa.array([b"".join(head)], pa.binary())], names=_SLICE_COLUMNS)
             pa.default_memory_pool().release_unused()
 
-    array = lambda name, kind: T.StructField(name, T.ArrayType(kind))
-    schema = T.StructType(
-        [T.StructField("block", T.LongType()), array("keys", key), array("ties", T.LongType()), array("sets", T.BinaryType()), array("prints", T.LongType()), array("sizes", T.LongType()), array("heads", T.LongType()), T.StructField("prefix", T.BinaryType())]
-    )
-    return session.materialise(own.mapInArrow(run, schema), "set-slices")
+    return run
+
+
+_SLICE_COLUMNS = ["block", "keys", "ties", "sets", "prints", "sizes", "heads", "prefix"]
+
+
+def _sets_by_slice(own: DataFrame, frequent: np.ndarray, printed: bool) -> DataFrame:
+    kinds = T.LongType(), *map(T.ArrayType, (own.schema["key"].dataType, T.LongType(), T.BinaryType(), *[T.LongType()] * 3)), T.BinaryType()
+    schema = T.StructType([T.StructField(*field) for field in zip(_SLICE_COLUMNS, kinds, strict=True)])
+    return session.materialise(own.mapInArrow(_slices(frequent, printed), schema), "set-slices")
 
 
 def _of_nodes(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -239,7 +252,7 @@ def _with_sets(df: DataFrame) -> DataFrame:
     """(node, n, bits, set): the distinct shingles of a text, as ascending numbers of KEPT_BYTES bytes and as bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, 1, _SLICE_BYTES):
+        for batch in by_bytes(batches, 1, PART_BYTES):
             flat, offsets = shingle_sets(text_array(batch.column(1)))
             kept = blocks.narrow(flat, 1, KEPT_BYTES)
             sets = pa.array([kept[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from larder import session
 from larder.llm import chunks
-from larder.llm.common import by_bytes, documents, spans, text_array
+from larder.llm.common import by_bytes, documents, drop_worker_cache, spans, text_array
 
 #: The lexicon is learned from at most so many labelled training rows of either class, those of the lowest hashes.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4_000, 8_000
@@ -131,6 +131,7 @@ def cast_votes(docs: DataFrame, lexicon: list[str], keep: str = "doc_id") -> Dat
     voter, out = voters_of(lexicon), f"kept_{keep}" if keep in ("votes", "hits", "n_words") else keep
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_cache()
         for batch in by_bytes(batches, 1, 2 << 20):
             cut = chunks.by_white_space(text_array(batch.column(1)))
             bits = np.zeros(len(cut.values), np.int64)

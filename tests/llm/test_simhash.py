@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
-from larder.llm import near_copies, simhash
+from larder.llm import common, near_copies, simhash
 
 
 def fingerprint(text, n=3):
@@ -224,3 +227,29 @@ def test_one_text_of_a_node_gathers_repeated_rows_only(spark):
     assert sorted((r["node"], r["text"]) for r in got.collect()) == [(99, "none"), *((100 + k, f"text {k}") for k in range(20))]
     alone = got.filter("not again").collect()
     assert sorted(r["node"] for r in got.filter("again").collect()) == [99, 103] and len(alone) == 19
+
+
+def test_a_worker_holds_little_while_it_makes_slices(monkeypatch):
+    """A slice is hashed in parts, and what other operators keep in the worker goes first."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(9999)}" for _ in range(600)) for _ in range(600)] + [None, "", "a", "long " * 5_000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(range(len(texts))), pa.array(texts)], names=["key", "tie", "text"])
+    monkeypatch.setattr(near_copies, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    common.worker_cache("made by another operator", list).append(1)
+    make = near_copies._slices(np.zeros(0, np.uint64), True)
+    tracemalloc.start()
+    try:
+        got = list(make(iter([batch])))
+        _, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert common.worker_cache("made by another operator", list) == []
+    assert most < 24 << 20, most
+    assert len(got) > 1 and [k for r in got for k in r["keys"][0].as_py()] == list(range(len(texts)))
+    flat, offsets = near_copies.shingle_sets(pa.array(texts).fill_null(""))
+    head, cuts = near_copies.prefixes(flat, offsets, np.zeros(0, np.uint64))
+    assert [n for r in got for n in r["sizes"][0].as_py()] == np.diff(offsets).tolist()
+    assert [n for r in got for n in r["heads"][0].as_py()] == np.diff(cuts).tolist()
+    assert b"".join(r["prefix"][0].as_py() for r in got) == head.tobytes()
+    prints = simhash.fingerprints(pa.array(texts).fill_null(""), 3).view(np.int64)
+    assert [n for r in got for n in r["prints"][0].as_py()] == prints.tolist()
