@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
+from gc import collect as drop_garbage
 from typing import Any
 
 import numpy as np
@@ -48,7 +48,7 @@ def worker_cache(key: str, make: Callable[[], Any]) -> Any:
 def drop_worker_cache() -> None:
     """Lets go of what other operators keep in this Python worker, which shares its executor's memory."""
     if sys.modules.pop("_larder_worker_cache", None) is not None:
-        gc.collect()
+        drop_garbage()
 
 
 def text_array(column: pa.Array) -> pa.Array:
