@@ -136,9 +136,11 @@ def knn_approx_recall(spark, sf_dir):
     """Of vectors of mixed length, the index finds nine of ten true neighbours and reads less than a quarter of the items."""
     items = session.materialise(_mixed_lengths(spark, sf_dir), "mixed")
     queries = items.filter("vec_id % 20 = 0")
+    truth = session.materialise(vectors.knn_inner_product(queries, items, 10, "vec_id", "vec_id"), "truth")
+    session.release(spark)
     index = _index(spark, items)
-    truth = vectors.knn_inner_product(queries, items, 10, "vec_id", "vec_id")
-    found = index.search(queries, 10, "vec_id", block_rows=100, query_rows=30)
+    found = session.materialise(index.search(queries, 10, "vec_id", block_rows=100, query_rows=30), "found")
+    session.release(spark)
     sizes = spark.read.parquet(f"{index.path}/cells")
     read = index.probe(queries, "vec_id").join(sizes, "cell").groupBy("query").agg(F.sum("n").alias("n"))
     share = read.agg(F.avg("n") / items.agg(F.count("*")).scalar()).scalar()

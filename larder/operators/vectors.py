@@ -138,6 +138,8 @@ _RESULT = T.StructType(
 
 #: Values of a block of vectors that one task reads of each side, and rows of the two sides that are multiplied at a time.
 BLOCK_VALUES, QUERY_ROWS, ITEM_ROWS = 1 << 21, 256, 4096
+#: Blocks into which a smaller table of items is cut, so that several tasks compare it, if each has so many values.
+ITEM_BLOCKS, LEAST_VALUES = 8, 1 << 18
 
 
 def in_order(names: np.ndarray, matrix: np.ndarray, k: int) -> np.ndarray:
@@ -156,7 +158,7 @@ def in_order(names: np.ndarray, matrix: np.ndarray, k: int) -> np.ndarray:
     return order[place < k]
 
 
-def _best_of(owner: np.ndarray, item: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def best_of(owner: np.ndarray, item: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k best of each owner, ties by item, sorted by owner and place."""
     order = np.lexsort((item, -score, owner))
     owner, item, score = owner[order], item[order], score[order]
@@ -197,7 +199,7 @@ def best_products(
                 lowest = np.maximum(least, np.partition(scores, len(own) - kept, axis=1)[:, len(own) - kept])
             row, column = np.nonzero((scores >= (lowest - margin)[:, None]) & (scores > -np.inf))
             exact = [(items[column[i : i + 65_536]] * part[row[i : i + 65_536]]).sum(axis=1) for i in range(0, len(row), 65_536)]
-            found = _best_of(*(np.concatenate(x) for x in zip(found, (row, own[column], np.concatenate([np.zeros(0), *exact])), strict=True)), k)
+            found = best_of(*(np.concatenate(x) for x in zip(found, (row, own[column], np.concatenate([np.zeros(0), *exact])), strict=True)), k)
             full = np.flatnonzero(np.bincount(found[0], minlength=len(part)) == k)
             last = np.searchsorted(found[0], full, "right") - 1
             least[full] = np.maximum(least[full], found[2][last])
@@ -220,9 +222,10 @@ def _block_top_k(k: int, item_rows: int, query_rows: int):
     return search
 
 
-def _blocks(df: DataFrame):
-    """Number of blocks for a table, as a scalar of the plan."""
-    rows = df.agg(F.greatest(F.lit(1), F.ceil(F.coalesce(F.sum(F.size("__v")), F.lit(0)) / BLOCK_VALUES)).cast("int").alias("blocks"))
+def _blocks(df: DataFrame, least: int = 1):
+    """Number of blocks for a table, as a scalar of the plan; ``least`` or as many as have ``LEAST_VALUES``."""
+    values = F.coalesce(F.sum(F.size("__v")), F.lit(0))
+    rows = df.agg(F.greatest(F.lit(1), F.ceil(values / (2 * BLOCK_VALUES)), F.least(F.lit(least), F.ceil(values / LEAST_VALUES))).cast("int").alias("blocks"))
     return rows.scalar()
 
 
@@ -252,11 +255,11 @@ def knn_inner_product(
     Ids are returned as text; ties go to the smaller one.  Items are copied once
     per block of queries and queries once per block of items, so the shuffle
     grows with items x query blocks, never with the number of pairs.  A block has
-    ``BLOCK_VALUES`` values whatever the rows asked for: ``block_rows`` and ``query_rows``
+    at most twice ``BLOCK_VALUES`` values whatever the rows asked for: ``block_rows`` and ``query_rows``
     bound what is multiplied at a time.
     """
     q, i = _keyed(queries, query_key, vector, "__q"), _keyed(items, item_key, vector, "__i")
-    item_blocks, query_blocks = _blocks(i), _blocks(q)
+    item_blocks, query_blocks = _blocks(i, ITEM_BLOCKS), _blocks(q)
 
     def own(name: str, blocks):
         return F.pmod(F.xxhash64(name), blocks.cast("bigint")).cast("int")

@@ -83,6 +83,11 @@ def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
     return frame
 
 
+def stored(frame: DataFrame) -> bool:
+    """Whether ``frame`` is what ``materialise`` or ``bucketed`` wrote, as it is."""
+    return bool(getattr(frame, "_larder_path", None))
+
+
 def discard(frame: DataFrame) -> None:
     """Delete what ``materialise`` wrote for a frame that nothing reads any more; other frames are left alone."""
     path = getattr(frame, "_larder_path", None)

@@ -76,6 +76,41 @@ def test_longest_items_come_first(spark, root):
     assert read < 0.25 * 900 * 30
 
 
+def test_approximate_search_writes_blocks(spark, root, monkeypatch):
+    """A query stands once for each block that it reads, not for each cell; what is stored already is not stored again."""
+    seen, original = {}, session.materialise
+    monkeypatch.setattr(vector_index.session, "materialise", lambda d, n: seen.setdefault(n, original(d, n)))
+    rng = np.random.default_rng(3)
+    data = [(i, (rng.normal(size=8) * (1 + i % 9)).tolist()) for i in range(900)]
+    items = original(spark.createDataFrame(data, "id int, vector array<double>"), "given")
+    index = vector_index.VectorIndex(spark, root).build(items, "id")
+    assert "index-items" not in seen and items.count() == 900
+    queries = items.filter("id % 30 = 0")
+    assert index.search(queries, 10, "id", block_rows=10, query_rows=3).count() == 300
+    assert seen["routed"].count() == 30 and index.probe(queries, "id").count() > 10 * 30
+    assert seen["candidates"].count() == 30
+
+
+@pytest.mark.parametrize("rows_asked", [(65_536, 4_096), (7, 3)])
+def test_blocks_of_codes_hold_all(spark, root, monkeypatch, rows_asked):
+    """With all cells read and as many candidates as items nothing is left out, whatever the blocks; so with copies of a vector."""
+    for name, value in {"CODED_ROWS": 16, "LEAST_CODED": 8, "ASKING_ROWS": 5, "LEAST_ASKING": 2, "BLOCK_VALUES": 8 * 6}.items():
+        monkeypatch.setattr(vector_index, name, value)
+    items, queries = points(spark, 50, copies=30), points(spark, 23, seed=2)
+    index = vector_index.VectorIndex(spark, root).build(items, "id", cells=6)
+    got = index.search(queries, 10, "id", share=1.0, block_rows=rows_asked[0], query_rows=rows_asked[1])
+    assert {(r["query"], r["item"], r["rank"]) for r in got.collect()} == brute_force(queries, items, 10)
+
+
+def test_named_pairs_are_scored():
+    """A null element or one that the other lacks adds nothing; an id may stand for several items, or for none of the block."""
+    lists = lambda *x: pa.array(x, pa.list_(pa.float64()))
+    queries = pa.table({"__q": ["a", "b"], "v": lists([1.0, 2.0, 4.0], [3.0, None]), "items": [["y", "x", "z"], ["x"]]})
+    items = pa.table({"__i": ["x", "w", "y", "x"], "v": lists([1.0, 1.0], [9.0, 9.0], [None, 0.5], [2.0, 1.0])})
+    found = vector_index._scored_pairs(2)(queries, items).to_pylist()
+    assert sorted((r["__q"], r["__i"], r["score"]) for r in found) == [("a", "x", 3.0), ("a", "x", 4.0), ("a", "y", 1.0), ("b", "x", 3.0), ("b", "x", 6.0)]
+
+
 def test_bounds_leave_cells_out(spark, root, monkeypatch):
     """All against all of grouped vectors: what is asked of cells grows less than the pairs do."""
     rng, asked = np.random.default_rng(5), []
